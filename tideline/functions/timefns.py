@@ -18,10 +18,6 @@ MICROS_PER_UNIT = {"millis": 1000, "seconds": 1000000, "posix": 1000000, "micros
 NUMERIC_FORMATS = ("auto", "millis", "seconds", "posix", "micros")
 
 
-def is_numeric(raw: Column) -> Column:
-    return raw.rlike(r"^\s*-?[0-9]+(\.[0-9]+)?\s*$")
-
-
 def parse_event_time(raw: Column, fmt: str = "auto") -> tuple[Column, Column]:
     """Event-time text -> (timestamp, error reason).
 
@@ -33,16 +29,15 @@ def parse_event_time(raw: Column, fmt: str = "auto") -> tuple[Column, Column]:
     key = fmt.lower() if fmt else "auto"
     if key in NUMERIC_FORMATS:
         scale = MICROS_PER_UNIT["millis" if key == "auto" else key]
-        us = F.floor(F.try_multiply(raw.try_cast("decimal(38,6)"), F.lit(scale)))
+        num = raw.try_cast("decimal(38,6)")  # NULL for text that is not a number
+        us = F.floor(F.try_multiply(num, F.lit(scale)))
         in_range = us.between(F.lit(MIN_REPRESENTABLE_US), F.lit(MAX_REPRESENTABLE_US))
-        numeric = is_numeric(raw)
-        from_number = F.when(in_range, F.timestamp_micros(us.try_cast("bigint")))
-        ts = F.when(numeric, from_number)
+        ts = F.when(in_range, F.timestamp_micros(us.try_cast("bigint")))
         if key == "auto":
-            ts = ts.otherwise(F.try_to_timestamp(raw))
+            ts = F.when(num.isNull(), F.try_to_timestamp(raw)).otherwise(ts)
         err = (
             F.when(raw.isNull(), F.lit("no_event_time"))
-            .when(numeric & ~F.coalesce(in_range, F.lit(False)), F.lit("unrepresentable_time"))
+            .when(num.isNotNull() & ~F.coalesce(in_range, F.lit(False)), F.lit("unrepresentable_time"))
             .when(ts.isNull(), F.lit("bad_event_time"))
         )
         return ts, err

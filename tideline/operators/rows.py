@@ -73,9 +73,14 @@ def explode_rows(df: DataFrame, spec: IngestSpec) -> DataFrame:
     """
     rows_field = spec.data_schema.rows_field
     if not rows_field:
-        return df.withColumn("pos", F.lit(0)).withColumn(ROW_MAP, F.col("merged")).withColumn(
-            "rows_error", F.lit(None).cast("string")
-        ).withColumn("null_row", F.lit(False))
+        # Single-row messages go through a generator as well: a filter on the
+        # disposition then stops at the Generate node instead of being pushed
+        # down and re-evaluating the whole decode tree inside its condition.
+        return (
+            df.select("*", F.posexplode(F.array(F.col("merged"))).alias("pos", ROW_MAP))
+            .withColumn("rows_error", F.lit(None).cast("string"))
+            .withColumn("null_row", F.lit(False))
+        )
     arr = F.from_json(F.col("merged")[rows_field], "array<string>")
     with_arr = df.withColumn("_rows", arr).withColumn(
         "rows_error",
