@@ -91,14 +91,14 @@ def write_rows(rows: DataFrame, table: str, spec: IngestSpec) -> None:
     """Append / replace one batch of classified rows.
 
     * roles of the table are checked against the spec first (as sets);
-    * ``repartition(segment_start, salt)`` spreads one hot segment over
-      ``write_salt_buckets`` tasks and bounds the files per segment;
+    * ``rebalance`` on ``segment_start``: AQE cuts a hot segment into
+      advisory-sized partitions and merges small ones, so one busy interval
+      never lands in one task and files come out evenly sized;
     * ``maxRecordsPerFile`` bounds every file by ``maxRowsPerSegment``.
     """
     spark = rows.sparkSession
     meta = require_match(read_roles(spark, table), spec)
-    salt = F.pmod(F.xxhash64("messageId", "pos"), F.lit(spec.tuning.write_salt_buckets))
-    out = rows.repartition(F.col("segment_start"), salt)
+    out = rows.hint("rebalance", "segment_start")
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

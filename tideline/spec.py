@@ -117,7 +117,6 @@ class TuningConfig:
     log_parse_exceptions: bool = False
     report_parse_exceptions: bool = False
     intermediate_handoff_period: timedelta | None = None
-    write_salt_buckets: int = 8
     dedup_horizon: timedelta = timedelta(days=1)
     strict_segments: bool = False
 
@@ -252,8 +251,6 @@ def validate(spec: IngestSpec) -> None:
         raise SpecError("row limits must be positive")
     if t.max_parse_exceptions is not None and t.max_parse_exceptions < 0:
         raise SpecError("maxParseExceptions must be >= 0")
-    if t.write_salt_buckets <= 0:
-        raise SpecError("write_salt_buckets must be positive")
 
 
 # -- dataset metadata (dimension / metric roles) ------------------------------
