@@ -129,3 +129,59 @@ def test_periodic_publish_trigger():
     spec = events_spec().with_tuning(intermediate_handoff_period=timedelta(minutes=10))
     assert trigger_for(spec, available_now=False) == {"processingTime": "600 seconds"}
     assert trigger_for(spec) == {"availableNow": True}
+
+
+def test_stream_dedup_within_watermark(spark):
+    from tideline.operators.dedup import dedup_stream
+    from tideline.sources.landing import stream_envelopes
+
+    paths = _paths(spark, "stream-dedup")
+    fx.envelopes(spark, SF).repartition(4).write.parquet(paths.landing)
+    out = paths.table
+    q = (
+        dedup_stream(stream_envelopes(spark, paths.landing, max_files_per_trigger=1), "60 days")
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", paths.checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == got.select("messageId").distinct().count() == spark.read.parquet(f"{SF}/events.parquet").count()
+
+
+def test_stream_pull_responses_equal_batch(spark):
+    from tideline.sources.landing import read_pull_responses, stream_pull_responses
+
+    paths = _paths(spark, "stream-pulls")
+    pulls = fx.pull_responses(fx.envelopes(spark, SF, keep_event_id=True))
+    pulls.select(F.to_json(F.struct("receivedMessages")).alias("value")).repartition(3).write.text(paths.landing)
+    q = (
+        stream_pull_responses(spark, paths.landing, max_files_per_trigger=1)
+        .writeStream.format("parquet")
+        .option("path", paths.table)
+        .option("checkpointLocation", paths.checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    s = spark.read.parquet(paths.table).select("ackId", "messageId", "data")
+    b = read_pull_responses(spark, paths.landing).select("ackId", "messageId", "data")
+    assert s.exceptAll(b).isEmpty() and b.exceptAll(s).isEmpty()
+    assert b.count() == fx.envelopes(spark, SF).count()
+
+
+def test_poll_limits_bound_micro_batches(spark):
+    from tideline.sources.landing import land_envelopes
+
+    spec = events_spec().with_io(max_messages_per_poll=400)
+    paths = _paths(spark, "poll-limit")
+    env = fx.envelopes(spark, SF)
+    land_envelopes(env.repartition(1), paths.landing, spec.io_config.max_messages_per_poll)
+    q = start_ingest(spark, spec, paths)
+    q.awaitTermination()
+    ledger = S.read_ledger(spark, paths.ledger)
+    per_batch = [r["count"] for r in ledger.groupBy("batch_id").count().collect()]
+    assert max(per_batch) <= 400 and sum(per_batch) == env.count()
+    assert len(per_batch) >= 3

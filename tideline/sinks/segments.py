@@ -1,6 +1,6 @@
 """Time-segmented, size-bounded table of classified rows (+ ledger, purge).
 
-Layout: ``<table>/segment_start=S/disposition=D/batch_id=N/part-*.parquet``.
+Layout: ``<table>/batch_id=N/segment_start=S/disposition=D/part-*.parquet``.
 One write per batch carries every disposition (quarantine included), so
 the batch is scanned once.  Replaying a batch overwrites exactly its own
 partitions (dynamic partition overwrite), so a replay never doubles rows.
@@ -18,8 +18,8 @@ from tideline.operators.metadata import require_match
 from tideline.operators.rows import PROCESSED
 from tideline.spec import DatasetMetadata, IngestSpec
 
-PARTITIONS = ["segment_start", "disposition", "batch_id"]
-ROLES_DIR = "_roles"  # hidden from Parquet readers (leading underscore)
+PARTITIONS = ["batch_id", "segment_start", "disposition"]
+ROLES_FILE = "_roles.json"  # hidden from Parquet readers (leading underscore)
 
 
 # -- file-system helpers (Hadoop FS of the session: works on any store) ------
@@ -51,18 +51,40 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 # -- roles sidecar -------------------------------------------------------------
 
 
-def read_roles(spark: SparkSession, table: str) -> DatasetMetadata | None:
-    path = f"{table}/{ROLES_DIR}"
-    if not path_exists(spark, path):
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Small text file through the Hadoop FS API (no Spark job)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
         return None
-    text = spark.read.text(path).first()
-    return None if text is None else DatasetMetadata.from_json(text[0])
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+        return "\n".join(lines)
+    finally:
+        reader.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_roles(spark: SparkSession, table: str) -> DatasetMetadata | None:
+    text = read_text(spark, f"{table}/{ROLES_FILE}")
+    return None if text is None else DatasetMetadata.from_json(text)
 
 
 def write_roles(spark: SparkSession, table: str, meta: DatasetMetadata) -> None:
-    spark.createDataFrame([(meta.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{table}/{ROLES_DIR}"
-    )
+    write_text(spark, f"{table}/{ROLES_FILE}", meta.to_json())
 
 
 # -- rows table ------------------------------------------------------------------
@@ -97,7 +119,8 @@ def write_rows(rows: DataFrame, table: str, spec: IngestSpec) -> None:
     * ``maxRecordsPerFile`` bounds every file by ``maxRowsPerSegment``.
     """
     spark = rows.sparkSession
-    meta = require_match(read_roles(spark, table), spec)
+    existing = read_roles(spark, table)
+    meta = require_match(existing, spec)
     out = rows.hint("rebalance", "segment_start")
     (
         out.write.mode("overwrite")
@@ -106,7 +129,8 @@ def write_rows(rows: DataFrame, table: str, spec: IngestSpec) -> None:
         .partitionBy(*PARTITIONS)
         .parquet(table)
     )
-    write_roles(spark, table, meta)
+    if existing is None:
+        write_roles(spark, table, meta)
 
 
 def read_rows(spark: SparkSession, table: str, spec: IngestSpec) -> DataFrame:
@@ -182,19 +206,23 @@ def purge_interval(spark: SparkSession, table: str, spec: IngestSpec, start: dat
 
     g = spec.data_schema.segment_granularity
     partial = []
-    for name in list_dirs(spark, table):
-        seg = _segment_dir_value(name)
-        if seg is None:
+    for batch_dir in list_dirs(spark, table):
+        if not batch_dir.startswith("batch_id="):
             continue
-        seg_end = bucket_end_value(seg, g)
-        if seg >= start and seg_end <= end:
-            delete_path(spark, f"{table}/{name}")
-        elif seg < end and seg_end > start:
-            partial.append((seg, name))
+        for name in list_dirs(spark, f"{table}/{batch_dir}"):
+            seg = _segment_dir_value(name)
+            if seg is None:
+                continue
+            seg_end = bucket_end_value(seg, g)
+            if seg >= start and seg_end <= end:
+                delete_path(spark, f"{table}/{batch_dir}/{name}")
+            elif seg < end and seg_end > start:
+                partial.append((seg, f"{batch_dir}/{name}"))
     if not partial:
         return
     rows = read_rows(spark, table, spec)
-    segs = F.col("segment_start").isin([F.lit(p.isoformat(sep=" ")).cast("timestamp_ntz") for p, _ in partial])
+    starts = sorted({p for p, _ in partial})
+    segs = F.col("segment_start").isin([F.lit(p.isoformat(sep=" ")).cast("timestamp_ntz") for p in starts])
     lo, hi = (F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in (start, end))
     kept = rows.filter(segs & ~((F.col("ts") >= lo) & (F.col("ts") < hi)))
     kept.write.mode("overwrite").parquet(staging)
@@ -202,3 +230,12 @@ def purge_interval(spark: SparkSession, table: str, spec: IngestSpec, start: dat
     for _, name in partial:  # rewritten below from the staged rows
         delete_path(spark, f"{table}/{name}")
     staged.write.mode("append").partitionBy(*PARTITIONS).parquet(table)
+
+
+def read_batch(spark: SparkSession, table: str, spec: IngestSpec, batch_id: int) -> DataFrame:
+    """Rows of one committed batch: lists only that batch's folder."""
+    return (
+        spark.read.schema(rows_schema(spec))
+        .option("basePath", table)
+        .parquet(f"{table}/batch_id={int(batch_id)}")
+    )

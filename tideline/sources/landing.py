@@ -69,6 +69,16 @@ def stream_pull_responses(spark: SparkSession, path: str, max_files_per_trigger:
     return unnest_pull(reader.load(path))
 
 
+def land_envelopes(env: DataFrame, path: str, max_messages_per_file: int = 0, fmt: str = "parquet") -> None:
+    """Append envelopes to a landing folder; files hold at most
+    ``max_messages_per_file`` messages (``maxMessagesPerPoll``), so one file
+    per trigger bounds a micro-batch by messages."""
+    w = env.select(*ENVELOPE_COLUMNS).write.mode("append").format(fmt)
+    if max_messages_per_file:
+        w = w.option("maxRecordsPerFile", int(max_messages_per_file))
+    w.save(path)
+
+
 def union_subscriptions(sources: dict[str, DataFrame]) -> DataFrame:
     """Several subscriptions feeding one table: label each, union by name."""
     labelled = [df.withColumn("subscription", F.lit(name)) for name, df in sources.items()]

@@ -30,7 +30,7 @@ from tideline.operators.dedup import dedup_messages
 from tideline.operators.ledger import ack_ledger
 from tideline.operators.meters import check_failure_limit, meter_columns
 from tideline.operators.rows import PROCESSED, UNPARSEABLE, rows_from_envelopes
-from tideline.sinks.segments import LEDGER_SCHEMA, path_exists, rows_schema, write_ledger, write_rows
+from tideline.sinks.segments import LEDGER_SCHEMA, path_exists, read_batch, rows_schema, write_ledger, write_rows
 from tideline.sources.landing import stream_envelopes
 from tideline.spec import IngestSpec
 
@@ -95,13 +95,9 @@ def committed_meters(spark: SparkSession, table: str, spec: IngestSpec, batch_id
     Only partition columns are read, so Spark answers from file footers;
     the numbers describe exactly what was written.
     """
-    got = (
-        spark.read.schema(rows_schema(spec))
-        .parquet(table)
-        .filter(F.col("batch_id") == F.lit(int(batch_id)))
-        .agg(*meter_columns())
-        .first()
-    )
+    if not path_exists(spark, f"{table}/batch_id={int(batch_id)}"):
+        return {"processed": 0, "unparseable": 0, "thrown_away": 0}
+    got = read_batch(spark, table, spec, batch_id).agg(*meter_columns()).first()
     return {k: int(got[k] or 0) for k in ("processed", "unparseable", "thrown_away")}
 
 
@@ -117,6 +113,11 @@ def start_ingest(
     """Start query 1.  A suspended spec starts nothing."""
     if spec.suspended:
         return None
+    io = spec.io_config
+    if max_files_per_trigger is None and io.max_messages_per_poll > 0:
+        max_files_per_trigger = 1  # landing files hold <= maxMessagesPerPoll messages
+    if max_bytes_per_trigger is None and io.max_message_size_per_poll > 0:
+        max_bytes_per_trigger = io.max_message_size_per_poll
     src = stream_envelopes(spark, paths.landing, fmt, max_files_per_trigger, max_bytes_per_trigger)
     writer = (
         src.writeStream.foreachBatch(lambda df, bid: process_batch(df, bid, spec, paths))
