@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints ONE JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEATS (default 3).  Each query runs end to end into Spark's ``noop``
+BENCH_REPEATS (default 3), BENCH_QUERIES (comma list; default: the headline set).  Each query runs end to end into Spark's ``noop``
 sink (the whole plan executes, nothing is collected); the value reported per
 query is the median wall time of the repeats, after one warm-up run.
 """
@@ -29,6 +29,9 @@ def main() -> None:
 
     spark = local_session(cpus, app="tideline-bench", shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
     qs = registry.headline()
+    only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    if only:
+        qs = {k: registry.queries()[k] for k in only}
 
     def run(fn):
         t0 = time.perf_counter()

@@ -185,3 +185,33 @@ def test_poll_limits_bound_micro_batches(spark):
     per_batch = [r["count"] for r in ledger.groupBy("batch_id").count().collect()]
     assert max(per_batch) <= 400 and sum(per_batch) == env.count()
     assert len(per_batch) >= 3
+
+
+def test_saved_parse_failures_per_batch(spark):
+    spec = events_spec().with_tuning(max_saved_parse_exceptions=5)
+    paths = _paths(spark, "saved-failures")
+    process_batch(fx.envelopes(spark, SF), 3, spec, paths)
+    saved = spark.read.parquet(paths.meters + "_failures").collect()
+    assert len(saved) == 5 and {r["batch_id"] for r in saved} == {3}
+    everything = S.read_rows(spark, paths.table, spec).filter(F.col("disposition") == "unparseable")
+    top = sorted((r["publishTime"], r["messageId"]) for r in everything.collect())[-5:]
+    assert sorted((r["publishTime"], r["messageId"]) for r in saved) == top
+
+
+def test_hot_message_and_hot_segment(spark, envelopes):
+    """One message delivered 3000 times and one segment holding most rows."""
+    from tideline.sources.schema import ENVELOPE
+
+    data = "{" + TS + ',"value":1}'
+    hot = [(f"a{i}", "hot", "2024-01-10T00:00:00.000000Z", data, None) for i in range(3000)]
+    cold = [(f"b{i}", f"c{i}", "2024-01-10T00:00:00.000000Z", data, None) for i in range(2000)]
+    env = spark.createDataFrame(hot + cold, ENVELOPE).repartition(8)
+    spec = events_spec(minimum_message_time=None, maximum_message_time=None).with_tuning(max_rows_per_segment=300)
+    paths = _paths(spark, "hot")
+    process_batch(env, 0, spec, paths)
+    rows = S.read_rows(spark, paths.table, spec)
+    assert rows.count() == 2001
+    assert rows.filter(F.col("messageId") == "hot").count() == 1
+    assert S.read_ledger(spark, paths.ledger).count() == 5000
+    per_file = rows.groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in per_file) <= 300

@@ -10,7 +10,9 @@ admission control, ``foreachBatch`` does per micro-batch
 3. the failure limit check, before anything is written;
 4. the rows write for ``batch_id = N`` (dynamic partition overwrite, so a
    replayed batch replaces itself), metered with ``observe``;
-5. the ledger of *all* received copies, after the data commit.
+5. the ledger of *all* received copies, after the data commit;
+6. meters (and the last ``maxSavedParseExceptions`` failures) of the batch,
+   counted from what was committed.
 
 Query 2 (``start_rollup``): ``readStream`` of the processed rows, event-time
 watermark, tumbling ``window`` aggregation.  Two queries because the dedup
@@ -28,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tideline.operators.dedup import dedup_messages
 from tideline.operators.ledger import ack_ledger
-from tideline.operators.meters import check_failure_limit, meter_columns
+from tideline.operators.meters import check_failure_limit, failure_sample, meter_columns
 from tideline.operators.rows import PROCESSED, UNPARSEABLE, rows_from_envelopes
 from tideline.sinks.segments import LEDGER_SCHEMA, path_exists, read_batch, rows_schema, write_ledger, write_rows
 from tideline.sources.landing import stream_envelopes
@@ -80,6 +82,12 @@ def process_batch(env: DataFrame, batch_id: int, spec: IngestSpec, paths: Stream
         if limited:
             rows.unpersist()
     meters = committed_meters(spark, paths.table, spec, batch_id)
+    saved = spec.tuning.saved_parse_exceptions
+    if saved > 0 and meters["unparseable"] > 0:
+        failures = read_batch(spark, paths.table, spec, batch_id).filter(F.col("disposition") == UNPARSEABLE)
+        failure_sample(failures, saved).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).write.mode(
+            "overwrite"
+        ).option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(paths.meters + "_failures")
     # acknowledge only after the data commit
     write_ledger(ack_ledger(env, batch_id), paths.ledger)
     spark.createDataFrame(
