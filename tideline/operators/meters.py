@@ -69,3 +69,13 @@ def check_failure_limit(unparseable: int, spec: IngestSpec) -> None:
         raise ParseFailureLimitExceeded(
             f"{unparseable} unparseable rows for {spec.data_source}, at most {allowed} allowed"
         )
+
+
+def report_from_meters(meters: DataFrame, spec: IngestSpec, report_time: datetime) -> DataFrame:
+    """Status report from the per-batch meters table of a running ingest."""
+    return meters.groupBy("data_source").agg(
+        F.lit(report_time.isoformat(sep=" ")).cast("timestamp_ntz").alias("generated_at"),
+        F.lit(spec.suspended).alias("suspended"),
+        F.count(F.lit(1)).alias("batches"),
+        *[F.sum(c).cast("bigint").alias(c) for c in ("processed", "unparseable", "thrown_away")],
+    )
