@@ -30,7 +30,17 @@ ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """The ``events`` table, spread over the cluster when it is one small split.
+
+    A big table already scans as many splits and is left alone; a table of
+    fewer splits than the default parallelism (one row group, say) would run
+    every narrow step that follows in that many tasks.
+    """
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    parallelism = spark.sparkContext.defaultParallelism
+    if ev.rdd.getNumPartitions() < parallelism:
+        ev = ev.repartition(parallelism)
+    return ev
 
 
 def _num(c: Column) -> Column:
