@@ -63,70 +63,92 @@ def merge(df: DataFrame) -> DataFrame:
     return df.withColumn("merged", D.merge_attributes(F.col("payload_map"), F.col("attributes")))
 
 
+def _field_value(row: Column, path: str, type_: str) -> tuple[Column, Column]:
+    """Value of a declared field from the row map, plus the raw text."""
+    head, _, rest = path.partition(".")
+    raw = row[head]
+    if rest:
+        raw = F.get_json_object(raw, "$." + rest)
+    return raw.try_cast(type_), raw
+
+
+def _row_struct(row: Column, spec: IngestSpec, elem_error: Column | None = None, null_row: Column | None = None) -> Column:
+    """One row before the generator: its map, event time and row error.
+
+    Event time and the row error are computed here, below the generator, so
+    every later filter on the disposition reads plain generated columns
+    instead of re-parsing the time inside its condition.
+    """
+    ds = spec.data_schema
+    event_time, time_error = parse_event_time(row[ds.timestamp_column], ds.timestamp_format)
+    err = time_error
+    for f in ds.fields:
+        if f.role == "metric":
+            value, raw = _field_value(row, f.source, f.type)
+            err = F.coalesce(err, F.when(raw.isNotNull() & value.isNull(), F.lit("bad_metric")))
+    return F.struct(
+        row.alias(ROW_MAP),
+        event_time.alias("event_time"),
+        F.when(row.isNotNull(), err).alias("row_error"),
+        (elem_error if elem_error is not None else F.lit(None).cast("string")).alias("elem_error"),
+        (null_row if null_row is not None else F.lit(False)).alias("null_row"),
+    )
+
+
 def explode_rows(df: DataFrame, spec: IngestSpec) -> DataFrame:
-    """One message -> one or more row maps, keyed by ``(messageId, pos)``.
+    """One message -> one or more rows, keyed by ``(messageId, pos)``.
 
     With ``rows_field`` set, the merged object carries an array of row
     objects; every element is merged with the attributes (attributes win).
     A NULL element is a null row (thrown away); a message whose rows field is
     missing or not an array keeps one row with ``rows_error``.
+
+    Single-row messages go through the generator as well.  A filter on the
+    disposition stops at the Generate node, so the JSON decode and the time
+    parse below it run once per row, never again inside the filter.
     """
     rows_field = spec.data_schema.rows_field
     if not rows_field:
-        # Single-row messages go through a generator as well: a filter on the
-        # disposition then stops at the Generate node instead of being pushed
-        # down and re-evaluating the whole decode tree inside its condition.
-        return (
-            df.select("*", F.posexplode(F.array(F.col("merged"))).alias("pos", ROW_MAP))
-            .withColumn("rows_error", F.lit(None).cast("string"))
-            .withColumn("null_row", F.lit(False))
-        )
-    arr = F.from_json(F.col("merged")[rows_field], "array<string>")
-    with_arr = df.withColumn("_rows", arr).withColumn(
-        "rows_error",
-        F.when(F.col("merged").isNotNull() & F.col("_rows").isNull(), F.lit("bad_rows_field")),
-    )
-    exploded = with_arr.select("*", F.posexplode_outer("_rows").alias("pos", "_elem")).drop("_rows")
-    elem_map = D.parse_object(F.col("_elem"))
+        elems = F.array(_row_struct(F.col("merged"), spec))
+        msg_error = F.lit(None).cast("string")
+        out = df.select("*", F.posexplode(elems).alias("pos", "_e"))
+    else:
+        arr = F.from_json(F.col("merged")[rows_field], "array<string>")
+        attrs = F.col("attributes")
+
+        def element(e: Column) -> Column:
+            parsed = D.parse_object(e)
+            return _row_struct(
+                D.merge_attributes(parsed, attrs),
+                spec,
+                elem_error=F.when(e.isNotNull() & parsed.isNull(), F.lit("not_object")),
+                null_row=e.isNull(),
+            )
+
+        with_arr = df.withColumn("_rows", arr)
+        msg_error = F.when(F.col("merged").isNotNull() & F.col("_rows").isNull(), F.lit("bad_rows_field"))
+        out = with_arr.withColumn("_msg_error", msg_error).select(
+            "*", F.posexplode_outer(F.transform("_rows", element)).alias("pos", "_e")
+        ).drop("_rows")
+        msg_error = F.col("_msg_error")
     return (
-        exploded.withColumn("pos", F.coalesce(F.col("pos"), F.lit(0)))
-        .withColumn("null_row", F.col("_elem").isNull() & F.col("rows_error").isNull() & F.col("merged").isNotNull())
-        .withColumn(
-            "rows_error",
-            F.coalesce(
-                F.col("rows_error"),
-                F.when(F.col("_elem").isNotNull() & elem_map.isNull(), F.lit("not_object")),
-            ),
-        )
-        .withColumn(ROW_MAP, D.merge_attributes(elem_map, F.col("attributes")))
-        .drop("_elem")
+        out.withColumn("pos", F.coalesce(F.col("pos"), F.lit(0)))
+        .withColumn(ROW_MAP, F.col("_e")[ROW_MAP])
+        .withColumn("event_time", F.col("_e.event_time"))
+        .withColumn("row_error", F.col("_e.row_error"))
+        .withColumn("rows_error", F.coalesce(msg_error, F.col("_e.elem_error")))
+        .withColumn("null_row", F.coalesce(F.col("_e.null_row"), F.lit(False)))
+        .drop("_e", "_msg_error")
     )
 
 
-def _field_value(row: Column, path: str, type_: str) -> tuple[Column, Column]:
-    """Value of a declared field from the row map, plus the raw text."""
-    head, _, rest = path.partition(".")
-    raw = row[head]
-    if rest:
-        raw = F.get_json_object(raw, "$." + rest)
-    return raw.try_cast(type_), raw
-
-
 def typed_rows(df: DataFrame, spec: IngestSpec) -> DataFrame:
-    """Add the declared columns, ``event_time`` (TIMESTAMP) and ``row_error``."""
-    ds = spec.data_schema
+    """Add the declared columns (typed with ``try_cast``) from the row map."""
     row = F.col(ROW_MAP)
-    event_time, time_error = parse_event_time(row[ds.timestamp_column], ds.timestamp_format)
-    out = df.withColumn("event_time", event_time)
-    metric_error = F.lit(None).cast("string")
-    for f in ds.fields:
-        value, raw = _field_value(row, f.source, f.type)
-        out = out.withColumn(f.name, value)
-        if f.role == "metric":
-            metric_error = F.coalesce(
-                metric_error, F.when(raw.isNotNull() & F.col(f.name).isNull(), F.lit("bad_metric"))
-            )
-    return out.withColumn("row_error", F.when(row.isNotNull(), F.coalesce(time_error, metric_error)))
+    out = df
+    for f in spec.data_schema.fields:
+        out = out.withColumn(f.name, _field_value(row, f.source, f.type)[0])
+    return out
 
 
 def _lit_ts(t: datetime) -> Column:
