@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideline.operators.meters import ParseFailureLimitExceeded
-from tideline.plans.ingest import events_spec
+from tideline.plans.ingest import events_spec, ingest
 from tideline.session import scratch_path
 from tideline.sinks import segments as S
 from tideline.sources import fixtures as fx
@@ -215,3 +215,18 @@ def test_hot_message_and_hot_segment(spark, envelopes):
     assert S.read_ledger(spark, paths.ledger).count() == 5000
     per_file = rows.groupBy(F.input_file_name()).count().collect()
     assert max(r["count"] for r in per_file) <= 300
+
+
+def test_json_and_gzipped_json_landing(spark):
+    from tideline.sources.landing import read_envelopes
+
+    env = fx.envelopes(spark, SF)
+    root = scratch_path(spark, "json-landing")
+    env.write.json(f"{root}/plain")
+    env.write.option("compression", "gzip").json(f"{root}/gz")
+    cols = ["ackId", "messageId", "publishTime", "data"]
+    for sub in ("plain", "gz"):
+        got = read_envelopes(spark, f"{root}/{sub}", fmt="json").select(cols)
+        assert got.exceptAll(env.select(cols)).isEmpty() and env.select(cols).exceptAll(got).isEmpty()
+    rows = ingest(read_envelopes(spark, f"{root}/gz", fmt="json"), events_spec()).rows
+    assert rows.filter(F.col("disposition") == "processed").count() > 0
