@@ -175,7 +175,8 @@ def test_stream_pull_responses_equal_batch(spark):
 def test_poll_limits_bound_micro_batches(spark):
     from tideline.sources.landing import land_envelopes
 
-    spec = events_spec().with_io(max_messages_per_poll=400)
+    # polls of <= 200 messages, commits of <= 400 rows: two landing files per trigger
+    spec = events_spec().with_io(max_messages_per_poll=200).with_tuning(max_total_rows=400)
     paths = _paths(spark, "poll-limit")
     env = fx.envelopes(spark, SF)
     land_envelopes(env.repartition(1), paths.landing, spec.io_config.max_messages_per_poll)
@@ -185,6 +186,7 @@ def test_poll_limits_bound_micro_batches(spark):
     per_batch = [r["count"] for r in ledger.groupBy("batch_id").count().collect()]
     assert max(per_batch) <= 400 and sum(per_batch) == env.count()
     assert len(per_batch) >= 3
+    assert spec.landing_path("/shared") == "/shared/fixtures/events-sub"
 
 
 def test_saved_parse_failures_per_batch(spark):

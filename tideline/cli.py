@@ -28,7 +28,7 @@ def paths_for(root: str, landing: str) -> StreamPaths:
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__)
     ap.add_argument("spec")
-    ap.add_argument("--landing", required=True)
+    ap.add_argument("--landing", help="landing folder (default: <root>/landing/<projectId>/<subscriptionId>)")
     ap.add_argument("--root", required=True)
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--mode", choices=["batch", "stream"], default="stream")
@@ -39,9 +39,10 @@ def main(argv=None) -> None:
         spec = IngestSpec.from_json(fh.read())
     spark = SparkSession.builder.appName(f"tideline-{spec.data_source}").getOrCreate()
     ensure_utc(spark)
-    paths = paths_for(a.root, a.landing)
+    landing = a.landing or spec.landing_path(f"{a.root.rstrip('/')}/landing")
+    paths = paths_for(a.root, landing)
     if a.mode == "batch":
-        meters = process_batch(read_envelopes(spark, a.landing, a.format), a.batch_id, spec, paths)
+        meters = process_batch(read_envelopes(spark, landing, a.format), a.batch_id, spec, paths)
         print(json.dumps({"data_source": spec.data_source, "batch_id": a.batch_id, **meters}))
         return
     q = start_ingest(spark, spec, paths, a.format, available_now=not a.continuous)

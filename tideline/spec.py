@@ -149,6 +149,12 @@ class IngestSpec:
     def data_source(self) -> str:
         return self.data_schema.data_source
 
+    def landing_path(self, root: str) -> str:
+        """Landing folder of this spec's subscription under a shared root."""
+        io = self.io_config
+        parts = [p for p in (io.project_id, io.subscription_id or io.topic) if p]
+        return "/".join([root.rstrip("/"), *parts])
+
     def with_io(self, **kw) -> "IngestSpec":
         return replace(self, io_config=replace(self.io_config, **kw))
 

@@ -123,7 +123,9 @@ def start_ingest(
         return None
     io = spec.io_config
     if max_files_per_trigger is None and io.max_messages_per_poll > 0:
-        max_files_per_trigger = 1  # landing files hold <= maxMessagesPerPoll messages
+        # landing files hold <= maxMessagesPerPoll messages (one poll each); a
+        # commit takes polls until maxTotalRows is reached, as a push would
+        max_files_per_trigger = max(1, spec.tuning.max_total_rows // io.max_messages_per_poll)
     if max_bytes_per_trigger is None and io.max_message_size_per_poll > 0:
         max_bytes_per_trigger = io.max_message_size_per_poll
     src = stream_envelopes(spark, paths.landing, fmt, max_files_per_trigger, max_bytes_per_trigger)
