@@ -48,6 +48,14 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def glob_dirs(spark: SparkSession, root: str, pattern: str) -> list[str]:
+    """Directories under ``root`` matching ``pattern``, relative to ``root`` (one glob call)."""
+    fs, p = _fs(spark, f"{root}/{pattern}")
+    found = fs.globStatus(p) or []
+    base = fs.makeQualified(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)).toString().rstrip("/")
+    return [st.getPath().toString()[len(base) + 1 :] for st in found if st.isDirectory()]
+
+
 # -- roles sidecar -------------------------------------------------------------
 
 
@@ -206,18 +214,15 @@ def purge_interval(spark: SparkSession, table: str, spec: IngestSpec, start: dat
 
     g = spec.data_schema.segment_granularity
     partial = []
-    for batch_dir in list_dirs(spark, table):
-        if not batch_dir.startswith("batch_id="):
+    for rel in glob_dirs(spark, table, "batch_id=*/segment_start=*"):
+        seg = _segment_dir_value(rel.rsplit("/", 1)[-1])
+        if seg is None:
             continue
-        for name in list_dirs(spark, f"{table}/{batch_dir}"):
-            seg = _segment_dir_value(name)
-            if seg is None:
-                continue
-            seg_end = bucket_end_value(seg, g)
-            if seg >= start and seg_end <= end:
-                delete_path(spark, f"{table}/{batch_dir}/{name}")
-            elif seg < end and seg_end > start:
-                partial.append((seg, f"{batch_dir}/{name}"))
+        seg_end = bucket_end_value(seg, g)
+        if seg >= start and seg_end <= end:
+            delete_path(spark, f"{table}/{rel}")
+        elif seg < end and seg_end > start:
+            partial.append((seg, rel))
     if not partial:
         return
     rows = read_rows(spark, table, spec)
