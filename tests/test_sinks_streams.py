@@ -232,3 +232,26 @@ def test_json_and_gzipped_json_landing(spark):
         assert got.exceptAll(env.select(cols)).isEmpty() and env.select(cols).exceptAll(got).isEmpty()
     rows = ingest(read_envelopes(spark, f"{root}/gz", fmt="json"), events_spec()).rows
     assert rows.filter(F.col("disposition") == "processed").count() > 0
+
+
+def test_update_mode_rollup_equals_complete(spark):
+    from tideline.streaming.ingest import read_rollup_updates, start_rollup
+
+    spec = events_spec()
+    paths = _paths(spark, "rollup-modes")
+    fx.envelopes(spark, SF).repartition(4).write.parquet(paths.landing)
+    q = start_ingest(spark, spec, paths, max_files_per_trigger=1)
+    q.awaitTermination()
+    outs = {}
+    for mode in ("complete", "update"):
+        out = f"{paths.table}_{mode}"
+        r = start_rollup(
+            spark, spec, paths.table, out, f"{paths.checkpoint}_{mode}", "1 day", ["event_type"], "30 days", mode, 25
+        )
+        r.awaitTermination()
+        assert len(r.recentProgress) >= 2
+        outs[mode] = out
+    complete = spark.read.parquet(outs["complete"]).select("t", "event_type", "rows")
+    update = read_rollup_updates(spark, outs["update"], ["event_type"]).select("t", "event_type", "rows")
+    assert complete.count() > 0
+    assert complete.exceptAll(update).isEmpty() and update.exceptAll(complete).isEmpty()

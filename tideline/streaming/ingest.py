@@ -173,14 +173,21 @@ def start_rollup(
     dims=None,
     late: str = "1 day",
     mode: str = "complete",
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start query 2 over the rows table.
 
-    ``complete`` rewrites the (small) rollup table each batch; ``append``
-    emits a window once the watermark passes it.
+    ``complete`` rewrites the rollup table each batch (state keeps every
+    window); ``update`` writes the groups changed by a batch under its
+    ``batch_id`` and lets the watermark evict finished windows from state
+    (read with ``read_rollup_updates``); ``append`` emits a window once the
+    watermark passes it.
     """
     dims = list(spec.data_schema.dimensions if dims is None else dims)
-    rows = spark.readStream.schema(rows_schema(spec)).parquet(table)
+    reader = spark.readStream.schema(rows_schema(spec))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    rows = reader.parquet(table)
     agg = rollup_stream(rows, spec, window, dims, late)
 
     def sink(df: DataFrame, bid: int) -> None:
@@ -198,3 +205,16 @@ def start_rollup(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_rollup_updates(spark: SparkSession, out: str, dims) -> DataFrame:
+    """Current rollup from an ``update``-mode output: the latest version of each group.
+
+    One partial aggregation keyed by the group; ``max_by`` over ``batch_id``
+    picks the newest row, so the change log never has to be sorted.
+    """
+    changes = spark.read.parquet(out)
+    keys = ["t", *dims]
+    values = [c for c in changes.columns if c not in (*keys, "batch_id")]
+    latest = F.max_by(F.struct(*values), F.col("batch_id")).alias("v")
+    return changes.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"v.{c}").alias(c) for c in values])
