@@ -255,3 +255,37 @@ def test_update_mode_rollup_equals_complete(spark):
     update = read_rollup_updates(spark, outs["update"], ["event_type"]).select("t", "event_type", "rows")
     assert complete.count() > 0
     assert complete.exceptAll(update).isEmpty() and update.exceptAll(complete).isEmpty()
+
+
+def test_two_subscriptions_one_table(spark):
+    from tideline.sources.landing import read_envelopes, union_subscriptions
+
+    env = fx.envelopes(spark, SF, keep_event_id=True)
+    root = scratch_path(spark, "two-subs")
+    for name, parity in (("sub-a", 0), ("sub-b", 1)):
+        env.filter(F.col("event_id") % 2 == parity).drop("event_id", "delivery").write.parquet(f"{root}/{name}")
+    both = union_subscriptions({n: read_envelopes(spark, f"{root}/{n}") for n in ("sub-a", "sub-b")})
+    paths = _paths(spark, "two-subs-table")
+    process_batch(both, 0, events_spec(), paths)
+    ledger = S.read_ledger(spark, paths.ledger)
+    assert ledger.filter(F.col("subscription").isNull()).isEmpty()
+    assert ledger.count() == env.count()
+    rows = S.read_rows(spark, paths.table, events_spec())
+    assert rows.groupBy("subscription").count().count() == 2
+    assert rows.count() == env.select("messageId").distinct().count()
+
+
+def test_stream_ingest_from_pull_responses(spark):
+    spec = events_spec()
+    paths = _paths(spark, "pull-ingest")
+    pulls = fx.pull_responses(fx.envelopes(spark, SF, keep_event_id=True))
+    pulls.select(F.to_json(F.struct("receivedMessages")).alias("value")).repartition(3).write.text(paths.landing)
+    q = start_ingest(spark, spec, paths, source="pulls", max_files_per_trigger=1)
+    q.awaitTermination()
+    assert q.exception() is None
+    batch = _paths(spark, "pull-ingest-batch")
+    process_batch(fx.envelopes(spark, SF), 0, spec, batch)
+    cols = ["messageId", "pos", "disposition", "reason", "ts", "value"]
+    a = S.read_rows(spark, paths.table, spec).select(cols)
+    b = S.read_rows(spark, batch.table, spec).select(cols)
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()

@@ -19,12 +19,16 @@ from tideline.sources.schema import ENVELOPE_COLUMNS
 
 
 def dedup_messages(env: DataFrame) -> DataFrame:
-    """One envelope per ``messageId`` (batch)."""
+    """One envelope per ``messageId`` (batch).
+
+    Label columns beside the envelope (``subscription``) travel with the
+    winning copy.
+    """
     other = [c for c in ENVELOPE_COLUMNS if c != "messageId"]
+    other += [c for c in env.columns if c not in ENVELOPE_COLUMNS]
     winner = F.min_by(F.struct(*other), F.struct("publishTime", "ackId")).alias("w")
-    return env.groupBy("messageId").agg(winner).select("messageId", *[F.col(f"w.{c}").alias(c) for c in other]).select(
-        *ENVELOPE_COLUMNS
-    )
+    out = env.groupBy("messageId").agg(winner).select("messageId", *[F.col(f"w.{c}").alias(c) for c in other])
+    return out.select(*ENVELOPE_COLUMNS, *[c for c in other if c not in ENVELOPE_COLUMNS])
 
 
 def publish_ts(env: DataFrame) -> DataFrame:

@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 
 
 def ack_ledger(env: DataFrame, batch_id: int | Column = 0) -> DataFrame:
-    """Every received copy (its own ackId) of a batch; narrow, no shuffle."""
+    """Every received copy (its own ackId) of a batch; narrow, no shuffle.
+
+    Ack ids belong to a subscription, so a ``subscription`` label is kept
+    when several subscriptions feed one table.
+    """
     b = batch_id if isinstance(batch_id, Column) else F.lit(int(batch_id))
-    return env.select("ackId", "messageId", "publishTime", b.cast("bigint").alias("batch_id"))
+    label = ["subscription"] if "subscription" in env.columns else []
+    return env.select("ackId", "messageId", "publishTime", *label, b.cast("bigint").alias("batch_id"))
 
 
 def pending_redelivery(landing: DataFrame, ledger: DataFrame) -> DataFrame:

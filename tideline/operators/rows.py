@@ -233,7 +233,9 @@ def rows_from_envelopes(env: DataFrame, spec: IngestSpec, batch_id: int | Column
     df = classify(df, spec)
     ds = spec.data_schema
     seg = F.col("segment_start")
+    label = ["subscription"] if "subscription" in env.columns else []
     return df.select(
+        *label,
         "messageId",
         F.col("pos").cast("int").alias("pos"),
         "publishTime",

@@ -100,6 +100,7 @@ def write_roles(spark: SparkSession, table: str, meta: DatasetMetadata) -> None:
 
 def rows_schema(spec: IngestSpec) -> T.StructType:
     fields = [
+        T.StructField("subscription", T.StringType()),  # NULL unless several subscriptions feed the table
         T.StructField("messageId", T.StringType()),
         T.StructField("pos", T.IntegerType()),
         T.StructField("publishTime", T.StringType()),
@@ -181,6 +182,7 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("ackId", T.StringType()),
         T.StructField("messageId", T.StringType()),
         T.StructField("publishTime", T.StringType()),
+        T.StructField("subscription", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )

@@ -33,7 +33,7 @@ from tideline.operators.ledger import ack_ledger
 from tideline.operators.meters import check_failure_limit, failure_sample, meter_columns
 from tideline.operators.rows import PROCESSED, UNPARSEABLE, rows_from_envelopes
 from tideline.sinks.segments import LEDGER_SCHEMA, path_exists, read_batch, rows_schema, write_ledger, write_rows
-from tideline.sources.landing import stream_envelopes
+from tideline.sources.landing import stream_envelopes, stream_pull_responses
 from tideline.spec import IngestSpec
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
@@ -117,8 +117,13 @@ def start_ingest(
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: int | None = None,
     available_now: bool = True,
+    source: str = "envelopes",
 ) -> StreamingQuery | None:
-    """Start query 1.  A suspended spec starts nothing."""
+    """Start query 1.  A suspended spec starts nothing.
+
+    ``source="pulls"`` reads raw pull-response JSON files from the landing
+    folder instead of flat envelopes.
+    """
     if spec.suspended:
         return None
     io = spec.io_config
@@ -128,7 +133,10 @@ def start_ingest(
         max_files_per_trigger = max(1, spec.tuning.max_total_rows // io.max_messages_per_poll)
     if max_bytes_per_trigger is None and io.max_message_size_per_poll > 0:
         max_bytes_per_trigger = io.max_message_size_per_poll
-    src = stream_envelopes(spark, paths.landing, fmt, max_files_per_trigger, max_bytes_per_trigger)
+    if source == "pulls":
+        src = stream_pull_responses(spark, paths.landing, max_files_per_trigger)
+    else:
+        src = stream_envelopes(spark, paths.landing, fmt, max_files_per_trigger, max_bytes_per_trigger)
     writer = (
         src.writeStream.foreachBatch(lambda df, bid: process_batch(df, bid, spec, paths))
         .option("checkpointLocation", paths.checkpoint)
