@@ -79,7 +79,7 @@ def _landing_pulls(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def _attr_cols(env: DataFrame) -> list:
+def _attr_cols() -> list:
     return [
         F.col("attributes")["origin"].alias("attr_origin"),
         F.col("attributes")["event_type"].alias("attr_event_type"),
@@ -99,7 +99,7 @@ FROM env"""
 def q_pull_unnest(spark, sf_dir):
     """Pull responses (JSON lines, one with no messages) flattened to envelopes."""
     env = L.read_pull_responses(spark, _landing_pulls(spark, sf_dir))
-    return env.select("ackId", "messageId", "publishTime", "data", *_attr_cols(env))
+    return env.select("ackId", "messageId", "publishTime", "data", *_attr_cols())
 
 
 @register("attach_ack_id", O.BASE_ENV + "SELECT messageId, ackId FROM env")
@@ -115,7 +115,7 @@ def q_envelope_scan(spark, sf_dir):
     path = scratch_path(spark, "landing")
     fx.envelopes(spark, sf_dir).write.parquet(path)
     env = L.read_envelopes(spark, path)
-    return env.select("ackId", "messageId", "publishTime", "data", *_attr_cols(env))
+    return env.select("ackId", "messageId", "publishTime", "data", *_attr_cols())
 
 
 @register(

@@ -9,11 +9,13 @@ partitions (dynamic partition overwrite), so a replay never doubles rows.
 from __future__ import annotations
 
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.functions.timefns import bucket_end_value, ntz, truncate
 from tideline.operators.metadata import require_match
 from tideline.operators.rows import PROCESSED
 from tideline.spec import DatasetMetadata, IngestSpec
@@ -159,8 +161,6 @@ def read_segments(
     the helper adds the matching segment predicate so the scan lists only
     the segments that can hold such rows.
     """
-    from tideline.functions.timefns import ntz, truncate
-
     df = read_rows(spark, table, spec).filter(F.col("disposition") == PROCESSED)
     g = spec.data_schema.segment_granularity
     if start is not None:
@@ -196,8 +196,6 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _segment_dir_value(name: str) -> datetime | None:
-    from urllib.parse import unquote
-
     key, _, value = name.partition("=")
     if key != "segment_start" or value == "__HIVE_DEFAULT_PARTITION__":
         return None
@@ -212,8 +210,6 @@ def purge_interval(spark: SparkSession, table: str, spec: IngestSpec, start: dat
     (kept rows go to ``staging`` first, since a path cannot be overwritten
     while it is read).
     """
-    from tideline.functions.timefns import bucket_end_value
-
     g = spec.data_schema.segment_granularity
     partial = []
     for rel in glob_dirs(spark, table, "batch_id=*/segment_start=*"):
