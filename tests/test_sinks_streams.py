@@ -55,8 +55,9 @@ def test_failure_limit_fails_before_write(spark):
     paths = _paths(spark, "limit")
     with pytest.raises(ParseFailureLimitExceeded):
         process_batch(fx.envelopes(spark, SF), 0, spec, paths)
-    assert not S.path_exists(spark, paths.table)
-    assert not S.path_exists(spark, paths.ledger)
+    assert not [d for d in S.list_dirs(spark, paths.table) if d.startswith("batch_id=")]  # nothing published
+    assert not S.path_exists(spark, S.staging_path(paths.table, 0))  # staging discarded
+    assert not S.path_exists(spark, paths.ledger)  # nothing acknowledged
     strict = events_spec().with_tuning(report_parse_exceptions=True)
     with pytest.raises(ParseFailureLimitExceeded):
         process_batch(fx.envelopes(spark, SF), 0, strict, _paths(spark, "limit2"))

@@ -2,8 +2,12 @@
 
 Layout: ``<table>/batch_id=N/segment_start=S/disposition=D/part-*.parquet``.
 One write per batch carries every disposition (quarantine included), so
-the batch is scanned once.  Replaying a batch overwrites exactly its own
-partitions (dynamic partition overwrite), so a replay never doubles rows.
+the batch is scanned once.
+
+A batch is first written under ``<table>/_staging/batch_id=N`` (hidden from
+readers by the leading underscore), checked there, and then published with
+one directory rename; a replay replaces ``batch_id=N`` as a whole, so it
+never doubles rows and readers never see half a batch.
 """
 
 from __future__ import annotations
@@ -120,28 +124,56 @@ def rows_schema(spec: IngestSpec) -> T.StructType:
     return T.StructType(fields)
 
 
-def write_rows(rows: DataFrame, table: str, spec: IngestSpec) -> None:
-    """Append / replace one batch of classified rows.
+STAGING = "_staging"
+
+
+def staging_path(table: str, batch_id: int) -> str:
+    return f"{table}/{STAGING}/batch_id={int(batch_id)}"
+
+
+def stage_rows(rows: DataFrame, table: str, spec: IngestSpec, batch_id: int) -> str:
+    """Write one batch of classified rows to its hidden staging folder.
 
     * roles of the table are checked against the spec first (as sets);
     * ``rebalance`` on ``segment_start``: AQE cuts a hot segment into
       advisory-sized partitions and merges small ones, so one busy interval
       never lands in one task and files come out evenly sized;
-    * ``maxRecordsPerFile`` bounds every file by ``maxRowsPerSegment``.
+    * ``maxRecordsPerFile`` bounds every file by ``maxRowsPerSegment``;
+    * partitioned by segment and disposition (the batch id is the folder).
     """
     spark = rows.sparkSession
-    existing = read_roles(spark, table)
-    meta = require_match(existing, spec)
-    out = rows.hint("rebalance", "segment_start")
+    require_match(read_roles(spark, table), spec)
+    path = staging_path(table, batch_id)
+    delete_path(spark, path)  # leftovers of a failed attempt
     (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        rows.drop("batch_id")
+        .hint("rebalance", "segment_start")
+        .write.mode("overwrite")
         .option("maxRecordsPerFile", spec.tuning.max_rows_per_segment)
-        .partitionBy(*PARTITIONS)
-        .parquet(table)
+        .partitionBy("segment_start", "disposition")
+        .parquet(path)
     )
-    if existing is None:
-        write_roles(spark, table, meta)
+    return path
+
+
+def read_staged(spark: SparkSession, table: str, spec: IngestSpec, batch_id: int) -> DataFrame:
+    return spark.read.schema(rows_schema(spec)).parquet(staging_path(table, batch_id))
+
+
+def discard_staged(spark: SparkSession, table: str, batch_id: int) -> None:
+    delete_path(spark, staging_path(table, batch_id))
+
+
+def publish_staged(spark: SparkSession, table: str, spec: IngestSpec, batch_id: int) -> None:
+    """Make a staged batch visible: replace ``batch_id=N`` by one rename."""
+    fs, dst = _fs(spark, f"{table}/batch_id={int(batch_id)}")
+    _, src = _fs(spark, staging_path(table, batch_id))
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    if not fs.rename(src, dst):
+        raise OSError(f"could not publish {src} as {dst}")
+    if read_roles(spark, table) is None:
+        write_roles(spark, table, require_match(None, spec))
 
 
 def read_rows(spark: SparkSession, table: str, spec: IngestSpec) -> DataFrame:

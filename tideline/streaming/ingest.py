@@ -23,7 +23,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -32,7 +31,18 @@ from tideline.operators.dedup import dedup_messages
 from tideline.operators.ledger import ack_ledger
 from tideline.operators.meters import check_failure_limit, failure_sample, meter_columns
 from tideline.operators.rows import PROCESSED, UNPARSEABLE, rows_from_envelopes
-from tideline.sinks.segments import LEDGER_SCHEMA, path_exists, read_batch, rows_schema, write_ledger, write_rows
+from tideline.sinks.segments import (
+    LEDGER_SCHEMA,
+    discard_staged,
+    path_exists,
+    publish_staged,
+    read_batch,
+    read_staged,
+    rows_schema,
+    stage_rows,
+    staging_path,
+    write_ledger,
+)
 from tideline.sources.landing import stream_envelopes, stream_pull_responses
 from tideline.spec import IngestSpec
 
@@ -59,11 +69,11 @@ def _prior_messages(spark: SparkSession, ledger: str, batch_id: int, lo: str | N
 def process_batch(env: DataFrame, batch_id: int, spec: IngestSpec, paths: StreamPaths) -> dict:
     """One micro-batch (or one batch job) of query 1; returns its meters.
 
-    The envelope input is not persisted: the publish-time bound and the
-    ledger read only ``ackId, messageId, publishTime`` (Parquet prunes the
-    payload), which is cheaper than caching every payload.  Only with a
-    failure limit are the classified rows persisted, so the count that may
-    fail the batch and the write see the same rows.
+    Nothing is persisted: the publish-time bound and the ledger read only
+    ``ackId, messageId, publishTime`` (Parquet prunes the payload).  Rows are
+    written once, to a hidden staging folder; the meters (and the failure
+    limit) are counted there from partition columns alone, and only a batch
+    within the limit is published, by one rename.
     """
     spark = env.sparkSession
     unique = dedup_messages(env)
@@ -72,16 +82,14 @@ def process_batch(env: DataFrame, batch_id: int, spec: IngestSpec, paths: Stream
         lo = None if lo_ts is None else (lo_ts - spec.tuning.dedup_horizon).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
         unique = unique.join(_prior_messages(spark, paths.ledger, batch_id, lo), "messageId", "left_anti")
     rows = rows_from_envelopes(unique, spec, batch_id)
-    limited = spec.tuning.allowed_parse_exceptions is not None
-    if limited:
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        check_failure_limit(rows.filter(F.col("disposition") == UNPARSEABLE).count(), spec)
+    stage_rows(rows, paths.table, spec, batch_id)
+    meters = staged_meters(spark, paths.table, spec, batch_id)
     try:
-        write_rows(rows, paths.table, spec)
-    finally:
-        if limited:
-            rows.unpersist()
-    meters = committed_meters(spark, paths.table, spec, batch_id)
+        check_failure_limit(meters["unparseable"], spec)
+    except Exception:
+        discard_staged(spark, paths.table, batch_id)  # nothing of this batch is published
+        raise
+    publish_staged(spark, paths.table, spec, batch_id)
     saved = spec.tuning.saved_parse_exceptions
     if saved > 0 and meters["unparseable"] > 0:
         failures = read_batch(spark, paths.table, spec, batch_id).filter(F.col("disposition") == UNPARSEABLE)
@@ -97,15 +105,15 @@ def process_batch(env: DataFrame, batch_id: int, spec: IngestSpec, paths: Stream
     return meters
 
 
-def committed_meters(spark: SparkSession, table: str, spec: IngestSpec, batch_id: int) -> dict:
-    """Meters of one committed batch, counted from the table itself.
+def staged_meters(spark: SparkSession, table: str, spec: IngestSpec, batch_id: int) -> dict:
+    """Meters of one written batch, counted from its staging folder.
 
     Only partition columns are read, so Spark answers from file footers;
     the numbers describe exactly what was written.
     """
-    if not path_exists(spark, f"{table}/batch_id={int(batch_id)}"):
+    if not path_exists(spark, staging_path(table, batch_id)):
         return {"processed": 0, "unparseable": 0, "thrown_away": 0}
-    got = read_batch(spark, table, spec, batch_id).agg(*meter_columns()).first()
+    got = read_staged(spark, table, spec, batch_id).agg(*meter_columns()).first()
     return {k: int(got[k] or 0) for k in ("processed", "unparseable", "thrown_away")}
 
 
