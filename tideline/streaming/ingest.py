@@ -7,12 +7,14 @@ admission control, ``foreachBatch`` does per micro-batch
    earlier batches within ``dedup_horizon`` of publish time (anti-join on the
    ledger, pruned by publish time; replay-safe: only ``batch_id < N``);
 2. decode .. classify (one narrow stage);
-3. the failure limit check, before anything is written;
-4. the rows write for ``batch_id = N`` (dynamic partition overwrite, so a
-   replayed batch replaces itself), metered with ``observe``;
-5. the ledger of *all* received copies, after the data commit;
-6. meters (and the last ``maxSavedParseExceptions`` failures) of the batch,
-   counted from what was committed.
+3. one write of the rows to the hidden staging folder of ``batch_id = N``;
+4. meters counted there (partition columns only) and the failure limit
+   check: over the limit the staging folder is dropped and nothing is
+   published or acknowledged;
+5. publish by one rename that replaces ``batch_id = N`` (a replayed batch
+   replaces itself);
+6. the ledger of *all* received copies, after the publish;
+7. the meters row (and the last ``maxSavedParseExceptions`` failures).
 
 Query 2 (``start_rollup``): ``readStream`` of the processed rows, event-time
 watermark, tumbling ``window`` aggregation.  Two queries because the dedup
