@@ -5,6 +5,7 @@ from tideline.operators.meters import report_from_meters
 from tideline.plans.ingest import events_spec
 from tideline.session import scratch_path
 from tideline.sources import fixtures as fx
+from tideline.streaming.ingest import read_meters
 
 SPEC = {
     "dataSchema": {
@@ -36,7 +37,7 @@ def test_cli_batch_and_stream(spark, tmp_path, capsys):
     assert out["processed"] + out["unparseable"] + out["thrown_away"] == 1000
     root2 = scratch_path(spark, "cli-stream")
     cli.main([str(spec_file), "--landing", landing, "--root", root2, "--mode", "stream"])
-    meters = spark.read.parquet(f"{root2}/meters")
+    meters = read_meters(spark, f"{root2}/meters")
     rep = report_from_meters(meters, events_spec(), datetime(2024, 2, 1)).first()
     assert (rep["processed"], rep["unparseable"], rep["thrown_away"]) == (
         out["processed"],

@@ -28,7 +28,7 @@ from tideline.session import ensure_utc, scratch_path
 from tideline.sinks import segments as S
 from tideline.sources import fixtures as fx
 from tideline.sources import landing as L
-from tideline.streaming.ingest import StreamPaths, process_batch, start_ingest, start_rollup
+from tideline.streaming.ingest import StreamPaths, process_batch, read_meters, start_ingest, start_rollup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -687,7 +687,7 @@ def q_publish(spark, sf_dir):
     """Every micro-batch commits: the per-batch meters add up to the whole input."""
     spec = events_spec()
     paths = _stream(spark, sf_dir, "publish", spec, max_files_per_trigger=3)
-    m = spark.read.parquet(paths.meters)
+    m = read_meters(spark, paths.meters)
     return m.groupBy("data_source").agg(
         *[F.sum(c).cast("bigint").alias(c) for c in ("processed", "unparseable", "thrown_away")]
     )

@@ -23,6 +23,7 @@ and the rollup need watermarks on different columns.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +45,7 @@ from tideline.sinks.segments import (
     stage_rows,
     staging_path,
     write_ledger,
+    write_text,
 )
 from tideline.sources.landing import stream_envelopes, stream_pull_responses
 from tideline.spec import IngestSpec
@@ -100,13 +102,20 @@ def process_batch(env: DataFrame, batch_id: int, spec: IngestSpec, paths: Stream
         ).option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(paths.meters + "_failures")
     # acknowledge only after the data commit
     write_ledger(ack_ledger(env, batch_id), paths.ledger)
-    spark.createDataFrame(
-        [(spec.data_source, int(batch_id), meters["processed"], meters["unparseable"], meters["thrown_away"])],
-        "data_source string, batch_id bigint, processed bigint, unparseable bigint, thrown_away bigint",
-    ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(paths.meters)
+    # one small record per batch, through the file system (no Spark job)
+    record = {"data_source": spec.data_source, **meters}
+    write_text(spark, f"{paths.meters}/batch_id={int(batch_id)}/meters.json", json.dumps(record))
     return meters
 
 
+METERS_SCHEMA = "data_source string, processed bigint, unparseable bigint, thrown_away bigint, batch_id bigint"
+
+
+def read_meters(spark: SparkSession, path: str) -> DataFrame:
+    """Per-batch meters of a running ingest (one row per committed batch)."""
+    return spark.read.schema(METERS_SCHEMA).json(path)
+
+
 def staged_meters(spark: SparkSession, table: str, spec: IngestSpec, batch_id: int) -> dict:
     """Meters of one written batch, counted from its staging folder.
 
