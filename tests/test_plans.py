@@ -61,3 +61,18 @@ def test_suspended_spec_plans_no_scan(spark):
 
     rows = rows_from_envelopes(fx.envelopes(spark, SF), replace(events_spec(), suspended=True))
     assert "FileScan" not in plan(rows)
+
+
+def test_prior_ledger_read_pushes_publish_time_bound(spark):
+    from tideline.session import scratch_path
+    from tideline.sinks.segments import write_ledger
+    from tideline.operators.ledger import ack_ledger
+    from tideline.streaming.ingest import _prior_messages
+
+    path = scratch_path(spark, "ledger-pushdown")
+    write_ledger(ack_ledger(fx.envelopes(spark, SF), 0), path)
+    prior = _prior_messages(spark, path, 1, "2024-01-10T00:00:00.000000Z")
+    p = plan(prior)
+    assert "PushedFilters: [IsNotNull(publishTime), GreaterThanOrEqual(publishTime,2024-01-10T00:00:00.000000Z)]" in p, p
+    assert "PartitionFilters: [isnotnull(batch_id" in p and "(batch_id" in p
+    assert prior.count() > 0
