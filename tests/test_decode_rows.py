@@ -202,3 +202,20 @@ def test_variants_give_same_rows(spark, variant):
     cols = ["messageId", "pos", "ts", "event_type", "origin", "value", "k", "disposition", "reason"]
     assert rows.select(cols).exceptAll(plain.select(cols)).isEmpty()
     assert plain.select(cols).exceptAll(rows.select(cols)).isEmpty()
+
+
+def test_merged_json_keeps_json_types(envelopes):
+    import json
+
+    from tideline.functions import decode as D
+
+    env = envelopes([{"data": '{"v":1.50,"n":{"k":[1,2]},"z":null,"e":"raw","b":true}', "attributes": {"e": "x"}}])
+    df = merge(parse_payload(decode_payload(env, events_spec())))
+    text = df.select(D.merged_json(F.col("payload"), F.col("payload_map"), F.col("attributes"))).first()[0]
+    got = json.loads(text)
+    assert got == {"v": 1.5, "n": {"k": [1, 2]}, "z": None, "e": "x", "b": True}
+    # a payload with duplicate keys falls back to the last-wins string map
+    env = envelopes([{"data": '{"a":1,"a":2}', "attributes": None}])
+    df = merge(parse_payload(decode_payload(env, events_spec())))
+    text = df.select(D.merged_json(F.col("payload"), F.col("payload_map"), F.col("attributes"))).first()[0]
+    assert json.loads(text) == {"a": "2"}
