@@ -38,10 +38,13 @@ def main() -> None:
         fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    times = {}
+    times, failed = {}, {}
     for name, fn in qs.items():
-        run(fn)  # warm-up: JIT, Python workers, file listing caches
-        times[name] = round(statistics.median(run(fn) for _ in range(repeats)), 3)
+        try:
+            run(fn)  # warm-up: JIT, Python workers, file listing caches
+            times[name] = round(statistics.median(run(fn) for _ in range(repeats)), 3)
+        except Exception as e:  # report the failure, keep measuring the rest
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "sum of median seconds over headline queries",
@@ -53,6 +56,8 @@ def main() -> None:
         "repeats": repeats,
         "spark": spark.version,
     }
+    if failed:
+        out["failed"] = failed
     print(json.dumps(out))
     spark.stop()
 
