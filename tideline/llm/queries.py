@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontaminate, jaccard, lines, mixing, toxicity
+from tideline.llm import decontaminate, embeddings, html, jaccard, langid, lines, mixing, secrets, toxicity, warc
 from tideline.llm.common import fold, table
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base spans and linked weak candidates."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as ARC, converted to WARC and read back."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that leak a benchmark item: doc_id, item_id, place, edits."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -41,6 +51,18 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    text = F.col("__tl_text")
+    return html.extract(pages, html.train(pages)).select("page_id", "url", text.alias("text"), F.char_length(text).cast("long").alias("n_chars"))
+
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and classes of near-equal embeddings within a label."""
+    return embeddings.link_vectors(table(spark, sf_dir, "embeddings"), 0.98)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -58,6 +80,19 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    data = langid.dictionaries(docs, folds=4, held_out=2)
+    return langid.classify(docs.select("doc_id", "text"), data).select(
+        "doc_id",
+        (fold(F.col("doc_id"), 4) == 2).alias("held_out"),
+        F.col("__tl_lang").alias("lang_pred"),
+        F.col("__tl_score").alias("score"),
+        F.col("__tl_rejected").alias("rejected"),
+    )
+
+
 STRIPPED = "trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -98,7 +133,10 @@ FROM documents d JOIN least ON node = d.doc_id LEFT JOIN sizes s ON s.doc_id = d
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op3_decontaminate, op4_mix, op5_line_dedup, op8_toxicity, op9_ngram_jaccard]
+    own = [
+        op1_secret_scan, op2_warc, op3_decontaminate, op4_mix, op5_line_dedup,
+        op6_main_text, op7_embedding_dedup, op8_toxicity, op9_ngram_jaccard, op10_language_id,
+    ]
     return {f.__name__: f for f in own}
 
 
