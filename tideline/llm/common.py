@@ -6,6 +6,7 @@ import functools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -187,3 +188,31 @@ def words_of_many(hasher: WordHasher, texts: list[str | None]) -> list[np.ndarra
         at = np.searchsorted(starts, begins)
         out += [hashes[a:b] for a, b in zip(at[:-1], at[1:])]
     return out
+
+
+BLOOM_BITS = 1 << 24  # 2 MB, whatever the number of keys
+
+
+def bloom(keys: DataFrame, name: str) -> np.ndarray:
+    """A bitmap of fixed size that has a bit for every key (a long column); it
+    is summed up in Spark, and at most its words come to the driver."""
+    bit = F.pmod(F.xxhash64(F.col(name)), F.lit(BLOOM_BITS))
+    words = keys.select(bit.alias("bit")).groupBy(F.shiftright("bit", 5).alias("word")).agg(F.expr("bit_or(shiftleft(1L, CAST(bit % 32 AS INT)))").alias("bits")).toArrow()
+    out = np.zeros(BLOOM_BITS // 32, dtype=np.uint32)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
+    return out
+
+
+def maybe_in(df: DataFrame, name: str, bitmap: np.ndarray) -> DataFrame:
+    """Rows of ``df`` whose key may be among those of the bitmap: all that are,
+    and few others as long as the bitmap is sparse."""
+    shared = df.sparkSession.sparkContext.broadcast(bitmap)
+    keyed = df.withColumn("__tl_bit", F.pmod(F.xxhash64(F.col(name)), F.lit(BLOOM_BITS)))
+
+    def run(parts):
+        words = shared.value
+        for part in parts:
+            bit = part.column("__tl_bit").to_numpy()
+            yield part.filter(pa.array((words[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1))
+
+    return keyed.mapInArrow(run, keyed.schema).drop("__tl_bit")

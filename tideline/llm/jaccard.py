@@ -14,13 +14,16 @@ overlap of ``T = ceil(percent * (a + b) / (100 + percent))``.
   keeps long lists out of the merge.
 * Merge: lists with one set vanish in the sorted scan; lists of sets that
   already are in one component vanish in an aggregate of ``min`` and ``max``.
-  The rest are joined on the shingle (Spark's sort-merge is the heap merge).
+  The rest are joined on the shingle (Spark's sort-merge is the heap merge) and
+  a pair is counted: of T common shingles at most ``T' - 1`` lie beyond the
+  prefix of a set whose own least overlap is T', so pairs that meet in fewer
+  than ``T - T' + 1`` lists go.
 * Probe: a candidate's shingles, long lists included, are looked up in the
   partner's sorted array by binary search, and the pair stays if the overlap
   reaches T.
 
-Before the merge, sets that share a minimum hash are compared with the least
-set of that minimum.  This is linear, links most copies to a few leaders, and
+Before the merge, sets that share two of three minimum hashes with the least
+set of one of them are compared with it.  This is linear, links most copies to a few leaders, and
 lets the merge skip the pairs inside a component: the result names components,
 so links between sets already joined are not needed.
 
@@ -37,10 +40,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import U64, WordHasher, mix, staged, stream, white_space_words, words_of_many
+from tideline.llm.common import U64, WordHasher, bloom, maybe_in, mix, staged, stream, white_space_words, words_of_many
 from tideline.llm.components import components
 
 SEEDS = 3  # minimum hashes of a set
+AGREE = 2  # of them that a set shares with its leader
 HEAVY_LOCAL = 3  # repeats in one task from which a shingle is reported
 HEAVY_TOTAL = 32  # reported repeats from which it counts as heavy
 HEAVY_KEYS = 1 << 19  # heavy shingles known to all tasks, 8 bytes each
@@ -257,13 +261,21 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def _least_shared(a: Column, b: Column, percent: int) -> Column:
+    """Of sets of sizes a and b that link, how many shingles their prefixes
+    share: of T common ones, at most ``own T - 1`` lie beyond a prefix."""
+    needed = F.ceil((a + b) * percent / (100 + percent) - 1e-9)
+    return F.least(*(needed - F.ceil(n * percent / 100 - 1e-9) + 1 for n in (a, b)))
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Of the candidate pairs (a, b), those that link.  Only documents that
     stand for a set in some pair are tokenized again."""
     ends = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
-    wanted = ends.join(nodes.select("sig", "rep"), "sig").select(F.col("rep").alias("doc_id")).distinct()
+    wanted = staged(ends.join(nodes.select("sig", "rep"), "sig").select(F.col("rep").alias("doc_id")).distinct(), "wanted")
+    likely = maybe_in(docs, "doc_id", bloom(wanted, "doc_id"))  # else all texts would go through the shuffle
     sets = staged(
-        docs.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_token_rows(k), "sig long, tokens binary").dropDuplicates(["sig"]),
+        likely.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_token_rows(k), "sig long, tokens binary").dropDuplicates(["sig"]),
         "sets",
     )
     by_b = pairs.join(sets.select(F.col("sig").alias("b"), F.col("tokens").alias("right")), "b")
@@ -295,11 +307,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         "nodes",
     )
 
-    minima = nodes.select("sig", "n", F.explode(F.array(*(F.struct(F.lit(j).alias("j"), F.col(f"mh{j}").alias("mh")) for j in range(SEEDS)))).alias("m")).select("sig", "n", "m.j", "m.mh")
-    leaders = minima.groupBy("j", "mh").agg(F.min(F.struct("n", "sig")).alias("lead"), F.count("*").alias("held")).filter("held > 1")
+    mins = [f"mh{j}" for j in range(SEEDS)]
+    minima = nodes.select("sig", "n", *mins, F.posexplode(F.array(*mins)).alias("j", "mh"))
+    leaders = minima.groupBy("j", "mh").agg(F.min(F.struct("n", "sig", *mins)).alias("lead"), F.count("*").alias("held")).filter("held > 1")
+    agree = sum((F.col(m) == F.col(f"lead.{m}")).cast("int") for m in mins)
     near = staged(
         minima.join(leaders, ["j", "mh"])
-        .filter((F.col("sig") != F.col("lead.sig")) & _sizes_fit(F.col("n"), F.col("lead.n"), percent))
+        .filter((F.col("sig") != F.col("lead.sig")) & (agree >= AGREE) & _sizes_fit(F.col("n"), F.col("lead.n"), percent))
         .select(F.col("lead.sig").alias("a"), F.col("sig").alias("b"))
         .distinct(),
         "leader-pairs",
@@ -323,8 +337,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     pairs = staged(
         x.join(y, F.col("x.token") == F.col("y.token"))
         .filter((F.col("x.c") < F.col("y.c")) & _sizes_fit(F.col("x.n"), F.col("y.n"), percent))
-        .select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"))
-        .distinct(),
+        .groupBy(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"))
+        .agg(F.count("*").alias("shared"), F.first("x.n").alias("m"), F.first("y.n").alias("n"))
+        .filter(F.col("shared") >= _least_shared(F.col("m"), F.col("n"), percent))
+        .select("a", "b"),
         "pairs",
     )
     links = _verified(pairs, nodes, docs, k, percent)
