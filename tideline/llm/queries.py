@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import decontaminate, embeddings, html, jaccard, langid, lines, mixing, secrets, toxicity, warc
-from tideline.llm.common import fold, table
+from tideline.llm.common import fold, staged, table
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of every document the mix takes."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.text_size(F.col("text")).alias("__tl_size"))
+    docs = staged(table(spark, sf_dir, "documents").select("doc_id", "source", mixing.text_size(F.col("text")).alias("__tl_size")), "sizes")
     times = F.size("__tl_draws")
     return mixing.plan(docs).select(
         "doc_id",
