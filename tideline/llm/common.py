@@ -159,6 +159,17 @@ class WordHasher:
         return np.concatenate(out) if out else np.zeros(0, dtype=U64)
 
 
+SLICE = 512  # rows of a batch that Python holds at a time
+
+
+def slices(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in small runs of rows: an Arrow batch of long texts is many
+    times larger as Python objects."""
+    for part in parts:
+        for at in range(0, part.num_rows, SLICE):
+            yield part.slice(at, SLICE)
+
+
 def batches(texts: list[str | None], limit: int = PIECE) -> Iterable[tuple[int, int]]:
     """Index ranges of consecutive texts of about ``limit`` characters each."""
     at, size = 0, 0

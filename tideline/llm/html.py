@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tideline.llm.common import slices
+
 PAGES = 300  # pages that are labelled
 VARIANTS = 4  # rewritten copies of each
 EPOCHS = 6
@@ -348,7 +350,7 @@ def extract(pages: DataFrame, tagger: Tagger) -> DataFrame:
     names = [*pages.columns, "__tl_text"]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             texts = [tagger.main_text(h.as_py()) for h in part.column("html")]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=names)
 

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import U64, WordHasher, bloom, maybe_in, mix, staged, stream, white_space_words, words_of_many
+from tideline.llm.common import U64, WordHasher, bloom, maybe_in, mix, slices, staged, stream, white_space_words, words_of_many
 from tideline.llm.components import components
 
 SEEDS = 3  # minimum hashes of a set
@@ -118,7 +118,7 @@ def _head_rows(k: int):
                 counts.clear()
 
         names = ["doc_id", "n", "sig", *(f"mh{j}" for j in range(SEEDS)), "token", "held"]
-        for part in parts:
+        for part in slices(parts):
             n, sig, mins = [], [], [[] for _ in range(SEEDS)]
             for _, tokens in _sets(part, hasher, k):
                 n.append(len(tokens))
@@ -135,9 +135,9 @@ def _head_rows(k: int):
                     seen.add(s)
                     waiting.append(tokens)
                     size += len(tokens)
-                    if size > 1 << 21:
+                    if size > 1 << 20:
                         fold_in()
-                        if len(counts) > 1 << 18:
+                        if len(counts) > 1 << 17:
                             yield from flush()
             rows = part.num_rows
             yield pa.RecordBatch.from_arrays(
@@ -156,7 +156,7 @@ def _prefix_rows(k: int, percent: int, heavy: np.ndarray, rank: np.ndarray):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(white_space_words())
         seen: set[int] = set()
-        for part in parts:
+        for part in slices(parts):
             tokens_out, sig_out, n_out, long_out = [], [], [], []
             for _, tokens in _sets(part, hasher, k):
                 if not len(tokens) or (s := _signature(tokens)) in seen:
@@ -227,7 +227,7 @@ def _repeated(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _token_rows(k: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(white_space_words())
-        for part in parts:
+        for part in slices(parts):
             sig, raw = [], []
             for _, tokens in _sets(part, hasher, k):
                 sig.append(_signature(tokens) if len(tokens) else 0)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from tideline.llm.common import fold
+from tideline.llm.common import fold, slices
 
 DOCS = 256  # labelled rows of a language that its dictionary is drawn from
 DICT_BYTES = 112 << 10
@@ -110,7 +110,7 @@ def classify(docs: DataFrame, data: list[tuple[str, bytes]]) -> DataFrame:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Classifier(data)
-        for part in parts:
+        for part in slices(parts):
             lang, score, rejected = [], [], []
             for text in part.column("text"):
                 found = own.classify(text.as_py())

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tideline.llm.common import U64, mix, staged
+from tideline.llm.common import U64, mix, slices, staged
 from tideline.llm.perfect_hash import Probe, build, pack
 
 STRIP = " \t\n\u000b\f\r"
@@ -52,7 +52,7 @@ def _halves(keys: list[bytes]) -> tuple[pa.Array, pa.Array]:
 
 def _hasher(min_chars: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             ids, keys = [], []
             for i, text in zip(part.column("id").to_pylist(), part.column("text")):
                 if len(line := text.as_py() or "") >= min_chars:
@@ -70,7 +70,7 @@ def _dropper(min_chars: int, names: list[str]):
     and dropped (out)."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             texts, n_lines, n_dropped = [], [], []
             for text, drops in zip(part.column("text"), part.column("__tl_drops")):
                 text, drops = text.as_py(), drops.as_py()

@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm.common import slices
+
 # The patterns of the base kinds and the order of kinds.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -88,7 +90,7 @@ PART = pa.struct([("scope", pa.int64()), ("start", pa.int64()), ("kind", pa.int3
 
 def _scan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "row", "n_assign", "n_access", "n_hex", "base_sha256", "base", "parts"]
-    for part in parts:
+    for part in slices(parts):
         rows, counts, digests, texts, linkable = [], ([], [], []), [], [], []
         for i, text in zip(part.column("doc_id").to_pylist(), part.column("text")):
             text = text.as_py() or ""

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tideline.llm.common import U64, WordHasher, fold, letter_words
+from tideline.llm.common import U64, WordHasher, fold, letter_words, slices
 
 SAMPLE = 12_000  # labelled rows that are fitted on
 PREFIXES = (4, 5, 6, 7)  # bytes
@@ -48,7 +48,7 @@ LABEL_TRUST = 0.97  # accuracy of a given label, as a vote
 
 def _features(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = WordHasher(letter_words(), PREFIXES)
-    for part in parts:
+    for part in slices(parts):
         rows = [np.unique(hasher.features(t)).view(np.int64) for t in part.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(rows, pa.list_(pa.int64()))], names=["toxic", "features"])
 
@@ -186,7 +186,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     names = [*docs.columns, "__tl_score"]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             scores = model.scores(part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores)], names=names)
 
