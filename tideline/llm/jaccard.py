@@ -23,8 +23,9 @@ overlap of ``T = ceil(percent * (a + b) / (100 + percent))``.
   reaches T.
 
 Before the merge, sets that share two of three minimum hashes with the least
-set of one of them are compared with it.  This is linear, links most copies to a few leaders, and
-lets the merge skip the pairs inside a component: the result names components,
+set of one of them are compared with it.  What is left and shares many lists with a component is compared with
+some of its members.  This is linear, joins most copies, and lets the merge
+skip the pairs inside a component: the result names components,
 so links between sets already joined are not needed.
 
 Empty sets link with nothing.  Equal sets are one node.  A null doc_id never
@@ -45,6 +46,7 @@ from tideline.llm.components import components
 
 SEEDS = 3  # minimum hashes of a set
 AGREE = 2  # of them that a set shares with its leader
+TRIES = 8  # members of a component that a set is compared with before the merge
 HEAVY_LOCAL = 3  # repeats in one task from which a shingle is reported
 HEAVY_TOTAL = 32  # reported repeats from which it counts as heavy
 HEAVY_KEYS = 1 << 19  # heavy shingles known to all tasks, 8 bytes each
@@ -261,6 +263,30 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def _live(lists: DataFrame, joined: DataFrame) -> DataFrame:
+    """(token, sig, n, c) of the lists that hold more than one component."""
+    placed = lists.join(joined.select(F.col("node").alias("sig"), "component"), "sig", "left").select("token", "sig", "n", F.coalesce("component", "sig").alias("c"))
+    mixed = placed.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter(F.col("lo") != F.col("hi")).select("token")
+    return placed.join(mixed, "token", "left_semi")
+
+
+def _to_large(live: DataFrame, percent: int) -> DataFrame:
+    """Up to ``TRIES`` pairs for a set that shares many lists with a larger
+    component: with one of its members for each list, another in each.  Like
+    the leaders, these only spare the merge the pairs inside a component."""
+    live = staged(live, "placed")
+    by_list = live.groupBy("token", "c").agg(F.count("*").alias("held"), F.min_by(F.struct("sig", "n"), F.xxhash64("sig", "token")).alias("member"))
+    large = by_list.filter("held > 1").groupBy("token").agg(F.max_by(F.struct(F.col("c").alias("to"), "member"), F.struct("held", "c")).alias("large"))
+    tried = (
+        live.join(large, "token")
+        .filter((F.col("c") != F.col("large.to")) & _sizes_fit(F.col("n"), F.col("large.member.n"), percent))
+        .groupBy("sig", "n", F.col("large.to").alias("to"))
+        .agg(F.count("*").alias("shared"), F.collect_set("large.member.sig").alias("members"))
+        .filter(F.col("shared") >= _least_shared(F.col("n"), F.col("n"), percent))
+    )
+    return staged(tried.select(F.explode(F.slice(F.sort_array("members"), 1, TRIES)).alias("a"), F.col("sig").alias("b")).distinct(), "component-pairs")
+
+
 def _least_shared(a: Column, b: Column, percent: int) -> Column:
     """Of sets of sizes a and b that link, how many shingles their prefixes
     share: of T common ones, at most ``own T - 1`` lie beyond a prefix."""
@@ -327,12 +353,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         lists.repartition("token", salt).sortWithinPartitions("token", "sig").mapInArrow(_repeated, "token long, sig long, n int, long boolean"),
         "lists",
     )
-    placed = staged(
-        lists.join(joined.select(F.col("node").alias("sig"), "component"), "sig", "left").select("token", "sig", "n", F.coalesce("component", "sig").alias("c")),
-        "placed",
-    )
-    mixed = placed.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter(F.col("lo") != F.col("hi")).select("token")
-    live = staged(placed.join(mixed, "token", "left_semi"), "live-lists")
+    met = staged(_verified(_to_large(_live(lists, joined), percent), nodes, docs, k, percent), "component-links")
+    stars = stars.unionByName(met)
+    live = staged(_live(lists, staged(components(stars), "joined")), "live-lists")
     x, y = live.alias("x"), live.alias("y")
     pairs = staged(
         x.join(y, F.col("x.token") == F.col("y.token"))
