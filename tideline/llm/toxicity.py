@@ -4,7 +4,8 @@ classifier on its posterior labels.
 * Features of a text: 64-bit hashes of its words and of their prefixes of 4 to
   7 bytes (present or not).
 * Voters: of a bounded sample of labelled rows (``SAMPLE`` at most, outside the
-  held-out fold, by hash order) the features most telling of toxic rows become
+  held-out fold, by hash order) the features most telling of toxic rows (by the
+  log-likelihood ratio, counted in Spark) become
   lexicon voters (words) and pattern voters (prefixes) that vote toxic where
   they are present; the features most telling of clean rows vote clean.
 * Label model: one latent class; a voter fires with its own rate in either
@@ -33,9 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tideline.llm.common import U64, WordHasher, fold, letter_words, slices
+from tideline.llm.common import U64, WordHasher, fold, letter_words, slices, staged
 
-SAMPLE = 12_000  # labelled rows that are fitted on
+SAMPLE = 10_000  # labelled rows that are fitted on
 PREFIXES = (4, 5, 6, 7)  # bytes
 VOTERS = 120  # of each polarity
 FEATURES = 800  # of the linear classifier, the most significant ones
@@ -113,15 +114,6 @@ def _label_model(votes: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, int]
     return post, blocks
 
 
-def _log_likelihood_ratio(in1: np.ndarray, in0: np.ndarray, n1: float, n0: float) -> np.ndarray:
-    """Of each feature's 2x2 table against the label."""
-    out, n = np.zeros(len(in1)), n1 + n0
-    for seen, total in ((in1, n1), (in0, n0), (n1 - in1, n1), (n0 - in0, n0)):
-        all_seen = in1 + in0 if seen is in1 or seen is in0 else n - in1 - in0
-        out += 2 * seen * np.log(np.maximum(seen, 1e-9) / np.maximum(all_seen * total / n, 1e-9))
-    return out
-
-
 def _logistic(x: np.ndarray, target: np.ndarray, turns: int = 25) -> np.ndarray:
     """Ridge logistic regression by Newton steps; the last column of ``x`` is
     the constant and goes unpenalized."""
@@ -139,46 +131,53 @@ def _logistic(x: np.ndarray, target: np.ndarray, turns: int = 25) -> np.ndarray:
     return weights
 
 
-def fit(rows: list[tuple[int, np.ndarray]]) -> Model:
-    """``rows`` of (toxic, sorted feature hashes), the bounded sample."""
-    if not rows:
+def fit(features: np.ndarray, ratio: np.ndarray, more: np.ndarray, rows: list[tuple[int, np.ndarray]]) -> Model:
+    """``features``: sorted hashes, with their log-likelihood ratios and
+    whether they speak for toxic; ``rows``: (toxic, places of the features that
+    a row has), the bounded sample."""
+    if not rows or not len(features):
         return Model(np.zeros(0, U64), np.zeros(0), -2.0)
     toxic = np.array([r[0] for r in rows], dtype=float)
-    sizes = [len(r[1]) for r in rows]
-    row = np.repeat(np.arange(len(rows)), sizes)
-    hashes = np.concatenate([r[1] for r in rows]).astype(np.int64).view(U64)
-    known, col, held = np.unique(hashes, return_inverse=True, return_counts=True)
-    often = np.flatnonzero(held >= MIN_ROWS)
-    n1, n0 = max(1.0, toxic.sum()), max(1.0, (1 - toxic).sum())
-    in1 = np.bincount(col, weights=toxic[row], minlength=len(known))[often]
-    in0 = held[often] - in1
-    ratio = _log_likelihood_ratio(in1, in0, n1, n0)
-    by_ratio = np.argsort(-ratio, kind="stable")
-    telling = by_ratio[ratio[by_ratio] >= SIGNIFICANT]
-    more = in1 / n1 > in0 / n0
-    voters = np.sort(often[np.concatenate([telling[more[telling]][:VOTERS], telling[~more[telling]][:VOTERS]])])
-    chosen = often[telling[:FEATURES]]
-    place = np.full(len(known), -1)
-    place[voters] = np.arange(len(voters))
-    on = place[col] >= 0
-    votes = np.zeros((len(rows), len(voters)))
-    votes[row[on], place[col[on]]] = 1
-    post, blocks = _label_model(votes, toxic)
-    chosen = np.sort(chosen)
-    place[:] = -1
-    place[chosen] = np.arange(len(chosen))
-    on = place[col] >= 0
-    x = np.zeros((len(rows), len(chosen) + 1), dtype=np.float32)
-    x[row[on], place[col[on]]] = 1
+    x = np.zeros((len(rows), len(features) + 1), dtype=np.float32)
+    for i, (_, at) in enumerate(rows):
+        x[i, at] = 1
     x[:, -1] = 1
+    order = np.argsort(-ratio, kind="stable")
+    voters = np.sort(np.concatenate([order[more[order]][:VOTERS], order[~more[order]][:VOTERS]]))
+    post, blocks = _label_model(x[:, voters].astype(np.float64), toxic)
     weights = _logistic(x, post)
-    return Model(known[chosen], weights[:-1], float(weights[-1]), len(voters), blocks)
+    return Model(features, weights[:-1], float(weights[-1]), len(voters), blocks)
+
+
+def _present(known: np.ndarray):
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(parts):
+            rows = []
+            for own in part.column("features"):
+                h = own.values.to_numpy().view(U64) if own.is_valid else np.zeros(0, U64)
+                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                rows.append(at[known[at] == h].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(rows, pa.list_(pa.int32()))], names=["toxic", "at"])
+
+    return run
 
 
 def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, rows: int = SAMPLE) -> Model:
-    got = sample(docs, labels, folds, held_out, rows).toArrow()  # at most ``rows`` rows
-    toxic = got.column("toxic").to_pylist()
-    return fit([(t, f.values.to_numpy()) for t, f in zip(toxic, got.column("features").combine_chunks() if hasattr(got.column("features"), "combine_chunks") else got.column("features"))])
+    own = staged(sample(docs, labels, folds, held_out, rows), "toxic-sample")
+    n, n1 = own.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    counts = own.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(F.count("*").alias("held"), F.sum("toxic").alias("in1")).filter(F.col("held") >= MIN_ROWS)
+    in1, in0 = F.col("in1"), F.col("held") - F.col("in1")
+    cells = ((in1, n1, F.col("held")), (in0, n - n1, F.col("held")), (n1 - in1, n1, n - F.col("held")), (n - n1 - in0, n - n1, n - F.col("held")))
+    ratio = sum((2 * seen * F.log(F.greatest(seen, F.lit(1e-9)) / F.greatest(every * (total / max(1, n)), F.lit(1e-9))) for seen, total, every in cells), F.lit(0.0))
+    told = counts.withColumn("ratio", ratio).filter(F.col("ratio") >= SIGNIFICANT).withColumn("more", in1 * max(1, n - n1) > in0 * max(1, n1))
+    top = told.orderBy(F.desc("ratio"), "feature").limit(FEATURES).toPandas()
+    hashes = top["feature"].to_numpy(dtype=np.int64).view(U64)
+    order = np.argsort(hashes)
+    if not len(order):
+        return fit(hashes, np.zeros(0), np.zeros(0, bool), [])
+    got = own.mapInArrow(_present(hashes[order]), "toxic int, at array<int>").toArrow()  # at most ``rows`` short rows
+    data = list(zip(got.column("toxic").to_pylist(), got.column("at").to_pylist()))
+    return fit(hashes[order], top["ratio"].to_numpy()[order], top["more"].to_numpy(dtype=bool)[order], data)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
