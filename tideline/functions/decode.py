@@ -38,13 +38,22 @@ def utf8_text(binary: Column) -> Column:
 
 @F.pandas_udf(T.BinaryType())
 def gunzip(blobs: pd.Series) -> pd.Series:
-    """gzip bytes -> bytes, NULL for missing or corrupt input (Arrow batches)."""
+    """gzip bytes (all members) -> bytes; NULL for missing, cut off or corrupt input
+    and for bytes after the last member (Arrow batches)."""
 
     def one(b):
         if b is None:
             return None
         try:
-            return zlib.decompress(b, 16 + zlib.MAX_WBITS)
+            rest, out = bytes(b), []
+            while True:  # a gzip stream may have several members
+                member = zlib.decompressobj(16 + zlib.MAX_WBITS)
+                out.append(member.decompress(rest))
+                rest = member.unused_data
+                if not member.eof:
+                    return None
+                if not rest:
+                    return b"".join(out)
         except (zlib.error, TypeError, ValueError):
             return None
 

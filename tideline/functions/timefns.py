@@ -34,18 +34,24 @@ def parse_event_time(raw: Column, fmt: str = "auto") -> tuple[Column, Column]:
         in_range = us.between(F.lit(MIN_REPRESENTABLE_US), F.lit(MAX_REPRESENTABLE_US))
         ts = F.when(in_range, F.timestamp_micros(us.try_cast("bigint")))
         if key == "auto":
-            ts = F.when(num.isNull(), F.try_to_timestamp(raw)).otherwise(ts)
+            ts = F.when(num.isNull(), _dated(raw)).otherwise(ts)
         err = (
             F.when(raw.isNull(), F.lit("no_event_time"))
             .when(num.isNotNull() & ~F.coalesce(in_range, F.lit(False)), F.lit("unrepresentable_time"))
             .when(ts.isNull(), F.lit("bad_event_time"))
         )
         return ts, err
-    ts = F.try_to_timestamp(raw) if key == "iso" else F.try_to_timestamp(raw, F.lit(fmt))
+    ts = _dated(raw) if key == "iso" else F.try_to_timestamp(raw, F.lit(fmt))
     err = F.when(raw.isNull(), F.lit("no_event_time")).when(ts.isNull(), F.lit("bad_event_time"))
     return ts, err
 
 
+def _dated(raw: Column) -> Column:
+    """ISO text -> TIMESTAMP; NULL for a time without a date, which the cast
+    would place on the current day."""
+    return F.when(raw.rlike(r"^\s*[+-]?\d{4,}"), F.try_to_timestamp(raw))
+
+
 def truncate(ts: Column, granularity: str) -> Column:
     """Floor an event time (TIMESTAMP) to a granularity; ``none`` keeps it."""
     g = granularity.lower()

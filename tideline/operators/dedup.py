@@ -12,23 +12,33 @@ the same on every copy, so the state is bounded by the watermark.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.sources.schema import ENVELOPE_COLUMNS
 
 
 def dedup_messages(env: DataFrame) -> DataFrame:
-    """One envelope per ``messageId`` (batch).
+    """One envelope per ``messageId`` (batch), within its ``subscription`` where
+    there is such a label: ids of different subscriptions are unrelated.
 
-    Label columns beside the envelope (``subscription``) travel with the
-    winning copy.
+    A message without an id is a message of its own, told apart by its ackId
+    (or, without one, by its content).  Other labels travel with the winner.
     """
-    other = [c for c in ENVELOPE_COLUMNS if c != "messageId"]
-    other += [c for c in env.columns if c not in ENVELOPE_COLUMNS]
+    scope = ["subscription"] if "subscription" in env.columns else []
+    other = [c for c in [*ENVELOPE_COLUMNS, *env.columns] if c not in ("messageId", *scope)]
+    other = list(dict.fromkeys(other))
     winner = F.min_by(F.struct(*other), F.struct("publishTime", "ackId")).alias("w")
-    out = env.groupBy("messageId").agg(winner).select("messageId", *[F.col(f"w.{c}").alias(c) for c in other])
-    return out.select(*ENVELOPE_COLUMNS, *[c for c in other if c not in ENVELOPE_COLUMNS])
+    out = env.groupBy(*scope, "messageId", without_id(env).alias("_without_id")).agg(winner)
+    labels = [c for c in env.columns if c not in ENVELOPE_COLUMNS]
+    cols = {c: F.col(f"w.{c}").alias(c) for c in other} | {c: F.col(c) for c in ("messageId", *scope)}
+    return out.select(*(cols[c] for c in [*ENVELOPE_COLUMNS, *labels]))
+
+
+def without_id(env: DataFrame) -> Column:
+    """What tells messages without an id apart; NULL where there is an id."""
+    content = F.sha2(F.concat_ws("|", F.col("publishTime"), F.col("data").cast("string")), 256)
+    return F.when(F.col("messageId").isNull(), F.coalesce(F.col("ackId"), content))
 
 
 def publish_ts(env: DataFrame) -> DataFrame:
@@ -38,9 +48,11 @@ def publish_ts(env: DataFrame) -> DataFrame:
 
 def dedup_stream(env: DataFrame, delay: str = "1 day") -> DataFrame:
     """Streaming dedup by ``messageId`` with state bounded by a publish-time watermark."""
+    scope = ["subscription"] if "subscription" in env.columns else []
     return (
         publish_ts(env)
+        .withColumn("_without_id", without_id(env))
         .withWatermark("publish_ts", delay)
-        .dropDuplicatesWithinWatermark(["messageId"])
-        .drop("publish_ts")
+        .dropDuplicatesWithinWatermark([*scope, "messageId", "_without_id"])
+        .drop("publish_ts", "_without_id")
     )

@@ -18,5 +18,8 @@ def ack_ledger(env: DataFrame, batch_id: int | Column = 0) -> DataFrame:
 
 
 def pending_redelivery(landing: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Landed copies whose ackId is not in the ledger: they will come back."""
-    return landing.join(ledger.select("ackId"), "ackId", "left_anti")
+    """Landed copies whose ackId is not in the ledger: they will come back.  Ack
+    ids are compared within their subscription where both sides name it."""
+    both = "subscription" in landing.columns and "subscription" in ledger.columns
+    key = ["subscription", "ackId"] if both else ["ackId"]
+    return landing.join(ledger.select(*key), key, "left_anti").select(*landing.columns)

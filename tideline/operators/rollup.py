@@ -37,10 +37,11 @@ def metric_aggs(metrics) -> list:
 
 
 def rollup(rows: DataFrame, spec: IngestSpec, dimensions=None, granularity: str | None = None) -> DataFrame:
-    """``groupBy(t, *dims)`` with count / sum / min / max of each metric, processed rows only."""
+    """``groupBy(t, *dims)`` with count / sum / min / max of each metric, processed
+    rows only; granularity ``none`` keeps the event time as it is."""
     ds = spec.data_schema
     dims = list(ds.dimensions if dimensions is None else dimensions)
-    g = granularity or (ds.query_granularity if ds.query_granularity != "none" else "day")
+    g = granularity or ds.query_granularity
     return with_query_time(processed(rows), g).groupBy("t", *dims).agg(*metric_aggs(ds.metrics))
 
 

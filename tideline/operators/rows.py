@@ -116,20 +116,25 @@ def explode_rows(df: DataFrame, spec: IngestSpec) -> DataFrame:
         arr = F.from_json(F.col("merged")[rows_field], "array<string>")
         attrs = F.col("attributes")
 
-        def element(e: Column) -> Column:
-            parsed = D.parse_object(e)
-            return _row_struct(
-                D.merge_attributes(parsed, attrs),
-                spec,
-                elem_error=F.when(e.isNotNull() & parsed.isNull(), F.lit("not_object")),
-                null_row=e.isNull(),
-            )
-
+        # Elements are exploded as text and parsed below the generator, once
+        # a row; an empty array has no row.
         with_arr = df.withColumn("_rows", arr)
         msg_error = F.when(F.col("merged").isNotNull() & F.col("_rows").isNull(), F.lit("bad_rows_field"))
-        out = with_arr.withColumn("_msg_error", msg_error).select(
-            "*", F.posexplode_outer(F.transform("_rows", element)).alias("pos", "_e")
-        ).drop("_rows")
+        elements = (
+            with_arr.withColumn("_msg_error", msg_error)
+            .filter(F.col("_rows").isNull() | (F.size("_rows") > 0))
+            .select("*", F.posexplode_outer("_rows").alias("pos", "_text"))
+            .drop("_rows")
+            .select("*", F.explode(F.array(D.parse_object(F.col("_text")))).alias("_parsed"))
+        )
+        text, parsed = F.col("_text"), F.col("_parsed")
+        row = _row_struct(
+            D.merge_attributes(parsed, attrs),
+            spec,
+            elem_error=F.when(text.isNotNull() & parsed.isNull(), F.lit("not_object")),
+            null_row=text.isNull(),
+        )
+        out = elements.select("*", F.explode(F.array(F.when(F.col("pos").isNotNull(), row))).alias("_e")).drop("_text", "_parsed")
         msg_error = F.col("_msg_error")
     return (
         out.withColumn("pos", F.coalesce(F.col("pos"), F.lit(0)))
@@ -206,7 +211,14 @@ def classify(df: DataFrame, spec: IngestSpec) -> DataFrame:
             "segment_start",
             F.when(
                 no_segment,
-                F.raise_error(F.concat(F.lit("cannot allocate a segment for row with timestamp "), ts.cast("string"))),
+                F.raise_error(
+                    F.concat(
+                        F.lit("cannot allocate a segment for message "),
+                        F.coalesce(F.col("messageId"), F.lit("without id")),
+                        F.lit(" with timestamp "),
+                        F.coalesce(ts.cast("string"), F.lit("null")),
+                    )
+                ),
             ).otherwise(F.col("segment_start")),
         )
     else:

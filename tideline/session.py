@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -39,11 +40,14 @@ def ensure_utc(spark: SparkSession) -> None:
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (tests, local runs) a
-    folder of our own is created and registered as the checkpoint dir.
+    Read from the session; only when it is unset in local mode (tests) a
+    folder of our own is created and registered as the checkpoint dir.  On a
+    cluster it has to be set.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="tideline-ckpt-")
         sc.setCheckpointDir(root)

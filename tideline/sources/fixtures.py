@@ -30,21 +30,8 @@ ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` table, spread over the cluster when it is one small split.
-
-    A big table already scans as many splits and is left alone; a table of
-    fewer splits than the default parallelism (one row group, say) would run
-    every narrow step that follows in that many tasks.
-    """
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
-    try:
-        parallelism = spark.sparkContext.defaultParallelism
-        splits = ev.rdd.getNumPartitions()  # planning only, no job
-    except Exception:  # sessions without the classic JVM API: keep the scan as is
-        return ev
-    if splits < parallelism:
-        ev = ev.repartition(parallelism)
-    return ev
+    """The ``events`` table, in the splits that its files give."""
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def _num(c: Column) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import re
 from dataclasses import dataclass, field, replace
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 # Granularity names understood by the spec.  Calendar units are
 # truncated with date_trunc; the others are fixed-width buckets in seconds.
@@ -48,11 +48,12 @@ def parse_period(text: str | None) -> timedelta | None:
 
 
 def parse_time(text: str | datetime | None) -> datetime | None:
-    """ISO timestamp, read as UTC wall time (naive datetime)."""
-    if text is None or isinstance(text, datetime):
-        return text
-    t = text.strip().replace("Z", "")
-    return datetime.fromisoformat(t).replace(tzinfo=None)
+    """ISO timestamp as a naive UTC datetime; an offset is applied, and a time
+    without one is UTC."""
+    if text is None:
+        return None
+    t = text if isinstance(text, datetime) else datetime.fromisoformat(text.strip())
+    return t if t.tzinfo is None else t.astimezone(timezone.utc).replace(tzinfo=None)
 
 
 @dataclass(frozen=True)

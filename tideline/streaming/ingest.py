@@ -63,11 +63,12 @@ class StreamPaths:
 
 
 def _prior_messages(spark: SparkSession, ledger: str, batch_id: int, lo: str | None) -> DataFrame:
-    """messageIds acked by earlier batches within the dedup horizon."""
+    """Messages acked by earlier batches within the dedup horizon; those without
+    a publish time are always compared."""
     prior = spark.read.schema(LEDGER_SCHEMA).parquet(ledger).filter(F.col("batch_id") < batch_id)
     if lo is not None:
-        prior = prior.filter(F.col("publishTime") >= F.lit(lo))
-    return prior.select("messageId")
+        prior = prior.filter((F.col("publishTime") >= F.lit(lo)) | F.col("publishTime").isNull())
+    return prior.select("messageId", "subscription")
 
 
 def process_batch(env: DataFrame, batch_id: int, spec: IngestSpec, paths: StreamPaths) -> dict:
@@ -84,7 +85,11 @@ def process_batch(env: DataFrame, batch_id: int, spec: IngestSpec, paths: Stream
     if path_exists(spark, paths.ledger):
         lo_ts = env.agg(F.min(F.try_to_timestamp("publishTime")).alias("lo")).first()["lo"]
         lo = None if lo_ts is None else (lo_ts - spec.tuning.dedup_horizon).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
-        unique = unique.join(_prior_messages(spark, paths.ledger, batch_id, lo), "messageId", "left_anti")
+        u, p = unique.alias("u"), _prior_messages(spark, paths.ledger, batch_id, lo).alias("p")
+        same = F.col("u.messageId") == F.col("p.messageId")
+        if "subscription" in unique.columns:
+            same &= F.col("u.subscription").eqNullSafe(F.col("p.subscription"))
+        unique = u.join(p, same, "left_anti")
     rows = rows_from_envelopes(unique, spec, batch_id)
     stage_rows(rows, paths.table, spec, batch_id)
     meters = staged_meters(spark, paths.table, spec, batch_id)
