@@ -56,7 +56,7 @@ def samples(docs: DataFrame, folds: int, held_out: int) -> DataFrame:
     own = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), folds) != held_out))
     turn = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 30))
     counts = own.groupBy("lang").agg(F.count("*").alias("held"))
-    likely = own.select("lang", "text", "doc_id", turn.alias("turn")).join(counts, "lang").filter(F.col("turn") * F.col("held") <= F.lit(4 * DOCS * (1 << 30)))
+    likely = own.select("lang", "text", "doc_id", turn.alias("turn")).join(F.broadcast(counts), "lang").filter(F.col("turn") * F.col("held") <= F.lit(4 * DOCS * (1 << 30)))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("turn", "doc_id"))
     return likely.withColumn("rank", first).filter(F.col("rank") <= DOCS).select("lang", "held", "rank", F.substring("text", 1, DOC_CHARS).alias("text"))
 
