@@ -88,7 +88,7 @@ def test_purge_and_partition_pruning(spark):
     spec = events_spec()
     paths = _paths(spark, "purge")
     process_batch(fx.envelopes(spark, SF), 0, spec, paths)
-    S.purge_interval(spark, paths.table, spec, datetime(2024, 1, 10, 12), datetime(2024, 1, 15), paths.table + "_stg")
+    S.purge_interval(spark, paths.table, spec, datetime(2024, 1, 10, 12), datetime(2024, 1, 15))
     left = S.read_segments(spark, paths.table, spec)
     assert left.filter((F.col("ts") >= "2024-01-10 12:00:00") & (F.col("ts") < "2024-01-15")).isEmpty()
     assert not left.filter(F.col("ts") < "2024-01-10 12:00:00").isEmpty()

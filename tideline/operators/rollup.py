@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.timefns import bucket_end, ntz, truncate
 from tideline.operators.rows import PROCESSED
-from tideline.spec import IngestSpec
+from tideline.spec import DataSchema, IngestSpec
 
 
 def processed(rows: DataFrame) -> DataFrame:
@@ -36,13 +36,25 @@ def metric_aggs(metrics) -> list:
     return aggs
 
 
+#: What the last part of a submitted aggregator's type computes.
+AGGREGATES = {"sum": F.sum, "min": F.min, "max": F.max}
+
+
+def rollup_aggs(ds: DataSchema) -> list:
+    """The aggregators of the spec's ``metricsSpec``; without one, the row count
+    and the sum, minimum and maximum of every metric."""
+    if not ds.aggregators:
+        return metric_aggs(ds.metrics)
+    return [F.count(F.lit(1)).alias(a.name) if a.kind == "count" else AGGREGATES[a.kind](a.field).alias(a.name) for a in ds.aggregators]
+
+
 def rollup(rows: DataFrame, spec: IngestSpec, dimensions=None, granularity: str | None = None) -> DataFrame:
-    """``groupBy(t, *dims)`` with count / sum / min / max of each metric, processed
-    rows only; granularity ``none`` keeps the event time as it is."""
+    """``groupBy(t, *dims)`` with the spec's aggregators, processed rows only;
+    granularity ``none`` keeps the event time as it is."""
     ds = spec.data_schema
     dims = list(ds.dimensions if dimensions is None else dimensions)
     g = granularity or ds.query_granularity
-    return with_query_time(processed(rows), g).groupBy("t", *dims).agg(*metric_aggs(ds.metrics))
+    return with_query_time(processed(rows), g).groupBy("t", *dims).agg(*rollup_aggs(ds))
 
 
 def segment_catalog(rows: DataFrame, spec: IngestSpec) -> DataFrame:

@@ -28,7 +28,8 @@ from tideline.session import ensure_utc, scratch_path
 from tideline.sinks import segments as S
 from tideline.sources import fixtures as fx
 from tideline.sources import landing as L
-from tideline.streaming.ingest import StreamPaths, process_batch, read_meters, start_ingest, start_rollup
+from tideline.spec import IngestSpec
+from tideline.streaming.ingest import StreamPaths, process_batch, read_meters, read_rollup_updates, start_ingest, start_rollup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -336,11 +337,22 @@ def q_representable_timestamp(spark, sf_dir):
     return rows_from_envelopes(env, spec).select("messageId", "ts", "disposition", "reason")
 
 
-@register("suspended_gate", O.BASE_CLS + "SELECT messageId, tts AS ts, disposition FROM cls WHERE false")
+@register(
+    "suspended_gate",
+    O.BASE_CLS
+    + """SELECT 'events' AS data_source,
+       count(*) FILTER (WHERE disposition = 'processed') AS processed,
+       count(*) FILTER (WHERE disposition = 'unparseable') AS unparseable,
+       count(*) FILTER (WHERE disposition = 'thrown_away') AS thrown_away
+FROM cls UNION ALL SELECT 'paused', 0, 0, 0""",
+)
 def q_suspended_gate(spark, sf_dir):
-    """A suspended spec ingests nothing (Catalyst folds the scan away)."""
-    spec = replace(events_spec(), suspended=True)
-    return _rows(spark, sf_dir, spec).select("messageId", "ts", "disposition")
+    """Two specs over the same messages: the running one counts them all, the
+    suspended one nothing (Catalyst folds its scan away)."""
+    running = events_spec()
+    paused = replace(running.with_schema(data_source="paused"), suspended=True)
+    counted = [M.ingest_meters(_rows(spark, sf_dir, spec), spec) for spec in (running, paused)]
+    return counted[0].unionByName(counted[1])
 
 
 # ---------------------------------------------------------------- 2.4 time, rollup
@@ -618,12 +630,29 @@ def q_interval_purge(spark, sf_dir):
     spec = events_spec()
     paths = _table(spark, "purge")
     process_batch(fx.envelopes(spark, sf_dir), 0, spec, paths)
-    S.purge_interval(
-        spark, paths.table, spec, datetime(2024, 1, 10, 12), datetime(2024, 1, 15), f"{paths.table}_staging"
-    )
+    S.purge_interval(spark, paths.table, spec, datetime(2024, 1, 10, 12), datetime(2024, 1, 15))
     return _segment_counts(spark, paths, spec)
 
 
+@register(
+    "purge_dispositions",
+    O.BASE_CLS
+    + """SELECT disposition, count(*) AS rows, CAST(0 AS BIGINT) AS files_over_limit FROM cls
+WHERE tts IS NULL OR NOT (tts >= TIMESTAMP '2024-01-01 00:00:00' AND tts < TIMESTAMP '2024-01-10 12:00:00')
+GROUP BY 1""",
+)
+def q_purge_dispositions(spark, sf_dir):
+    """A purge takes the rows of every disposition and keeps the bound of files."""
+    spec = events_spec().with_tuning(max_rows_per_segment=100)
+    paths = _table(spark, "purge-all")
+    process_batch(fx.envelopes(spark, sf_dir), 0, spec, paths)
+    S.purge_interval(spark, paths.table, spec, datetime(2024, 1, 1), datetime(2024, 1, 10, 12))
+    files = S.read_rows(spark, paths.table, spec).groupBy("disposition", F.input_file_name().alias("file")).count()
+    return files.groupBy("disposition").agg(
+        F.sum("count").cast("bigint").alias("rows"), F.count_if(F.col("count") > 100).cast("bigint").alias("files_over_limit")
+    )
+
+
 PROCESSED_ROWS_SQL = O.BASE_CLS + f"SELECT messageId, ts FROM cls WHERE {O.PROCESSED}"
 
 
@@ -695,14 +724,95 @@ def q_publish(spark, sf_dir):
 
 @register("rollup_stream", ROLLUP_SQL, headline=True)
 def q_rollup_stream(spark, sf_dir):
-    """Query 1 (ingest) then query 2 (watermark + window rollup, complete mode)."""
+    """Query 1 (ingest) then query 2 (watermark + window rollup, update mode; the
+    landed files are in no order of time, so rows may be a month late)."""
     spec = events_spec()
     paths = _stream(spark, sf_dir, "rollup-stream", spec, max_files_per_trigger=4)
+    return _rolled(_streamed_rollup(spark, spec, paths))
+
+
+def _rolled(r: DataFrame) -> DataFrame:
+    return r.select("t", "event_type", "rows", r2("value_sum"), "value_min", "value_max")
+
+
+def _streamed_rollup(spark, spec, paths: StreamPaths) -> DataFrame:
     out = f"{paths.table}_rollup"
-    q = start_rollup(spark, spec, paths.table, out, f"{paths.checkpoint}_rollup", "1 day", ["event_type"], "1 day")
+    q = start_rollup(spark, spec, paths.table, out, f"{paths.checkpoint}_rollup", None, ["event_type"], "31 days")
     q.awaitTermination()
-    r = spark.read.parquet(out)
-    return r.select("t", "event_type", "rows", r2("value_sum"), "value_min", "value_max")
+    return read_rollup_updates(spark, out, ["event_type"])
+
+
+@register("rollup_stream_replay", ROLLUP_SQL)
+def q_rollup_stream_replay(spark, sf_dir):
+    """Ingest, roll up, replay a committed batch, roll up again: nothing doubles."""
+    spec = events_spec()
+    paths = _table(spark, "rollup-replay")
+    env = fx.envelopes(spark, sf_dir)
+    cut = "2024-01-15T00:00:00.000000Z"
+    for batch, part in enumerate((env.filter(_publish_before(cut)), env.filter(~_publish_before(cut)))):
+        process_batch(part, batch, spec, paths)
+    _streamed_rollup(spark, spec, paths)
+    process_batch(env.filter(_publish_before(cut)), 0, spec, paths)
+    return _rolled(_streamed_rollup(spark, spec, paths))
+
+
+def _rollup_sql(bucket: str) -> str:
+    return ROLLUP_SQL.replace("date_trunc('day', ts) AS t", f"{bucket} AS t")
+
+
+@register("rollup_week", _rollup_sql("date_trunc('week', ts)"))
+def q_rollup_week(spark, sf_dir):
+    """Weeks start on Monday."""
+    spec = events_spec().with_schema(query_granularity="week")
+    return _rolled(rollup(_rows(spark, sf_dir, spec), spec, dimensions=["event_type"]))
+
+
+@register("rollup_stream_week", _rollup_sql("date_trunc('week', ts)"))
+def q_rollup_stream_week(spark, sf_dir):
+    """The streamed rollup has the buckets of the batch rollup."""
+    spec = events_spec().with_schema(query_granularity="week")
+    paths = _table(spark, "rollup-week")
+    process_batch(fx.envelopes(spark, sf_dir), 0, spec, paths)
+    return _rolled(_streamed_rollup(spark, spec, paths))
+
+
+@register("rollup_none", _rollup_sql("ts"))
+def q_rollup_none(spark, sf_dir):
+    """Without a query granularity the event time stays as it is."""
+    spec = events_spec().with_schema(query_granularity="none")
+    return _rolled(rollup(_rows(spark, sf_dir, spec), spec, dimensions=["event_type"]))
+
+
+@register(
+    "rollup_submitted_spec",
+    O.BASE_CLS
+    + f"""SELECT date_trunc('day', ts) AS t, m_event_type AS event_type, count(*) AS n, round(sum(value), 2) AS total, max(value) AS largest
+FROM cls WHERE {O.PROCESSED} GROUP BY 1, 2""",
+)
+def q_rollup_submitted_spec(spark, sf_dir):
+    """The flagship from a submitted JSON spec: its own aggregators, and bounds
+    written with an offset (02:00+02:00 is midnight UTC)."""
+    spec = IngestSpec.from_json(SUBMITTED)
+    return rollup(_rows(spark, sf_dir, spec), spec).select("t", "event_type", "n", r2("total"), "largest")
+
+
+SUBMITTED = {
+    "dataSchema": {
+        "dataSource": "events",
+        "parser": {"parseSpec": {"timestampSpec": {"column": "ts", "format": "auto"}, "dimensionsSpec": {"dimensions": ["event_type"]}}},
+        "metricsSpec": [
+            {"type": "count", "name": "n"},
+            {"type": "doubleSum", "name": "total", "fieldName": "value"},
+            {"type": "doubleMax", "name": "largest", "fieldName": "value"},
+        ],
+        "granularitySpec": {"segmentGranularity": "DAY", "queryGranularity": "DAY"},
+    },
+    "ioConfig": {
+        "topic": "events",
+        "minimumMessageTime": "2024-01-05T02:00:00+02:00",
+        "maximumMessageTime": "2024-01-25T02:00:00+02:00",
+    },
+}
 
 
 @register(

@@ -12,7 +12,8 @@ never doubles rows and readers never see half a batch.
 
 from __future__ import annotations
 
-from datetime import datetime
+import json
+from datetime import date, datetime
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -142,20 +143,21 @@ def stage_rows(rows: DataFrame, table: str, spec: IngestSpec, batch_id: int) ->
     * partitioned by segment and disposition (the batch id is the folder).
     """
     spark = rows.sparkSession
+    finish_purge(spark, table)
     require_match(read_roles(spark, table), spec)
     path = staging_path(table, batch_id)
     delete_path(spark, path)  # leftovers of a failed attempt
-    (
-        rows.drop("batch_id")
-        .hint("rebalance", "segment_start")
-        .write.mode("overwrite")
-        .option("maxRecordsPerFile", spec.tuning.max_rows_per_segment)
-        .partitionBy("segment_start", "disposition")
-        .parquet(path)
-    )
+    write_segments(rows.drop("batch_id"), path, spec, ["segment_start", "disposition"])
     return path
 
 
+def write_segments(rows: DataFrame, path: str, spec: IngestSpec, partitions: list[str]) -> None:
+    """Rows by segment, a hot segment over several tasks, in files of at most
+    ``maxRowsPerSegment`` rows."""
+    writer = rows.hint("rebalance", "segment_start").write.mode("overwrite")
+    writer.option("maxRecordsPerFile", spec.tuning.max_rows_per_segment).partitionBy(*partitions).parquet(path)
+
+
 def read_staged(spark: SparkSession, table: str, spec: IngestSpec, batch_id: int) -> DataFrame:
     return spark.read.schema(rows_schema(spec)).parquet(staging_path(table, batch_id))
 
@@ -164,8 +166,35 @@ def discard_staged(spark: SparkSession, table: str, batch_id: int) -> None:
     delete_path(spark, staging_path(table, batch_id))
 
 
-def publish_staged(spark: SparkSession, table: str, spec: IngestSpec, batch_id: int) -> None:
-    """Make a staged batch visible: replace ``batch_id=N`` by one rename."""
+def _marker(table: str, batch_id: int) -> str:
+    return f"{table}/_commits/{int(batch_id)}.json"
+
+
+def committed(spark: SparkSession, table: str, batch_id: int) -> dict | None:
+    """The commit record of a batch, or None if it is not committed."""
+    text = read_text(spark, _marker(table, batch_id))
+    return None if text is None else json.loads(text)
+
+
+def failures_before(spark: SparkSession, table: str, batch_id: int) -> int:
+    """Unparseable rows of all batches committed before; the record of the batch
+    before has their sum."""
+    last = committed(spark, table, batch_id - 1) if batch_id > 0 else None
+    if last is None and batch_id > 0:
+        fs, folder = _fs(spark, f"{table}/_commits")
+        names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+        earlier = [int(n[:-5]) for n in names if n.endswith(".json") and int(n[:-5]) < batch_id]
+        last = committed(spark, table, max(earlier)) if earlier else None
+    return int(last["failures_so_far"]) if last else 0
+
+
+def publish_staged(spark: SparkSession, table: str, spec: IngestSpec, batch_id: int, record: dict) -> None:
+    """Make a staged batch visible by one rename, then write its commit record.
+
+    A folder without a record is left of a publish that was cut off; it goes
+    first.  A committed batch is never published again, so its files keep their
+    names and a rollup that reads them as a stream counts them once.
+    """
     fs, dst = _fs(spark, f"{table}/batch_id={int(batch_id)}")
     _, src = _fs(spark, staging_path(table, batch_id))
     if fs.exists(dst):
@@ -174,6 +203,7 @@ def publish_staged(spark: SparkSession, table: str, spec: IngestSpec, batch_id:
         raise OSError(f"could not publish {src} as {dst}")
     if read_roles(spark, table) is None:
         write_roles(spark, table, require_match(None, spec))
+    write_text(spark, _marker(table, batch_id), json.dumps(record))
 
 
 def read_rows(spark: SparkSession, table: str, spec: IngestSpec) -> DataFrame:
@@ -205,8 +235,10 @@ def read_segments(
 
 
 def write_ledger(ledger: DataFrame, path: str) -> None:
-    """Ack ledger of one batch; written after the rows of that batch."""
-    ledger.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+    """Ack ledger of one batch by publish day; written after the rows of that batch."""
+    day = F.try_to_timestamp("publishTime").cast("date")
+    dated = ledger.withColumn("publish_day", day).hint("rebalance", "publish_day")
+    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("publish_day", "batch_id").parquet(path)
 
 
 LEDGER_SCHEMA = T.StructType(
@@ -215,13 +247,23 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("messageId", T.StringType()),
         T.StructField("publishTime", T.StringType()),
         T.StructField("subscription", T.StringType()),
+        T.StructField("publish_day", T.DateType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+def read_ledger(spark: SparkSession, path: str, since: date | None = None) -> DataFrame:
+    """The ledger; with ``since``, only the folders of that publish day and later
+    ones, and of copies without a publish time, are listed."""
+    reader = spark.read.schema(LEDGER_SCHEMA)
+    if since is None:
+        return reader.parquet(path)
+    days = [d for d in list_dirs(spark, path) if d.startswith("publish_day=")]
+    kept = [d for d in days if d.endswith("__HIVE_DEFAULT_PARTITION__") or d >= f"publish_day={since.isoformat()}"]
+    if not kept:
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return reader.option("basePath", path).parquet(*[f"{path}/{d}" for d in kept])
 
 
 # -- interval purge ----------------------------------------------------------------
@@ -234,37 +276,77 @@ def _segment_dir_value(name: str) -> datetime | None:
     return datetime.fromisoformat(unquote(value))
 
 
-def purge_interval(spark: SparkSession, table: str, spec: IngestSpec, start: datetime, end: datetime, staging: str) -> None:
-    """Drop the rows with event time in ``[start, end)``.
+def read_generation(spark: SparkSession, table: str) -> int:
+    """How many purges have rewritten the table."""
+    return int(read_text(spark, f"{table}/_generation") or 0)
+
 
-    Segments wholly inside the interval are deleted as directories; a
-    segment that straddles an end is rewritten without the purged rows
-    (kept rows go to ``staging`` first, since a path cannot be overwritten
-    while it is read).
+def purge_interval(spark: SparkSession, table: str, spec: IngestSpec, start: datetime, end: datetime) -> None:
+    """Drop the rows with event time in ``[start, end)``, of every disposition;
+    rows without an event time stay.
+
+    A directory of a segment wholly inside the interval goes; one that straddles
+    an end, or holds thrown-away rows of the interval, is written anew without
+    them.  Nothing is deleted before all kept rows are staged and a journal
+    names the directories; ``finish_purge`` goes on from the journal after a
+    crash.  The driver deletes and renames directories, so its work grows with
+    the segments of the interval, not with their rows.
     """
+    finish_purge(spark, table)
     g = spec.data_schema.segment_granularity
-    partial = []
+    whole, partial, starts = [], [], set()
     for rel in glob_dirs(spark, table, "batch_id=*/segment_start=*"):
         seg = _segment_dir_value(rel.rsplit("/", 1)[-1])
         if seg is None:
             continue
         seg_end = bucket_end_value(seg, g)
         if seg >= start and seg_end <= end:
-            delete_path(spark, f"{table}/{rel}")
+            whole.append(rel)
         elif seg < end and seg_end > start:
-            partial.append((seg, rel))
-    if not partial:
-        return
+            partial.append(rel)
+            starts.add(seg)
     rows = read_rows(spark, table, spec)
-    starts = sorted({p for p, _ in partial})
-    segs = F.col("segment_start").isin([F.lit(p.isoformat(sep=" ")).cast("timestamp_ntz") for p in starts])
     lo, hi = (F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in (start, end))
-    kept = rows.filter(segs & ~((F.col("ts") >= lo) & (F.col("ts") < hi)))
-    kept.write.mode("overwrite").parquet(staging)
-    staged = spark.read.schema(rows_schema(spec)).parquet(staging)
-    for _, name in partial:  # rewritten below from the staged rows
-        delete_path(spark, f"{table}/{name}")
-    staged.write.mode("append").partitionBy(*PARTITIONS).parquet(table)
+    inside = F.coalesce((F.col("ts") >= lo) & (F.col("ts") < hi), F.lit(False))
+    no_segment = F.col("segment_start").isNull()
+    batches = [r["batch_id"] for r in rows.filter(no_segment & inside).select("batch_id").distinct().collect()]
+    partial += [f"batch_id={b}/segment_start=__HIVE_DEFAULT_PARTITION__" for b in batches]
+    if not whole and not partial:
+        return
+    touched = no_segment & F.col("batch_id").isin(batches)
+    if starts:
+        touched |= F.col("segment_start").isin([F.lit(s.isoformat(sep=" ")).cast("timestamp_ntz") for s in sorted(starts)])
+    staging = f"{table}/{STAGING}/purge"
+    delete_path(spark, staging)
+    if partial:
+        write_segments(rows.filter(touched & ~inside), staging, spec, PARTITIONS)
+    journal = {"delete": whole + partial, "generation": read_generation(spark, table) + 1}
+    write_text(spark, f"{table}/{PURGE_JOURNAL}", json.dumps(journal))
+    finish_purge(spark, table)
+
+
+PURGE_JOURNAL = "_purge.json"
+
+
+def finish_purge(spark: SparkSession, table: str) -> None:
+    """Carry out the journal of a purge: delete, then move the staged directories
+    in.  Each step can be done again; without a journal nothing happens."""
+    text = read_text(spark, f"{table}/{PURGE_JOURNAL}")
+    if text is None:
+        return
+    journal, staging = json.loads(text), f"{table}/{STAGING}/purge"
+    write_text(spark, f"{table}/_generation", str(journal["generation"]))
+    for rel in journal["delete"]:
+        delete_path(spark, f"{table}/{rel}")
+    # from here on the directories of the journal may be new ones
+    write_text(spark, f"{table}/{PURGE_JOURNAL}", json.dumps(journal | {"delete": []}))
+    for rel in glob_dirs(spark, staging, "batch_id=*/segment_start=*"):
+        fs, dst = _fs(spark, f"{table}/{rel}")
+        fs.mkdirs(dst.getParent())
+        if not fs.rename(_fs(spark, f"{staging}/{rel}")[1], dst):
+            raise OSError(f"could not move {rel} of the purge into {table}")
+    delete_path(spark, staging)
+    delete_path(spark, f"{table}/{PURGE_JOURNAL}")
 
 
 def read_batch(spark: SparkSession, table: str, spec: IngestSpec, batch_id: int) -> DataFrame:

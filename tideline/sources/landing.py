@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.sources.schema import ENVELOPE, ENVELOPE_COLUMNS, PULL
 
@@ -19,21 +20,38 @@ def unnest_pull(pulls: DataFrame) -> DataFrame:
     """Pull responses -> one envelope per received message.
 
     A response without ``receivedMessages`` gives zero rows.  The outer
-    ``ackId`` is copied onto the message when the message has none.
+    ``ackId`` is copied onto the message when the message has none.  A response
+    that is no JSON (column ``_unreadable``, see ``read_pull_responses``) gives
+    one message without id whose payload is its text, which is then counted as a
+    parse failure.
     """
-    r = pulls.select(F.explode("receivedMessages").alias("r"))
+    received, broken = F.col("receivedMessages"), F.lit(None).cast("string")
+    if UNREADABLE in pulls.columns:
+        broken = F.col(UNREADABLE)
+        none = F.array(F.lit(None).cast(PULL["receivedMessages"].dataType.elementType))
+        received = F.when(broken.isNotNull(), none).otherwise(received)
+    r = pulls.select(broken.alias("broken"), F.explode(received).alias("r"))
     return r.select(
         F.coalesce(F.col("r.message.ackId"), F.col("r.ackId")).alias("ackId"),
         F.col("r.message.messageId").alias("messageId"),
         F.col("r.message.publishTime").alias("publishTime"),
-        F.col("r.message.data").alias("data"),
+        F.coalesce(F.col("broken"), F.col("r.message.data")).alias("data"),
         F.col("r.message.attributes").alias("attributes"),
     )
 
 
-def read_pull_responses(spark: SparkSession, path: str) -> DataFrame:
-    """Batch read of JSON-lines pull responses, flattened to envelopes."""
-    return unnest_pull(spark.read.schema(PULL).json(path))
+UNREADABLE = "_unreadable"
+
+
+def _pulls(reader, multi_line: bool):
+    schema = T.StructType([*PULL.fields, T.StructField(UNREADABLE, T.StringType())])
+    return reader.schema(schema).option("columnNameOfCorruptRecord", UNREADABLE).option("multiLine", multi_line)
+
+
+def read_pull_responses(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Batch read of pull responses, flattened to envelopes: one response a line,
+    or with ``multi_line`` one (pretty-printed) response or array of them a file."""
+    return unnest_pull(_pulls(spark.read, multi_line).json(path))
 
 
 def read_envelopes(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -62,10 +80,18 @@ def stream_envelopes(
     return reader.load(path).select(*ENVELOPE_COLUMNS)
 
 
-def stream_pull_responses(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(PULL).format("json")
+def stream_pull_responses(
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
+    reader = _pulls(spark.readStream, multi_line).format("json")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     return unnest_pull(reader.load(path))
 
 

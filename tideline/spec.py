@@ -74,6 +74,52 @@ class Field:
         return self.path or self.name
 
 
+@dataclass(frozen=True)
+class Aggregator:
+    """One aggregate of the rollup: ``kind`` is count, sum, min or max."""
+
+    name: str
+    kind: str
+    field: str | None = None
+
+
+# Column types and aggregator types of the submitted form.
+DIMENSION_TYPES = {"string": "string", "long": "bigint", "float": "float", "double": "double"}
+METRIC_TYPES = {"long": "bigint", "float": "float", "double": "double"}
+_AGGREGATOR = re.compile(r"^(long|float|double)(Sum|Min|Max)$")
+
+
+def submitted_fields(parse_spec: dict, metrics_spec: list) -> tuple[tuple[Field, ...], tuple[Aggregator, ...]]:
+    """Columns and aggregators of ``dimensionsSpec`` and ``metricsSpec``.
+
+    A dimension is a name or an object with name and type; an aggregator reads
+    ``fieldName``, which becomes a metric column of its type.
+    """
+    fields: dict[str, Field] = {}
+    for d in (parse_spec.get("dimensionsSpec") or {}).get("dimensions") or []:
+        d = {"name": d} if isinstance(d, str) else d
+        kind = str(d.get("type", "string")).lower()
+        if kind not in DIMENSION_TYPES:
+            raise SpecError(f"unknown dimension type {kind!r}")
+        if d["name"] in fields:
+            raise SpecError(f"duplicate field names: {d['name']}")
+        fields[d["name"]] = Field(d["name"], DIMENSION_TYPES[kind])
+    aggregators = []
+    for m in metrics_spec:
+        if m.get("type") == "count":
+            aggregators.append(Aggregator(m["name"], "count"))
+            continue
+        found = _AGGREGATOR.match(str(m.get("type")))
+        if not found:
+            raise SpecError(f"unknown aggregator type {m.get('type')!r}")
+        name, type_ = m.get("fieldName") or m["name"], METRIC_TYPES[found[1]]
+        known = fields.setdefault(name, Field(name, type_, role="metric"))
+        if known.type != type_:
+            raise SpecError(f"{name} is read as {known.type} and as {type_}")
+        aggregators.append(Aggregator(m["name"], found[2].lower(), name))
+    return tuple(fields.values()), tuple(aggregators)
+
+
 @dataclass(frozen=True)
 class DataSchema:
     data_source: str
@@ -83,6 +129,7 @@ class DataSchema:
     query_granularity: str = "none"
     segment_granularity: str = "day"
     rows_field: str | None = None
+    aggregators: tuple[Aggregator, ...] = ()
 
     @property
     def dimensions(self) -> tuple[str, ...]:
@@ -174,16 +221,24 @@ class IngestSpec:
         if "ioConfig" not in d:
             raise SpecError("ioConfig is required")
         ds, io, tu = d["dataSchema"], d["ioConfig"], d.get("tuningConfig") or {}
-        fields = tuple(
-            Field(
-                name=f["name"],
-                type=f.get("type", "string"),
-                path=f.get("path"),
-                role=f.get("role", "dimension"),
+        # a private list of fields, or the submitted form, with or without "parser"
+        parse_spec = (ds.get("parser") or {}).get("parseSpec") or ds
+        if "fields" in ds:
+            fields = tuple(
+                Field(
+                    name=f["name"],
+                    type=f.get("type", "string"),
+                    path=f.get("path"),
+                    role=f.get("role", "dimension"),
+                )
+                for f in ds["fields"]
             )
-            for f in ds.get("fields", [])
-        )
-        ts = ds.get("timestampSpec") or {}
+            aggregators = submitted_fields({}, ds.get("metricsSpec") or [])[1]
+        else:
+            fields, aggregators = submitted_fields(parse_spec, ds.get("metricsSpec") or [])
+            if not fields:
+                raise SpecError("dataSchema lists no columns: dimensionsSpec, metricsSpec or fields is required")
+        ts = parse_spec.get("timestampSpec") or ds.get("timestampSpec") or {}
         gran = ds.get("granularitySpec") or {}
         schema = DataSchema(
             data_source=ds.get("dataSource", ""),
@@ -193,6 +248,7 @@ class IngestSpec:
             query_granularity=str(gran.get("queryGranularity", "none")).lower(),
             segment_granularity=str(gran.get("segmentGranularity", "day")).lower(),
             rows_field=ds.get("rowsField"),
+            aggregators=aggregators,
         )
         if "topic" not in io:
             raise SpecError("ioConfig.topic is required")
@@ -218,6 +274,8 @@ class IngestSpec:
             log_parse_exceptions=bool(tu.get("logParseExceptions", False)),
             report_parse_exceptions=bool(tu.get("reportParseExceptions", False)),
             intermediate_handoff_period=parse_period(tu.get("intermediateHandoffPeriod")),
+            dedup_horizon=parse_period(tu.get("dedupHorizon")) or timedelta(days=1),
+            strict_segments=bool(tu.get("strictSegments", False)),
         )
         return IngestSpec(
             data_schema=schema,
@@ -238,6 +296,11 @@ def validate(spec: IngestSpec) -> None:
     names = [f.name for f in ds.fields]
     if len(set(names)) != len(names):
         raise SpecError(f"duplicate field names in {names}")
+    for a in ds.aggregators:
+        if a.field is not None and a.field not in names:
+            raise SpecError(f"aggregator {a.name} reads the unknown field {a.field}")
+    if len({a.name for a in ds.aggregators}) != len(ds.aggregators):
+        raise SpecError("duplicate aggregator names")
     for f in ds.fields:
         if f.role not in ("dimension", "metric", "other"):
             raise SpecError(f"unknown role {f.role!r} for {f.name}")

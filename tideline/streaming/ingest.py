@@ -11,8 +11,8 @@ admission control, ``foreachBatch`` does per micro-batch
 4. meters counted there (partition columns only) and the failure limit
    check: over the limit the staging folder is dropped and nothing is
    published or acknowledged;
-5. publish by one rename that replaces ``batch_id = N`` (a replayed batch
-   replaces itself);
+5. publish by one rename, then a commit marker with the meters; a replay of a
+   committed batch finds the marker and leaves the rows as they are;
 6. the ledger of *all* received copies, after the publish;
 7. the meters row (and the last ``maxSavedParseExceptions`` failures).
 
@@ -24,7 +24,9 @@ and the rollup need watermarks on different columns.
 from __future__ import annotations
 
 import json
+import logging
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,14 +35,20 @@ from pyspark.sql.streaming import StreamingQuery
 from tideline.operators.dedup import dedup_messages
 from tideline.operators.ledger import ack_ledger
 from tideline.operators.meters import check_failure_limit, failure_sample, meter_columns
+from tideline.functions.timefns import bucket_end, truncate
+from tideline.operators.rollup import rollup_aggs
 from tideline.operators.rows import PROCESSED, UNPARSEABLE, rows_from_envelopes
 from tideline.sinks.segments import (
-    LEDGER_SCHEMA,
     discard_staged,
+    committed,
+    failures_before,
     path_exists,
     publish_staged,
     read_batch,
+    read_generation,
+    read_ledger,
     read_staged,
+    read_text,
     rows_schema,
     stage_rows,
     staging_path,
@@ -48,9 +56,12 @@ from tideline.sinks.segments import (
     write_text,
 )
 from tideline.sources.landing import stream_envelopes, stream_pull_responses
-from tideline.spec import IngestSpec
+from tideline.spec import FIXED_GRANULARITIES, IngestSpec, SpecError
 
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+#: Granularities that a tumbling window gives, as it counts from the epoch.
+WINDOW_OF = {g: f"1 {g}" for g in ("second", "minute", "hour", "day")} | {g: f"{s} seconds" for g, s in FIXED_GRANULARITIES.items()}
+
+LOG = logging.getLogger("tideline.ingest")
 
 
 @dataclass
@@ -63,11 +74,12 @@ class StreamPaths:
 
 
 def _prior_messages(spark: SparkSession, ledger: str, batch_id: int, lo: str | None) -> DataFrame:
-    """Messages acked by earlier batches within the dedup horizon; those without
-    a publish time are always compared."""
-    prior = spark.read.schema(LEDGER_SCHEMA).parquet(ledger).filter(F.col("batch_id") < batch_id)
+    """Messages acked by earlier batches within the dedup horizon, read from the
+    folders of the publish days in it; those without a publish time are always
+    compared."""
+    prior = read_ledger(spark, ledger, None if lo is None else date.fromisoformat(lo[:10])).filter(F.col("batch_id") < batch_id)
     if lo is not None:
-        prior = prior.filter((F.col("publishTime") >= F.lit(lo)) | F.col("publishTime").isNull())
+        prior = prior.filter((F.col("publishTime") >= F.lit(lo)) | F.col("publish_day").isNull())
     return prior.select("messageId", "subscription")
 
 
@@ -81,6 +93,33 @@ def process_batch(env: DataFrame, batch_id: int, spec: IngestSpec, paths: Stream
     within the limit is published, by one rename.
     """
     spark = env.sparkSession
+    done = committed(spark, paths.table, batch_id)
+    meters = done["meters"] if done else _commit_rows(env, batch_id, spec, paths)
+    if spec.tuning.log_parse_exceptions and meters["unparseable"] > 0:
+        failed = read_batch(spark, paths.table, spec, batch_id).filter(F.col("disposition") == UNPARSEABLE)
+        for reason, n in failed.groupBy("reason").count().collect():  # one row for each reason
+            LOG.warning("%s batch %d: %d unparseable rows, %s", spec.data_source, batch_id, n, reason)
+    saved = spec.tuning.saved_parse_exceptions
+    if saved > 0 and meters["unparseable"] > 0:
+        failures = read_batch(spark, paths.table, spec, batch_id).filter(F.col("disposition") == UNPARSEABLE)
+        failure_sample(failures, saved).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).write.mode(
+            "overwrite"
+        ).option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(paths.meters + "_failures")
+    # acknowledge only after the data commit
+    write_ledger(ack_ledger(env, batch_id), paths.ledger)
+    # one small record per batch, through the file system (no Spark job)
+    record = {"data_source": spec.data_source, **meters}
+    write_text(spark, f"{paths.meters}/batch_id={int(batch_id)}/meters.json", json.dumps(record))
+    return meters
+
+
+def _commit_rows(env: DataFrame, batch_id: int, spec: IngestSpec, paths: StreamPaths) -> dict:
+    """Stage, check and publish the rows of a batch that is not committed yet.
+
+    The failure limit holds for the whole job: the failures of the batches
+    committed before count as well.
+    """
+    spark = env.sparkSession
     unique = dedup_messages(env)
     if path_exists(spark, paths.ledger):
         lo_ts = env.agg(F.min(F.try_to_timestamp("publishTime")).alias("lo")).first()["lo"]
@@ -93,23 +132,13 @@ def process_batch(env: DataFrame, batch_id: int, spec: IngestSpec, paths: Stream
     rows = rows_from_envelopes(unique, spec, batch_id)
     stage_rows(rows, paths.table, spec, batch_id)
     meters = staged_meters(spark, paths.table, spec, batch_id)
+    failed = failures_before(spark, paths.table, batch_id) + meters["unparseable"]
     try:
-        check_failure_limit(meters["unparseable"], spec)
+        check_failure_limit(failed, spec)
     except Exception:
         discard_staged(spark, paths.table, batch_id)  # nothing of this batch is published
         raise
-    publish_staged(spark, paths.table, spec, batch_id)
-    saved = spec.tuning.saved_parse_exceptions
-    if saved > 0 and meters["unparseable"] > 0:
-        failures = read_batch(spark, paths.table, spec, batch_id).filter(F.col("disposition") == UNPARSEABLE)
-        failure_sample(failures, saved).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).write.mode(
-            "overwrite"
-        ).option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(paths.meters + "_failures")
-    # acknowledge only after the data commit
-    write_ledger(ack_ledger(env, batch_id), paths.ledger)
-    # one small record per batch, through the file system (no Spark job)
-    record = {"data_source": spec.data_source, **meters}
-    write_text(spark, f"{paths.meters}/batch_id={int(batch_id)}/meters.json", json.dumps(record))
+    publish_staged(spark, paths.table, spec, batch_id, {"meters": meters, "failures_so_far": failed})
     return meters
 
 
@@ -151,14 +180,15 @@ def start_ingest(
     if spec.suspended:
         return None
     io = spec.io_config
-    if max_files_per_trigger is None and io.max_messages_per_poll > 0:
+    if max_files_per_trigger is None and max_bytes_per_trigger is None and io.max_messages_per_poll > 0:
         # landing files hold <= maxMessagesPerPoll messages (one poll each); a
         # commit takes polls until maxTotalRows is reached, as a push would
         max_files_per_trigger = max(1, spec.tuning.max_total_rows // io.max_messages_per_poll)
-    if max_bytes_per_trigger is None and io.max_message_size_per_poll > 0:
+    if max_bytes_per_trigger is None and max_files_per_trigger is None and io.max_message_size_per_poll > 0:
+        # the file source takes one bound; the number of messages goes first
         max_bytes_per_trigger = io.max_message_size_per_poll
     if source == "pulls":
-        src = stream_pull_responses(spark, paths.landing, max_files_per_trigger)
+        src = stream_pull_responses(spark, paths.landing, max_files_per_trigger, max_bytes_per_trigger)
     else:
         src = stream_envelopes(spark, paths.landing, fmt, max_files_per_trigger, max_bytes_per_trigger)
     writer = (
@@ -180,19 +210,28 @@ def trigger_for(spec: IngestSpec, available_now: bool = True) -> dict:
     return {"processingTime": f"{secs} seconds"}
 
 
-def rollup_stream(rows: DataFrame, spec: IngestSpec, window: str, dims, late: str) -> DataFrame:
-    """Streaming rollup of processed rows: event-time watermark + tumbling window."""
+def rollup_stream(rows: DataFrame, spec: IngestSpec, window: str | None, dims, late: str) -> DataFrame:
+    """Streaming rollup of processed rows with the buckets of the batch rollup.
+
+    ``window`` is a width such as ``1 day``; without one, the spec's query
+    granularity holds.  The watermark follows the event time under a width, a
+    day and shorter units; weeks, months, quarters and years have no window form
+    that starts where ``truncate`` does, so theirs follows the bucket ends.
+    """
     ev = rows.filter(F.col("disposition") == PROCESSED).withColumn("event_time", F.col("ts").cast("timestamp"))
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    for m in spec.data_schema.metrics:
-        aggs += [F.sum(m).alias(f"{m}_sum"), F.min(m).alias(f"{m}_min"), F.max(m).alias(f"{m}_max")]
-    metric_cols = [c for m in spec.data_schema.metrics for c in (f"{m}_sum", f"{m}_min", f"{m}_max")]
-    return (
-        ev.withWatermark("event_time", late)
-        .groupBy(F.window("event_time", window).alias("w"), *dims)
-        .agg(*aggs)
-        .select(F.col("w.start").cast("timestamp_ntz").alias("t"), *dims, "rows", *metric_cols)
-    )
+    g = spec.data_schema.query_granularity
+    window = window or WINDOW_OF.get(g)
+    if window:
+        buckets = ev.withWatermark("event_time", late).groupBy(F.window("event_time", window).alias("w"), *dims)
+        start = F.col("w.start")
+    else:
+        start = truncate(F.col("event_time"), g)
+        end = start if g == "none" else bucket_end(start, g)
+        buckets = ev.withColumn("_start", start).withColumn("_end", end).withWatermark("_end", late).groupBy("_end", "_start", *dims)
+        start = F.col("_start")
+    rolled = buckets.agg(*rollup_aggs(spec.data_schema))
+    names = [c for c in rolled.columns if c not in ("w", "_start", "_end", *dims)]
+    return rolled.select(start.cast("timestamp_ntz").alias("t"), *dims, *names)
 
 
 def start_rollup(
@@ -201,20 +240,27 @@ def start_rollup(
     table: str,
     out: str,
     checkpoint: str,
-    window: str = "1 day",
+    window: str | None = None,
     dims=None,
     late: str = "1 day",
-    mode: str = "complete",
+    mode: str = "update",
     max_files_per_trigger: int | None = None,
+    available_now: bool = True,
 ) -> StreamingQuery:
-    """Start query 2 over the rows table.
-
-    ``complete`` rewrites the rollup table each batch (state keeps every
-    window); ``update`` writes the groups changed by a batch under its
-    ``batch_id`` and lets the watermark evict finished windows from state
-    (read with ``read_rollup_updates``); ``append`` emits a window once the
-    watermark passes it.
+    """Start query 2 over the rows table, once (``available_now``) or for good.
+
+    ``update`` writes the groups changed by a batch under its ``batch_id`` and
+    lets the watermark evict finished buckets from state (read with
+    ``read_rollup_updates``); ``append`` emits a bucket once the watermark
+    passes it; ``complete`` rewrites the rollup table each batch (state keeps
+    every bucket).  A purge rewrites files that a rollup has counted, so a
+    checkpoint from before it is refused: start again with a new one.
     """
+    now, seen = read_generation(spark, table), read_text(spark, f"{checkpoint}_generation")
+    if seen is None:
+        write_text(spark, f"{checkpoint}_generation", str(now))
+    elif int(seen) != now:
+        raise SpecError(f"{table} was purged since {checkpoint} was started; use a new checkpoint and output")
     dims = list(spec.data_schema.dimensions if dims is None else dims)
     reader = spark.readStream.schema(rows_schema(spec))
     if max_files_per_trigger:
@@ -234,7 +280,7 @@ def start_rollup(
         agg.writeStream.outputMode(mode)
         .foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger_for(spec, available_now))
         .start()
     )
 
