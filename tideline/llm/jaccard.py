@@ -270,6 +270,25 @@ def _live(lists: DataFrame, joined: DataFrame) -> DataFrame:
     return placed.join(mixed, "token", "left_semi")
 
 
+def _to_strongest(live: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a set with the strongest set of its lists: the one whose lists
+    hold the most sets together.  A text that was edited many times has no
+    shingles of its own, so its lists are the fullest and it leads them, and its
+    edits, which may link with it only, meet it here.  A pair shares enough of
+    the lists that the strongest set leads; a set has at most a few of those."""
+    live = staged(live, "placed")
+    held = live.groupBy("token").agg(F.count("*").alias("held"))
+    strength = live.join(held, "token").groupBy("sig").agg(F.sum("held").alias("strength"))
+    lead = live.join(strength, "sig").groupBy("token").agg(F.max_by(F.struct("sig", "n", "c"), F.struct("strength", "sig")).alias("lead"))
+    shared = (
+        live.join(lead, "token")
+        .filter((F.col("c") != F.col("lead.c")) & _sizes_fit(F.col("n"), F.col("lead.n"), percent))
+        .groupBy(F.col("lead.sig").alias("a"), F.col("sig").alias("b"))
+        .agg(F.count("*").alias("shared"), F.first("lead.n").alias("m"), F.first("n").alias("n"))
+    )
+    return staged(shared.filter(F.col("shared") >= _least_shared(F.col("m"), F.col("n"), percent)).select("a", "b"), "strongest-pairs")
+
+
 def _to_large(live: DataFrame, percent: int) -> DataFrame:
     """Up to ``TRIES`` pairs for a set that shares many lists with a larger
     component: with one of its members for each list, another in each.  Like
@@ -353,9 +372,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         lists.repartition("token", salt).sortWithinPartitions("token", "sig").mapInArrow(_repeated, "token long, sig long, n int, long boolean"),
         "lists",
     )
-    met = staged(_verified(_to_large(_live(lists, joined), percent), nodes, docs, k, percent), "component-links")
-    stars = stars.unionByName(met)
-    live = staged(_live(lists, staged(components(stars), "joined")), "live-lists")
+    for candidates in (_to_strongest, _to_large):
+        met = staged(_verified(candidates(_live(lists, joined), percent), nodes, docs, k, percent), "component-links")
+        stars = stars.unionByName(met)
+        joined = staged(components(stars), "joined")
+    live = staged(_live(lists, joined), "live-lists")
     x, y = live.alias("x"), live.alias("y")
     pairs = staged(
         x.join(y, F.col("x.token") == F.col("y.token"))
