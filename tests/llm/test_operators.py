@@ -136,6 +136,23 @@ def test_decontamination_finds_edited_items(spark):
     assert decontaminate.decontaminate(docs_of(spark, []), bench).count() == 0
 
 
+def test_decontamination_of_short_items_and_other_scripts(spark):
+    rng = random.Random(5)
+    han = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(45))
+    thai = "".join(chr(0x0E01 + rng.randrange(40)) for _ in range(30))
+    quoted = "\u201cThe river\u2014wide and slow\u201d it\u2019s said\u00a0to turn the old mill\u2026"
+    items = [(1, f"\uff1f{han[:20]}\uff0c{han[20:]}\u3002"), (2, thai), (3, quoted), (4, "Paris"), (5, "blue whale"), (6, "one two three four"), (7, "\u5317\u4eac"), (8, "?!"), (9, "")]
+    noise = " ".join(f"v{rng.randrange(500)}" for _ in range(40))
+    edited = han[:10] + chr(0x9000) * 2 + han[13:]
+    rows = [(1, f"{noise}\u300c{edited}\u300d{noise}"), (2, f"\u0e2f{noise} {thai[:9]} {thai[9:]}{noise}"), (3, f'{noise} "the river - wide and slow" it\'s said to turn the old mill... {noise}'), (4, "in PARIS, paris")]
+    rows += [(5, "a blue\u00a0whale"), (6, "one two three, four"), (7, "\u6211\u5728\u5317\u4eac\u3002"), (20, "parisian blue the whale one two three \u5317\u6771\u4eac ?!"), (21, None), (22, han[:9])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"]: r for r in decontaminate.leaks(docs_of(spark, [(i, t, "s") for i, t in rows]), bench).collect()}
+    assert {i: r["item_id"] for i, r in got.items()} == {i: i for i in range(1, 8)}
+    assert [got[i]["edits"] for i in range(1, 8)] == [3, 0, 0, 0, 0, 0, 0] and got[1]["item_words"] == 45
+    assert (got[4]["first_word"], got[4]["end_word"]) == (1, 2)
+
+
 def test_best_run_is_the_edit_distance():
     rng = np.random.default_rng(2)
     for _ in range(60):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -90,6 +91,43 @@ def letter_words() -> np.ndarray:
     return keep
 
 
+# Blocks of scripts written without spaces between words.
+UNSPACED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x2E80, 0x2FDF),
+    (0x3005, 0x3007), (0x3021, 0x3029), (0x3031, 0x3035), (0x3040, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF),
+    (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA9E0, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F),
+    (0x16FE0, 0x18DFF), (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFF),
+)
+
+
+class _Spaced(dict):
+    """What each character beyond ASCII becomes, filled as characters come."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        kind = unicodedata.category(c)
+        if code < 0x80:
+            out = c
+        elif kind == "Cf" and code != 0x200B:  # joiners, soft hyphens, marks of direction
+            out = ""
+        elif kind[0] not in "LMN":
+            out = " "
+        else:
+            out = f" {c} " if any(lo <= code <= hi for lo, hi in UNSPACED) else c
+        self[code] = out
+        return out
+
+
+_SPACED = _Spaced()
+
+
+def spaced(text: str) -> str:
+    """The text so that ``letter_words`` finds words of letters, digits and
+    marks of any script: other characters become spaces, invisible ones go, and
+    each character of a script without spaces is a word."""
+    return text if text.isascii() else text.translate(_SPACED)
+
+
 class WordHasher:
     """64-bit hashes of all words of a text, vectorized over its UTF-8 bytes.
 

@@ -2,7 +2,8 @@
 
 A document leaks an item if some run of its words is within ``0.2 * n`` word
 edits of the item's n words (words are lower-cased runs of letters and digits,
-so case, punctuation and white space do not count).
+so case, punctuation and white space of any script do not count; in scripts
+written without spaces, each character is a word).
 
 For every block of items (bounded, so that an index fits a task):
 
@@ -19,9 +20,9 @@ For every block of items (bounded, so that an index fits a task):
    run of words around the place (bit-parallel), for all that the LSH found.
 
 Items are read in blocks of ``ITEM_BLOCK``; documents are scanned once for each
-block, without a shuffle.  Items of under ``MIN_WORDS`` words are no evidence
-and are left out.  Null or empty texts leak nothing; repeated rows are reported
-once each.
+block, without a shuffle.  Items of under ``MIN_WORDS`` words, of which no edit
+is allowed, are found by the keys of windows of their size.  Items without words
+and null or empty texts leak nothing; repeated rows are reported once each.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import U64, WordHasher, letter_words, mix, stream, words_of_many
+from tideline.llm.common import U64, WordHasher, letter_words, mix, spaced, stream, words_of_many
 
 ITEM_BLOCK = 4096
 MIN_WORDS = 5
@@ -216,20 +217,60 @@ class Index:
         return best
 
 
+class Exact:
+    """Items of under ``MIN_WORDS`` words: a run of the words has to equal them."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]]):
+        self.items = items
+        self.sizes: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+        for n in sorted({len(w) for _, w in items}):
+            own = np.array([i for i, (_, w) in enumerate(items) if len(w) == n])
+            keys = np.concatenate([self.keys(items[i][1], n) for i in own])
+            order = np.argsort(keys, kind="stable")
+            known, first = np.unique(keys[order], return_index=True)
+            self.sizes.append((n, own[order], known, np.append(first, len(own))))
+
+    @staticmethod
+    def keys(words: np.ndarray, n: int) -> np.ndarray:
+        """Keys of all runs of n words."""
+        runs = len(words) - n + 1
+        out = np.full(runs, n, dtype=U64)
+        with np.errstate(over="ignore"):
+            for i in range(n):
+                out = mix(out * U64(3) + words[i : i + runs])
+        return out
+
+    def leaks(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, int]]:
+        """As of ``Index``; the place is the first."""
+        for d, words in enumerate(texts):
+            for n, owner, known, first in self.sizes:
+                if len(words) < n:
+                    continue
+                keys, place = np.unique(self.keys(words, n), return_index=True)
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                for k in np.flatnonzero(known[at] == keys):
+                    start = int(place[k])
+                    for i in owner[first[at[k]] : first[at[k] + 1]].tolist():
+                        if (words[start : start + n] == self.items[i][1]).all():
+                            yield d, i, start, start + n, 0
+
+
 LEAKS = "doc_id long, item_id long, first_word long, end_word long, edits int, item_words int"
 
 
 def _scanner(items: list[tuple[int, str]], recall: float):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(letter_words())
-        words = [(i, hasher.words((t or "").lower())) for i, t in items]
+        words = [(i, hasher.words(spaced((t or "").lower()))) for i, t in items]
         index = Index([x for x in words if len(x[1]) >= MIN_WORDS], recall)
+        exact = Exact([x for x in words if 0 < len(x[1]) < MIN_WORDS])
         for part in parts:
             rows = []
             ids = part.column("doc_id").to_pylist()
-            texts = words_of_many(hasher, [(t or "").lower() for t in part.column("text").to_pylist()])
-            for d, i, first, end, edits in index.leaks(texts):
-                rows.append((ids[d], index.items[i][0], first, end, edits, len(index.items[i][1])))
+            texts = words_of_many(hasher, [spaced((t or "").lower()) for t in part.column("text").to_pylist()])
+            for own in (index, exact):
+                for d, i, first, end, edits in own.leaks(texts):
+                    rows.append((ids[d], own.items[i][0], first, end, edits, len(own.items[i][1])))
             if rows:
                 cols = list(zip(*rows))
                 kinds = [pa.int64()] * 4 + [pa.int32()] * 2
