@@ -353,6 +353,37 @@ def test_main_text():
     assert len(html.blocks("<div>" * 5000 + "x")) == 1
 
 
+def test_main_text_leaves_out_parts_inside_the_article():
+    say = lambda x, n: " ".join([x] * n) + "."
+    page = (
+        f"<body class='comments-open'><form><main class=has-sidebar><article><header><h1>Title here</h1></header><p>{say('one', 20)}</p>"
+        f"<nav><a href=/>menu</a></nav><div class='advert'>{say('buy', 9)}</div><p>{say('two', 20)}</p><div id=cookie-notice><p>{say('cookies', 9)}</p></div>"
+        f"<form><p>{say('mail', 5)}</p></form><section id=comments><article class=comment><p>{say('reply', 20)}</p></article></section></article>"
+        f"<aside><article><p>{say('teaser', 12)}</p></article></aside></main></form></body>"
+    )
+    want = ["Title here", say("one", 20), say("two", 20)]
+    assert [b.text for b in html.blocks(page) if b.inside] == want
+    assert [label for _, label in zip(*html.labelled([page])[0])] == [int(b.text in want) for b in html.blocks(page)]
+    assert html.train_on(html.labelled([page] * 20)).main_text(page).split("\n") == want
+
+
+@pytest.mark.parametrize("layout", ["<div class=post-content>{}</div>", "<article>{}</article>", "<div>{}</div>"])
+def test_main_text_of_pages_of_any_layout_and_length(spark, layout):
+    rng = random.Random(12)
+    say = lambda n: " ".join(rng.choice("river stone and the tall green window".split()) for _ in range(n)) + "."
+    rows, want = [], {}
+    for i in range(8):
+        body = [say(30) for _ in range(200 if layout.startswith("<article") else 12)]  # over 20,000 characters
+        rows.append((i, "u", "<body><nav><a href=/>Home</a></nav>" + layout.format("".join(f"<p>{x}</p>" for x in body)) + f"<footer>&copy; {say(4)}</footer></body>"))
+        want[i] = "\n".join(body)
+    rows += [(8, "u", None), (9, "u", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["__tl_text"] for r in html.extract(pages, html.train(pages)).collect()}
+    assert got == want | {8: "", 9: ""}
+    with pytest.raises(ValueError):
+        html.train_on([])
+
+
 def test_viterbi_and_marginals_agree_with_all_paths():
     rng = np.random.default_rng(12)
     scores, step = rng.normal(size=(5, 2)), rng.normal(size=(2, 2))

@@ -10,10 +10,13 @@
   for each pair of neighbouring labels.  Trained by stochastic gradients on
   the log-likelihood (forward-backward) and decoded by Viterbi.
 * Labelled pages: a bounded sample of pages whose markup names the article
-  (``article``, ``main``) is labelled by it.  As real pages name their parts in
-  many ways, each is rewritten: the article and the parts around it move into
-  other elements, classes and ids, and asides, notices, forms and comments are
-  added with texts of other pages.  The labels are known by construction.
+  (``article``, ``main``) is labelled by it; menus, asides, forms, footers,
+  comments, adverts and notices inside it are other.  As real pages name their
+  parts in many ways, each is rewritten: the article and the parts around it
+  move into other elements, classes and ids, or into elements without names, and
+  asides, notices, forms and comments are added with texts of other pages.  The
+  labels are known by construction.  Pages built of fixed bodies are always
+  among them, so tables without such markup have a model, too.
 
 A null or empty page, or one without text, has the text "" and 0 characters.
 Repeated rows get equal results.
@@ -39,7 +42,9 @@ VARIANTS = 4  # rewritten copies of each
 EPOCHS = 6
 RATE = 0.3
 RIDGE = 1e-4
-MAX_LABEL_CHARS = 20_000  # longer pages are left out of the training sample
+EDGE_BLOCKS = 150  # first and last blocks that are kept of a labelled page
+EDGE_CHARS = 1000  # first and last characters that are kept of its blocks
+BUILT = 40  # built bodies that are always labelled
 
 # Elements of HTML by their role in the layout.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,6 +60,9 @@ CLOSED_BY = {  # an open element that the start of another closes
     "th": frozenset(["td", "th", "tr"]),
     "option": frozenset(["option"]),
 }
+PART_TAGS = frozenset("nav aside form footer".split())  # no text of an article, also inside one
+COMMENT_NAMES = frozenset("comment comments disqus".split())
+PART_NAMES = COMMENT_NAMES | frozenset("ad ads advert adverts advertisement advertising sponsored promo notice cookie cookies alert consent newsletter popup subscribe nav navbar navigation breadcrumb breadcrumbs menu sidebar related complementary contentinfo".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.DOTALL)
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.IGNORECASE)
 NAME = re.compile(r"[a-z]+")
@@ -62,15 +70,31 @@ SPACE = re.compile(r"\s+")
 
 
 class Block:
-    __slots__ = ("text", "tags", "names", "links", "hidden", "marked")
+    __slots__ = ("text", "tags", "names", "links", "hidden", "marked", "inside")
 
-    def __init__(self, text, tags, names, links, hidden, marked):
-        self.text, self.tags, self.names, self.links, self.hidden, self.marked = text, tags, names, links, hidden, marked
+    def __init__(self, text, tags, names, links, hidden, marked, inside):
+        self.text, self.tags, self.names, self.links, self.hidden, self.marked, self.inside = text, tags, names, links, hidden, marked, inside
+
+
+def in_article(stack: list[tuple[str, tuple[str, ...], bool, str | None]]) -> bool:
+    """Whether the innermost element belongs to the text of an article: it lies
+    in ``article`` or ``main`` and in no part of another kind."""
+    inside = False
+    for tag, names, *_ in stack:
+        if tag in PART_TAGS and (inside or tag != "form"):  # a form may hold a whole page
+            return False
+        if tag in ("article", "main"):
+            inside = True
+            if not COMMENT_NAMES.isdisjoint(names):
+                return False
+        elif tag not in ("html", "body") and not (PART_NAMES if inside else COMMENT_NAMES).isdisjoint(names):
+            return False
+    return inside
 
 
 def blocks(page: str | None) -> list[Block]:
     """Leaf blocks in page order.  ``marked`` is the value of the innermost
-    ``data-label`` of a training page, if any."""
+    ``data-label`` of a training page, if any; ``inside`` that of ``in_article``."""
     page = page or ""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...], bool, str | None]] = []
@@ -85,7 +109,7 @@ def blocks(page: str | None) -> list[Block]:
             if said:
                 names = tuple(n for _, own, _, _ in stack for n in own)
                 marked = next((m for *_, m in reversed(stack) if m), None)
-                out.append(Block(said, tuple(t for t, *_ in stack), names, min(1.0, links / len(said)), any(h for _, _, h, _ in stack), marked))
+                out.append(Block(said, tuple(t for t, *_ in stack), names, min(1.0, links / len(said)), any(h for _, _, h, _ in stack), marked, in_article(stack)))
             text.clear()
         links = 0
 
@@ -225,6 +249,8 @@ def viterbi(scores: np.ndarray, step: np.ndarray) -> list[int]:
 
 class Tagger:
     def __init__(self, names: dict[str, int], weights: np.ndarray, step: np.ndarray):
+        if not names:
+            raise ValueError("no labelled pages: there is no model of the main text")
         self.names, self.weights, self.step = names, weights, step
 
     def main_text(self, page: str | None) -> str:
@@ -278,7 +304,9 @@ OTHER = {
 
 def rewrite(body: list[Block], texts: list[str], rng: random.Random) -> str:
     """A page around the blocks of an article, with other parts whose texts
-    come from ``texts``.  ``data-label`` says which element holds the article."""
+    come from ``texts``.  ``data-label`` says which element holds the article.
+    Some pages are built of ``div`` without names."""
+    bare = rng.random() < 0.15
 
     def say(words: int) -> str:
         own = rng.choice(texts).split(" ")
@@ -301,7 +329,8 @@ def rewrite(body: list[Block], texts: list[str], rng: random.Random) -> str:
             inner = ("&copy; " if rng.random() < 0.7 else "") + say(rng.randint(4, 14))
         else:
             inner = say(rng.randint(3, 25)) if rng.random() < 0.6 else f"<p>{say(rng.randint(3, 25))}</p>"
-        return wrap(rng.choice(OTHER[kind]), inner, "other")
+        how = rng.choice(OTHER[kind])
+        return wrap("div" if bare else how, inner, "other")
 
     head = [part(k) for k in ("header", "menu", "notice", "advert") if rng.random() < 0.6]
     tail = [part(k) for k in ("comments", "sidebar", "advert", "form", "footer") if rng.random() < 0.6]
@@ -312,25 +341,52 @@ def rewrite(body: list[Block], texts: list[str], rng: random.Random) -> str:
         inner.append(f"<{tag}>{htmllib.escape(b.text)}</{tag}>" if rng.random() < 0.9 else f"<{tag}>{htmllib.escape(b.text)}")
         if rng.random() < 0.04:
             inner.append(part(rng.choice(["advert", "notice", "sidebar"])))
+    inner += [part(k) for k in ("form", "comments", "menu", "footer") if rng.random() < 0.1]
     if rng.random() < 0.2:
         tail.insert(0, part("sidebar"))
-    article = wrap(rng.choice(MAIN), "".join(inner), "main")
+    how = rng.choice(MAIN)
+    article = wrap("div" if bare else how, "".join(inner), "main")
     middle = [article, *tail]
     wrapper = rng.choice(["%s", "<div>%s</div>", '<div class="container">%s</div>', '<div id="page"><div class="wrapper">%s</div></div>'])
     return "<html><body>" + wrapper % "".join([*head, *middle]) + "</body></html>"
 
 
-def labelled(pages: list[str], seed: int = 1) -> list[tuple[list[Block], list[int]]]:
+def built(n: int = BUILT, seed: int = 7) -> list[list[Block]]:
+    """Bodies of articles of a fixed form: a title, then paragraphs and some
+    lists, headings and quotes; a few are long."""
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("bdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 4))) for _ in range(400)]
+
+    def say(n: int) -> str:
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    def sentence() -> str:
+        return say(rng.randint(3, 9)).capitalize() + (", " + say(rng.randint(2, 9)) if rng.random() < 0.6 else "") + rng.choice("....?!")
+
+    out = []
+    for _ in range(n):
+        body = [("h1", say(rng.randint(2, 9)).capitalize())]
+        for _ in range(rng.randint(1, 12) if rng.random() < 0.9 else rng.randint(40, 2 * EDGE_BLOCKS)):
+            kind = rng.choice(["p"] * 8 + ["h2", "li", "blockquote"])
+            body.append((kind, say(rng.randint(1, 7)).capitalize() if kind == "h2" else " ".join(sentence() for _ in range(rng.randint(1, 2 if kind == "li" else 7)))))
+        out.append([Block(text, (tag,), (), 0.0, False, None, True) for tag, text in body])
+    return out
+
+
+def labelled(pages: list[str | list[Block]], seed: int = 1) -> list[tuple[list[Block], list[int]]]:
+    """The pages, given as blocks or as markup, that name an article, with their
+    labels, and rewritten pages of their bodies and of the built ones."""
     rng = random.Random(seed)
     out, own = [], []
     for page in pages:
-        found = blocks(page)
-        labels = [int("article" in b.tags or "main" in b.tags) for b in found]
+        found = blocks(page) if isinstance(page, str) else page
+        labels = [int(b.inside) for b in found]
         if any(labels):
             out.append((found, labels))
             own.append([b for b, label in zip(found, labels) if label])
+    own += built()
     texts = [b.text for body in own for b in body if " " in b.text]
-    for body in own if texts else []:
+    for body in own:
         for _ in range(VARIANTS):
             cut = body[: rng.randint(1, len(body))]
             found = blocks(rewrite(cut, texts, rng))
@@ -338,11 +394,33 @@ def labelled(pages: list[str], seed: int = 1) -> list[tuple[list[Block], list[in
     return out
 
 
+def _edges(x, n: int):
+    return x if len(x) <= 2 * n else x[:n] + x[-n:]
+
+
+BLOCK = "array<struct<text:string,tags:array<string>,names:array<string>,links:double,hidden:boolean,inside:boolean>>"
+
+
+def _parser(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages as blocks; the middle of a long page or block is left out."""
+    kind = pa.list_(pa.struct([("text", pa.string()), ("tags", pa.list_(pa.string())), ("names", pa.list_(pa.string())), ("links", pa.float64()), ("hidden", pa.bool_()), ("inside", pa.bool_())]))
+    for part in slices(parts):
+        pages = []
+        for page in part.column("html"):
+            own = _edges(blocks(page.as_py()), EDGE_BLOCKS)
+            pages.append([{"text": _edges(b.text, EDGE_CHARS), "tags": list(b.tags), "names": list(b.names), "links": b.links, "hidden": b.hidden, "inside": b.inside} for b in own])
+        yield pa.RecordBatch.from_arrays([part.column("h"), pa.array(pages, kind)], names=["h", "blocks"])
+
+
 def train(pages: DataFrame, rows: int = PAGES) -> Tagger:
-    """A tagger trained on at most ``rows`` pages, the first by a hash."""
-    named = pages.filter(F.col("html").rlike("(?i)<(article|main)[\\s>]") & (F.length("html") <= MAX_LABEL_CHARS))
-    first = named.select("html").orderBy(F.xxhash64("html"), "html").limit(rows).collect()  # a bounded sample
-    return train_on(labelled([r["html"] for r in first]))
+    """A tagger trained on at most ``rows`` different pages, the first by a hash,
+    of any length, and on built ones."""
+    hashed = pages.select("html", F.xxhash64("html").alias("h"))
+    named = hashed.filter(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
+    first = [r["h"] for r in named.select("h").distinct().orderBy("h").limit(rows).collect()]  # a bounded sample
+    sample = hashed.filter(F.col("h").isin(first)).groupBy("h").agg(F.first("html").alias("html"))
+    found = sorted(sample.mapInArrow(_parser, f"h long, blocks {BLOCK}").collect(), key=lambda r: r["h"]) if first else []
+    return train_on(labelled([[Block(b["text"], tuple(b["tags"]), tuple(b["names"]), b["links"], b["hidden"], None, b["inside"]) for b in r["blocks"]] for r in found]))
 
 
 def extract(pages: DataFrame, tagger: Tagger) -> DataFrame:
