@@ -258,6 +258,26 @@ def test_update_mode_rollup_equals_complete(spark):
     assert complete.exceptAll(update).isEmpty() and update.exceptAll(complete).isEmpty()
 
 
+@pytest.mark.parametrize("mode", ["update", "append"])
+@pytest.mark.parametrize("granularity,first,border", [("week", "2024-01-01", "2024-01-08"), ("month", "2024-01-01", "2024-02-01")])
+def test_rollup_keeps_rows_late_over_the_end_of_a_bucket(spark, granularity, first, border, mode):
+    from tideline.streaming.ingest import rollup_stream
+
+    spec = events_spec().with_schema(query_granularity=granularity)
+    root = scratch_path(spark, f"late-{granularity}-{mode}")
+    schema = "ts timestamp, event_type string, value double, disposition string"
+    got, after = {}, datetime.fromisoformat(border)
+    hours = [[-4, 1], [-1, 2], [-20, 26], [24 * 40], [24 * 40 + 1]]  # from the border
+    for batch in hours:
+        rows = [(after + timedelta(hours=h), "a", 1.0, "processed") for h in batch]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/rows")
+        src = spark.readStream.schema(schema).parquet(f"{root}/rows")
+        agg = rollup_stream(src, spec, None, ["event_type"], "1 day")
+        sink = lambda df, _: got.update({str(r["t"])[:10]: r["rows"] for r in df.collect()})
+        agg.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    assert got[first] == 3 and got[border] == 3
+
+
 def test_two_subscriptions_one_table(spark):
     from tideline.sources.landing import read_envelopes, union_subscriptions
 

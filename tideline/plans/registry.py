@@ -735,9 +735,9 @@ def _rolled(r: DataFrame) -> DataFrame:
     return r.select("t", "event_type", "rows", r2("value_sum"), "value_min", "value_max")
 
 
-def _streamed_rollup(spark, spec, paths: StreamPaths) -> DataFrame:
+def _streamed_rollup(spark, spec, paths: StreamPaths, late: str = "31 days") -> DataFrame:
     out = f"{paths.table}_rollup"
-    q = start_rollup(spark, spec, paths.table, out, f"{paths.checkpoint}_rollup", None, ["event_type"], "31 days")
+    q = start_rollup(spark, spec, paths.table, out, f"{paths.checkpoint}_rollup", None, ["event_type"], late)
     q.awaitTermination()
     return read_rollup_updates(spark, out, ["event_type"])
 
@@ -776,6 +776,23 @@ def q_rollup_stream_week(spark, sf_dir):
     return _rolled(_streamed_rollup(spark, spec, paths))
 
 
+@register("rollup_stream_week_late", _rollup_sql("date_trunc('week', ts)"))
+def q_rollup_stream_week_late(spark, sf_dir):
+    """Messages come up to 19 hours late, in batches that end on Monday at 6:00:
+    rows of the week before come after rows of the new week, within the delay."""
+    spec = events_spec().with_schema(query_granularity="week")
+    paths = _table(spark, "rollup-week-late")
+    hours = F.pmod(F.crc32(F.col("messageId").cast("binary")), F.lit(20))
+    env = fx.envelopes(spark, sf_dir)
+    come = F.to_timestamp("publishTime") + F.make_dt_interval(hours=hours.cast("int"))
+    cuts = [F.to_timestamp(F.lit(f"2024-01-{day:02d} 06:00:00")) for day in (8, 15, 22)]
+    number = sum((F.when(come >= c, 1).otherwise(0) for c in cuts), F.lit(0))
+    for batch in range(len(cuts) + 1):
+        process_batch(env.filter(number == batch), batch, spec, paths)
+        rolled = _streamed_rollup(spark, spec, paths, "1 day")
+    return _rolled(rolled)
+
+
 @register("rollup_none", _rollup_sql("ts"))
 def q_rollup_none(spark, sf_dir):
     """Without a query granularity the event time stays as it is."""

@@ -214,20 +214,22 @@ def rollup_stream(rows: DataFrame, spec: IngestSpec, window: str | None, dims, l
     """Streaming rollup of processed rows with the buckets of the batch rollup.
 
     ``window`` is a width such as ``1 day``; without one, the spec's query
-    granularity holds.  The watermark follows the event time under a width, a
-    day and shorter units; weeks, months, quarters and years have no window form
-    that starts where ``truncate`` does, so theirs follows the bucket ends.
+    granularity holds.  The watermark follows the event time.  Weeks, months,
+    quarters and years have no window form that starts where ``truncate`` does;
+    their bucket end is marked as a column of event time, as ``window`` marks its
+    own, so a bucket is finished when the watermark reaches its end.
     """
-    ev = rows.filter(F.col("disposition") == PROCESSED).withColumn("event_time", F.col("ts").cast("timestamp"))
+    ev = rows.filter(F.col("disposition") == PROCESSED).withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", late)
     g = spec.data_schema.query_granularity
     window = window or WINDOW_OF.get(g)
     if window:
-        buckets = ev.withWatermark("event_time", late).groupBy(F.window("event_time", window).alias("w"), *dims)
+        buckets = ev.groupBy(F.window("event_time", window).alias("w"), *dims)
         start = F.col("w.start")
     else:
         start = truncate(F.col("event_time"), g)
         end = start if g == "none" else bucket_end(start, g)
-        buckets = ev.withColumn("_start", start).withColumn("_end", end).withWatermark("_end", late).groupBy("_end", "_start", *dims)
+        end = end.alias("_end", metadata=ev.schema["event_time"].metadata)
+        buckets = ev.select("*", start.alias("_start"), end).drop("event_time").groupBy("_end", "_start", *dims)
         start = F.col("_start")
     rolled = buckets.agg(*rollup_aggs(spec.data_schema))
     names = [c for c in rolled.columns if c not in ("w", "_start", "_end", *dims)]
