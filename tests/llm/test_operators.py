@@ -83,6 +83,22 @@ def test_line_dedup(spark):
     assert lines.dedup_lines(docs_of(spark, [])).count() == 0
 
 
+def test_line_dedup_groups_stay_bounded_under_skew(spark, monkeypatch):
+    say = lambda kind, i: f"{kind} line number {i} of more than forty characters"
+    rows = [(None if i % 3 else 7, "\n".join([say("hot", 0), say("pair", i // 5), say("own", i)]), "s") for i in range(600)]
+    rows += [(7, rows[0][1], "s")] * 300 + [(1000, say("pair", 3), "s")]
+    drops = lines.dropped_lines(docs_of(spark, rows)).agg(F.max(F.size("drops")), F.count("*")).first()
+    assert drops[0] <= 2 and drops[1] > 300  # a list for each text, of its own lines
+    got = lines.dedup_lines(docs_of(spark, rows)).select("doc_id", "__tl_lines", "__tl_dropped", F.coalesce("text", F.lit(""))).collect()
+    order = lambda r: str(r)
+    assert sorted(map(tuple, got), key=order) == sorted(brute_lines(rows), key=order)
+    monkeypatch.setattr(lines, "BLOCK_LINES", 50)
+    held = [(i % 3, i % 7, n, 1, 5) for n, i in enumerate([0] * 1500 + list(range(500)))] + [(9, 9, n, n, n) for n in range(1500)]
+    blocks = lines._blocks(spark.createDataFrame(held, "id long, row long, deal long, h1 long, h2 long"), 40).select("shard", F.size("h1s").alias("n")).collect()
+    assert sum(r["n"] for r in blocks) == len(held) and max(r["n"] for r in blocks) <= 100
+    assert sum(r["shard"] == 5 for r in blocks) > 20 and sum(r["shard"] == 6 for r in blocks) == 1
+
+
 @pytest.mark.parametrize("k,percent", [(4, 85), (5, 80)])
 def test_near_duplicates(spark, k, percent):
     rng = random.Random(k)

@@ -8,8 +8,9 @@
    slot a fingerprint, the number of documents and the largest doc_id.
 3. Documents probe the arrays: their line hashes travel in blocks of a bounded
    size to copies of the shard they fall in (a hot line is only a hot shard,
-   whose arrays are copied to as many blocks as it needs).  What comes back is
-   the list of dropped hashes of a document, which the text is filtered by.
+   whose arrays are copied to as many blocks as its own lines need).  What comes
+   back is the list of dropped hashes of a text and doc_id, which the text is
+   filtered by: rows that share a doc_id, or have none, do not share their lists.
 
 A false match needs equal slots and equal 64-bit fingerprints of different
 lines.  Nulls: a null text is one empty line.  A null doc_id counts as smaller
@@ -25,7 +26,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -51,16 +53,23 @@ def _halves(keys: list[bytes]) -> tuple[pa.Array, pa.Array]:
 
 
 def _hasher(min_chars: int):
+    """Line hashes of the rows; ``deal`` numbers the rows of a task, so equal
+    rows can be dealt to different blocks."""
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        deal = TaskContext.get().partitionId() << 32
         for part in slices(parts):
-            ids, keys = [], []
-            for i, text in zip(part.column("id").to_pylist(), part.column("text")):
+            ids, rows, deals, keys = [], [], [], []
+            for i, row, text in zip(part.column("id").to_pylist(), part.column("row").to_pylist(), part.column("text")):
+                deal += 1
                 if len(line := text.as_py() or "") >= min_chars:
                     own = {key_hash(x, min_chars) for x in line.split("\n")} - {None}
                     keys += own
                     ids += [i] * len(own)
+                    rows += [row] * len(own)
+                    deals += [deal] * len(own)
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *_halves(keys)], names=["id", "h1", "h2"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (ids, rows, deals)), *_halves(keys)], names=["id", "row", "deal", "h1", "h2"])
 
     return run
 
@@ -125,6 +134,7 @@ def _prober(min_docs: int):
                 h1 = np.array(row["h1s"], dtype=np.int64)
                 h2 = np.array(row["h2s"], dtype=np.int64)
                 ids = np.array(row["ids"], dtype=np.int64)
+                rows = np.array(row["rows"], dtype=np.int64)
                 prints = np.frombuffer(row["prints"], dtype=U64)
                 counts = np.frombuffer(row["counts"], dtype=np.uint32)
                 last = np.frombuffer(row["last"], dtype=np.int64)
@@ -133,20 +143,38 @@ def _prober(min_docs: int):
                 hit[hit] = prints[slot[hit]] == _fingerprint(h1.view(U64), h2.view(U64))[hit]
                 hit[hit] = (counts[slot[hit]] >= min_docs) & (last[slot[hit]] != ids[hit])
                 if hit.any():
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[hit]), pa.array([x.tobytes() for x in np.stack([h1[hit], h2[hit]], 1)], pa.binary())], names=["id", "key"]
-                    )
+                    keys = pa.array([x.tobytes() for x in np.stack([h1[hit], h2[hit]], 1)], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array(rows[hit]), keys], names=["id", "row", "key"])
 
     return probe
 
 
+def _row(docs: DataFrame) -> list[Column]:
+    """What rows are known by.  Which lines a row loses depends on its doc_id and
+    the lines alone, so texts of one doc_id whose hashes meet lose the right ones."""
+    return [F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)), F.xxhash64(docs["text"])]
+
+
+def _blocks(held: DataFrame, shards: int) -> DataFrame:
+    """The line hashes of each shard in blocks of about ``BLOCK_LINES``."""
+    shard = F.pmod("h2", F.lit(shards)).alias("shard")
+    sizes = staged(held.groupBy(shard).agg(F.ceil(F.count("*") / F.lit(BLOCK_LINES)).alias("copies")), "line-shard-sizes")
+    return (
+        held.select("*", shard)
+        .join(sizes, "shard")
+        .withColumn("copy", F.pmod(F.xxhash64("deal", "h1"), F.col("copies")))
+        .groupBy("shard", "copy")
+        .agg(F.collect_list(F.struct("h1", "h2", "id", "row")).alias("lines"))
+        .select("shard", F.col("lines.h1").alias("h1s"), F.col("lines.h2").alias("h2s"), F.col("lines.id").alias("ids"), F.col("lines.row").alias("rows"))
+    )
+
+
 def dropped_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """``(id, drops)``: the line hashes a document loses; only documents that
-    lose some."""
+    """``(id, row, drops)``: the line hashes a row loses; only rows that lose
+    some.  Equal rows have one list."""
+    own, row = _row(docs)
     held = staged(
-        docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text").mapInArrow(
-            _hasher(min_chars), "id long, h1 long, h2 long"
-        ),
+        docs.select(own.alias("id"), row.alias("row"), "text").mapInArrow(_hasher(min_chars), "id long, row long, deal long, h1 long, h2 long"),
         "line-hashes",
     )
     repeated = staged(
@@ -156,24 +184,18 @@ def dropped_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Da
         "repeated-lines",
     )
     shards = max(1, -(-repeated.count() // SHARD_KEYS))
-    copies = max(1, -(-held.count() // (shards * BLOCK_LINES)))
     shard = F.pmod("h2", F.lit(shards)).alias("shard")
     arrays = staged(repeated.select(shard, "*").groupBy("shard").applyInPandas(_build_shard, SHARD), "line-shards")
-    blocks = (
-        held.select("*", shard, F.pmod(F.xxhash64("id", "h1"), F.lit(copies)).alias("copy"))
-        .groupBy("shard", "copy")
-        .agg(F.collect_list(F.struct("h1", "h2", "id")).alias("rows"))
-        .select("shard", F.col("rows.h1").alias("h1s"), F.col("rows.h2").alias("h2s"), F.col("rows.id").alias("ids"))
-    )
-    hits = blocks.join(arrays, "shard").mapInArrow(_prober(min_docs), "id long, key binary")
-    return hits.groupBy("id").agg(F.collect_set("key").alias("drops"))
+    hits = _blocks(held, shards).join(arrays, "shard").mapInArrow(_prober(min_docs), "id long, row long, key binary")
+    return hits.groupBy("id", "row").agg(F.collect_set("key").alias("drops"))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """``docs`` with ``text`` rewritten, and ``__tl_lines``, ``__tl_dropped``
     (counts before and of dropping).  A text that loses nothing stays as it is
     (null included); one that loses all its lines becomes empty."""
-    drops = dropped_lines(docs, min_chars, min_docs).withColumnsRenamed({"id": "__tl_id", "drops": "__tl_drops"})
-    joined = docs.withColumn("__tl_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(drops, "__tl_id", "left")
+    drops = dropped_lines(docs, min_chars, min_docs).withColumnsRenamed({"id": "__tl_id", "row": "__tl_row", "drops": "__tl_drops"})
+    own, row = _row(docs)
+    joined = docs.withColumns({"__tl_id": own, "__tl_row": row}).join(drops, ["__tl_id", "__tl_row"], "left")
     schema = StructType([*docs.schema.fields, StructField("__tl_lines", LongType()), StructField("__tl_dropped", LongType())])
-    return joined.drop("__tl_id").mapInArrow(_dropper(min_chars, schema.names), schema)
+    return joined.drop("__tl_id", "__tl_row").mapInArrow(_dropper(min_chars, schema.names), schema)
