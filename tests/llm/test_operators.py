@@ -169,6 +169,16 @@ def test_decontamination_of_short_items_and_other_scripts(spark):
     assert (got[4]["first_word"], got[4]["end_word"]) == (1, 2)
 
 
+def test_decontamination_holds_one_block_of_items(spark, monkeypatch):
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(12))) for i in range(9)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = docs_of(spark, [(i, f"some words {t} and more", "s") for i, t in items])
+    monkeypatch.setattr(decontaminate, "ITEM_BLOCK", 4)
+    got = decontaminate.leaks(docs, bench)
+    assert "MapInArrow" not in got._jdf.queryExecution().toString()  # the scans, which hold the items, are done
+    assert sorted((r["doc_id"], r["item_id"]) for r in got.collect()) == [(i, i) for i in range(9)]
+
+
 def test_best_run_is_the_edit_distance():
     rng = np.random.default_rng(2)
     for _ in range(60):

@@ -19,7 +19,8 @@ For every block of items (bounded, so that an index fits a task):
 3. Candidates are verified by the exact edit distance of the item to the best
    run of words around the place (bit-parallel), for all that the LSH found.
 
-Items are read in blocks of ``ITEM_BLOCK``; documents are scanned once for each
+Items are read in blocks of ``ITEM_BLOCK``, one at a time (with more than one
+block, its leaks are written first); documents are scanned once for each
 block, without a shuffle.  Items of under ``MIN_WORDS`` words, of which no edit
 is allowed, are found by the keys of windows of their size.  Items without words
 and null or empty texts leak nothing; repeated rows are reported once each.
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import U64, WordHasher, letter_words, mix, spaced, stream, words_of_many
+from tideline.llm.common import U64, WordHasher, letter_words, mix, spaced, staged, stream, words_of_many
 
 ITEM_BLOCK = 4096
 MIN_WORDS = 5
@@ -289,6 +290,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, recall: float = 0.99) -> DataFr
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
         rows = [(r["item_id"], r["text"]) for r in own.collect()]  # one block of the benchmark
         found = docs.mapInArrow(_scanner(rows, recall), LEAKS)
+        if blocks > 1:  # no plan holds a block of items once the next is read
+            found = staged(found, "leaks")
         out = found if out is None else out.unionByName(found)
     return out
 
