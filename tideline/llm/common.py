@@ -24,13 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """Write ``df`` to the cluster's shared folder and read it back: cuts the
     lineage with a table that survives lost executors.  Python stages below get
-    Arrow batches of ``BATCH_ROWS`` rows meanwhile, as rows hold whole texts."""
+    Arrow batches of ``batch_rows`` rows meanwhile, as rows hold whole texts."""
     path, conf = scratch_path(df.sparkSession, f"llm-{name}"), df.sparkSession.conf
     rows = conf.get(ARROW_ROWS)
-    conf.set(ARROW_ROWS, str(BATCH_ROWS))
+    conf.set(ARROW_ROWS, str(batch_rows))
     try:
         df.write.parquet(path)
     finally:
