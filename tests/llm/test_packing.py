@@ -9,7 +9,7 @@ from tideline.llm.curve import hilbert, project
 
 TEXTS = [
     "Hello, world! It's 42 degrees; don't panic... (really)", None, "", " \n\t ", "x", "Çà et là — naïve café étude ok next", "dog's. \"Quoted.\" end.",
-    "a.b,c d", "mixed\x0bvertical\x0cfeed\x1cgroup", "<|endoftext|> and <|ENDOFTEXT|>.", "漢字かな交じり文。 한국어. ไทย", "İstanbul ŞIŞLI ΑΣ. ΑΣ", "word. word, WORD word!! wo.rd. ́x.",
+    "a.b,c d", "mixed\x0bvertical\x0cfeed\x1cgroup", "<|endoftext|> and <|ENDOFTEXT|>.", "漢字かな交じり文。 한국어. ไทย", "İstanbul ŞIŞLI ΑΣ. ΑΣ", "word. word, WORD word!! wo.rd. ́x.", "éé, É. ñandú! ßtraße ŉ ŁÓDŹ; µ ſ ÿ ª º ǆ e\u0301. ì´",
     "🙂🙂. 1234567890.", "'s 't 're. ''", "z" * 5000, "lorem ipsum dolor " * 3000,
 ]
 

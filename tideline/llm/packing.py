@@ -4,9 +4,9 @@ the order of a Hilbert curve and cut into sequences.
 1. A document's word hashes give a vector that is projected to few dimensions;
    its place on the Hilbert curve is its key.  Places of equal keys (copies) are
    told apart by a number of the row, so that no key is a hot one.
-2. Quantiles of the keys cut the curve into shards of about ``SHARD_CHARS``
-   characters of text each (bounds only; they reach the driver, one for each
-   shard).
+2. Quantiles of the keys of ``SHARD_KEYS`` sampled documents a shard cut the curve
+   into shards of about ``SHARD_CHARS`` characters of text each.  They say only
+   which task takes a document; they reach the driver, one for each shard.
 3. One shuffle brings each document's ids to its shard, sorted along the curve.
    A shard's ids are one run, cut at every ``length`` ids; what is left at its
    end is cut into sequences whose lengths are falling powers of two, which need
@@ -20,6 +20,7 @@ a null doc_id is kept as it is.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -31,11 +32,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import U64, WordHasher, letter_words, mix, slices, staged, words_of_many
+from tideline.llm.common import U64, WordHasher, letter_words, mix, slices, words_of_many
 from tideline.llm.curve import hilbert, project
 
 LENGTH, END = 2048, 1
 SHARD_CHARS = 1 << 23
+SHARD_KEYS = 64  # documents sampled for each shard to find where it begins
 MAX_SHARDS = 1 << 16  # of one call; shards grow beyond that
 TIE_BITS = 22
 WORDS = 1 << 19  # words whose ids a Python worker remembers
@@ -43,63 +45,94 @@ WORDS = 1 << 19  # words whose ids a Python worker remembers
 # Only these part words here: the tokenizer reads each of them as white space,
 # and nothing that it does to a text reaches across white space.
 _WORD = re.compile(r"[^ \n\r\t]+")
+# A word of these alone is one run of the pre-tokenizer, left as it is by NFC and
+# lower case, so the model can have its bytes at once.
+_LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u017e]+")
 _TAIL = ".,;:!?"
 
 
+def _byte_letters() -> dict[int, str]:
+    """How byte-level tokenizers write a byte: itself where it is printable, the
+    others in order from U+0100."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Words(dict):
+    """Numbers of words, given as they come; ``new`` has the unseen ones."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 class Encoder:
-    """Ids of texts by a tokenizer whose pre-tokenizer parts words at white space;
-    each different word is encoded once while it is remembered."""
+    """Ids of texts by a byte-level tokenizer that lower-cases and parts words at
+    white space; each different word is encoded once while it is remembered."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.letters = _byte_letters()
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place = _Words()
+        self.place.new = []
         self.flat, self.starts, self.sizes = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.marks = {c: self.tokenizer.encode(c, add_special_tokens=False).ids for c in _TAIL}
 
     def _learn(self, words: list[str]) -> None:
-        """Ids of new words.  A mark behind a letter is a token run of its own, and
-        letter case is dropped, so a word is encoded without them."""
-        parts, wanted = [], {}
-        for w in words:
-            plain = w.lower() if w.isascii() and "<" not in w else w
-            mark = plain[-1] if len(plain) > 1 and plain[-1] in _TAIL and plain[-2].isalpha() else ""
-            parts.append((plain[: len(plain) - len(mark)], mark))
-            for x in parts[-1]:
-                if x:
-                    wanted.setdefault(x, len(wanted))
-        ids = [np.array(e.ids, dtype=np.uint32) for e in self.model.encode_batch_fast(list(wanted), add_special_tokens=False)]
-        none = np.zeros(0, dtype=np.uint32)
-        new = [np.concatenate([ids[wanted[a]] if a else none, ids[wanted[b]]]) if b else ids[wanted[a]] for a, b in parts]
-        sizes = np.array([len(x) for x in new], dtype=np.int64)
-        starts = len(self.flat) + np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-        for w in words:
-            self.place[w] = len(self.place)
-        self.flat = np.concatenate([self.flat, *new])
+        """Ids of new words.  A mark behind a letter is a run of its own, and letter
+        case is dropped; other words than letters and a mark go through the whole
+        tokenizer."""
+        tokenize, letters = self.tokenizer.model.tokenize, self.letters
+        found: list[list[int] | None] = []
+        rest = []
+        for i, w in enumerate(words):
+            plain = w.lower()
+            mark = plain[-1] if len(plain) > 1 and plain[-1] in _TAIL else ""
+            base = plain[:-1] if mark else plain
+            if _LETTERS.fullmatch(base):
+                raw = base if base.isascii() else base.encode().decode("latin-1").translate(letters)
+                ids = [t.id for t in tokenize(raw)]
+                found.append(ids + self.marks[mark] if mark else ids)
+            else:
+                found.append(None)
+                rest.append(i)
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)):
+            found[i] = e.ids
+        sizes = np.array([len(x) for x in found], dtype=np.int64)
+        starts = len(self.flat) + np.cumsum(sizes) - sizes
+        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(found), dtype=np.uint32, count=int(sizes.sum()))])
         self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
 
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
-        words = [_WORD.findall(t or "") for t in texts]
         if len(self.place) > WORDS:
             self.forget()
-        new = list({w for own in words for w in own if w not in self.place})
-        if new:
-            self._learn(new)
-        at = np.array([self.place[w] for own in words for w in own], dtype=np.int64)
-        sizes = self.sizes[at]
+        number, per_text = self.place.__getitem__, []
+        at: list[int] = []
+        for t in texts:
+            at += map(number, _WORD.findall(t or ""))
+            per_text.append(len(at))
+        if self.place.new:
+            self._learn(self.place.new)
+            self.place.new = []
+        words = np.array(at, dtype=np.int64)
+        sizes = self.sizes[words]
         ends = np.cumsum(sizes)
-        flat = self.flat[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        cuts = np.concatenate([[0], ends])[np.cumsum([0] + [len(own) for own in words])]
+        flat = self.flat[np.repeat(self.starts[words] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        cuts = np.concatenate([[0], ends])[[0, *per_text]]
         return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
@@ -140,19 +173,20 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in _runs(part):
             keys = _places(hasher, texts, row)
             row += len(texts)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([len(t or "") for t in texts], pa.int64())], names=["place", "chars"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["place"])
 
 
 def shard_bounds(docs: DataFrame, shard_chars: int = SHARD_CHARS) -> np.ndarray:
-    """First places of all shards but the first, ascending."""
-    keys = staged(docs.select("text").mapInArrow(_keyed, "place bigint, chars bigint"), "curve-places")
-    chars = keys.agg(F.sum("chars").alias("c")).first()["c"] or 0
-    shards = min(MAX_SHARDS, -(-chars // shard_chars))
+    """First places of all shards but the first, ascending: quantiles of the places
+    of about ``SHARD_KEYS`` sampled documents for each shard."""
+    size = docs.agg(F.count("*").alias("n"), F.sum(F.char_length("text")).alias("chars")).first()
+    shards = min(MAX_SHARDS, -(-(size["chars"] or 0) // shard_chars))
     if shards < 2:
         return np.zeros(0, dtype=np.int64)
-    steps = [i / shards for i in range(1, shards)]
-    got = keys.agg(F.percentile_approx("place", F.array(*map(F.lit, steps)), F.lit(20 * shards)).alias("p")).first()["p"]
-    return np.unique(np.array(got, dtype=np.int64))
+    sample = docs.sample(min(1.0, SHARD_KEYS * shards / size["n"]), seed=12)
+    steps = F.array(*[F.lit(i / shards) for i in range(1, shards)])
+    got = sample.select("text").mapInArrow(_keyed, "place bigint").agg(F.percentile_approx("place", steps, F.lit(20 * shards)).alias("p")).first()["p"]
+    return np.unique(np.array(got or [], dtype=np.int64))
 
 
 def _tokens(path: str, bounds: np.ndarray):
