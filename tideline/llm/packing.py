@@ -1,7 +1,7 @@
 """Packing by a space-filling curve: documents as token ids, laid end to end in
 the order of a Hilbert curve and cut into sequences.
 
-1. A document's word hashes give a vector that is projected to few dimensions;
+1. The hashes of a document's ids give a vector that is projected to few dimensions;
    its place on the Hilbert curve is its key.  Places of equal keys (copies) are
    told apart by a number of the row, so that no key is a hot one.
 2. Quantiles of the keys of ``SHARD_KEYS`` sampled documents a shard cut the curve
@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import U64, WordHasher, letter_words, mix, slices, words_of_many
+from tideline.llm.common import U64, mix, slices
 from tideline.llm.curve import hilbert, project
 
 LENGTH, END = 2048, 1
@@ -49,6 +49,7 @@ _WORD = re.compile(r"[^ \n\r\t]+")
 # lower case, so the model can have its bytes at once.
 _LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u017e]+")
 _TAIL = ".,;:!?"
+_SPREAD = U64(0x9E3779B97F4A7C15)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -158,25 +159,28 @@ def _runs(part: pa.RecordBatch, limit: int = CHARS) -> Iterator[tuple[int, list[
         yield at, own
 
 
-def _places(hasher: WordHasher, texts: list[str | None], row: int) -> np.ndarray:
-    """Curve place and row number of each text as one number."""
-    keys = hilbert(project(words_of_many(hasher, texts)))
-    part = U64(TaskContext.get().partitionId() if TaskContext.get() else 0)
+def _places(ids: list[np.ndarray], row: int) -> np.ndarray:
+    """Curve place and row number of each document's ids as one number."""
     with np.errstate(over="ignore"):
-        ties = mix(np.arange(row, row + len(texts), dtype=U64) + (part << U64(40))) >> U64(64 - TIE_BITS)
+        keys = hilbert(project([mix(x.astype(U64) * _SPREAD) for x in ids]))
+        part = U64(TaskContext.get().partitionId() if TaskContext.get() else 0)
+        ties = mix(np.arange(row, row + len(ids), dtype=U64) + (part << U64(40))) >> U64(64 - TIE_BITS)
     return (keys << TIE_BITS) | ties.astype(np.int64)
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher, row = WordHasher(letter_words()), 0
-    for part in slices(batches):
-        for _, texts in _runs(part):
-            keys = _places(hasher, texts, row)
-            row += len(texts)
-            yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["place"])
+def _keyed(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, row = _encoder(path), 0
+        for part in slices(batches):
+            for _, texts in _runs(part):
+                keys = _places(model.ids(texts), row)
+                row += len(texts)
+                yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["place"])
+
+    return run
 
 
-def shard_bounds(docs: DataFrame, shard_chars: int = SHARD_CHARS) -> np.ndarray:
+def shard_bounds(docs: DataFrame, path: str, shard_chars: int = SHARD_CHARS) -> np.ndarray:
     """First places of all shards but the first, ascending: quantiles of the places
     of about ``SHARD_KEYS`` sampled documents for each shard."""
     size = docs.agg(F.count("*").alias("n"), F.sum(F.char_length("text")).alias("chars")).first()
@@ -185,18 +189,19 @@ def shard_bounds(docs: DataFrame, shard_chars: int = SHARD_CHARS) -> np.ndarray:
         return np.zeros(0, dtype=np.int64)
     sample = docs.sample(min(1.0, SHARD_KEYS * shards / size["n"]), seed=12)
     steps = F.array(*[F.lit(i / shards) for i in range(1, shards)])
-    got = sample.select("text").mapInArrow(_keyed, "place bigint").agg(F.percentile_approx("place", steps, F.lit(20 * shards)).alias("p")).first()["p"]
+    got = sample.select("text").mapInArrow(_keyed(path), "place bigint").agg(F.percentile_approx("place", steps, F.lit(20 * shards)).alias("p")).first()["p"]
     return np.unique(np.array(got or [], dtype=np.int64))
 
 
 def _tokens(path: str, bounds: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, model, row = WordHasher(letter_words()), _encoder(path), 0
+        model, row = _encoder(path), 0
         for part in slices(batches):
             for at, texts in _runs(part):
-                places = _places(hasher, texts, row)
+                ids = model.ids(texts)
+                places = _places(ids, row)
                 row += len(texts)
-                raw = [np.append(x, np.uint32(END)) for x in model.ids(texts)]
+                raw = [np.append(x, np.uint32(END)) for x in ids]
                 small = [x.astype(np.uint16).tobytes() if x.max() < 1 << 16 else b"" for x in raw]
                 large = [None if s else x.tobytes() for s, x in zip(small, raw)]
                 cols = [
@@ -294,7 +299,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, sh
     length, ids (little-endian unsigned 32 bits each), doc_tokens, sequence_id,
     offset (in its sequence).  ``tokenizer`` is a path that all executors read."""
     docs = docs.select("doc_id", "text")
-    path, bounds = tokenizer or default_tokenizer(), shard_bounds(docs, shard_chars)
+    path = tokenizer or default_tokenizer()
+    bounds = shard_bounds(docs, path, shard_chars)
     kind = dict(docs.dtypes)["doc_id"]
     ids = docs.mapInArrow(_tokens(path, bounds), f"doc_id {kind}, shard int, place bigint, ids2 binary, ids4 binary")
     placed = ids.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", "place")
