@@ -28,6 +28,7 @@ import html as htmllib
 import random
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -63,53 +64,121 @@ CLOSED_BY = {  # an open element that the start of another closes
 PART_TAGS = frozenset("nav aside form footer".split())  # no text of an article, also inside one
 COMMENT_NAMES = frozenset("comment comments disqus".split())
 PART_NAMES = COMMENT_NAMES | frozenset("ad ads advert adverts advertisement advertising sponsored promo notice cookie cookies alert consent newsletter popup subscribe nav navbar navigation breadcrumb breadcrumbs menu sidebar related complementary contentinfo".split())
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.DOTALL)
+OPEN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+STOP = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.IGNORECASE)
+MARK = re.compile(r'data-label="(\w+)"')
 NAME = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 
 
+class Frame:
+    """An open element and what its ancestors add up to; the work for one does not
+    grow with its depth.
+
+    ``inside`` tells whether the element belongs to the text of an article: it
+    lies in ``article`` or ``main`` and in no part of another kind (``dead``).
+    """
+
+    __slots__ = ("tag", "own", "above", "hidden", "mark", "inside", "dead", "tags", "names")
+
+    def __init__(self, tag: str, own: tuple[str, ...], above: Frame | None, hidden: bool, mark: str | None, known: Known | None):
+        self.tag, self.own, self.above = tag, own, above
+        self.hidden = hidden or (above is not None and above.hidden)
+        self.mark = mark or (above.mark if above else None)
+        self.inside, self.dead = (above.inside, above.dead) if above else (False, False)
+        if tag in PART_TAGS and (self.inside or tag != "form"):  # a form may hold a whole page
+            self.dead = True
+        elif tag in ("article", "main"):
+            self.inside = True
+            self.dead |= not COMMENT_NAMES.isdisjoint(own)
+        elif tag not in ("html", "body"):
+            self.dead |= not (PART_NAMES if self.inside else COMMENT_NAMES).isdisjoint(own)
+        self.tags = self.names = None
+        if known is not None:
+            none: frozenset[str] = frozenset()
+            self.tags, self.names = (above.tags, above.names) if above else (none, none)
+            if tag in known.tags and tag not in self.tags:
+                self.tags |= {tag}
+            new = [n for n in own if n in known.names and n not in self.names]
+            if new:
+                self.names |= frozenset(new)
+
+    def listed(self, done: dict[int, tuple[frozenset[str], frozenset[str]]]) -> tuple[frozenset[str], frozenset[str]]:
+        """All tags and names from here up; ``done`` has those of other blocks."""
+        tags, names, frame = set(), set(), self
+        while frame is not None and id(frame) not in done:
+            tags.add(frame.tag)
+            names.update(frame.own)
+            frame = frame.above
+        more = done[id(frame)] if frame is not None else (frozenset(), frozenset())
+        done[id(self)] = out = (more[0] | tags, more[1] | names)
+        return out
+
+
+@dataclass(frozen=True)
+class Known:
+    """The tags and names that a model has weights for; ancestors' others need not
+    be kept."""
+
+    tags: frozenset[str]
+    names: frozenset[str]
+
+
 class Block:
-    __slots__ = ("text", "tags", "names", "links", "hidden", "marked", "inside")
-
-    def __init__(self, text, tags, names, links, hidden, marked, inside):
-        self.text, self.tags, self.names, self.links, self.hidden, self.marked, self.inside = text, tags, names, links, hidden, marked, inside
-
-
-def in_article(stack: list[tuple[str, tuple[str, ...], bool, str | None]]) -> bool:
-    """Whether the innermost element belongs to the text of an article: it lies
-    in ``article`` or ``main`` and in no part of another kind."""
-    inside = False
-    for tag, names, *_ in stack:
-        if tag in PART_TAGS and (inside or tag != "form"):  # a form may hold a whole page
-            return False
-        if tag in ("article", "main"):
-            inside = True
-            if not COMMENT_NAMES.isdisjoint(names):
-                return False
-        elif tag not in ("html", "body") and not (PART_NAMES if inside else COMMENT_NAMES).isdisjoint(names):
-            return False
-    return inside
-
-
-def blocks(page: str | None) -> list[Block]:
-    """Leaf blocks in page order.  ``marked`` is the value of the innermost
-    ``data-label`` of a training page, if any; ``inside`` that of ``in_article``."""
+    """``mark`` is the value of the innermost ``data-label`` of a training page."""
+
+    __slots__ = ("text", "leaf", "tags", "names", "links", "hidden", "mark", "inside")
+
+    def __init__(self, text, leaf, tags, names, links, hidden, mark, inside):
+        self.text, self.leaf, self.tags, self.names = text, leaf, tags, names
+        self.links, self.hidden, self.mark, self.inside = links, hidden, mark, inside
+
+
+class _Scanner:
+    """Ends of tags, each character looked at a bounded number of times: what is
+    once found missing in the rest of the page is not searched for again."""
+
+    def __init__(self, page: str):
+        self.page, self.missing = page, set()
+
+    def find(self, what: str, at: int) -> int:
+        if what in self.missing:
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.missing.add(what)
+        return found
+
+    def tag_end(self, at: int) -> int:
+        """Where the ``>`` of a tag is, quoted ones left out; a quote that nothing
+        closes is a character like others.  -1 without one."""
+        while True:
+            if ">" in self.missing:
+                return -1
+            m = STOP.search(self.page, at)
+            if not m or m[0] == ">":
+                return self.find(">", at) if not m else m.start()
+            close = self.find(m[0], m.end())
+            at = m.end() if close < 0 else close + 1
+
+
+def blocks(page: str | None, known: Known | None = None, marks: bool = False, keep: int | None = None) -> list[Block]:
+    """Leaf blocks in page order.  Without ``known`` all tags and names of the
+    ancestors are listed, of the first and last ``keep`` blocks."""
     page = page or ""
-    out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...], bool, str | None]] = []
+    found: list[tuple[str, Frame | None, float]] = []
+    stack: list[Frame] = []
+    held: dict[str, int] = {}
     text: list[str] = []
     linked = links = 0
-    at = 0
 
     def flush() -> None:
         nonlocal links
         if text:
             said = SPACE.sub(" ", htmllib.unescape("".join(text))).strip()
             if said:
-                names = tuple(n for _, own, _, _ in stack for n in own)
-                marked = next((m for *_, m in reversed(stack) if m), None)
-                out.append(Block(said, tuple(t for t, *_ in stack), names, min(1.0, links / len(said)), any(h for _, _, h, _ in stack), marked, in_article(stack)))
+                found.append((said, stack[-1] if stack else None, min(1.0, links / len(said))))
             text.clear()
         links = 0
 
@@ -119,32 +188,47 @@ def blocks(page: str | None) -> list[Block]:
         if linked:
             links += len(piece)
 
-    n = len(page)
+    def pop() -> None:
+        held[stack.pop().tag] -= 1
+
+    scan, at, n = _Scanner(page), 0, len(page)
     while at < n:
-        m = TOKEN.search(page, at)
-        if not m:
-            say(page[at:])
+        start = page.find("<", at)
+        if start != at:
+            say(page[at:] if start < 0 else page[at:start])
+        if start < 0:
             break
-        if m.start() > at:
-            say(page[at : m.start()])
-        at = m.end()
-        if not m[2]:
+        if page.startswith("<!--", start):
+            end = scan.find("-->", start + 4)
+            at = n if end < 0 else end + 3
             continue
-        tag = m[2].lower()
+        m = OPEN.match(page, start)
+        if not m:
+            end = scan.find(">", start) if page.startswith(("<!", "<?"), start) else -1
+            if end < 0:
+                say("<")
+            at = start + 1 if end < 0 else end + 1
+            continue
+        end = scan.tag_end(m.end())
+        if end < 0:
+            say(page[start:])
+            break
+        at, tag, rest = end + 1, m[2].lower(), page[m.end() : end]
         if m[1]:
             if tag in INLINE:
                 linked -= tag == "a" and linked > 0
                 continue
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             flush()
-            if depth is not None:
-                del stack[depth:]
+            if held.get(tag):
+                while stack[-1].tag != tag:
+                    pop()
+                pop()
                 linked = 0
             continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
-            if not page[m.start() : at].endswith("/>"):
-                at = end.end() if end else n
+            if not rest.endswith("/"):
+                close = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
+                at = close.end() if close else n
             if tag not in INLINE:
                 flush()
             continue
@@ -156,13 +240,13 @@ def blocks(page: str | None) -> list[Block]:
             continue
         flush()
         linked = 0
-        while stack and tag in CLOSED_BY.get(stack[-1][0], ()):
-            stack.pop()
+        while stack and tag in CLOSED_BY.get(stack[-1].tag, ()):
+            pop()
         if tag in VOID:
             continue
-        names, hidden, marked = [], False, None
-        if len(m[3]) > 3:
-            for a in ATTRIBUTE.finditer(m[3]):
+        names, hidden, mark = [], False, None
+        if len(rest) > 3:
+            for a in ATTRIBUTE.finditer(rest):
                 key, value = a[1].lower(), (a[2] or "").strip("\"'").lower()
                 if key in ("class", "id", "role"):
                     names += NAME.findall(value)
@@ -170,10 +254,20 @@ def blocks(page: str | None) -> list[Block]:
                     hidden |= "display:none" in value.replace(" ", "")
                 else:
                     hidden |= value != "false"
-            if "data-label" in m[3]:
-                marked = re.search(r'data-label="(\w+)"', m[3])[1]
-        stack.append((tag, tuple(names), hidden, marked))
+            if marks and (own := MARK.search(rest)):
+                mark = own[1]
+        stack.append(Frame(tag, tuple(names), stack[-1] if stack else None, hidden, mark, known))
+        held[tag] = held.get(tag, 0) + 1
     flush()
+    out = []
+    listed: dict[int, tuple[frozenset[str], frozenset[str]]] = {}
+    for said, frame, share in found if keep is None else _edges(found, keep):
+        none: frozenset[str] = frozenset()
+        if frame is None:
+            out.append(Block(said, None, none, none, share, False, None, False))
+            continue
+        tags, names = (frame.tags, frame.names) if known is not None else frame.listed(listed)
+        out.append(Block(said, frame.tag, tags, names, share, frame.hidden, frame.mark, frame.inside and not frame.dead))
     return out
 
 
@@ -188,11 +282,11 @@ def features(own: list[Block]) -> list[list[str]]:
         stops = sum(b.text.count(c) for c in ".,;!?")
         f = ["bias", f"w{_bucket(words, 2, 4, 8, 15, 30, 60)}", f"l{_bucket(b.links, 0.05, 0.3, 0.7, 0.95)}", f"s{_bucket(stops / words, 0.01, 0.05, 0.15, 0.4)}"]
         f.append(f"e{b.text[-1] in '.!?:'}")
-        f += [f"t:{t}" for t in set(b.tags)]
-        if b.tags:
-            f.append(f"leaf:{b.tags[-1]}")
-            f.append(f"leaf:{b.tags[-1]}:w{_bucket(words, 4, 15)}")
-        f += [f"n:{n}" for n in set(b.names)]
+        f += [f"t:{t}" for t in b.tags]
+        if b.leaf:
+            f.append(f"leaf:{b.leaf}")
+            f.append(f"leaf:{b.leaf}:w{_bucket(words, 4, 15)}")
+        f += [f"n:{n}" for n in b.names]
         if b.hidden:
             f.append("hidden")
         if i == 0:
@@ -252,9 +346,11 @@ class Tagger:
         if not names:
             raise ValueError("no labelled pages: there is no model of the main text")
         self.names, self.weights, self.step = names, weights, step
+        of = lambda kind: frozenset(n[2:] for n in names if n.startswith(kind))
+        self.known = Known(of("t:"), of("n:"))
 
     def main_text(self, page: str | None) -> str:
-        own = blocks(page)
+        own = blocks(page, self.known)
         if not own:
             return ""
         x = [np.array([self.names[f] for f in row if f in self.names], dtype=np.int64) for row in features(own)]
@@ -337,7 +433,7 @@ def rewrite(body: list[Block], texts: list[str], rng: random.Random) -> str:
     rng.shuffle(head)
     inner = []
     for b in body:
-        tag = b.tags[-1] if b.tags and b.tags[-1] in ("h1", "h2", "h3", "li", "blockquote", "pre") else "p"
+        tag = b.leaf if b.leaf in ("h1", "h2", "h3", "li", "blockquote", "pre") else "p"
         inner.append(f"<{tag}>{htmllib.escape(b.text)}</{tag}>" if rng.random() < 0.9 else f"<{tag}>{htmllib.escape(b.text)}")
         if rng.random() < 0.04:
             inner.append(part(rng.choice(["advert", "notice", "sidebar"])))
@@ -369,7 +465,7 @@ def built(n: int = BUILT, seed: int = 7) -> list[list[Block]]:
         for _ in range(rng.randint(1, 12) if rng.random() < 0.9 else rng.randint(40, 2 * EDGE_BLOCKS)):
             kind = rng.choice(["p"] * 8 + ["h2", "li", "blockquote"])
             body.append((kind, say(rng.randint(1, 7)).capitalize() if kind == "h2" else " ".join(sentence() for _ in range(rng.randint(1, 2 if kind == "li" else 7)))))
-        out.append([Block(text, (tag,), (), 0.0, False, None, True) for tag, text in body])
+        out.append([Block(text, tag, frozenset([tag]), frozenset(), 0.0, False, None, True) for tag, text in body])
     return out
 
 
@@ -389,8 +485,8 @@ def labelled(pages: list[str | list[Block]], seed: int = 1) -> list[tuple[list[B
     for body in own:
         for _ in range(VARIANTS):
             cut = body[: rng.randint(1, len(body))]
-            found = blocks(rewrite(cut, texts, rng))
-            out.append((found, [int(b.marked == "main") for b in found]))
+            found = blocks(rewrite(cut, texts, rng), marks=True)
+            out.append((found, [int(b.mark == "main") for b in found]))
     return out
 
 
@@ -398,17 +494,17 @@ def _edges(x, n: int):
     return x if len(x) <= 2 * n else x[:n] + x[-n:]
 
 
-BLOCK = "array<struct<text:string,tags:array<string>,names:array<string>,links:double,hidden:boolean,inside:boolean>>"
+BLOCK = "array<struct<text:string,leaf:string,tags:array<string>,names:array<string>,links:double,hidden:boolean,inside:boolean>>"
 
 
 def _parser(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages as blocks; the middle of a long page or block is left out."""
-    kind = pa.list_(pa.struct([("text", pa.string()), ("tags", pa.list_(pa.string())), ("names", pa.list_(pa.string())), ("links", pa.float64()), ("hidden", pa.bool_()), ("inside", pa.bool_())]))
+    kind = pa.list_(pa.struct([("text", pa.string()), ("leaf", pa.string()), ("tags", pa.list_(pa.string())), ("names", pa.list_(pa.string())), ("links", pa.float64()), ("hidden", pa.bool_()), ("inside", pa.bool_())]))
     for part in slices(parts):
         pages = []
         for page in part.column("html"):
-            own = _edges(blocks(page.as_py()), EDGE_BLOCKS)
-            pages.append([{"text": _edges(b.text, EDGE_CHARS), "tags": list(b.tags), "names": list(b.names), "links": b.links, "hidden": b.hidden, "inside": b.inside} for b in own])
+            own = blocks(page.as_py(), keep=EDGE_BLOCKS)
+            pages.append([{"text": _edges(b.text, EDGE_CHARS), "leaf": b.leaf, "tags": sorted(b.tags), "names": sorted(b.names), "links": b.links, "hidden": b.hidden, "inside": b.inside} for b in own])
         yield pa.RecordBatch.from_arrays([part.column("h"), pa.array(pages, kind)], names=["h", "blocks"])
 
 
@@ -420,7 +516,7 @@ def train(pages: DataFrame, rows: int = PAGES) -> Tagger:
     first = [r["h"] for r in named.select("h").distinct().orderBy("h").limit(rows).collect()]  # a bounded sample
     sample = hashed.filter(F.col("h").isin(first)).groupBy("h").agg(F.first("html").alias("html"))
     found = sorted(sample.mapInArrow(_parser, f"h long, blocks {BLOCK}").collect(), key=lambda r: r["h"]) if first else []
-    return train_on(labelled([[Block(b["text"], tuple(b["tags"]), tuple(b["names"]), b["links"], b["hidden"], None, b["inside"]) for b in r["blocks"]] for r in found]))
+    return train_on(labelled([[Block(b["text"], b["leaf"], frozenset(b["tags"]), frozenset(b["names"]), b["links"], b["hidden"], None, b["inside"]) for b in r["blocks"]] for r in found]))
 
 
 def extract(pages: DataFrame, tagger: Tagger) -> DataFrame:
