@@ -1,10 +1,12 @@
 """Run an ingest spec: ``python -m tideline.cli spec.json --root <shared folder>``.
 
-The spec is the JSON a user submits.  ``--mode batch`` ingests everything in
-the landing folder as one batch; ``--mode stream`` starts query 1 with
+The spec is the JSON a user submits.  ``--mode batch`` ingests what is new in the
+landing folder since the last run, in commits under the next batch numbers;
+``--mode stream`` starts query 1 with
 ``availableNow`` (drain and stop) or, with ``--continuous``, a processing-time
 trigger of ``intermediateHandoffPeriod``.  Output folders live under
-``--root``: ``rows``, ``ledger``, ``meters``, ``checkpoint``.
+``--root``: ``rows``, ``ledger``, ``meters``, ``checkpoint``.  ``--subscription
+label=folder`` (several times) feeds the table from several landing folders.
 """
 
 from __future__ import annotations
@@ -15,9 +17,9 @@ import json
 from pyspark.sql import SparkSession
 
 from tideline.session import ensure_utc
-from tideline.sources.landing import read_envelopes
+from tideline.sources.manifest import Landing
 from tideline.spec import IngestSpec
-from tideline.streaming.ingest import StreamPaths, process_batch, start_ingest
+from tideline.streaming.ingest import StreamPaths, ingest_landing, start_ingest
 
 
 def paths_for(root: str, landing: str) -> StreamPaths:
@@ -32,7 +34,9 @@ def main(argv=None) -> None:
     ap.add_argument("--root", required=True)
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--mode", choices=["batch", "stream"], default="stream")
-    ap.add_argument("--batch-id", type=int, default=0)
+    ap.add_argument("--source", choices=["envelopes", "pulls"], default="envelopes")
+    ap.add_argument("--multi-line", action="store_true", help="pull responses that span lines")
+    ap.add_argument("--subscription", action="append", default=[], metavar="LABEL=FOLDER")
     ap.add_argument("--continuous", action="store_true")
     a = ap.parse_args(argv)
     with open(a.spec) as fh:
@@ -41,11 +45,14 @@ def main(argv=None) -> None:
     ensure_utc(spark)
     landing = a.landing or spec.landing_path(f"{a.root.rstrip('/')}/landing")
     paths = paths_for(a.root, landing)
+    folders = dict(x.split("=", 1) for x in a.subscription)
     if a.mode == "batch":
-        meters = process_batch(read_envelopes(spark, landing, a.format), a.batch_id, spec, paths)
-        print(json.dumps({"data_source": spec.data_source, "batch_id": a.batch_id, **meters}))
+        where = Landing(folders or {None: landing}, a.format, a.source, a.multi_line)
+        done = ingest_landing(spark, spec, paths, where)
+        total = {k: sum(m[k] for m in done.values()) for k in ("processed", "unparseable", "thrown_away")}
+        print(json.dumps({"data_source": spec.data_source, "batches": list(done), **total}))
         return
-    q = start_ingest(spark, spec, paths, a.format, available_now=not a.continuous)
+    q = start_ingest(spark, spec, paths, a.format, available_now=not a.continuous, source=a.source, multi_line=a.multi_line, subscriptions=folders)
     if q is None:
         print(json.dumps({"data_source": spec.data_source, "suspended": True}))
         return

@@ -51,6 +51,18 @@ def failure_sample(rows: DataFrame, n: int) -> DataFrame:
     )
 
 
+def last_failures(rows: DataFrame, n: int) -> list[dict]:
+    """``failure_sample`` as records (at most ``n`` rows reach the driver)."""
+    return [r.asDict() for r in failure_sample(rows, n).collect()]
+
+
+def last_of(records: list[dict], n: int) -> list[dict]:
+    """The last ``n`` failures of several samples, in the order of ``failure_sample``:
+    samples of batches merge into the sample of the job."""
+    key = lambda r: tuple((r[c] is not None, r[c] if r[c] is not None else 0) for c in ("publishTime", "messageId", "pos"))
+    return sorted(records, key=key, reverse=True)[:n]
+
+
 def ingest_report(rows: DataFrame, spec: IngestSpec, report_time: datetime) -> DataFrame:
     """Status report per data source: meters, suspended flag, generation time."""
     return ingest_meters(rows, spec).select(

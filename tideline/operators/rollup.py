@@ -48,6 +48,15 @@ def rollup_aggs(ds: DataSchema) -> list:
     return [F.count(F.lit(1)).alias(a.name) if a.kind == "count" else AGGREGATES[a.kind](a.field).alias(a.name) for a in ds.aggregators]
 
 
+def merge_aggs(ds: DataSchema) -> list:
+    """Aggregates of partial rollups that give those of all their rows."""
+    if not ds.aggregators:
+        names = [("rows", F.sum)] + [(f"{m}_{kind}", AGGREGATES[kind]) for m in ds.metrics for kind in ("sum", "min", "max")]
+    else:
+        names = [(a.name, F.sum if a.kind == "count" else AGGREGATES[a.kind]) for a in ds.aggregators]
+    return [f(name).alias(name) for name, f in names]
+
+
 def rollup(rows: DataFrame, spec: IngestSpec, dimensions=None, granularity: str | None = None) -> DataFrame:
     """``groupBy(t, *dims)`` with the spec's aggregators, processed rows only;
     granularity ``none`` keeps the event time as it is."""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions import decode as D
 from tideline.functions.timefns import bucket_end, ntz, parse_event_time, truncate
-from tideline.spec import IngestSpec
+from tideline.spec import IngestSpec, SpecError
 
 PROCESSED = "processed"
 UNPARSEABLE = "unparseable"
@@ -169,6 +169,8 @@ def time_filter_reason(spec: IngestSpec, ts: Column) -> Column:
     io = spec.io_config
     reason = F.lit(None).cast("string")
     cases = []
+    if io.batch_clock and (io.late_message_rejection_period or io.early_message_rejection_period):
+        raise SpecError("the reference time of a batch is set by process_batch")
     if io.minimum_message_time is not None:
         cases.append((ts < _lit_ts(io.minimum_message_time), "before_minimum_time"))
     if io.maximum_message_time is not None:

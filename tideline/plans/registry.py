@@ -29,7 +29,22 @@ from tideline.sinks import segments as S
 from tideline.sources import fixtures as fx
 from tideline.sources import landing as L
 from tideline.spec import IngestSpec
-from tideline.streaming.ingest import StreamPaths, process_batch, read_meters, read_rollup_updates, start_ingest, start_rollup
+from tideline.sinks.merge import files_by_segment, merge_ledger, merge_segments
+from tideline.sources.manifest import POLLS
+from tideline.operators.dedup import dedup_stream
+from tideline.streaming.ingest import (
+    StreamPaths,
+    drain_rollup,
+    ingest_landing,
+    process_batch,
+    read_last_failures,
+    read_meters,
+    read_rollup_log,
+    read_rollup_updates,
+    start_ingest,
+    start_rollup,
+    start_rollup_log,
+)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -852,6 +867,210 @@ def q_late_watermark(spark, sf_dir):
     return spark.read.parquet(out).select("t", "event_type", "rows")
 
 
+# ---------------------------------------------------------------- jobs over landing folders
+
+CUT = "2024-01-15T00:00:00.000000Z"
+
+
+@register(
+    "batch_growing_landing",
+    O.with_ctes(O.FX, O.TXT, O.ENV, O.cls())
+    + """SELECT messageId, disposition, reason, acks FROM cls JOIN (SELECT messageId, count(*) AS acks FROM env GROUP BY 1) USING (messageId)""",
+)
+def q_batch_growing_landing(spark, sf_dir):
+    """Two batch jobs, the landing folder growing in between: every message is
+    stored once and every copy acknowledged."""
+    spec, paths, env = events_spec(), _table(spark, "growing"), fx.envelopes(spark, sf_dir)
+    for part in (env.filter(_publish_before(CUT)), env.filter(~_publish_before(CUT))):
+        L.land_envelopes(part, paths.landing)
+        ingest_landing(spark, spec, paths)
+    acks = S.read_ledger(spark, paths.ledger).groupBy("messageId").agg(F.count(F.lit(1)).alias("acks"))
+    return S.read_rows(spark, paths.table, spec).join(acks, "messageId").select("messageId", "disposition", "reason", "acks")
+
+
+@register(
+    "bounded_admission",
+    O.BASE_ENV + "SELECT count(*) AS messages, CAST(0 AS BIGINT) AS polls_over, CAST(0 AS BIGINT) AS commits_short, CAST(0 AS BIGINT) AS commits_over FROM env",
+)
+def q_bounded_admission(spark, sf_dir):
+    """Polls of at most 100 messages and 8 KiB of file, commits from 250 rows on:
+    what the commit records say was taken."""
+    spec = events_spec(max_messages_per_poll=100, max_message_size_per_poll=8192).with_tuning(max_total_rows=_scaled(spark, sf_dir, 250))
+    paths = _table(spark, "admission")
+    L.land_envelopes(fx.envelopes(spark, sf_dir).repartition(3), paths.landing)
+    done = ingest_landing(spark, spec, paths)
+    record = spark.read.schema(POLLS).json(f"{paths.table}/_commits").select(F.posexplode("polls").alias("at", "poll"), F.input_file_name().alias("commit"))
+    sums = record.select("commit", "at", *[F.aggregate(F.col(f"poll.{c}"), F.lit(0).cast("bigint"), lambda a, x: a + x).alias(c) for c in ("messages", "bytes", "rows")])
+    over = (F.col("messages") > 100) | ((F.col("bytes") > 8192) & (F.col("messages") > 1))
+    by_commit = sums.groupBy("commit").agg(F.sum("messages").alias("messages"), F.count_if(over).alias("over"), F.sum("rows").alias("rows"))
+    limit, last = spec.tuning.max_total_rows, f"%/{max(done)}.json"
+    short = (F.col("rows") < limit) & ~F.col("commit").like(last)
+    return by_commit.agg(
+        F.sum("messages").cast("bigint").alias("messages"),
+        F.sum("over").cast("bigint").alias("polls_over"),
+        F.count_if(short).cast("bigint").alias("commits_short"),
+        F.count_if(F.col("rows") >= limit + 100).cast("bigint").alias("commits_over"),
+    )
+
+
+def _scaled(spark, sf_dir: str, least: int) -> int:
+    """A bound of rows that cuts the table into about five commits at any size."""
+    return max(least, fx.read_events(spark, sf_dir).count() // 4)
+
+
+@register(
+    "batch_clock",
+    O.base_cls([
+        (f"publishTime < '{cut}' AND publishTime >= '{lo}' AND (ts < TIMESTAMP '{at}' - INTERVAL 5 DAY)", "too_late")
+        for lo, cut, at in (("0", "2024-01-11T", "2024-01-11 00:00:00"), ("2024-01-11T", "2024-01-21T", "2024-01-21 00:00:00"), ("2024-01-21T", "9", "2024-02-01 00:00:00"))
+    ])
+    + "SELECT messageId, disposition, reason FROM cls",
+)
+def q_batch_clock(spark, sf_dir):
+    """Three batches at three times, rows older than five days thrown away; the
+    second is replayed at a later time and keeps its dispositions."""
+    spec = events_spec(minimum_message_time=None, maximum_message_time=None, batch_clock=True, late_message_rejection_period=timedelta(days=5))
+    paths, env = _table(spark, "clock"), fx.envelopes(spark, sf_dir)
+    cuts = [("0", "2024-01-11T"), ("2024-01-11T", "2024-01-21T"), ("2024-01-21T", "9")]
+    clocks = [datetime(2024, 1, 11), datetime(2024, 1, 21), datetime(2024, 2, 1)]
+    part = lambda n: env.filter((F.col("publishTime") >= cuts[n][0]) & (F.col("publishTime") < cuts[n][1]))
+    for n, at in enumerate(clocks):
+        process_batch(part(n), n, spec, paths, clock=lambda at=at: at)
+    S.delete_path(spark, S._marker(paths.table, 1))  # cut off before its commit
+    process_batch(part(1), 1, spec, paths, clock=lambda: datetime(2024, 3, 1))
+    return S.read_rows(spark, paths.table, spec).select("messageId", "disposition", "reason")
+
+
+@register(
+    "multi_source_stream",
+    O.BASE_CLS
+    + """SELECT 'sub-a' AS subscription, messageId, disposition FROM cls WHERE e % 10 < 6
+UNION ALL SELECT 'sub-b', messageId, disposition FROM cls WHERE e % 10 >= 4""",
+)
+def q_multi_source_stream(spark, sf_dir):
+    """One stream over two subscriptions; two in ten ids come from both."""
+    spec, paths = events_spec(), _table(spark, "multi-stream")
+    env = fx.envelopes(spark, sf_dir, keep_event_id=True)
+    folders = {name: f"{paths.landing}/{name}" for name in ("sub-a", "sub-b")}
+    for name, keep in (("sub-a", F.col("event_id") % 10 < 6), ("sub-b", F.col("event_id") % 10 >= 4)):
+        env.filter(keep).drop("event_id", "delivery").repartition(4).write.parquet(folders[name])
+    q = start_ingest(spark, spec, paths, max_files_per_trigger=2, subscriptions=folders)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return S.read_rows(spark, paths.table, spec).select("subscription", "messageId", "disposition")
+
+
+@register("job_failure_sample", REGISTRY["parse_failure_sample"].sql)
+def q_job_failure_sample(spark, sf_dir):
+    """The last 10 failures of a job of three batches, from its last record."""
+    spec, paths, env = events_spec().with_tuning(max_saved_parse_exceptions=10), _table(spark, "job-failures"), fx.envelopes(spark, sf_dir)
+    third = F.pmod(F.crc32(F.col("messageId").cast("binary")), F.lit(3))
+    for batch in range(3):
+        process_batch(env.filter(third == batch), batch, spec, paths)
+    return read_last_failures(spark, paths.table)
+
+
+@register("rollup_stream_crash", ROLLUP_SQL)
+def q_rollup_stream_crash(spark, sf_dir):
+    """A publish is cut off half way; rollup, replay, rollup: nothing doubles."""
+    spec, paths, env = events_spec(), _table(spark, "rollup-crash"), fx.envelopes(spark, sf_dir)
+    for batch, part in enumerate((env.filter(_publish_before(CUT)), env.filter(~_publish_before(CUT)))):
+        process_batch(part, batch, spec, paths)
+    # the state that a crash leaves on a store without atomic renames: every other file is still staged
+    for name, _ in sorted(S.list_files(spark, f"{paths.table}/batch_id=1"))[::2]:
+        fs, back = S._fs(spark, f"{S.staging_path(paths.table, 1)}/{name}")
+        fs.mkdirs(back.getParent())
+        fs.rename(S._fs(spark, f"{paths.table}/batch_id=1/{name}")[1], back)
+    _streamed_rollup(spark, spec, paths)
+    process_batch(env.filter(~_publish_before(CUT)), 1, spec, paths)
+    return _rolled(_streamed_rollup(spark, spec, paths))
+
+
+@register(
+    "merge_segment_files",
+    O.with_ctes(O.FX, O.TXT, O.ENV, O.cls())
+    + """SELECT date_trunc('day', ts) AS segment_start, count(*) AS rows, CAST(ceil(count(*) / 100) AS BIGINT) AS files,
+       (SELECT count(*) FROM env) AS acks, CAST(ceil((SELECT count(*) FROM cls WHERE disposition = 'processed') / 1) AS BIGINT) AS rolled
+FROM cls WHERE disposition = 'processed' GROUP BY 1""",
+)
+def q_merge_segment_files(spark, sf_dir):
+    """Six micro-batches and a last one without rows, rolled up as a stream
+    before and after a merge: each segment has as few files as its rows fill."""
+    spec, paths, env = events_spec().with_tuning(max_rows_per_segment=100), _table(spark, "merge"), fx.envelopes(spark, sf_dir)
+    hour = F.pmod(F.crc32(F.col("messageId").cast("binary")), F.lit(6))
+    for batch in range(6):
+        process_batch(env.filter(hour == batch), batch, spec, paths)
+    process_batch(env.filter(F.lit(False)), 6, spec, paths)
+    out, checkpoint = f"{paths.table}_rollup", f"{paths.checkpoint}_rollup"
+    drain_rollup(spark, spec, paths.table, out, checkpoint, None, ["event_type"], "31 days")
+    merge_segments(spark, paths.table, spec)
+    merge_ledger(spark, paths.ledger, paths.table)
+    drain_rollup(spark, spec, paths.table, out, checkpoint, None, ["event_type"], "31 days")
+    rolled = read_rollup_updates(spark, out, ["event_type"]).agg(F.sum("rows").cast("bigint").alias("rolled"))
+    acks = S.read_ledger(spark, paths.ledger).agg(F.count(F.lit(1)).alias("acks"))
+    return files_by_segment(S.read_segments(spark, paths.table, spec)).crossJoin(rolled).crossJoin(acks)  # one row each
+
+
+@register(
+    "rollup_late_rows",
+    O.BASE_CLS
+    + f"""SELECT date_trunc('day', ts) AS t, m_event_type AS event_type, count(*) FILTER (WHERE NOT late) AS rows, count(*) FILTER (WHERE late) AS late_rows
+FROM (SELECT *, publishTime < '{CUT}' AND date_trunc('day', ts) + INTERVAL 1 DAY <= mark AS late
+      FROM cls, (SELECT max(ts) - INTERVAL 15 DAY AS mark FROM cls WHERE {O.PROCESSED} AND publishTime >= '{CUT}') WHERE {O.PROCESSED}) GROUP BY 1, 2""",
+)
+def q_rollup_late_rows(spark, sf_dir):
+    """The newer half comes first: older rows whose day is over by the watermark
+    are kept as late rows; rolled and late rows are all processed rows."""
+    spec, paths, env = events_spec(), _table(spark, "late-rows"), fx.envelopes(spark, sf_dir)
+    out = f"{paths.table}_rollup"
+    for batch, part in enumerate((env.filter(~_publish_before(CUT)), env.filter(_publish_before(CUT)))):
+        process_batch(part, batch, spec, paths)
+        start_rollup_log(spark, spec, paths.table, out, f"{paths.checkpoint}_rollup", "15 days", ["event_type"]).awaitTermination()
+    rolled = read_rollup_log(spark, out, spec, ["event_type"]).select("t", "event_type", F.col("rows").cast("bigint").alias("rows"), F.lit(0).cast("bigint").alias("late_rows"))
+    late = rolled.limit(0)
+    if S.path_exists(spark, f"{out}_late"):
+        kept = with_query_time(spark.read.parquet(f"{out}_late"), "day")
+        late = kept.groupBy("t", "event_type").agg(F.lit(0).cast("bigint").alias("rows"), F.count(F.lit(1)).alias("late_rows"))
+    both = rolled.unionByName(late).groupBy("t", "event_type")
+    return both.agg(F.sum("rows").cast("bigint").alias("rows"), F.sum("late_rows").cast("bigint").alias("late_rows"))
+
+
+@register("dedup_stream", O.BASE + "SELECT messageId, publishTime FROM txt")
+def q_dedup_stream(spark, sf_dir):
+    """Dedup in the state store over landed files, copies in other micro-batches."""
+    paths = _table(spark, "dedup-stream")
+    _land(spark, sf_dir, paths)
+    src = dedup_stream(L.stream_envelopes(spark, paths.landing, max_files_per_trigger=2), "60 days")
+    q = src.writeStream.format("parquet").option("path", paths.table).option("checkpointLocation", paths.checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.parquet(paths.table).select("messageId", "publishTime")
+
+
+@register(
+    "parse_failure_limit",
+    O.with_ctes(O.FX, O.TXT, O.ENV, O.cls())
+    + f"""SELECT (SELECT count(*) FROM cls WHERE publishTime < '{CUT}') AS rows, (SELECT count(*) FROM env WHERE publishTime < '{CUT}') AS acks, true AS refused""",
+)
+def q_parse_failure_limit(spark, sf_dir):
+    """As many failures allowed as the first half holds: the second half passes the
+    limit, and nothing of it is in the table or the ledger."""
+    env = fx.envelopes(spark, sf_dir)
+    halves = env.filter(_publish_before(CUT)), env.filter(~_publish_before(CUT))
+    allowed = M.failures(ingest(halves[0], events_spec()).rows).count()
+    spec, paths, refused = events_spec().with_tuning(max_parse_exceptions=allowed), _table(spark, "limit"), False
+    process_batch(halves[0], 0, spec, paths)
+    try:
+        process_batch(halves[1], 1, spec, paths)
+    except M.ParseFailureLimitExceeded:
+        refused = True
+    rows = S.read_rows(spark, paths.table, spec).agg(F.count(F.lit(1)).alias("rows"))
+    acks = S.read_ledger(spark, paths.ledger).agg(F.count(F.lit(1)).alias("acks"))
+    return rows.crossJoin(acks).withColumn("refused", F.lit(refused))  # one row each
+
+
 # ---------------------------------------------------------------- public
 
 

@@ -5,18 +5,20 @@ One write per batch carries every disposition (quarantine included), so
 the batch is scanned once.
 
 A batch is first written under ``<table>/_staging/batch_id=N`` (hidden from
-readers by the leading underscore), checked there, and then published with
-one directory rename; a replay replaces ``batch_id=N`` as a whole, so it
-never doubles rows and readers never see half a batch.
+readers by the leading underscore) and checked there.  Then its commit record is
+written, and only then its files are moved into the table.  So a file in the
+table always belongs to a committed batch; a publish that was cut off goes on
+with the same files, and whoever has read some of them reads none twice.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import date, datetime
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,6 +95,37 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def write_record(spark: SparkSession, path: str, record: dict) -> None:
+    """A small JSON file that is there as a whole or not at all (written aside,
+    then renamed)."""
+    aside = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}"
+    write_text(spark, aside, json.dumps(record))
+    fs, dst = _fs(spark, path)
+    if fs.exists(dst):
+        fs.delete(dst, False)
+    if not fs.rename(_fs(spark, aside)[1], dst):
+        raise OSError(f"could not write {path}")
+
+
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(path below ``path``, length) of all files."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    base, found, out = fs.makeQualified(p).toString().rstrip("/"), fs.listFiles(p, True), []
+    while found.hasNext():
+        f = found.next()
+        out.append((f.getPath().toString()[len(base) + 1 :], f.getLen()))
+    return out
+
+
+def plain_path(spark: SparkSession, uri: str) -> str:
+    """The path that a URI (as in ``_metadata.file_path``) stands for, as readers
+    take it."""
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString()
+
+
 def read_roles(spark: SparkSession, table: str) -> DatasetMetadata | None:
     text = read_text(spark, f"{table}/{ROLES_FILE}")
     return None if text is None else DatasetMetadata.from_json(text)
@@ -118,6 +151,7 @@ def rows_schema(spec: IngestSpec) -> T.StructType:
         T.StructField("reason", T.StringType()),
         T.StructField("segment_end", T.TimestampNTZType()),
         T.StructField("data", T.StringType()),
+        T.StructField("from_batch", T.LongType()),  # the batch of a merged row, NULL elsewhere
         T.StructField("segment_start", T.TimestampNTZType()),
         T.StructField("disposition", T.StringType()),
         T.StructField("batch_id", T.LongType()),
@@ -132,8 +166,9 @@ def staging_path(table: str, batch_id: int) -> str:
     return f"{table}/{STAGING}/batch_id={int(batch_id)}"
 
 
-def stage_rows(rows: DataFrame, table: str, spec: IngestSpec, batch_id: int) -> str:
-    """Write one batch of classified rows to its hidden staging folder.
+def stage_rows(rows: DataFrame, table: str, spec: IngestSpec, batch_id: int, counted: list[Column]) -> dict:
+    """Write one batch of classified rows to its hidden staging folder and return
+    the ``counted`` aggregates of what was written, observed by the write itself.
 
     * roles of the table are checked against the spec first (as sets);
     * ``rebalance`` on ``segment_start``: AQE cuts a hot segment into
@@ -147,18 +182,26 @@ def stage_rows(rows: DataFrame, table: str, spec: IngestSpec, batch_id: int) ->
     require_match(read_roles(spark, table), spec)
     path = staging_path(table, batch_id)
     delete_path(spark, path)  # leftovers of a failed attempt
-    write_segments(rows.drop("batch_id"), path, spec, ["segment_start", "disposition"])
-    return path
+    return write_segments(rows.drop("batch_id"), path, spec, ["segment_start", "disposition"], counted)
 
 
-def write_segments(rows: DataFrame, path: str, spec: IngestSpec, partitions: list[str]) -> None:
+def write_segments(rows: DataFrame, path: str, spec: IngestSpec, partitions: list[str], counted: list[Column] | None = None) -> dict:
     """Rows by segment, a hot segment over several tasks, in files of at most
-    ``maxRowsPerSegment`` rows."""
-    writer = rows.hint("rebalance", "segment_start").write.mode("overwrite")
-    writer.option("maxRecordsPerFile", spec.tuning.max_rows_per_segment).partitionBy(*partitions).parquet(path)
+    ``maxRowsPerSegment`` rows.
+
+    The counts are observed above the shuffle, in the tasks that write: a map
+    task that runs again after a loss is not counted twice.
+    """
+    dealt, seen = rows.hint("rebalance", "segment_start"), None
+    if counted:
+        seen = Observation(f"written-{uuid.uuid4().hex}")
+        dealt = dealt.observe(seen, *counted)
+    dealt.write.mode("overwrite").option("maxRecordsPerFile", spec.tuning.max_rows_per_segment).partitionBy(*partitions).parquet(path)
+    return seen.get if seen else {}
 
 
 def read_staged(spark: SparkSession, table: str, spec: IngestSpec, batch_id: int) -> DataFrame:
+    """Rows of a staged batch, without its number."""
     return spark.read.schema(rows_schema(spec)).parquet(staging_path(table, batch_id))
 
 
@@ -176,38 +219,65 @@ def committed(spark: SparkSession, table: str, batch_id: int) -> dict | None:
     return None if text is None else json.loads(text)
 
 
-def failures_before(spark: SparkSession, table: str, batch_id: int) -> int:
-    """Unparseable rows of all batches committed before; the record of the batch
-    before has their sum."""
-    last = committed(spark, table, batch_id - 1) if batch_id > 0 else None
-    if last is None and batch_id > 0:
-        fs, folder = _fs(spark, f"{table}/_commits")
-        names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
-        earlier = [int(n[:-5]) for n in names if n.endswith(".json") and int(n[:-5]) < batch_id]
-        last = committed(spark, table, max(earlier)) if earlier else None
-    return int(last["failures_so_far"]) if last else 0
+def commit_ids(spark: SparkSession, table: str) -> list[int]:
+    """Numbers of all committed batches, ascending (file names only)."""
+    return sorted(int(name[:-5]) for name, _ in list_files(spark, f"{table}/_commits") if name.endswith(".json"))
 
 
 def publish_staged(spark: SparkSession, table: str, spec: IngestSpec, batch_id: int, record: dict) -> None:
-    """Make a staged batch visible by one rename, then write its commit record.
+    """Commit a staged batch: write its record, then move its files in.
 
-    A folder without a record is left of a publish that was cut off; it goes
-    first.  A committed batch is never published again, so its files keep their
-    names and a rollup that reads them as a stream counts them once.
+    A folder of the table without a record was not written by this library's
+    publish and goes first.  From the record on the batch counts as committed;
+    ``finish_publish`` moves whatever is still staged.
     """
     fs, dst = _fs(spark, f"{table}/batch_id={int(batch_id)}")
-    _, src = _fs(spark, staging_path(table, batch_id))
     if fs.exists(dst):
         fs.delete(dst, True)
-    if not fs.rename(src, dst):
-        raise OSError(f"could not publish {src} as {dst}")
     if read_roles(spark, table) is None:
         write_roles(spark, table, require_match(None, spec))
-    write_text(spark, _marker(table, batch_id), json.dumps(record))
+    write_record(spark, _marker(table, batch_id), record)
+    finish_publish(spark, table, batch_id)
+
+
+def finish_publish(spark: SparkSession, table: str, batch_id: int) -> None:
+    """Move the staged files of a committed batch into the table: the whole folder
+    by one rename, or one by one what an earlier try has left.  Staged files are
+    never written anew once the record is there, so their names stay."""
+    staging = staging_path(table, batch_id)
+    (fs, src), (_, dst) = _fs(spark, staging), _fs(spark, f"{table}/batch_id={int(batch_id)}")
+    if not fs.exists(src):
+        return
+    if not fs.exists(dst):
+        if not fs.rename(src, dst):
+            raise OSError(f"could not publish {src} as {dst}")
+        return
+    for name, length in list_files(spark, staging):
+        to = _fs(spark, f"{table}/batch_id={int(batch_id)}/{name}")[1]
+        if fs.exists(to) and fs.getFileStatus(to).getLen() == length:
+            continue
+        fs.delete(to, False)
+        fs.mkdirs(to.getParent())
+        if not fs.rename(_fs(spark, f"{staging}/{name}")[1], to):
+            raise OSError(f"could not publish {name} of batch {batch_id}")
+    fs.delete(src, True)
+
+
+def finish_publishes(spark: SparkSession, table: str) -> None:
+    """``finish_publish`` of every committed batch that still has staged files."""
+    for name in list_dirs(spark, f"{table}/{STAGING}"):
+        key, _, number = name.partition("=")
+        if key == "batch_id" and committed(spark, table, int(number)) is not None:
+            finish_publish(spark, table, int(number))
 
 
 def read_rows(spark: SparkSession, table: str, spec: IngestSpec) -> DataFrame:
-    return spark.read.schema(rows_schema(spec)).parquet(table)
+    return as_written(spark.read.schema(rows_schema(spec)).parquet(table))
+
+
+def as_written(rows: DataFrame) -> DataFrame:
+    """Rows with the number of the batch that wrote them, merged or not."""
+    return rows.withColumn("batch_id", F.coalesce("from_batch", "batch_id")).drop("from_batch")
 
 
 def read_segments(
@@ -247,23 +317,27 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("messageId", T.StringType()),
         T.StructField("publishTime", T.StringType()),
         T.StructField("subscription", T.StringType()),
+        T.StructField("from_batch", T.LongType()),  # the batch of a merged copy, NULL elsewhere
         T.StructField("publish_day", T.DateType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
 
 
-def read_ledger(spark: SparkSession, path: str, since: date | None = None) -> DataFrame:
+def read_ledger(spark: SparkSession, path: str, since: date | None = None, before: int | None = None) -> DataFrame:
     """The ledger; with ``since``, only the folders of that publish day and later
-    ones, and of copies without a publish time, are listed."""
+    ones, and of copies without a publish time, are listed; with ``before``, only
+    copies of earlier batches (by folder: merged ones are all of earlier batches)."""
     reader = spark.read.schema(LEDGER_SCHEMA)
     if since is None:
-        return reader.parquet(path)
-    days = [d for d in list_dirs(spark, path) if d.startswith("publish_day=")]
-    kept = [d for d in days if d.endswith("__HIVE_DEFAULT_PARTITION__") or d >= f"publish_day={since.isoformat()}"]
-    if not kept:
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-    return reader.option("basePath", path).parquet(*[f"{path}/{d}" for d in kept])
+        found = reader.parquet(path)
+    else:
+        days = [d for d in list_dirs(spark, path) if d.startswith("publish_day=")]
+        kept = [d for d in days if d.endswith("__HIVE_DEFAULT_PARTITION__") or d >= f"publish_day={since.isoformat()}"]
+        if not kept:
+            return as_written(spark.createDataFrame([], LEDGER_SCHEMA))
+        found = reader.option("basePath", path).parquet(*[f"{path}/{d}" for d in kept])
+    return as_written(found if before is None else found.filter(F.col("batch_id") < before))
 
 
 # -- interval purge ----------------------------------------------------------------
@@ -293,6 +367,7 @@ def purge_interval(spark: SparkSession, table: str, spec: IngestSpec, start: dat
     the segments of the interval, not with their rows.
     """
     finish_purge(spark, table)
+    finish_publishes(spark, table)
     g = spec.data_schema.segment_granularity
     whole, partial, starts = [], [], set()
     for rel in glob_dirs(spark, table, "batch_id=*/segment_start=*"):
@@ -305,23 +380,23 @@ def purge_interval(spark: SparkSession, table: str, spec: IngestSpec, start: dat
         elif seg < end and seg_end > start:
             partial.append(rel)
             starts.add(seg)
-    rows = read_rows(spark, table, spec)
     lo, hi = (F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in (start, end))
     inside = F.coalesce((F.col("ts") >= lo) & (F.col("ts") < hi), F.lit(False))
     no_segment = F.col("segment_start").isNull()
-    batches = [r["batch_id"] for r in rows.filter(no_segment & inside).select("batch_id").distinct().collect()]
-    partial += [f"batch_id={b}/segment_start=__HIVE_DEFAULT_PARTITION__" for b in batches]
+    raw = spark.read.schema(rows_schema(spec)).parquet(table)
+    folders = [r["batch_id"] for r in raw.filter(no_segment & inside).select("batch_id").distinct().collect()]
+    partial += [f"batch_id={b}/segment_start=__HIVE_DEFAULT_PARTITION__" for b in folders]
     if not whole and not partial:
         return
-    touched = no_segment & F.col("batch_id").isin(batches)
+    touched = no_segment & F.col("batch_id").isin(folders)
     if starts:
         touched |= F.col("segment_start").isin([F.lit(s.isoformat(sep=" ")).cast("timestamp_ntz") for s in sorted(starts)])
     staging = f"{table}/{STAGING}/purge"
     delete_path(spark, staging)
     if partial:
-        write_segments(rows.filter(touched & ~inside), staging, spec, PARTITIONS)
+        write_segments(raw.filter(touched & ~inside), staging, spec, PARTITIONS)
     journal = {"delete": whole + partial, "generation": read_generation(spark, table) + 1}
-    write_text(spark, f"{table}/{PURGE_JOURNAL}", json.dumps(journal))
+    write_record(spark, f"{table}/{PURGE_JOURNAL}", journal)
     finish_purge(spark, table)
 
 
@@ -329,18 +404,20 @@ PURGE_JOURNAL = "_purge.json"
 
 
 def finish_purge(spark: SparkSession, table: str) -> None:
-    """Carry out the journal of a purge: delete, then move the staged directories
-    in.  Each step can be done again; without a journal nothing happens."""
+    """Carry out the journal of a purge or a merge: delete, then move the staged
+    directories in.  Each step can be done again; without a journal nothing happens."""
     text = read_text(spark, f"{table}/{PURGE_JOURNAL}")
     if text is None:
         return
     journal, staging = json.loads(text), f"{table}/{STAGING}/purge"
     write_text(spark, f"{table}/_generation", str(journal["generation"]))
+    if "merges" in journal:
+        write_text(spark, f"{table}/_merges", str(journal["merges"]))
     for rel in journal["delete"]:
         delete_path(spark, f"{table}/{rel}")
     # from here on the directories of the journal may be new ones
-    write_text(spark, f"{table}/{PURGE_JOURNAL}", json.dumps(journal | {"delete": []}))
-    for rel in glob_dirs(spark, staging, "batch_id=*/segment_start=*"):
+    write_record(spark, f"{table}/{PURGE_JOURNAL}", journal | {"delete": []})
+    for rel in glob_dirs(spark, staging, "*=*/*=*"):
         fs, dst = _fs(spark, f"{table}/{rel}")
         fs.mkdirs(dst.getParent())
         if not fs.rename(_fs(spark, f"{staging}/{rel}")[1], dst):
@@ -350,9 +427,5 @@ def finish_purge(spark: SparkSession, table: str) -> None:
 
 
 def read_batch(spark: SparkSession, table: str, spec: IngestSpec, batch_id: int) -> DataFrame:
-    """Rows of one committed batch: lists only that batch's folder."""
-    return (
-        spark.read.schema(rows_schema(spec))
-        .option("basePath", table)
-        .parquet(f"{table}/batch_id={int(batch_id)}")
-    )
+    """Rows of one committed batch that is not merged: lists only its folder."""
+    return as_written(spark.read.schema(rows_schema(spec)).option("basePath", table).parquet(f"{table}/batch_id={int(batch_id)}"))

@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 from tideline.sources.schema import ENVELOPE, ENVELOPE_COLUMNS, PULL
 
 
-def unnest_pull(pulls: DataFrame) -> DataFrame:
-    """Pull responses -> one envelope per received message.
+def unnest_pull(pulls: DataFrame, labels: list[str] | None = None) -> DataFrame:
+    """Pull responses -> one envelope per received message (and the ``labels``
+    columns of its response).
 
     A response without ``receivedMessages`` gives zero rows.  The outer
     ``ackId`` is copied onto the message when the message has none.  A response
@@ -30,20 +31,21 @@ def unnest_pull(pulls: DataFrame) -> DataFrame:
         broken = F.col(UNREADABLE)
         none = F.array(F.lit(None).cast(PULL["receivedMessages"].dataType.elementType))
         received = F.when(broken.isNotNull(), none).otherwise(received)
-    r = pulls.select(broken.alias("broken"), F.explode(received).alias("r"))
+    r = pulls.select(broken.alias("broken"), *(labels or []), F.explode(received).alias("r"))
     return r.select(
         F.coalesce(F.col("r.message.ackId"), F.col("r.ackId")).alias("ackId"),
         F.col("r.message.messageId").alias("messageId"),
         F.col("r.message.publishTime").alias("publishTime"),
         F.coalesce(F.col("broken"), F.col("r.message.data")).alias("data"),
         F.col("r.message.attributes").alias("attributes"),
+        *(labels or []),
     )
 
 
 UNREADABLE = "_unreadable"
 
 
-def _pulls(reader, multi_line: bool):
+def pull_reader(reader, multi_line: bool):
     schema = T.StructType([*PULL.fields, T.StructField(UNREADABLE, T.StringType())])
     return reader.schema(schema).option("columnNameOfCorruptRecord", UNREADABLE).option("multiLine", multi_line)
 
@@ -51,7 +53,7 @@ def _pulls(reader, multi_line: bool):
 def read_pull_responses(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Batch read of pull responses, flattened to envelopes: one response a line,
     or with ``multi_line`` one (pretty-printed) response or array of them a file."""
-    return unnest_pull(_pulls(spark.read, multi_line).json(path))
+    return unnest_pull(pull_reader(spark.read, multi_line).json(path))
 
 
 def read_envelopes(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -87,7 +89,7 @@ def stream_pull_responses(
     max_bytes_per_trigger: int | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
-    reader = _pulls(spark.readStream, multi_line).format("json")
+    reader = pull_reader(spark.readStream, multi_line).format("json")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if max_bytes_per_trigger:

@@ -152,6 +152,7 @@ class IOConfig:
     late_message_rejection_period: timedelta | None = None
     early_message_rejection_period: timedelta | None = None
     reference_time: datetime | None = None
+    batch_clock: bool = False  # "referenceTime": "batch": the time when a batch is first tried
     max_messages_per_poll: int = 0
     max_message_size_per_poll: int = 0
 
@@ -262,7 +263,8 @@ class IngestSpec:
             maximum_message_time=parse_time(io.get("maximumMessageTime")),
             late_message_rejection_period=parse_period(io.get("lateMessageRejectionPeriod")),
             early_message_rejection_period=parse_period(io.get("earlyMessageRejectionPeriod")),
-            reference_time=parse_time(io.get("referenceTime")),
+            reference_time=None if io.get("referenceTime") == "batch" else parse_time(io.get("referenceTime")),
+            batch_clock=io.get("referenceTime") == "batch",
             max_messages_per_poll=int(io.get("maxMessagesPerPoll", 0)),
             max_message_size_per_poll=int(io.get("maxMessageSizePerPoll", 0)),
         )
@@ -312,8 +314,8 @@ def validate(spec: IngestSpec) -> None:
     io = spec.io_config
     if io.payload_encoding not in ("plain", "base64"):
         raise SpecError(f"payloadEncoding must be plain or base64, not {io.payload_encoding!r}")
-    if (io.late_message_rejection_period or io.early_message_rejection_period) and io.reference_time is None:
-        raise SpecError("late / early rejection needs an explicit referenceTime")
+    if (io.late_message_rejection_period or io.early_message_rejection_period) and io.reference_time is None and not io.batch_clock:
+        raise SpecError("late / early rejection needs an explicit referenceTime, or \"batch\"")
     if io.max_messages_per_poll < 0 or io.max_message_size_per_poll < 0:
         raise SpecError("poll limits must be >= 0")
     t = spec.tuning

@@ -1,20 +1,24 @@
-"""Structured Streaming ingest: landing folder -> rows table + ledger, then rollup.
+"""Ingest of landing folders as batch jobs or a stream, then the rollup.
 
-Query 1 (``start_ingest``): ``readStream`` of the landing envelopes with
-admission control, ``foreachBatch`` does per micro-batch
+Query 1 (``start_ingest``: a stream with admission control, ``foreachBatch``;
+``ingest_landing``: batch jobs over what is new) does per batch
 
-1. dedup inside the batch (partial ``min_by``) and against messages acked by
+1. one narrow pass over ids and publish times: how many messages came, a digest
+   of them, and the bound of the dedup;
+2. dedup inside the batch (partial ``min_by``) and against messages acked by
    earlier batches within ``dedup_horizon`` of publish time (anti-join on the
    ledger, pruned by publish time; replay-safe: only ``batch_id < N``);
-2. decode .. classify (one narrow stage);
-3. one write of the rows to the hidden staging folder of ``batch_id = N``;
-4. meters counted there (partition columns only) and the failure limit
-   check: over the limit the staging folder is dropped and nothing is
+3. decode .. classify (one narrow stage);
+4. one write of the rows to the hidden staging folder of ``batch_id = N``, which
+   observes the meters as it goes;
+5. the failure limit: over it the staging folder is dropped and nothing is
    published or acknowledged;
-5. publish by one rename, then a commit marker with the meters; a replay of a
-   committed batch finds the marker and leaves the rows as they are;
-6. the ledger of *all* received copies, after the publish;
-7. the meters row (and the last ``maxSavedParseExceptions`` failures).
+6. the commit record with the batch's input, meters and the last failures of the
+   job, then the publish.  The number of a committed batch cannot be used for
+   other messages; the same messages again leave the rows as they are;
+7. the ledger of *all* received copies, after the commit, and a mark that it is
+   written;
+8. the meters row (and the last ``maxSavedParseExceptions`` failures).
 
 Query 2 (``start_rollup``): ``readStream`` of the processed rows, event-time
 watermark, tumbling ``window`` aggregation.  Two queries because the dedup
@@ -26,7 +30,7 @@ from __future__ import annotations
 import json
 import logging
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,14 +38,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tideline.operators.dedup import dedup_messages
 from tideline.operators.ledger import ack_ledger
-from tideline.operators.meters import check_failure_limit, failure_sample, meter_columns
+from tideline.operators.meters import check_failure_limit, failure_sample, last_failures, last_of, meter_columns
 from tideline.functions.timefns import bucket_end, truncate
-from tideline.operators.rollup import rollup_aggs
+from tideline.operators.rollup import merge_aggs, rollup_aggs
 from tideline.operators.rows import PROCESSED, UNPARSEABLE, rows_from_envelopes
+from tideline.sinks.merge import register_rollup, rollup_drained
 from tideline.sinks.segments import (
     discard_staged,
     committed,
-    failures_before,
+    commit_ids,
+    finish_publish,
+    finish_publishes,
+    list_files,
     path_exists,
     publish_staged,
     read_batch,
@@ -53,9 +61,12 @@ from tideline.sinks.segments import (
     stage_rows,
     staging_path,
     write_ledger,
+    write_record,
     write_text,
 )
-from tideline.sources.landing import stream_envelopes, stream_pull_responses
+from tideline.sources import manifest
+from tideline.sources.landing import stream_envelopes, stream_pull_responses, union_subscriptions
+from tideline.sources.manifest import Landing
 from tideline.spec import FIXED_GRANULARITIES, IngestSpec, SpecError
 
 #: Granularities that a tumbling window gives, as it counts from the epoch.
@@ -77,24 +88,59 @@ def _prior_messages(spark: SparkSession, ledger: str, batch_id: int, lo: str | N
     """Messages acked by earlier batches within the dedup horizon, read from the
     folders of the publish days in it; those without a publish time are always
     compared."""
-    prior = read_ledger(spark, ledger, None if lo is None else date.fromisoformat(lo[:10])).filter(F.col("batch_id") < batch_id)
+    prior = read_ledger(spark, ledger, None if lo is None else date.fromisoformat(lo[:10]), before=batch_id)
     if lo is not None:
         prior = prior.filter((F.col("publishTime") >= F.lit(lo)) | F.col("publishTime").isNull())
     return prior.select("messageId", "subscription")
 
 
-def process_batch(env: DataFrame, batch_id: int, spec: IngestSpec, paths: StreamPaths) -> dict:
+class BatchIdentityError(RuntimeError):
+    """The number of a committed batch was used for other messages."""
+
+
+@dataclass(frozen=True)
+class _Input:
+    """What came: messages and a digest of them, and how far back to dedup."""
+
+    messages: int
+    digest: list[int]
+    since: str | None
+
+
+def _received(env: DataFrame, spec: IngestSpec) -> _Input:
+    """One pass over ids and publish times (Parquet prunes the payload).  The
+    digest does not depend on the order of messages; the bound is formatted by
+    Spark, in the session's UTC."""
+    label = ["subscription"] if "subscription" in env.columns else []
+    h = F.xxhash64("ackId", "messageId", "publishTime", *label)
+    lo = F.min(F.try_to_timestamp("publishTime")) - F.expr(f"INTERVAL '{spec.tuning.dedup_horizon.total_seconds():f}' SECOND")
+    got = env.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.bit_xor(h), F.lit(0)).alias("x"),
+        F.coalesce(F.sum(F.pmod(h, F.lit(1 << 31))), F.lit(0)).alias("s"),
+        F.date_format(lo, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("since"),
+    ).first()
+    return _Input(got["n"], [got["x"], got["s"]], got["since"])
+
+
+def process_batch(env: DataFrame, batch_id: int, spec: IngestSpec, paths: StreamPaths, polls: list | None = None, clock=None) -> dict:
     """One micro-batch (or one batch job) of query 1; returns its meters.
 
-    Nothing is persisted: the publish-time bound and the ledger read only
-    ``ackId, messageId, publishTime`` (Parquet prunes the payload).  Rows are
-    written once, to a hidden staging folder; the meters (and the failure
-    limit) are counted there from partition columns alone, and only a batch
-    within the limit is published, by one rename.
+    Nothing is persisted.  ``polls`` (the slices of landed files that ``env`` was
+    read from) goes into the commit record; ``clock`` gives the reference time of
+    late and early rejection where the spec leaves it to the batch.  A number that
+    is committed already takes only the messages it was committed with
+    (``BatchIdentityError`` otherwise, and nothing is acknowledged).
     """
-    spark = env.sparkSession
+    spark, came = env.sparkSession, _received(env, spec)
     done = committed(spark, paths.table, batch_id)
-    meters = done["meters"] if done else _commit_rows(env, batch_id, spec, paths)
+    if done:
+        if done.get("input", {"messages": came.messages, "digest": came.digest}) != {"messages": came.messages, "digest": came.digest}:
+            raise BatchIdentityError(f"batch {batch_id} of {paths.table} is committed with other messages")
+        finish_publish(spark, paths.table, batch_id)
+        meters = done["meters"]
+    else:
+        meters = _commit_rows(env, batch_id, batch_spec(spark, spec, paths.table, batch_id, clock), paths, came, polls)
     if spec.tuning.log_parse_exceptions and meters["unparseable"] > 0:
         failed = read_batch(spark, paths.table, spec, batch_id).filter(F.col("disposition") == UNPARSEABLE)
         for reason, n in failed.groupBy("reason").count().collect():  # one row for each reason
@@ -107,59 +153,122 @@ def process_batch(env: DataFrame, batch_id: int, spec: IngestSpec, paths: Stream
         ).option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(paths.meters + "_failures")
     # acknowledge only after the data commit
     write_ledger(ack_ledger(env, batch_id), paths.ledger)
+    write_text(spark, _acked(paths, batch_id), "")
     # one small record per batch, through the file system (no Spark job)
     record = {"data_source": spec.data_source, **meters}
     write_text(spark, f"{paths.meters}/batch_id={int(batch_id)}/meters.json", json.dumps(record))
     return meters
 
 
-def _commit_rows(env: DataFrame, batch_id: int, spec: IngestSpec, paths: StreamPaths) -> dict:
+def _acked(paths: StreamPaths, batch_id: int) -> str:
+    """The mark that a batch's ledger is written."""
+    return f"{paths.table}/_acked/{int(batch_id)}"
+
+
+def batch_spec(spark: SparkSession, spec: IngestSpec, table: str, batch_id: int, clock=None) -> IngestSpec:
+    """The spec with the reference time of a batch.
+
+    Where the spec says ``"referenceTime": "batch"``, the time is taken when the
+    batch is first tried and recorded before it runs, so that a replay classifies
+    every row as the first try did.
+    """
+    if not spec.io_config.batch_clock:
+        return spec
+    path = f"{table}/_clock/{int(batch_id)}.json"
+    text = read_text(spark, path)
+    if text is None:
+        now = clock() if clock else datetime.now(timezone.utc).replace(tzinfo=None)
+        write_record(spark, path, {"reference_time": now.isoformat()})
+    else:
+        now = datetime.fromisoformat(json.loads(text)["reference_time"])
+    return spec.with_io(reference_time=now, batch_clock=False)
+
+
+def _commit_rows(env: DataFrame, batch_id: int, spec: IngestSpec, paths: StreamPaths, came: _Input, polls: list | None) -> dict:
     """Stage, check and publish the rows of a batch that is not committed yet.
 
-    The failure limit holds for the whole job: the failures of the batches
-    committed before count as well.
+    The failure limit and the last failures are those of the whole job: the
+    record of the batch before has what came until then.
     """
     spark = env.sparkSession
     unique = dedup_messages(env)
     if path_exists(spark, paths.ledger):
-        lo_ts = env.agg(F.min(F.try_to_timestamp("publishTime")).alias("lo")).first()["lo"]
-        lo = None if lo_ts is None else (lo_ts - spec.tuning.dedup_horizon).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
-        u, p = unique.alias("u"), _prior_messages(spark, paths.ledger, batch_id, lo).alias("p")
+        u, p = unique.alias("u"), _prior_messages(spark, paths.ledger, batch_id, came.since).alias("p")
         same = F.col("u.messageId") == F.col("p.messageId")
         if "subscription" in unique.columns:
             same &= F.col("u.subscription").eqNullSafe(F.col("p.subscription"))
         unique = u.join(p, same, "left_anti")
     rows = rows_from_envelopes(unique, spec, batch_id)
-    stage_rows(rows, paths.table, spec, batch_id)
-    meters = staged_meters(spark, paths.table, spec, batch_id)
-    failed = failures_before(spark, paths.table, batch_id) + meters["unparseable"]
+    seen = stage_rows(rows, paths.table, spec, batch_id, meter_columns())
+    meters = {k: int(seen.get(k) or 0) for k in ("processed", "unparseable", "thrown_away")}
+    before = last_record(spark, paths.table, batch_id)
+    failed = (before["failures_so_far"] if before else 0) + meters["unparseable"]
     try:
         check_failure_limit(failed, spec)
     except Exception:
         discard_staged(spark, paths.table, batch_id)  # nothing of this batch is published
         raise
-    publish_staged(spark, paths.table, spec, batch_id, {"meters": meters, "failures_so_far": failed})
+    record = {"meters": meters, "failures_so_far": failed, "input": {"messages": came.messages, "digest": came.digest}}
+    saved = spec.tuning.saved_parse_exceptions
+    if saved > 0:
+        own = last_failures(read_staged(spark, paths.table, spec, batch_id), saved) if meters["unparseable"] else []
+        record["last_failures"] = last_of([*(before or {}).get("last_failures", []), *own], saved)
+    if spec.io_config.reference_time is not None:
+        record["reference_time"] = spec.io_config.reference_time.isoformat()
+    if polls is not None:
+        record["polls"] = manifest.as_record(polls)
+    publish_staged(spark, paths.table, spec, batch_id, record)
     return meters
 
 
-METERS_SCHEMA = "data_source string, processed bigint, unparseable bigint, thrown_away bigint, batch_id bigint"
+def last_record(spark: SparkSession, table: str, batch_id: int | None = None) -> dict | None:
+    """The commit record before ``batch_id`` (the last one of all)."""
+    if batch_id is not None and batch_id > 0 and (found := committed(spark, table, batch_id - 1)):
+        return found
+    earlier = [n for n in commit_ids(spark, table) if batch_id is None or n < batch_id]
+    return committed(spark, table, earlier[-1]) if earlier else None
 
 
-def read_meters(spark: SparkSession, path: str) -> DataFrame:
-    """Per-batch meters of a running ingest (one row per committed batch)."""
-    return spark.read.schema(METERS_SCHEMA).json(path)
+def read_last_failures(spark: SparkSession, table: str) -> DataFrame:
+    """The last ``maxSavedParseExceptions`` failures of the whole job."""
+    kept = (last_record(spark, table) or {}).get("last_failures", [])
+    rows = [(r["messageId"], r["pos"], r["publishTime"], r["reason"]) for r in kept]
+    return spark.createDataFrame(rows, "messageId string, pos int, publishTime string, reason string")
 
 
-def staged_meters(spark: SparkSession, table: str, spec: IngestSpec, batch_id: int) -> dict:
-    """Meters of one written batch, counted from its staging folder.
+def ingest_landing(spark: SparkSession, spec: IngestSpec, paths: StreamPaths, landing: Landing | None = None, clock=None) -> dict[int, dict]:
+    """Batch jobs over what is new in the landing folders; meters by batch number.
 
-    Only partition columns are read, so Spark answers from file footers;
-    the numbers describe exactly what was written.
+    What committed batches took is in their records.  The rest is cut into polls
+    and commits (``sources/manifest.py``), each committed under the next number,
+    so running the job again over a landing that has grown takes just what came
+    since.  A batch that was committed but not acknowledged, because the job was
+    cut off in between, is acknowledged first, from the files in its record.
     """
-    if not path_exists(spark, staging_path(table, batch_id)):
-        return {"processed": 0, "unparseable": 0, "thrown_away": 0}
-    got = read_staged(spark, table, spec, batch_id).agg(*meter_columns()).first()
-    return {k: int(got[k] or 0) for k in ("processed", "unparseable", "thrown_away")}
+    if spec.suspended:
+        return {}
+    landing = landing or Landing({None: paths.landing})
+    finish_publishes(spark, paths.table)
+    done = commit_ids(spark, paths.table)
+    acked = {name for name, _ in list_files(spark, f"{paths.table}/_acked")}
+    for number in (n for n in done if str(n) not in acked):
+        record = committed(spark, paths.table, number)
+        if record.get("polls"):
+            process_batch(manifest.read_polls(spark, landing, manifest.from_record(record["polls"])), number, spec, paths)
+    out, number = {}, done[-1] + 1 if done else 0
+    slices = manifest.new_slices(spark, landing, paths.table, spec)
+    for polled in manifest.commits(manifest.polls(slices, spec, landing.splits), spec):
+        out[number] = process_batch(manifest.read_polls(spark, landing, polled), number, spec, paths, polled, clock)
+        number += 1
+    return out
+
+
+METERS_SCHEMA = "data_source string, processed bigint, unparseable bigint, thrown_away bigint, batch_id bigint"
+
+
+def read_meters(spark: SparkSession, path: str) -> DataFrame:
+    """Per-batch meters of a running ingest (one row per committed batch)."""
+    return spark.read.schema(METERS_SCHEMA).json(path)
 
 
 def start_ingest(
@@ -171,28 +280,45 @@ def start_ingest(
     max_bytes_per_trigger: int | None = None,
     available_now: bool = True,
     source: str = "envelopes",
+    multi_line: bool = False,
+    subscriptions: dict[str, str] | None = None,
+    clock=None,
 ) -> StreamingQuery | None:
     """Start query 1.  A suspended spec starts nothing.
 
-    ``source="pulls"`` reads raw pull-response JSON files from the landing
-    folder instead of flat envelopes.
+    ``source="pulls"`` reads raw pull-response JSON files (with ``multi_line`` one
+    response or array of them a file) from the landing folder instead of flat
+    envelopes.  ``subscriptions`` (label -> landing folder) feeds one table from
+    several: one query over the union of their file streams, each with its own
+    offsets and admission, every row and ack labelled.
+
+    The file source takes one bound, files or bytes; a spec that bounds polls by
+    messages and by bytes is refused here and runs with ``ingest_landing``, which
+    keeps both.
     """
     if spec.suspended:
         return None
     io = spec.io_config
+    if max_files_per_trigger is None and max_bytes_per_trigger is None and io.max_messages_per_poll > 0 and io.max_message_size_per_poll > 0:
+        raise SpecError("a stream takes maxMessagesPerPoll or maxMessageSizePerPoll; ingest_landing takes both")
     if max_files_per_trigger is None and max_bytes_per_trigger is None and io.max_messages_per_poll > 0:
         # landing files hold <= maxMessagesPerPoll messages (one poll each); a
         # commit takes polls until maxTotalRows is reached, as a push would
         max_files_per_trigger = max(1, spec.tuning.max_total_rows // io.max_messages_per_poll)
     if max_bytes_per_trigger is None and max_files_per_trigger is None and io.max_message_size_per_poll > 0:
-        # the file source takes one bound; the number of messages goes first
         max_bytes_per_trigger = io.max_message_size_per_poll
-    if source == "pulls":
-        src = stream_pull_responses(spark, paths.landing, max_files_per_trigger, max_bytes_per_trigger)
+
+    def stream(path: str) -> DataFrame:
+        if source == "pulls":
+            return stream_pull_responses(spark, path, max_files_per_trigger, max_bytes_per_trigger, multi_line)
+        return stream_envelopes(spark, path, fmt, max_files_per_trigger, max_bytes_per_trigger)
+
+    if subscriptions:
+        src = union_subscriptions({name: stream(path) for name, path in subscriptions.items()})
     else:
-        src = stream_envelopes(spark, paths.landing, fmt, max_files_per_trigger, max_bytes_per_trigger)
+        src = stream(paths.landing)
     writer = (
-        src.writeStream.foreachBatch(lambda df, bid: process_batch(df, bid, spec, paths))
+        src.writeStream.foreachBatch(lambda df, bid: process_batch(df, bid, spec, paths, clock=clock))
         .option("checkpointLocation", paths.checkpoint)
         .queryName(f"ingest_{spec.data_source}")
     )
@@ -267,7 +393,9 @@ def start_rollup(
     reader = spark.readStream.schema(rows_schema(spec))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    rows = reader.parquet(table)
+    # files merged since this rollup began hold rows that it has read, or will read, elsewhere
+    old = register_rollup(spark, table, checkpoint)
+    rows = reader.parquet(table).filter(F.col("batch_id") >= -old)
     agg = rollup_stream(rows, spec, window, dims, late)
 
     def sink(df: DataFrame, bid: int) -> None:
@@ -287,6 +415,19 @@ def start_rollup(
     )
 
 
+def drain_rollup(spark: SparkSession, spec: IngestSpec, table: str, out: str, checkpoint: str, *args, **kw) -> None:
+    """Run query 2 over all that is committed and wait for it; the batches it has
+    read may be merged from then on.  Arguments as for ``start_rollup``."""
+    finish_publishes(spark, table)
+    done = commit_ids(spark, table)
+    q = start_rollup(spark, spec, table, out, checkpoint, *args, available_now=True, **kw)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    if done:
+        rollup_drained(spark, table, checkpoint, done[-1])
+
+
 def read_rollup_updates(spark: SparkSession, out: str, dims) -> DataFrame:
     """Current rollup from an ``update``-mode output: the latest version of each group.
 
@@ -298,3 +439,67 @@ def read_rollup_updates(spark: SparkSession, out: str, dims) -> DataFrame:
     values = [c for c in changes.columns if c not in (*keys, "batch_id")]
     latest = F.max_by(F.struct(*values), F.col("batch_id")).alias("v")
     return changes.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"v.{c}").alias(c) for c in values])
+
+
+# -- rollup with its late rows ----------------------------------------------------------
+
+
+def start_rollup_log(
+    spark: SparkSession,
+    spec: IngestSpec,
+    table: str,
+    out: str,
+    checkpoint: str,
+    late: str = "1 day",
+    dims=None,
+    max_files_per_trigger: int | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Query 2 as a log of partial rollups that keeps the rows it is too late for.
+
+    Each micro-batch splits the processed rows by the watermark that the record of
+    the micro-batch before has (newest event time - ``late``): rows whose bucket
+    ended by then go to ``<out>_late`` as they are, the others are rolled up once
+    and written to ``<out>`` under the number of the micro-batch.  A replay
+    finds the same watermark and writes the same rows again in place of the first.
+    No state is held in memory: the partial rollups of a bucket are merged on
+    reading (``read_rollup_log``).
+    """
+    dims = list(spec.data_schema.dimensions if dims is None else dims)
+    g = spec.data_schema.query_granularity
+    reader = spark.readStream.schema(rows_schema(spec))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    old = register_rollup(spark, table, checkpoint)
+    rows = reader.parquet(table).filter((F.col("batch_id") >= -old) & (F.col("disposition") == PROCESSED))
+
+    def by_batch(df: DataFrame, path: str, bid: int) -> None:
+        df.withColumn("batch_id", F.lit(bid).cast("bigint")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+
+    def sink(df: DataFrame, bid: int) -> None:
+        before = json.loads(read_text(spark, f"{out}_progress/{bid - 1}.json") or "{}") if bid else {}
+        mark = before.get("watermark")
+        event = F.col("ts").cast("timestamp")
+        start = truncate(event, g)
+        end = start if g == "none" else bucket_end(start, g)
+        behind = F.lit(False) if mark is None else F.coalesce(end <= F.lit(mark).cast("timestamp"), F.lit(False))
+        seen = df.agg(
+            F.date_format(F.max(event) - F.expr(f"INTERVAL {late}"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("mark"),
+            F.count_if(behind).alias("late"),
+            F.count(F.lit(1)).alias("n"),
+        ).first()
+        rolled = df.filter(~behind).withColumn("t", start.cast("timestamp_ntz")).groupBy("t", *dims).agg(*rollup_aggs(spec.data_schema))
+        by_batch(rolled, out, bid)
+        if seen["late"]:
+            by_batch(df.filter(behind).drop("batch_id", "from_batch"), f"{out}_late", bid)
+        record = {"watermark": max(filter(None, [mark, seen["mark"]]), default=None), "late": seen["late"], "rows": seen["n"]}
+        write_record(spark, f"{out}_progress/{bid}.json", record)
+
+    return rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**trigger_for(spec, available_now)).start()
+
+
+def read_rollup_log(spark: SparkSession, out: str, spec: IngestSpec, dims=None) -> DataFrame:
+    """Current rollup from the partial ones: counts and sums are summed up, minima
+    and maxima taken again (one partial aggregation by group)."""
+    dims = list(spec.data_schema.dimensions if dims is None else dims)
+    return spark.read.parquet(out).groupBy("t", *dims).agg(*merge_aggs(spec.data_schema))
