@@ -14,11 +14,12 @@ overlap of ``T = ceil(percent * (a + b) / (100 + percent))``.
   keeps long lists out of the merge.
 * Merge: lists with one set vanish in the sorted scan; lists of sets that
   already are in one component vanish in an aggregate of ``min`` and ``max``.
-  The rest are joined on the shingle (Spark's sort-merge is the heap merge) and
-  a pair is counted: of T common shingles at most ``T' - 1`` lie beyond the
-  prefix of a set whose own least overlap is T', so pairs that meet in fewer
-  than ``T - T' + 1`` lists go.
-* Probe: a candidate's shingles, long lists included, are looked up in the
+  Of T common shingles at most ``T' - 1`` lie beyond the prefix of a set whose
+  own least overlap is T', so a pair that links meets in ``S = T - T' + 1`` lists
+  at least.  Each set leaves its ``S - 1`` longest lists out; the short ones are
+  joined on the shingle (Spark's sort-merge is the heap merge).
+* Probe: a pair that met is looked up in all lists, long ones included, and goes
+  if it shares fewer than S.  Then a candidate's shingles are looked up in the
   partner's sorted array by binary search, and the pair stays if the overlap
   reaches T.
 
@@ -29,7 +30,8 @@ skip the pairs inside a component: the result names components,
 so links between sets already joined are not needed.
 
 Empty sets link with nothing.  Equal sets are one node.  A null doc_id never
-names a component.
+names a component, but its text links like any other: a component that holds an
+id is named for all its rows, and one of null ids only stays null.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.common import U64, WordHasher, bloom, maybe_in, mix, slices, staged, stream, white_space_words, words_of_many
@@ -85,7 +87,7 @@ def _sets(part: pa.RecordBatch, hasher: WordHasher, k: int) -> Iterator[tuple[in
         yield i, shingle_set(words, k)
 
 
-HEADS = "doc_id long, n int, sig long, " + ", ".join(f"mh{j} long" for j in range(SEEDS)) + ", token long, held long"
+HEADS = "doc_id long, __tl_key long, n int, sig long, " + ", ".join(f"mh{j} long" for j in range(SEEDS)) + ", token long, held long"
 
 
 def _head_rows(k: int):
@@ -114,12 +116,12 @@ def _head_rows(k: int):
                 n = len(counts)
                 none = pa.nulls(n, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [none, pa.nulls(n, pa.int32()), none, *[none] * SEEDS, pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())],
+                    [none, none, pa.nulls(n, pa.int32()), none, *[none] * SEEDS, pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())],
                     names=names,
                 )
                 counts.clear()
 
-        names = ["doc_id", "n", "sig", *(f"mh{j}" for j in range(SEEDS)), "token", "held"]
+        names = ["doc_id", "__tl_key", "n", "sig", *(f"mh{j}" for j in range(SEEDS)), "token", "held"]
         for part in slices(parts):
             n, sig, mins = [], [], [[] for _ in range(SEEDS)]
             for _, tokens in _sets(part, hasher, k):
@@ -143,7 +145,7 @@ def _head_rows(k: int):
                             yield from flush()
             rows = part.num_rows
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(n, pa.int32()), pa.array(sig, pa.int64()), *(pa.array(m, pa.int64()) for m in mins), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64())],
+                [part.column("doc_id"), part.column("__tl_key"), pa.array(n, pa.int32()), pa.array(sig, pa.int64()), *(pa.array(m, pa.int64()) for m in mins), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64())],
                 names=names,
             )
         fold_in()
@@ -313,14 +315,42 @@ def _least_shared(a: Column, b: Column, percent: int) -> Column:
     return F.least(*(needed - F.ceil(n * percent / 100 - 1e-9) + 1 for n in (a, b)))
 
 
+def _merged(live: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that share enough lists.
+
+    A pair must share S lists (``_least_shared``).  With the lists of every set
+    ranked from short to long, in one order for all, the shortest list that the
+    pair shares has S - 1 shared ones behind it in the ranks of both.  So each set
+    leaves its S - 1 longest lists out of the merge, S being that of the pair's
+    sizes, and the pairs found are then looked up in all lists, long ones included.
+    """
+    held = live.groupBy("token").agg(F.count("*").alias("held"))
+    by_length = Window.partitionBy("sig").orderBy("held", "token")
+    ranked = live.join(held, "token").withColumn("rank", F.row_number().over(by_length)).withColumn("lists", F.count("*").over(Window.partitionBy("sig")))
+    ranked = staged(ranked.drop("held"), "ranked-lists")
+    x, y = ranked.alias("x"), ranked.alias("y")
+    shared = _least_shared(F.col("x.n"), F.col("y.n"), percent)
+    short = [F.col(f"{s}.rank") <= F.col(f"{s}.lists") - shared + 1 for s in ("x", "y")]
+    met = (
+        x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.c") < F.col("y.c")) & _sizes_fit(F.col("x.n"), F.col("y.n"), percent) & short[0] & short[1])
+        .groupBy(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"))
+        .agg(F.first("x.n").alias("m"), F.first("y.n").alias("n"))
+    )
+    arrays = live.groupBy("sig").agg(F.collect_list("token").alias("tokens"))
+    both = met.join(arrays.select(F.col("sig").alias("a"), F.col("tokens").alias("left")), "a").join(arrays.select(F.col("sig").alias("b"), F.col("tokens").alias("right")), "b")
+    enough = F.size(F.array_intersect("left", "right")) >= _least_shared(F.col("m"), F.col("n"), percent)
+    return staged(both.filter(enough).select("a", "b"), "pairs")
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of the candidate pairs (a, b), those that link.  Only documents that
-    stand for a set in some pair are tokenized again."""
+    """Of the candidate pairs (a, b), those that link.  Only texts that stand for
+    a set in some pair are tokenized again; a set is found by the hash of one of
+    its texts, so it needs no doc_id."""
     ends = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
-    wanted = staged(ends.join(nodes.select("sig", "rep"), "sig").select(F.col("rep").alias("doc_id")).distinct(), "wanted")
-    likely = maybe_in(docs, "doc_id", bloom(wanted, "doc_id"))  # else all texts would go through the shuffle
+    wanted = staged(ends.join(nodes.select("sig", "__tl_key"), "sig").select("__tl_key").distinct(), "wanted")
+    likely = maybe_in(docs, "__tl_key", bloom(wanted, "__tl_key"))  # else all texts would go through the shuffle
     sets = staged(
-        likely.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_token_rows(k), "sig long, tokens binary").dropDuplicates(["sig"]),
+        likely.join(wanted, "__tl_key", "left_semi").select("text").mapInArrow(_token_rows(k), "sig long, tokens binary").dropDuplicates(["sig"]),
         "sets",
     )
     by_b = pairs.join(sets.select(F.col("sig").alias("b"), F.col("tokens").alias("right")), "b")
@@ -328,10 +358,12 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, perce
     return both.select("a", "b", "left", "right").mapInArrow(_linked(percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, keys: bool = False) -> DataFrame:
     """One row for every row of ``docs``: doc_id, n_shingles, component_id (the
-    smallest doc_id reachable by links, itself included)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    smallest doc_id reachable by links, itself included); with ``keys`` also
+    ``__tl_key`` (``xxhash64`` of the text) and ``__tl_class`` (null for an empty
+    set), which name rows and classes that have no id."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("__tl_key"))
     heads = staged(docs.mapInArrow(_head_rows(k), HEADS), "heads")
     rows = heads.filter(F.col("n").isNotNull()).drop("token", "held")
     top = (
@@ -348,7 +380,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     rank = np.empty(len(heavy), dtype=np.int64)
     rank[:] = len(heavy) - order  # the most frequent come last
     nodes = staged(
-        rows.filter("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"), *(F.min(f"mh{j}").alias(f"mh{j}") for j in range(SEEDS))),
+        rows.filter("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"), F.min("__tl_key").alias("__tl_key"), *(F.min(f"mh{j}").alias(f"mh{j}") for j in range(SEEDS))),
         "nodes",
     )
 
@@ -376,24 +408,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         met = staged(_verified(candidates(_live(lists, joined), percent), nodes, docs, k, percent), "component-links")
         stars = stars.unionByName(met)
         joined = staged(components(stars), "joined")
-    live = staged(_live(lists, joined), "live-lists")
-    x, y = live.alias("x"), live.alias("y")
-    pairs = staged(
-        x.join(y, F.col("x.token") == F.col("y.token"))
-        .filter((F.col("x.c") < F.col("y.c")) & _sizes_fit(F.col("x.n"), F.col("y.n"), percent))
-        .groupBy(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"))
-        .agg(F.count("*").alias("shared"), F.first("x.n").alias("m"), F.first("y.n").alias("n"))
-        .filter(F.col("shared") >= _least_shared(F.col("m"), F.col("n"), percent))
-        .select("a", "b"),
-        "pairs",
-    )
+    pairs = _merged(staged(_live(lists, joined), "live-lists"), percent)
     links = _verified(pairs, nodes, docs, k, percent)
     linked = components(stars.unionByName(links)).withColumnRenamed("node", "sig")
     placed_nodes = nodes.join(linked, "sig", "left").select("sig", "n", "rep", F.coalesce("component", "sig").alias("c"))
     least = placed_nodes.groupBy("c").agg(F.min("rep").alias("least"))
-    named = placed_nodes.join(least, "c").select("sig", "n", "least")
+    named = placed_nodes.join(least, "c").select("sig", "n", "least", F.col("c").alias("__tl_class"))
+    more = ["__tl_key", "__tl_class"] if keys else []
     return (
-        rows.select("doc_id", "n", "sig")
+        rows.select("doc_id", "n", "sig", "__tl_key")
         .join(named, ["sig", "n"], "left")
-        .select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+        .select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), *more)
     )
