@@ -35,13 +35,22 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of documents whose 5-word shingle sets have a Jaccard
-    similarity of 0.8 or more, that with the smallest doc_id stays.  Rows that
-    share this doc_id stay together; rows without doc_id stay."""
-    classes = jaccard.near_duplicates(docs, k=5, percent=80)
-    lost = classes.filter(F.col("component_id") != F.col("doc_id"))
-    lost = lost.select(F.col("doc_id").alias("__tl_lost"), F.lit(True).alias("__tl_gone")).distinct()
-    joined = docs.join(lost, F.col("doc_id").cast("long") == F.col("__tl_lost"), "left")
-    return joined.filter(F.col("__tl_gone").isNull()).select(*docs.columns)
+    similarity of 0.8 or more, that with the smallest doc_id stays.  Rows of the
+    class that share this doc_id stay together; another text under the doc_id of a
+    copy stays, too.  Of a class without ids one row stays; empty texts stay."""
+    classes = staged(jaccard.near_duplicates(docs, k=5, percent=80, keys=True), "classes")
+    named = classes.filter(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    unnamed = classes.filter(F.col("component_id").isNull() & F.col("__tl_class").isNotNull())
+    first = unnamed.groupBy("__tl_class").agg(F.min("__tl_key").alias("first"), F.count("*").alias("rows")).filter("rows > 1")
+    others = unnamed.join(first, "__tl_class").filter(F.col("__tl_key") != F.col("first"))
+    lost = named.select("doc_id", "__tl_key").unionByName(others.select("doc_id", "__tl_key")).distinct().alias("l")
+    keyed = docs.withColumn("__tl_key", F.xxhash64("text")).alias("d")
+    left = keyed.join(lost, F.col("d.doc_id").cast("long").eqNullSafe(F.col("l.doc_id")) & (F.col("d.__tl_key") == F.col("l.__tl_key")), "left_anti")
+    if first.isEmpty():
+        return left.select(*docs.columns)
+    same = left.join(first.select(F.col("first").alias("__tl_key"), F.lit(True).alias("__tl_same")), "__tl_key", "left").withColumn("__tl_same", F.col("__tl_same").isNotNull() & F.col("doc_id").isNull())
+    one = same.filter("__tl_same").dropDuplicates(["__tl_key"])
+    return same.filter("NOT __tl_same").unionByName(one).select(*docs.columns)
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
