@@ -14,8 +14,9 @@
 
 A false match needs equal slots and equal 64-bit fingerprints of different
 lines.  Nulls: a null text is one empty line.  A null doc_id counts as smaller
-than any id.  Rows that share a doc_id each count as a document, and each
-keeps a line for which that doc_id is the largest.
+than any id, and each row without one counts as a document.  Rows that share a
+doc_id count as one document, and each keeps a line for which that doc_id is the
+largest.
 """
 
 from __future__ import annotations
@@ -177,9 +178,11 @@ def dropped_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Da
         docs.select(own.alias("id"), row.alias("row"), "text").mapInArrow(_hasher(min_chars), "id long, row long, deal long, h1 long, h2 long"),
         "line-hashes",
     )
+    # rows of one doc_id are one document; each row without an id is one
+    by_doc = held.groupBy("h1", "h2", "id").agg(F.count("*").alias("n"))
     repeated = staged(
-        held.groupBy("h1", "h2")
-        .agg(F.count("*").alias("n_docs"), F.max("id").alias("last_id"))
+        by_doc.groupBy("h1", "h2")
+        .agg(F.sum(F.when(F.col("id") == NO_ID, F.col("n")).otherwise(1)).alias("n_docs"), F.max("id").alias("last_id"))
         .filter(F.col("n_docs") >= min_docs),
         "repeated-lines",
     )
