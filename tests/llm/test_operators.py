@@ -63,12 +63,12 @@ def brute_lines(rows):
     held = {}
     for n, (i, t, _) in enumerate(rows):
         for k in {key(x) for x in (t or "").split("\n")}:
-            held.setdefault(k, []).append(i if i is not None else -(2**63))
+            held.setdefault(k, {})[("row", n) if i is None else i] = i if i is not None else -(2**63)
     out = []
     for i, t, _ in rows:
         own = (t or "").split("\n")
         me = i if i is not None else -(2**63)
-        kept = [x for x in own if not (len(key(x)) >= 40 and len(held[key(x)]) >= 5 and max(held[key(x)]) != me)]
+        kept = [x for x in own if not (len(key(x)) >= 40 and len(held[key(x)]) >= 5 and max(held[key(x)].values()) != me)]
         out.append((i, len(own), len(own) - len(kept), "\n".join(kept)))
     return out
 
@@ -111,19 +111,27 @@ def test_near_duplicates(spark, k, percent):
             x[rng.randrange(60)] = rng.choice(words)
         rows.append((i, " ".join(x + (passage if i % 2 else [])), "s"))
     rows += [(200, None, "s"), (201, "", "s"), (202, " \t ", "s"), (203, "One Two", "s"), (204, "one two", "s"), (205, "one two three", "s"), (5, rows[5][1], "s"), (None, rows[7][1], "s"), (207, " ".join(words * 300), "s")]
+    # sets held by null ids only: a bridge between two documents, and two near copies without any
+    ends = [f"b{i}" for i in range(120)]
+    rows += [(300, " ".join(ends), "s"), (None, " ".join(ends[4:] + ["x1", "x2", "x3", "x4"]), "s"), (301, " ".join(ends[8:] + [f"x{i}" for i in range(1, 9)]), "s")]
+    alone = [f"c{i}" for i in range(80)]
+    rows += [(None, " ".join(alone), "s"), (None, " ".join(alone[1:]), "s")]
 
     def shingles(t):
         w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
         return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
 
     sets = [(i, shingles(t)) for i, t, _ in rows]
-    links = [(a, b) for (a, x), (b, y) in itertools.combinations(sets, 2) if None not in (a, b) and x and 100 * len(x & y) >= percent * len(x | y)]
-    low = lowest([i for i, _ in sets if i is not None], links)
+    # rows without id are nodes as well, and bridges; they name no class
+    keys = [i if i is not None else 10**6 + n for n, (i, _) in enumerate(sets)]
+    links = [(a, b) for (a, (_, x)), (b, (_, y)) in itertools.combinations(list(zip(keys, sets)), 2) if x and 100 * len(x & y) >= percent * len(x | y)]
+    low = lowest(keys, links)
     got = jaccard.near_duplicates(docs_of(spark, rows), k, percent).collect()
     assert len(got) == len(rows)
-    want = {i: len(s) for i, s in sets}
-    assert all(r["n_shingles"] == want[r["doc_id"]] for r in got)
-    assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] is not None} == low
+    assert sorted(map(str, ((r["doc_id"], r["n_shingles"]) for r in got))) == sorted(map(str, ((i, len(x)) for i, x in sets)))
+    assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] is not None} == {i: c for i, c in low.items() if i < 10**6}
+    unnamed = [low[k] if low[k] < 10**6 else None for k in keys if k >= 10**6]
+    assert sorted(map(str, unnamed)) == sorted(str(r["component_id"]) for r in got if r["doc_id"] is None)
     assert jaccard.near_duplicates(docs_of(spark, []), k, percent).count() == 0
 
 
@@ -227,6 +235,17 @@ def test_mixing(spark):
     assert mixing.mix(docs_of(spark, [])).count() == 0
 
 
+def test_mixing_takes_some_of_many_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "EQUAL_ROWS", 100)
+    for same in (True, False):  # one text, or many of one size, under a null or a repeated id
+        rows = [(None if i % 2 else 5, " ".join(["w"] * 9 + ["w" if same else f"v{i}"]), "a") for i in range(3000)] + [(10 + i, "x " * 45, "b") for i in range(500)]
+        got = mixing.plan(docs_of(spark, rows).withColumn("__tl_size", mixing.text_size(F.col("text")))).withColumn("k", F.size("__tl_draws")).collect()
+        assert len(got) == 3500 and max(r["k"] for r in got) <= 3
+        for source in ("a", "b"):
+            own = [r for r in got if r["source"] == source]
+            assert abs(sum(r["k"] * r["__tl_size"] for r in own) - own[0]["__tl_target"]) < 0.02 * own[0]["__tl_target"]
+
+
 def test_shard_quotas_are_exact():
     counts = np.array([100, 3, 57, 0, 41])
     rows = np.stack([mixing.shard_quotas(counts, s, 7, 1) for s in range(7)])

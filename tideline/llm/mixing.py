@@ -17,9 +17,10 @@
 * Each shard draws its quotas as disjoint runs of the permuted blocks and sorts
   its documents by a hash: the local shuffle.
 
-All choices hang on hashes of doc_id and a seed, so reruns agree.  Null texts
-have size 0; null sources are one source, the last; rows that share doc_id and
-size are interchangeable.  An empty table gives an empty mix.
+All choices hang on hashes of doc_id, text and a seed, so reruns agree.  Null
+texts have size 0; null sources are one source, the last; rows that share doc_id
+and text are interchangeable, and where only some of them fit, the mix takes as
+many.  An empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -89,14 +90,28 @@ def _quota_rows(counts: np.ndarray, shards: int, seed: int):
 
 
 def _fitting(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of one border block, the documents that the last pass takes: in a
-    permuted order, each that still fits the room (equal ones go together)."""
-    rows = rows.sort_values(["turn", "f_id", "f_size"], kind="stable")
+    """Of one border block, what the last pass takes: in a permuted order, as
+    many of each group of equal documents as still fit the room."""
+    rows = rows.sort_values(["turn", "f_id", "f_size", "f_key"], kind="stable")
     room, take = int(rows["p_room"].iloc[0]), []
-    for size, n in zip(rows["f_size"], rows["rows"]):
-        take.append(size * n <= room)
-        room -= size * n if take[-1] else 0
-    return rows[take].rename(columns={"p_source": "f_source", "p_block": "f_block"})[["f_source", "f_block", "f_id", "f_size"]]
+    for size, n in zip(rows["f_size"], rows["f_rows"]):
+        take.append(int(min(n, room // size)) if size else int(n))
+        room -= size * take[-1]
+    rows = rows.assign(f_take=np.array(take, dtype=np.int64)).rename(columns={"p_source": "f_source", "p_block": "f_block"})
+    return rows[rows["f_take"] > 0][["f_source", "f_block", "f_id", "f_size", "f_key", "f_rows", "f_take"]]
+
+
+EQUAL_ROWS = 4096  # rows of a group of equal documents that are numbered together
+
+
+def _some_of_equals(rows: DataFrame) -> DataFrame:
+    """Of documents whose group is taken in part, ``f_take`` of ``f_rows``: the rows
+    of a large group are dealt into parts, of which each gives its share."""
+    parts = F.greatest(F.floor(F.col("f_rows") / EQUAL_ROWS), F.lit(1))
+    dealt = rows.withColumn("__tl_parts", parts).withColumn("__tl_part", F.pmod(F.monotonically_increasing_id(), F.col("__tl_parts")))
+    share = F.floor(F.col("f_take") / F.col("__tl_parts")) + (F.col("__tl_part") < F.pmod("f_take", "__tl_parts")).cast("long")
+    equal = Window.partitionBy("source", "f_block", "f_id", "f_size", "f_key", "__tl_part").orderBy(F.lit(0))
+    return dealt.withColumn("f_fits", F.row_number().over(equal) <= share).drop("__tl_parts", "__tl_part")
 
 
 def _hash(seed: int, *cols: Column) -> Column:
@@ -107,7 +122,9 @@ def plan(docs: DataFrame, seed: int = 1, weights: tuple[int, ...] = WEIGHTS, cap
     """``docs`` (doc_id, source, ``__tl_size``, further columns) with
     ``__tl_source_size``, ``__tl_target`` and ``__tl_draws``: one
     ``struct(pass, shard)`` for each time that the mix takes the document."""
-    spark = docs.sparkSession
+    spark, columns = docs.sparkSession, [c for c in docs.columns if c != "__tl_key"]
+    if "__tl_key" not in docs.columns:
+        docs = docs.withColumn("__tl_key", F.xxhash64("text") if "text" in docs.columns else F.lit(0).cast("long"))
     sizes = docs.groupBy("source").agg(F.sum("__tl_size").alias("source_size"), F.count("*").alias("n_docs"))
     targets = source_targets(sizes, weights, cap)
     words = F.floor(F.col("target")).cast("long")
@@ -123,7 +140,7 @@ def plan(docs: DataFrame, seed: int = 1, weights: tuple[int, ...] = WEIGHTS, cap
         "d.*",
         F.col("s.source_size").alias("__tl_source_size"),
         F.col("s.target").alias("__tl_target"),
-        F.pmod(_hash(seed, F.col("d.doc_id")), F.col("s.n_blocks")).alias("__tl_block"),
+        F.pmod(_hash(seed, F.col("d.doc_id"), F.col("d.__tl_key")), F.col("s.n_blocks")).alias("__tl_block"),
     )
     blocks = placed.groupBy("source", "__tl_block").agg(F.sum("__tl_size").alias("words"))
     in_source = Window.partitionBy("source")
@@ -166,25 +183,32 @@ def plan(docs: DataFrame, seed: int = 1, weights: tuple[int, ...] = WEIGHTS, cap
     partial = last.filter(F.col("room") < F.col("words")).select(F.col("source").alias("p_source"), F.col("block").alias("p_block"), F.col("room").alias("p_room"))
     border = staged(
         placed.join(partial, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("__tl_block") == F.col("p_block")))
-        .groupBy("p_source", "p_block", "p_room", F.col("doc_id").alias("f_id"), F.col("__tl_size").alias("f_size"))
-        .agg(F.count("*").alias("rows"))
-        .withColumn("turn", _hash(seed, F.col("f_id"), F.lit(3)))
+        .groupBy("p_source", "p_block", "p_room", F.col("doc_id").alias("f_id"), F.col("__tl_size").alias("f_size"), F.col("__tl_key").alias("f_key"))
+        .agg(F.count("*").alias("f_rows"))
+        .withColumn("turn", _hash(seed, F.col("f_id"), F.col("f_key"), F.lit(3)))
         .groupBy("p_source", "p_block")
-        .applyInPandas(_fitting, "f_source string, f_block long, f_id long, f_size long"),
+        .applyInPandas(_fitting, "f_source string, f_block long, f_id long, f_size long, f_key long, f_rows long, f_take long"),
         "mix-border",
     )
     marked = joined.join(
-        border.withColumn("f_fits", F.lit(True)),
-        F.col("source").eqNullSafe(F.col("f_source")) & (F.col("__tl_block") == F.col("f_block")) & F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("__tl_size") == F.col("f_size")),
+        border,
+        F.col("source").eqNullSafe(F.col("f_source"))
+        & (F.col("__tl_block") == F.col("f_block"))
+        & F.col("doc_id").cast("long").eqNullSafe(F.col("f_id"))
+        & (F.col("__tl_size") == F.col("f_size"))
+        & (F.col("__tl_key") == F.col("f_key")),
         "left",
-    )
+    ).withColumn("f_fits", F.col("f_take").isNotNull())
+    in_part = F.col("f_take") < F.col("f_rows")
+    if not border.filter(in_part).isEmpty():
+        split = F.coalesce(in_part, F.lit(False))
+        marked = marked.filter(~split).unionByName(_some_of_equals(marked.filter(split)))
     draws = F.transform(
-        F.filter("__tl_draws", lambda x: ~x["partial"] | F.col("f_fits").isNotNull()),
+        F.filter("__tl_draws", lambda x: ~x["partial"] | F.col("f_fits")),
         lambda x: F.struct(x["pass"].alias("pass"), x["shard"].alias("shard")),
     )
-    return marked.withColumn("__tl_draws", F.coalesce(draws, F.array().cast("array<struct<pass:bigint,shard:bigint>>"))).drop(
-        "f_source", "f_block", "f_id", "f_size", "f_fits", "__tl_block"
-    )
+    drawn_docs = marked.withColumn("__tl_draws", F.coalesce(draws, F.array().cast("array<struct<pass:bigint,shard:bigint>>")))
+    return drawn_docs.select(*columns, "__tl_source_size", "__tl_target", "__tl_draws")
 
 
 def mix(docs: DataFrame, seed: int = 1, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:

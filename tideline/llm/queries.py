@@ -28,7 +28,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of every document the mix takes."""
-    docs = staged(table(spark, sf_dir, "documents").select("doc_id", "source", mixing.text_size(F.col("text")).alias("__tl_size")), "sizes")
+    docs = staged(table(spark, sf_dir, "documents").select("doc_id", "source", mixing.text_size(F.col("text")).alias("__tl_size"), F.xxhash64("text").alias("__tl_key")), "sizes")
     times = F.size("__tl_draws")
     return mixing.plan(docs).select(
         "doc_id",
