@@ -50,13 +50,15 @@ def has_letter(text: str) -> bool:
 
 
 def samples(docs: DataFrame, folds: int, held_out: int) -> DataFrame:
-    """(lang, text) of the first ``DOCS`` rows of each language by hash.  A
-    count of each language (no texts read) bounds the hashes that can be among
-    the first, so the window sorts a few times ``DOCS`` rows of a language."""
+    """(lang, text) of the first ``DOCS`` rows of each language by a hash of id and
+    text.  A count of each language bounds the hashes that can be among the first,
+    so the window sorts a few times ``DOCS`` rows of a language."""
     own = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), folds) != held_out))
-    turn = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 30))
-    counts = own.groupBy("lang").agg(F.count("*").alias("held"))
-    likely = own.select("lang", "text", "doc_id", turn.alias("turn")).join(F.broadcast(counts), "lang").filter(F.col("turn") * F.col("held") <= F.lit(4 * DOCS * (1 << 30)))
+    own = own.select("lang", "text", "doc_id", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("turn"))
+    counts = own.groupBy("lang").agg(F.count("*").alias("held"), F.min("turn").alias("least"))
+    # the least hash of a language stays in any case: equal rows share one, and may be all it has
+    among = (F.col("turn") * F.col("held") <= F.lit(4 * DOCS * (1 << 30))) | (F.col("turn") == F.col("least"))
+    likely = own.join(F.broadcast(counts), "lang").filter(among)
     first = F.row_number().over(Window.partitionBy("lang").orderBy("turn", "doc_id"))
     return likely.withColumn("rank", first).filter(F.col("rank") <= DOCS).select("lang", "held", "rank", F.substring("text", 1, DOC_CHARS).alias("text"))
 
