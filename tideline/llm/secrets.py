@@ -15,10 +15,10 @@ Weak candidates are only reported when complementary parts co-occur:
   (access or login) are near.
 
 A scope is a block of a text between blank lines; near means in the same scope
-and within ``reach`` code points from start to start.  The join of parts by
-interval runs in Spark on bins of ``reach`` code points: a bin is summed up to
-the first and last start of each role, and a candidate meets three bins, so a
-scope full of parts makes no pairs.
+with at most ``reach`` code points between the end of one part and the start of
+the other, whichever comes first and however long they are.  The join of parts by
+interval runs in Spark on bins of ``reach`` code points: a bin is summed up to the
+first and last point of each role, so a scope full of parts makes no pairs.
 
 Weak candidates that lie inside a base span are part of it and are not counted.
 A null text is empty; repeated rows get equal results.
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import slices
+from tideline.llm.common import slices, staged
 
 # The patterns of the base kinds and the order of kinds.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -120,16 +120,26 @@ def _role(kind: Column) -> Column:
 
 
 def linked_parts(scanned: DataFrame, reach: int) -> DataFrame:
-    """Weak parts whose complements are near: row, start, kind, end, and the
-    start of the nearest complement in each direction."""
+    """Weak parts whose complements are near: row, start, kind, end and the roles
+    near it.
+
+    A part is cut at the borders of the bins that it touches; of each bin, role
+    and scope the least and greatest code point of such cuts are kept.  A weak part
+    looks from ``reach`` before it to ``reach`` behind it: any cut in a bin inside
+    that range is near, and in the bins at its two ends the least or greatest
+    point tells.
+    """
     parts = scanned.filter("parts IS NOT NULL").select("row", F.inline("parts")).dropDuplicates().withColumn("role", _role(F.col("kind")))
-    parts = parts.withColumn("bin", F.floor(F.col("start") / reach).cast("long"))
-    bins = parts.groupBy("row", "scope", "bin", F.col("role").alias("near_role")).agg(F.min("start").alias("first"), F.max("start").alias("last"))
-    weak = parts.filter(F.col("kind") >= 3).withColumn("at", F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)))
+    bin_of = lambda x: F.floor(x / reach).cast("long")
+    touched = parts.withColumn("bin", F.explode(F.sequence(bin_of(F.col("start")), bin_of(F.col("end") - 1))))
+    cut = [F.greatest("start", F.col("bin") * reach), F.least("end", (F.col("bin") + 1) * reach)]
+    bins = touched.groupBy("row", "scope", "bin", F.col("role").alias("near_role")).agg(F.min(cut[0]).alias("first"), F.max(cut[1]).alias("last"))
+    weak = parts.filter(F.col("kind") >= 3).withColumns({"lo": F.col("start") - reach, "hi": F.col("end") + reach})
+    weak = weak.withColumn("at", F.explode(F.sequence(bin_of(F.col("lo")), bin_of(F.col("hi")))))
     met = weak.alias("w").join(
         bins.alias("b"), (F.col("w.row") == F.col("b.row")) & (F.col("w.scope") == F.col("b.scope")) & (F.col("w.at") == F.col("b.bin")) & (F.col("w.role") != F.col("b.near_role"))
     )
-    close = F.when(F.col("b.bin") == F.col("w.bin"), F.lit(True)).when(F.col("b.bin") < F.col("w.bin"), F.col("w.start") - F.col("last") <= reach).otherwise(F.col("first") - F.col("w.start") <= reach)
+    close = (F.col("last") >= F.col("lo")) & (F.col("first") <= F.col("hi"))
     roles = F.collect_set("near_role")
     near = met.filter(close).groupBy("w.row", "w.start", "w.kind", "w.end", "w.role").agg(roles.alias("roles"))
     has = lambda r: F.array_contains("roles", r)
@@ -144,7 +154,7 @@ def linked_parts(scanned: DataFrame, reach: int) -> DataFrame:
 def scan(docs: DataFrame, reach: int = 256) -> DataFrame:
     """One row for every row of ``docs``: doc_id, n_assign, n_access, n_hex,
     base_sha256, spans (base and linked weak ones), n_linked."""
-    scanned = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scan, SCAN)
+    scanned = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scan, SCAN), "secrets")  # texts are read once
     span = F.struct("start", "kind", F.concat_ws(":", F.element_at(F.array(*(F.lit(k) for k in KINDS)), F.col("kind") + 1), "start", "end").alias("said"))
     linked = linked_parts(scanned, reach).groupBy("row").agg(F.sort_array(F.collect_set(span)).alias("more"))
     base = F.transform(
