@@ -292,6 +292,8 @@ def convert(arc_files: DataFrame, arcs: str, base: str, min_bytes: int = 0) -> D
     page = F.when(F.col("first.id") != NO_ID, F.col("first.id"))
     to = F.when(revisit, F.struct(F.col("first.record").alias("record"), page.alias("page")))
     packed = index.join(first, ["digest", "size"], "left").groupBy("file").agg(F.collect_list(F.struct("place", to.alias("to"))).alias("rows"))
+    # a few narrow rows stand for large files: a fixed number of tasks, which Spark does not merge by their bytes
+    packed = packed.repartition(arc_files.sparkSession.sparkContext.defaultParallelism, "file")
     return staged(packed.mapInArrow(_converter(arcs, base), "file string, records long"), "warc-files")
 
 
