@@ -219,3 +219,13 @@ def test_merged_json_keeps_json_types(envelopes):
     df = merge(parse_payload(decode_payload(env, events_spec())))
     text = df.select(D.merged_json(F.col("payload"), F.col("payload_map"), F.col("attributes"))).first()[0]
     assert json.loads(text) == {"a": "2"}
+
+
+def test_last_day_has_no_segment(envelopes):
+    rows = [{"messageId": "m", "data": '{"ts":"9999-12-31T12:00:00Z","value":1}'}, {"messageId": "n", "data": '{"ts":"9999-12-30T12:00:00Z","value":1}'}]
+    spec = events_spec(minimum_message_time=None, maximum_message_time=None)
+    got = {r["messageId"]: (r["disposition"], r["reason"], r["segment_start"]) for r in rows_from_envelopes(envelopes(rows), spec).collect()}
+    assert got == {"m": ("unparseable", "unallocatable", None), "n": ("processed", None, datetime(9999, 12, 30))}
+    strict = spec.with_tuning(strict_segments=True)
+    with pytest.raises(Exception, match="cannot allocate a segment for message m"):
+        rows_from_envelopes(envelopes(rows), strict).collect()

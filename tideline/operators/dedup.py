@@ -26,12 +26,14 @@ def dedup_messages(env: DataFrame) -> DataFrame:
     (or, without one, by its content).  Other labels travel with the winner.
     """
     scope = ["subscription"] if "subscription" in env.columns else []
-    other = [c for c in [*ENVELOPE_COLUMNS, *env.columns] if c not in ("messageId", *scope)]
+    other = [c for c in [*ENVELOPE_COLUMNS, *env.columns] if c not in scope]
     other = list(dict.fromkeys(other))
     winner = F.min_by(F.struct(*other), F.struct("publishTime", "ackId")).alias("w")
-    out = env.groupBy(*scope, "messageId", without_id(env).alias("_without_id")).agg(winner)
+    # one key: the id, or what stands for it behind a character that no id begins with
+    key = F.coalesce("messageId", F.concat(F.lit("\u0000"), without_id(env)))
+    out = env.groupBy(*scope, key.alias("_key")).agg(winner)
     labels = [c for c in env.columns if c not in ENVELOPE_COLUMNS]
-    cols = {c: F.col(f"w.{c}").alias(c) for c in other} | {c: F.col(c) for c in ("messageId", *scope)}
+    cols = {c: F.col(f"w.{c}").alias(c) for c in other} | {c: F.col(c) for c in scope}
     return out.select(*(cols[c] for c in [*ENVELOPE_COLUMNS, *labels]))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions import decode as D
-from tideline.functions.timefns import bucket_end, ntz, parse_event_time, truncate
+from tideline.functions.timefns import MAX_REPRESENTABLE_US, bucket_end, ntz, parse_event_time, truncate
 from tideline.spec import IngestSpec, SpecError
 
 PROCESSED = "processed"
@@ -205,9 +205,10 @@ def classify(df: DataFrame, spec: IngestSpec) -> DataFrame:
         .withColumn("reason", F.coalesce(unparseable, thrown))
         .withColumn("segment_start", F.when(F.col("disposition") == PROCESSED, seg_start))
     )
-    # A processed row must land in a segment; without one it is an error
-    # naming its time (strict) or an unparseable row.
-    no_segment = (F.col("disposition") == PROCESSED) & F.col("segment_start").isNull()
+    # A processed row must land in a segment whose both ends a timestamp can hold;
+    # without one it is an error naming its time (strict) or an unparseable row.
+    beyond = F.unix_micros(bucket_end(F.col("segment_start"), spec.data_schema.segment_granularity)) > MAX_REPRESENTABLE_US
+    no_segment = (F.col("disposition") == PROCESSED) & (F.col("segment_start").isNull() | beyond)
     if spec.tuning.strict_segments:
         out = out.withColumn(
             "segment_start",
@@ -226,6 +227,7 @@ def classify(df: DataFrame, spec: IngestSpec) -> DataFrame:
     else:
         out = out.withColumn("reason", F.when(no_segment, F.lit("unallocatable")).otherwise(F.col("reason")))
         out = out.withColumn("disposition", F.when(no_segment, F.lit(UNPARSEABLE)).otherwise(F.col("disposition")))
+        out = out.withColumn("segment_start", F.when(F.col("disposition") == PROCESSED, F.col("segment_start")))
     return out
 
 

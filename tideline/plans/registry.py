@@ -710,22 +710,70 @@ def q_drain_available(spark, sf_dir):
     return S.read_segments(spark, paths.table, spec).select("messageId", "ts")
 
 
-@register("bounded_poll", DISPOSITION_SQL)
+BOUNDED_SQL = O.BASE_CLS + "SELECT messageId, disposition, reason, true AS kept FROM cls"
+
+
+def _landed(spark, paths: StreamPaths) -> DataFrame:
+    """(ackId, path, bytes): which landed file each copy came in."""
+    meta = F.col("_metadata")
+    return spark.read.parquet(paths.landing).select("ackId", meta["file_path"].alias("path"), meta["file_size"].alias("bytes"))
+
+
+def _kept(spark, paths: StreamPaths, spec, per_batch: DataFrame) -> DataFrame:
+    """Rows with whether their batch kept its bound (``batch_id``, ``kept``)."""
+    rows = S.read_rows(spark, paths.table, spec).join(per_batch, "batch_id")
+    return rows.select("messageId", "disposition", "reason", "kept")
+
+
+@register("bounded_poll", BOUNDED_SQL)
 def q_bounded_poll(spark, sf_dir):
     """At most 2 landing files per micro-batch; copies across batches are deduplicated."""
     spec = events_spec()
     paths = _stream(spark, sf_dir, "poll", spec, max_files_per_trigger=2)
-    return S.read_rows(spark, paths.table, spec).select("messageId", "disposition", "reason")
+    came = S.read_ledger(spark, paths.ledger).join(_landed(spark, paths), "ackId").groupBy("batch_id").agg((F.count_distinct("path") <= 2).alias("kept"))
+    return _kept(spark, paths, spec, came)
 
 
-@register("bounded_poll_bytes", DISPOSITION_SQL)
+@register("bounded_poll_bytes", BOUNDED_SQL)
 def q_bounded_poll_bytes(spark, sf_dir):
-    """Byte-bounded micro-batches (maxBytesPerTrigger)."""
-    spec = events_spec()
-    paths = _stream(spark, sf_dir, "poll-bytes", spec, max_bytes_per_trigger=256 * 1024)
+    """Byte-bounded micro-batches (maxBytesPerTrigger): several files within the
+    bound, or one."""
+    spec, bound = events_spec(), 256 * 1024
+    paths = _stream(spark, sf_dir, "poll-bytes", spec, max_bytes_per_trigger=bound)
+    files = S.read_ledger(spark, paths.ledger).join(_landed(spark, paths), "ackId").select("batch_id", "path", "bytes").distinct()
+    came = files.groupBy("batch_id").agg(((F.sum("bytes") <= bound) | (F.count(F.lit(1)) == 1)).alias("kept"))
+    return _kept(spark, paths, spec, came)
+
+
+@register("periodic_publish", DISPOSITION_SQL)
+def q_periodic_publish(spark, sf_dir):
+    """A running stream that publishes by the clock (intermediateHandoffPeriod)
+    until all that is landed is in the table; then it is stopped."""
+    spec, paths = events_spec().with_tuning(intermediate_handoff_period=timedelta(seconds=1)), _table(spark, "periodic")
+    _land(spark, sf_dir, paths)
+    q = start_ingest(spark, spec, paths, max_files_per_trigger=4, available_now=False)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
     return S.read_rows(spark, paths.table, spec).select("messageId", "disposition", "reason")
 
 
+@register(
+    "reject_unallocatable",
+    O.with_ctes(O.FX)
+    + """SELECT concat('t', e) AS messageId, CASE WHEN e % 71 = 0 OR e % 73 = 0 THEN 'unparseable' ELSE 'processed' END AS disposition,
+       CASE WHEN e % 71 = 0 THEN 'unrepresentable_time' WHEN e % 73 = 0 THEN 'unallocatable' END AS reason,
+       CASE WHEN e % 71 <> 0 AND e % 73 <> 0 THEN date_trunc('day', ts) END AS segment_start
+FROM fx""",
+)
+def q_reject_unallocatable(spark, sf_dir):
+    """Rows on the last day that a timestamp holds: their segment would end beyond."""
+    spec = events_spec(minimum_message_time=None, maximum_message_time=None).with_schema(timestamp_format="millis")
+    rows = rows_from_envelopes(fx.epoch_envelopes(spark, sf_dir, last_day_every=73), spec)
+    return rows.select("messageId", "disposition", "reason", "segment_start")
+
+
 @register("publish", METERS_SQL)
 def q_publish(spark, sf_dir):
     """Every micro-batch commits: the per-batch meters add up to the whole input."""

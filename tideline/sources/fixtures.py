@@ -90,18 +90,21 @@ def envelope_columns(ev: DataFrame) -> DataFrame:
 
 UNREPRESENTABLE_EVERY = 71  # epoch variant: ts = 10^17 ms, beyond any timestamp
 UNREPRESENTABLE_MS = "100000000000000000"
+LAST_DAY_MS = "253402300799000"  # 9999-12-31T23:59:59Z
 
 
-def epoch_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def epoch_envelopes(spark: SparkSession, sf_dir: str, last_day_every: int = 0) -> DataFrame:
     """One envelope per event whose payload time is epoch milliseconds.
 
-    ``messageId = 't' || e``; every 71st event carries 10^17 ms.
+    ``messageId = 't' || e``; every 71st event carries 10^17 ms, and with
+    ``last_day_every`` every so many a time on the last day a timestamp holds.
     """
     ev = read_events(spark, sf_dir)
     e = F.col("event_id")
-    ms = F.when(e % UNREPRESENTABLE_EVERY == 0, F.lit(UNREPRESENTABLE_MS)).otherwise(
-        _num(F.unix_millis(F.col("ts").cast("timestamp")))
-    )
+    ms = F.when(e % UNREPRESENTABLE_EVERY == 0, F.lit(UNREPRESENTABLE_MS))
+    if last_day_every:
+        ms = ms.when(e % last_day_every == 0, F.lit(LAST_DAY_MS))
+    ms = ms.otherwise(_num(F.unix_millis(F.col("ts").cast("timestamp"))))
     body = payload_text(ev, None, F.col("event_type"))
     return ev.select(
         F.concat(F.lit("at"), _num(e)).alias("ackId"),
