@@ -52,6 +52,8 @@ def test_merge_fills_files_and_keeps_rows(spark):
     ledger = S.read_ledger(spark, paths.ledger)
     assert ledger.count() == acks == ledger.select("ackId").distinct().count() and len(ledger.inputFiles()) <= days
     assert {r[0] for r in ledger.select("batch_id").distinct().collect()} == set(range(5))
+    process_batch(env.filter(F.pmod(F.crc32(F.col("messageId").cast("binary")), F.lit(5)) == 1), 1, spec, paths)  # a replay of a merged batch
+    assert _rows(spark, paths, spec) == before and S.read_ledger(spark, paths.ledger).count() == acks
     # dedup against merged acks, a purge of merged files, another merge
     process_batch(env, 6, spec, paths)
     assert len(_rows(spark, paths, spec)) == len(before)

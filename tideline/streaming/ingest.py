@@ -141,25 +141,32 @@ def process_batch(env: DataFrame, batch_id: int, spec: IngestSpec, paths: Stream
         meters = done["meters"]
     else:
         meters = _commit_rows(env, batch_id, batch_spec(spark, spec, paths.table, batch_id, clock), paths, came, polls)
-    if spec.tuning.log_parse_exceptions and meters["unparseable"] > 0:
-        failed = read_batch(spark, paths.table, spec, batch_id).filter(F.col("disposition") == UNPARSEABLE)
-        for reason, n in failed.groupBy("reason").count().collect():  # one row for each reason
-            LOG.warning("%s batch %d: %d unparseable rows, %s", spec.data_source, batch_id, n, reason)
-    saved = spec.tuning.saved_parse_exceptions
-    if saved > 0 and meters["unparseable"] > 0:
-        failures = read_batch(spark, paths.table, spec, batch_id).filter(F.col("disposition") == UNPARSEABLE)
-        failure_sample(failures, saved).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).write.mode(
-            "overwrite"
-        ).option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(paths.meters + "_failures")
-    # acknowledge only after the data commit
-    write_ledger(ack_ledger(env, batch_id), paths.ledger)
-    write_text(spark, _acked(paths, batch_id), "")
+    if not done or not path_exists(spark, _acked(paths, batch_id)):
+        _report_failures(spark, batch_id, spec, paths, meters)
+        # acknowledge only after the data commit
+        write_ledger(ack_ledger(env, batch_id), paths.ledger)
+        write_text(spark, _acked(paths, batch_id), "")
     # one small record per batch, through the file system (no Spark job)
     record = {"data_source": spec.data_source, **meters}
     write_text(spark, f"{paths.meters}/batch_id={int(batch_id)}/meters.json", json.dumps(record))
     return meters
 
 
+def _report_failures(spark: SparkSession, batch_id: int, spec: IngestSpec, paths: StreamPaths, meters: dict) -> None:
+    """Log the failures of a committed batch and keep its last ones, as the spec asks."""
+    saved = spec.tuning.saved_parse_exceptions
+    if meters["unparseable"] == 0 or not (spec.tuning.log_parse_exceptions or saved > 0):
+        return
+    failed = read_batch(spark, paths.table, spec, batch_id).filter(F.col("disposition") == UNPARSEABLE)
+    if spec.tuning.log_parse_exceptions:
+        for reason, n in failed.groupBy("reason").count().collect():  # one row for each reason
+            LOG.warning("%s batch %d: %d unparseable rows, %s", spec.data_source, batch_id, n, reason)
+    if saved > 0:
+        failure_sample(failed, saved).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).write.mode(
+            "overwrite"
+        ).option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(paths.meters + "_failures")
+
+
 def _acked(paths: StreamPaths, batch_id: int) -> str:
     """The mark that a batch's ledger is written."""
     return f"{paths.table}/_acked/{int(batch_id)}"
