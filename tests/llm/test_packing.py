@@ -26,6 +26,8 @@ def test_encoder_gives_the_ids_of_the_tokenizer():
     for _ in range(2):  # the second time from memory
         assert [x.tolist() for x in model.ids(TEXTS)] == ids_of(TEXTS)
     assert model.ids([]) == []
+    for limit in (1, 7, 100):  # long texts piece by piece
+        assert [x.tolist() for x in model.ids(TEXTS, limit)] == ids_of(TEXTS)
 
 
 def check(rows, want, length):

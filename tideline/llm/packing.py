@@ -44,7 +44,7 @@ WORDS = 1 << 19  # words whose ids a Python worker remembers
 
 # Only these part words here: the tokenizer reads each of them as white space,
 # and nothing that it does to a text reaches across white space.
-_WORD = re.compile(r"[^ \n\r\t]+")
+_WORD, _GAP = re.compile(r"[^ \n\r\t]+"), re.compile(r"[ \n\r\t]")
 # A word of these alone is one run of the pre-tokenizer, left as it is by NFC and
 # lower case, so the model can have its bytes at once.
 _LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u017e]+")
@@ -118,7 +118,11 @@ class Encoder:
         self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(found), dtype=np.uint32, count=int(sizes.sum()))])
         self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
 
-    def ids(self, texts: list[str | None]) -> list[np.ndarray]:
+    def ids(self, texts: list[str | None], limit: int = 1 << 22) -> list[np.ndarray]:
+        """Ids of each text; one of more than ``limit`` characters is encoded piece
+        by piece, cut where words part."""
+        if any(t and len(t) > limit for t in texts):
+            return [np.concatenate([x for p in _pieces(t, limit) for x in self.ids([p], len(p))]) if t and len(t) > limit else self.ids([t])[0] for t in texts]
         if len(self.place) > WORDS:
             self.forget()
         number, per_text = self.place.__getitem__, []
@@ -137,6 +141,17 @@ class Encoder:
         return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
+def _pieces(text: str, limit: int) -> Iterator[str]:
+    at = 0
+    while len(text) - at > limit:
+        m = _GAP.search(text, at + limit)
+        if not m:
+            break
+        yield text[at : m.start()]
+        at = m.start()
+    yield text[at:]
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> Encoder:
     return Encoder(path)
