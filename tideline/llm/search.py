@@ -17,10 +17,10 @@ the query's different terms.  N, L and df count every document.
    vectors, over the coordinates that some query asks along with the term.
 3. A first pass scores, in each shard, the blocks whose summaries promise most.
    The k-th best score of a query so far is a bound that its k-th best overall
-   reaches.  A second pass scores every block whose summary bound (the inner
-   product with the query) reaches it; only blocks whose bound fails are
-   skipped.  As a document is in the lists of all its terms, none of the best can
-   be lost, nor a tie with the last.
+   reaches.  A second pass skips the blocks whose summary bound (the inner
+   product with the query) fails it, with all their documents, and scores the
+   documents of the others.  The bound of a block holds for each of its
+   documents, so none of the best can be lost, nor a tie with the last.
 
 All of it is in integers.  Queries are searched in blocks of about ``ITEM_TERMS``
 terms, each sent to all shards, a stated query set against all rows; what a task
@@ -50,7 +50,8 @@ from tideline.llm.curve import hilbert, project
 
 TOP = 50
 SHARD_DOCS, CELLS = 2048, 1 << 23  # documents, and documents times terms, of an index shard
-BLOCK = 64  # postings of a block, on average
+MAX_PARTS = 1 << 16  # tasks that build the index
+BLOCK = 32  # postings of a block, on average
 NEAR_DIMS = 32  # of the hashed vectors that lists are clustered by
 PROBES = 4  # blocks of a shard that a query's first pass scores
 ITEM_TERMS = 1 << 15  # terms of the queries searched at a time
@@ -242,7 +243,7 @@ def index(vectors: DataFrame, queries: Queries, n_docs: int, n_terms: int, shard
         if ids:
             yield from full()
 
-    parts = max(1, -(-n_docs // (2 * shard_docs)))
+    parts = max(1, min(MAX_PARTS, -(-n_docs // (2 * shard_docs))))  # a task builds one shard after another
     placed = vectors.repartitionByRange(parts, "place").sortWithinPartitions("place")
     return staged(placed.mapInArrow(run, INDEX), "search-index")
 
@@ -334,12 +335,7 @@ def _search(index_rows: DataFrame, queries: Queries, k: int, floors: np.ndarray
                     if least is None:
                         _probe(shard, lo, hi, wanted)
                     else:
-                        floor = np.array([max(int(least[x]), best.floor(x)) for x in range(lo, hi)])
-                        for t, asking, bounds in shard.bounds(lo, hi):
-                            alive = bounds >= floor[asking - lo]
-                            if alive.any():
-                                docs = shard.post_doc[shard.lists[t] : shard.lists[t + 1]]
-                                wanted[(asking - lo)[:, None], docs[None, :]] |= alive[shard.block_postings(t)].T
+                        _reach(shard, lo, hi, wanted, np.array([max(int(least[x]), best.floor(x)) for x in range(lo, hi)]))
                     for x in np.flatnonzero(wanted.any(axis=1)):
                         docs, scores = shard.score(lo + x, wanted[x])
                         good = scores >= best.floor(lo + x)
@@ -352,6 +348,19 @@ def _search(index_rows: DataFrame, queries: Queries, k: int, floors: np.ndarray
     return index_rows.mapInArrow(run, "item bigint, doc_id bigint, score bigint")
 
 
+def _reach(shard: Shard, lo: int, hi: int, wanted: np.ndarray, floor: np.ndarray) -> None:
+    """Mark the documents whose blocks all reach the floor of the query: one block
+    whose bound fails tells of each of its documents that it scores less, in
+    whatever other lists it is."""
+    failed = np.zeros_like(wanted)
+    for t, asking, bounds in shard.bounds(lo, hi):
+        docs, rows = shard.post_doc[shard.lists[t] : shard.lists[t + 1]], (asking - lo)[:, None]
+        alive = (bounds >= floor[asking - lo])[shard.block_postings(t)].T
+        wanted[rows, docs[None, :]] |= alive
+        failed[rows, docs[None, :]] |= ~alive
+    wanted &= ~failed
+
+
 def _probe(shard: Shard, lo: int, hi: int, wanted: np.ndarray) -> None:
     """Mark the documents of the ``PROBES`` blocks of the highest bounds."""
     tops: list[list[tuple]] = [[] for _ in range(hi - lo)]
