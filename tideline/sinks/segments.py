@@ -166,9 +166,10 @@ def staging_path(table: str, batch_id: int) -> str:
     return f"{table}/{STAGING}/batch_id={int(batch_id)}"
 
 
-def stage_rows(rows: DataFrame, table: str, spec: IngestSpec, batch_id: int, counted: list[Column]) -> dict:
-    """Write one batch of classified rows to its hidden staging folder and return
-    the ``counted`` aggregates of what was written, observed by the write itself.
+def stage_rows(rows: DataFrame, table: str, spec: IngestSpec, batch_id: int, counted: list[Column], expected: int = 0) -> dict:
+    """Write one batch of classified rows (``expected``: about how many) to its
+    hidden staging folder and return the ``counted`` aggregates of what was written,
+    observed by the write itself.
 
     * roles of the table are checked against the spec first (as sets);
     * ``rebalance`` on ``segment_start``: AQE cuts a hot segment into
@@ -182,17 +183,33 @@ def stage_rows(rows: DataFrame, table: str, spec: IngestSpec, batch_id: int, cou
     require_match(read_roles(spark, table), spec)
     path = staging_path(table, batch_id)
     delete_path(spark, path)  # leftovers of a failed attempt
-    return write_segments(rows.drop("batch_id"), path, spec, ["segment_start", "disposition"], counted)
+    return write_segments(rows.drop("batch_id"), path, spec, ["segment_start", "disposition"], counted, expected)
 
 
-def write_segments(rows: DataFrame, path: str, spec: IngestSpec, partitions: list[str], counted: list[Column] | None = None) -> dict:
+#: Full files that one cut of the segments writes.
+FILES_PER_CUT = 256
+
+
+def write_segments(
+    rows: DataFrame, path: str, spec: IngestSpec, partitions: list[str], counted: list[Column] | None = None, expected: int = 0
+) -> dict:
     """Rows by segment, a hot segment over several tasks, in files of at most
     ``maxRowsPerSegment`` rows.
 
+    AQE cuts segments by bytes; where files are small, the work is in their number.
+    So the ``expected`` rows give a number of cuts by files, and each segment is
+    dealt to as many.  Few files (the usual) are one cut.
+
     The counts are observed above the shuffle, in the tasks that write: a map
     task that runs again after a loss is not counted twice.
     """
-    dealt, seen = rows.hint("rebalance", "segment_start"), None
+    keys = [c for c in ("batch_id", "segment_start") if c in partitions]
+    cuts, seen = expected // spec.tuning.max_rows_per_segment // FILES_PER_CUT, None
+    if cuts > 1:
+        place = F.pmod(F.xxhash64("messageId", "publishTime", "pos"), F.lit(cuts))
+        dealt = rows.withColumn("_cut", place).hint("rebalance", *keys, "_cut").drop("_cut")
+    else:
+        dealt = rows.hint("rebalance", *keys)
     if counted:
         seen = Observation(f"written-{uuid.uuid4().hex}")
         dealt = dealt.observe(seen, *counted)

@@ -206,7 +206,7 @@ def _commit_rows(env: DataFrame, batch_id: int, spec: IngestSpec, paths: StreamP
             same &= F.col("u.subscription").eqNullSafe(F.col("p.subscription"))
         unique = u.join(p, same, "left_anti")
     rows = rows_from_envelopes(unique, spec, batch_id)
-    seen = stage_rows(rows, paths.table, spec, batch_id, meter_columns())
+    seen = stage_rows(rows, paths.table, spec, batch_id, meter_columns(), came.messages)
     meters = {k: int(seen.get(k) or 0) for k in ("processed", "unparseable", "thrown_away")}
     before = last_record(spark, paths.table, batch_id)
     failed = (before["failures_so_far"] if before else 0) + meters["unparseable"]
