@@ -400,18 +400,20 @@ def purge_interval(spark: SparkSession, table: str, spec: IngestSpec, start: dat
     lo, hi = (F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in (start, end))
     inside = F.coalesce((F.col("ts") >= lo) & (F.col("ts") < hi), F.lit(False))
     no_segment = F.col("segment_start").isNull()
+    in_partial = F.col("segment_start").isin([F.lit(s.isoformat(sep=" ")).cast("timestamp_ntz") for s in sorted(starts)]) if starts else F.lit(False)
     raw = spark.read.schema(rows_schema(spec)).parquet(table)
-    folders = [r["batch_id"] for r in raw.filter(no_segment & inside).select("batch_id").distinct().collect()]
+    # a row for each straddling segment, and for the rows without one, of a batch
+    found = raw.filter(no_segment | in_partial).groupBy("batch_id", no_segment.alias("none")).agg(F.count(F.lit(1)).alias("n"), F.count_if(inside).alias("gone")).collect()
+    folders = [r["batch_id"] for r in found if r["none"] and r["gone"]]
+    kept = sum(r["n"] - r["gone"] for r in found if not r["none"] or r["gone"])
     partial += [f"batch_id={b}/segment_start=__HIVE_DEFAULT_PARTITION__" for b in folders]
     if not whole and not partial:
         return
-    touched = no_segment & F.col("batch_id").isin(folders)
-    if starts:
-        touched |= F.col("segment_start").isin([F.lit(s.isoformat(sep=" ")).cast("timestamp_ntz") for s in sorted(starts)])
+    touched = (no_segment & F.col("batch_id").isin(folders)) | in_partial
     staging = f"{table}/{STAGING}/purge"
     delete_path(spark, staging)
     if partial:
-        write_segments(raw.filter(touched & ~inside), staging, spec, PARTITIONS)
+        write_segments(raw.filter(touched & ~inside), staging, spec, PARTITIONS, None, kept)
     journal = {"delete": whole + partial, "generation": read_generation(spark, table) + 1}
     write_record(spark, f"{table}/{PURGE_JOURNAL}", journal)
     finish_purge(spark, table)
