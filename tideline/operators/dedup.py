@@ -18,14 +18,16 @@ from pyspark.sql import functions as F
 from tideline.sources.schema import ENVELOPE_COLUMNS
 
 
-def dedup_messages(env: DataFrame) -> DataFrame:
+def dedup_messages(env: DataFrame, within: tuple[str, ...] = (), keep_key: bool = False) -> DataFrame:
     """One envelope per ``messageId`` (batch), within its ``subscription`` where
-    there is such a label: ids of different subscriptions are unrelated.
+    there is such a label: ids of different subscriptions are unrelated.  With
+    ``within`` (columns), one for each of their values.  ``keep_key`` keeps the
+    key ``_key`` that the result is shuffled by: the id where there is one.
 
     A message without an id is a message of its own, told apart by its ackId
     (or, without one, by its content).  Other labels travel with the winner.
     """
-    scope = ["subscription"] if "subscription" in env.columns else []
+    scope = [*(["subscription"] if "subscription" in env.columns else []), *within]
     other = [c for c in [*ENVELOPE_COLUMNS, *env.columns] if c not in scope]
     other = list(dict.fromkeys(other))
     winner = F.min_by(F.struct(*other), F.struct("publishTime", "ackId")).alias("w")
@@ -34,7 +36,7 @@ def dedup_messages(env: DataFrame) -> DataFrame:
     out = env.groupBy(*scope, key.alias("_key")).agg(winner)
     labels = [c for c in env.columns if c not in ENVELOPE_COLUMNS]
     cols = {c: F.col(f"w.{c}").alias(c) for c in other} | {c: F.col(c) for c in scope}
-    return out.select(*(cols[c] for c in [*ENVELOPE_COLUMNS, *labels]))
+    return out.select(*(cols[c] for c in [*ENVELOPE_COLUMNS, *labels]), *(["_key"] if keep_key else []))
 
 
 def without_id(env: DataFrame) -> Column:

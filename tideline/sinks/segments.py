@@ -217,6 +217,35 @@ def write_segments(
     return seen.get if seen else {}
 
 
+def stage_batches(rows: DataFrame, table: str, spec: IngestSpec, expected: int, counted: list[Column]) -> dict[int, dict]:
+    """``stage_rows`` for the rows of several batches (by ``batch_id``) in one write,
+    to the folder ``_staging/together``; the counts are read from what was written,
+    by batch."""
+    spark = rows.sparkSession
+    finish_purge(spark, table)
+    require_match(read_roles(spark, table), spec)
+    delete_path(spark, f"{table}/{TOGETHER}")
+    write_segments(rows, f"{table}/{TOGETHER}", spec, PARTITIONS, None, expected)
+    seen = read_together(spark, table, spec).groupBy("batch_id").agg(*counted).collect()  # a row a batch
+    return {r["batch_id"]: r.asDict() for r in seen}
+
+
+TOGETHER = f"{STAGING}/together"
+
+
+def read_together(spark: SparkSession, table: str, spec: IngestSpec) -> DataFrame:
+    return spark.read.schema(rows_schema(spec)).parquet(f"{table}/{TOGETHER}")
+
+
+def split_staged(spark: SparkSession, table: str, batch_id: int) -> None:
+    """Give a batch that was staged with others the staging folder of its own, from
+    which it is published."""
+    discard_staged(spark, table, batch_id)  # leftovers of a failed attempt
+    (fs, src), (_, dst) = _fs(spark, f"{table}/{TOGETHER}/batch_id={int(batch_id)}"), _fs(spark, staging_path(table, batch_id))
+    if fs.exists(src) and not fs.rename(src, dst):
+        raise OSError(f"could not stage {src} as {dst}")
+
+
 def read_staged(spark: SparkSession, table: str, spec: IngestSpec, batch_id: int) -> DataFrame:
     """Rows of a staged batch, without its number."""
     return spark.read.schema(rows_schema(spec)).parquet(staging_path(table, batch_id))
@@ -324,7 +353,7 @@ def read_segments(
 def write_ledger(ledger: DataFrame, path: str) -> None:
     """Ack ledger of one batch by publish day; written after the rows of that batch."""
     day = F.try_to_timestamp("publishTime").cast("date")
-    dated = ledger.withColumn("publish_day", day).hint("rebalance", "publish_day")
+    dated = ledger.withColumn("publish_day", day).hint("rebalance", "publish_day", "batch_id")
     dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("publish_day", "batch_id").parquet(path)
 
 

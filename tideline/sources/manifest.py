@@ -195,6 +195,36 @@ def read_polls(spark: SparkSession, landing: Landing, polled: list[list[Slice]])
     return env if any(n is not None for n in by_name) else env.drop("subscription")
 
 
+def read_commits(spark: SparkSession, landing: Landing, numbered: dict[int, list[list[Slice]]]) -> DataFrame:
+    """Envelopes of several commits in one scan of their files, each with the number
+    of its commit (``_batch``).
+
+    A file is cut into disjoint ranges of rows.  They are looked up by file and
+    block of rows, a few entries a commit, which go to all tasks.
+    """
+    ranges: dict[tuple[str | None, str, int], list[int]] = {}
+    for number, polled in numbered.items():
+        for s in (s for p in polled for s in p if s.messages):
+            lo, hi = s.lo or 0, (s.lo or 0) + s.messages
+            # neighbouring parts of a file are one within a commit
+            own = ranges.setdefault((s.subscription, s.path, number), [lo, hi])
+            own[:] = min(own[0], lo), max(own[1], hi)
+    block = max(1, sum(hi - lo for lo, hi in ranges.values()) // (4 * len(numbered)))
+    entries: dict[str | None, list[tuple]] = {s.subscription: [] for polled in numbered.values() for p in polled for s in p}
+    for (name, path, number), (lo, hi) in ranges.items():
+        entries[name] += [(path, b, lo, hi, number) for b in (range(lo // block, (hi - 1) // block + 1) if landing.splits else [0])]
+    frames = []
+    for name, own in entries.items():
+        cuts = F.broadcast(spark.createDataFrame(own, "path string, block bigint, lo bigint, hi bigint, _batch bigint"))
+        paths = sorted({s.path for polled in numbered.values() for p in polled for s in p if s.subscription == name})
+        raw, inside = _raw(spark, landing, paths), F.col("_path") == F.col("path")
+        if landing.splits:
+            inside &= (F.floor(F.col("_row") / F.lit(block)) == F.col("block")) & (F.col("_row") >= F.col("lo")) & (F.col("_row") < F.col("hi"))
+        frames.append(raw.join(cuts, inside).select(*ENVELOPE_COLUMNS, F.lit(name).cast("string").alias("subscription"), "_batch"))
+    env = reduce(lambda a, b: a.unionByName(b), frames)
+    return env if any(n is not None for n in entries) else env.drop("subscription")
+
+
 def as_record(polled: list[list[Slice]]) -> list[list[dict]]:
     return [[asdict(s) for s in p] for p in polled]
 

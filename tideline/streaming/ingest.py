@@ -32,18 +32,22 @@ import logging
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tideline.operators.dedup import dedup_messages
 from tideline.operators.ledger import ack_ledger
-from tideline.operators.meters import check_failure_limit, failure_sample, last_failures, last_of, meter_columns
+from tideline.operators.meters import ParseFailureLimitExceeded, check_failure_limit, failure_sample, failures, last_failures, last_of, meter_columns
 from tideline.functions.timefns import bucket_end, truncate
 from tideline.operators.rollup import merge_aggs, rollup_aggs
 from tideline.operators.rows import PROCESSED, UNPARSEABLE, rows_from_envelopes
 from tideline.sinks.merge import register_rollup, rollup_drained
 from tideline.sinks.segments import (
+    TOGETHER,
+    delete_path,
     discard_staged,
     committed,
     commit_ids,
@@ -57,7 +61,10 @@ from tideline.sinks.segments import (
     read_ledger,
     read_staged,
     read_text,
+    read_together,
     rows_schema,
+    split_staged,
+    stage_batches,
     stage_rows,
     staging_path,
     write_ledger,
@@ -94,6 +101,10 @@ def _prior_messages(spark: SparkSession, ledger: str, batch_id: int, lo: str | N
     return prior.select("messageId", "subscription")
 
 
+class StagingError(RuntimeError):
+    """The rows of several commits could not be written together."""
+
+
 class BatchIdentityError(RuntimeError):
     """The number of a committed batch was used for other messages."""
 
@@ -111,16 +122,20 @@ def _received(env: DataFrame, spec: IngestSpec) -> _Input:
     """One pass over ids and publish times (Parquet prunes the payload).  The
     digest does not depend on the order of messages; the bound is formatted by
     Spark, in the session's UTC."""
+    got = env.agg(*_input_columns(env, spec)).first()
+    return _Input(got["n"], [got["x"], got["s"]], got["since"])
+
+
+def _input_columns(env: DataFrame, spec: IngestSpec) -> list[Column]:
     label = ["subscription"] if "subscription" in env.columns else []
     h = F.xxhash64("ackId", "messageId", "publishTime", *label)
     lo = F.min(F.try_to_timestamp("publishTime")) - F.expr(f"INTERVAL '{spec.tuning.dedup_horizon.total_seconds():f}' SECOND")
-    got = env.agg(
+    return [
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.bit_xor(h), F.lit(0)).alias("x"),
         F.coalesce(F.sum(F.pmod(h, F.lit(1 << 31))), F.lit(0)).alias("s"),
         F.date_format(lo, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("since"),
-    ).first()
-    return _Input(got["n"], [got["x"], got["s"]], got["since"])
+    ]
 
 
 def process_batch(env: DataFrame, batch_id: int, spec: IngestSpec, paths: StreamPaths, polls: list | None = None, clock=None) -> dict:
@@ -198,16 +213,17 @@ def _commit_rows(env: DataFrame, batch_id: int, spec: IngestSpec, paths: StreamP
     record of the batch before has what came until then.
     """
     spark = env.sparkSession
-    unique = dedup_messages(env)
+    unique = dedup_messages(env, keep_key=True)
     if path_exists(spark, paths.ledger):
+        # joined by the key of the dedup, which is the id where there is one: no second shuffle
         u, p = unique.alias("u"), _prior_messages(spark, paths.ledger, batch_id, came.since).alias("p")
-        same = F.col("u.messageId") == F.col("p.messageId")
+        same = (F.col("u._key") == F.col("p.messageId")) & F.col("u.messageId").isNotNull()
         if "subscription" in unique.columns:
             same &= F.col("u.subscription").eqNullSafe(F.col("p.subscription"))
         unique = u.join(p, same, "left_anti")
     rows = rows_from_envelopes(unique, spec, batch_id)
     seen = stage_rows(rows, paths.table, spec, batch_id, meter_columns(), came.messages)
-    meters = {k: int(seen.get(k) or 0) for k in ("processed", "unparseable", "thrown_away")}
+    meters = _meters(seen)
     before = last_record(spark, paths.table, batch_id)
     failed = (before["failures_so_far"] if before else 0) + meters["unparseable"]
     try:
@@ -215,17 +231,131 @@ def _commit_rows(env: DataFrame, batch_id: int, spec: IngestSpec, paths: StreamP
     except Exception:
         discard_staged(spark, paths.table, batch_id)  # nothing of this batch is published
         raise
+    saved = spec.tuning.saved_parse_exceptions
+    own = last_failures(read_staged(spark, paths.table, spec, batch_id), saved) if saved > 0 and meters["unparseable"] else []
+    publish_staged(spark, paths.table, spec, batch_id, _record(spec, meters, came, before, own, polls))
+    return meters
+
+
+def _meters(seen: dict) -> dict:
+    return {k: int(seen.get(k) or 0) for k in ("processed", "unparseable", "thrown_away")}
+
+
+def _record(spec: IngestSpec, meters: dict, came: _Input, before: dict | None, own: list[dict], polls: list | None) -> dict:
+    """The commit record of a batch after the record ``before`` it."""
+    failed = (before["failures_so_far"] if before else 0) + meters["unparseable"]
     record = {"meters": meters, "failures_so_far": failed, "input": {"messages": came.messages, "digest": came.digest}}
     saved = spec.tuning.saved_parse_exceptions
     if saved > 0:
-        own = last_failures(read_staged(spark, paths.table, spec, batch_id), saved) if meters["unparseable"] else []
         record["last_failures"] = last_of([*(before or {}).get("last_failures", []), *own], saved)
     if spec.io_config.reference_time is not None:
         record["reference_time"] = spec.io_config.reference_time.isoformat()
     if polls is not None:
         record["polls"] = manifest.as_record(polls)
-    publish_staged(spark, paths.table, spec, batch_id, record)
-    return meters
+    return record
+
+
+# -- several commits in one pass --------------------------------------------------------
+
+
+#: Commits of a batch job that one pass takes at most.
+COMMITS_AT_ONCE = 256
+
+
+def process_batches(spark: SparkSession, landing: Landing, numbered: dict[int, list], spec: IngestSpec, paths: StreamPaths) -> dict[int, dict]:
+    """``process_batch`` for commits with consecutive new numbers (and the polls of
+    each) in one pass: read, dedup, write and acknowledgement are one job for all,
+    with the number of the commit as a column.
+
+    Each commit is what it would be alone: its own dedup, against the earlier
+    commits of the pass too, its record, meters and files; they are published in
+    order, and the failure limit stops at the commit that passes it.
+    """
+    env = manifest.read_commits(spark, landing, numbered)
+    found = {r["_batch"]: _Input(r["n"], [r["x"], r["s"]], r["since"]) for r in env.groupBy("_batch").agg(*_input_columns(env, spec)).collect()}
+    came = {n: found.get(n, _Input(0, [0, 0], None)) for n in numbered}
+    rows = rows_from_envelopes(_unseen(env, came, paths.ledger), spec, F.col("_batch"))
+    try:
+        seen = stage_batches(rows, paths.table, spec, sum(c.messages for c in came.values()), meter_columns())
+    except PySparkException as e:
+        delete_path(spark, f"{paths.table}/{TOGETHER}")
+        raise StagingError(str(e)) from e
+    own, saved = {}, spec.tuning.saved_parse_exceptions
+    if saved > 0 and any(_meters(s)["unparseable"] for s in seen.values()):
+        order = Window.partitionBy("batch_id").orderBy(F.col("publishTime").desc(), F.col("messageId").desc(), F.col("pos").desc())
+        last = failures(read_together(spark, paths.table, spec)).select("batch_id", "messageId", "pos", "publishTime", "reason")
+        for r in last.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= saved).drop("_place").collect():  # at most ``saved`` a batch
+            own.setdefault(r["batch_id"], []).append({k: v for k, v in r.asDict().items() if k != "batch_id"})
+    out, before, over = {}, last_record(spark, paths.table, min(numbered)), None
+    for n, polls in sorted(numbered.items()):
+        meters = _meters(seen.get(n, {}))
+        record = _record(spec, meters, came[n], before, own.get(n, []), polls)
+        try:
+            check_failure_limit(record["failures_so_far"], spec)
+        except ParseFailureLimitExceeded as e:
+            over = e  # nothing of this commit and the later ones is published
+            break
+        split_staged(spark, paths.table, n)
+        publish_staged(spark, paths.table, spec, n, record)
+        out[n], before = meters, record
+    delete_path(spark, f"{paths.table}/{TOGETHER}")
+    if out:
+        for n, meters in out.items():
+            _report_failures(spark, n, spec, paths, meters)
+        write_ledger(ack_ledger(env.filter(F.col("_batch") <= max(out)), F.col("_batch")), paths.ledger)
+    for n, meters in out.items():
+        write_text(spark, _acked(paths, n), "")
+        write_text(spark, f"{paths.meters}/batch_id={n}/meters.json", json.dumps({"data_source": spec.data_source, **meters}))
+    if over:
+        raise over
+    return out
+
+
+def _unseen(env: DataFrame, came: dict[int, _Input], ledger: str) -> DataFrame:
+    """One copy of each message of a commit that no earlier commit has acknowledged
+    within the horizon of this one (``_prior_messages`` for many commits)."""
+    spark, first = env.sparkSession, min(came)
+    label = ["subscription"] if "subscription" in env.columns else []
+    day = F.try_to_timestamp("publishTime").cast("date")
+    # a commit has no copy of its own messages here, only those of the others count
+    prior = env.filter(F.col("messageId").isNotNull()).select("messageId", *label, "publishTime", day.alias("publish_day"), F.col("_batch").alias("batch_id")).distinct()
+    if path_exists(spark, ledger):
+        bounds = [c.since for c in came.values() if c.messages]
+        lo = None if None in bounds or not bounds else min(bounds)
+        acked = read_ledger(spark, ledger, None if lo is None else date.fromisoformat(lo[:10]), before=first)
+        if lo is not None:
+            acked = acked.filter((F.col("publishTime") >= F.lit(lo)) | F.col("publishTime").isNull())
+        prior = prior.unionByName(acked.select(*prior.columns))
+    since = F.get(F.array(*[F.lit(came[n].since).cast("string") for n in range(first, max(came) + 1)]), (F.col("_batch") - first).cast("int"))
+    unique = dedup_messages(env, ("_batch",), keep_key=True).withColumn("_since", since)
+    u, p = unique.alias("u"), prior.alias("p")
+    same = (F.col("u._key") == F.col("p.messageId")) & F.col("u.messageId").isNotNull() & (F.col("p.batch_id") < F.col("u._batch"))
+    late = F.col("p.publishTime").isNull() | (F.col("p.publishTime") >= F.col("u._since"))
+    dated = F.col("p.publish_day").isNull() | (F.col("p.publish_day") >= F.substring("u._since", 1, 10).cast("date"))
+    same &= F.col("u._since").isNull() | (late & dated)
+    if label:
+        same &= F.col("u.subscription").eqNullSafe(F.col("p.subscription"))
+    return u.join(p, same, "left_anti").drop("_key", "_since")
+
+
+def _passes(spark: SparkSession, commits: list, first: int, spec: IngestSpec, table: str, clock=None):
+    """(spec, commits by number) of the passes over new commits: as many at once as
+    ``COMMITS_AT_ONCE``, all of one reference time, taken when the pass begins."""
+    at = 0
+    while at < len(commits):
+        now: list[datetime] = []
+
+        def once() -> datetime:
+            if not now:
+                now.append(clock() if clock else datetime.now(timezone.utc).replace(tzinfo=None))
+            return now[0]
+
+        own = batch_spec(spark, spec, table, first + at, once)
+        end = at + 1
+        while end < min(len(commits), at + COMMITS_AT_ONCE) and batch_spec(spark, spec, table, first + end, once) == own:
+            end += 1
+        yield own, {first + n: commits[n] for n in range(at, end)}
+        at = end
 
 
 def last_record(spark: SparkSession, table: str, batch_id: int | None = None) -> dict | None:
@@ -249,7 +379,8 @@ def ingest_landing(spark: SparkSession, spec: IngestSpec, paths: StreamPaths, la
     What committed batches took is in their records.  The rest is cut into polls
     and commits (``sources/manifest.py``), each committed under the next number,
     so running the job again over a landing that has grown takes just what came
-    since.  A batch that was committed but not acknowledged, because the job was
+    since.  Many commits run in one pass (``process_batches``); if rows cannot be
+    staged, they run one by one, up to the one that fails.  A batch that was committed but not acknowledged, because the job was
     cut off in between, is acknowledged first, from the files in its record.
     """
     if spec.suspended:
@@ -264,9 +395,17 @@ def ingest_landing(spark: SparkSession, spec: IngestSpec, paths: StreamPaths, la
             process_batch(manifest.read_polls(spark, landing, manifest.from_record(record["polls"])), number, spec, paths)
     out, number = {}, done[-1] + 1 if done else 0
     slices = manifest.new_slices(spark, landing, paths.table, spec)
-    for polled in manifest.commits(manifest.polls(slices, spec, landing.splits), spec):
-        out[number] = process_batch(manifest.read_polls(spark, landing, polled), number, spec, paths, polled, clock)
-        number += 1
+    cut = manifest.commits(manifest.polls(slices, spec, landing.splits), spec)
+    for own, numbered in _passes(spark, cut, number, spec, paths.table, clock):
+        done = {}
+        if len(numbered) > 1:
+            try:
+                done = process_batches(spark, landing, numbered, own, paths)
+            except StagingError as e:
+                LOG.warning("%s: commits %d to %d run one by one: %s", spec.data_source, min(numbered), max(numbered), e)
+        for n in (n for n in numbered if n not in done):
+            done[n] = process_batch(manifest.read_polls(spark, landing, numbered[n]), n, own, paths, numbered[n])
+        out |= done
     return out
 
 
