@@ -90,7 +90,12 @@ def parse_object(text: Column) -> Column:
     NULL for malformed JSON and for JSON that is not an object.  Nested
     values stay JSON text; trailing text after the object is ignored.
     """
-    return last_wins(F.from_json(text, STRING_MAP))
+    return last_wins(json_map(text))
+
+
+def json_map(text: Column) -> Column:
+    """``parse_object`` before duplicate keys are collapsed."""
+    return F.from_json(text, STRING_MAP)
 
 
 def parse_error(text: Column, parsed: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.spec import CALENDAR_GRANULARITIES, FIXED_GRANULARITIES, SpecError
@@ -26,24 +26,54 @@ def parse_event_time(raw: Column, fmt: str = "auto") -> tuple[Column, Column]:
     pattern.  A numeric time outside what a timestamp can hold is
     ``unrepresentable_time``; text that does not parse is ``bad_event_time``.
     """
+    num = _number(raw)
+    ts = _time(raw, num, fmt)
+    return ts, _time_error(raw, num, ts, fmt)
+
+
+def with_event_time(df: DataFrame, raw: Column, fmt: str = "auto") -> DataFrame:
+    """Add ``event_time`` and ``time_error`` as ``parse_event_time`` gives them.  The
+    number and the time are columns of their own, so each is parsed once a row."""
+    num, ts = F.col("_time_number"), F.col("event_time")
+    out = df.withColumn("_time_text", raw)
+    out = out.withColumn("_time_number", _number(F.col("_time_text")))
+    out = out.withColumn("event_time", _time(F.col("_time_text"), num, fmt))
+    out = out.withColumn("time_error", _time_error(F.col("_time_text"), num, ts, fmt))
+    return out.drop("_time_text", "_time_number")
+
+
+def _numeric(fmt: str) -> str | None:
     key = fmt.lower() if fmt else "auto"
-    if key in NUMERIC_FORMATS:
-        scale = MICROS_PER_UNIT["millis" if key == "auto" else key]
-        num = raw.try_cast("decimal(38,6)")  # NULL for text that is not a number
-        us = F.floor(F.try_multiply(num, F.lit(scale)))
-        in_range = us.between(F.lit(MIN_REPRESENTABLE_US), F.lit(MAX_REPRESENTABLE_US))
-        ts = F.when(in_range, F.timestamp_micros(us.try_cast("bigint")))
-        if key == "auto":
-            ts = F.when(num.isNull(), _dated(raw)).otherwise(ts)
-        err = (
-            F.when(raw.isNull(), F.lit("no_event_time"))
-            .when(num.isNotNull() & ~F.coalesce(in_range, F.lit(False)), F.lit("unrepresentable_time"))
-            .when(ts.isNull(), F.lit("bad_event_time"))
-        )
-        return ts, err
-    ts = _dated(raw) if key == "iso" else F.try_to_timestamp(raw, F.lit(fmt))
-    err = F.when(raw.isNull(), F.lit("no_event_time")).when(ts.isNull(), F.lit("bad_event_time"))
-    return ts, err
+    return key if key in NUMERIC_FORMATS else None
+
+
+def _number(raw: Column) -> Column:
+    """The number that a text is, or NULL.  Text with a colon is none, and need not
+    fail as a number first (the cast pays for an exception)."""
+    return F.when(~F.contains(raw, F.lit(":")), raw.try_cast("decimal(38,6)"))
+
+
+def _micros(num: Column, key: str) -> tuple[Column, Column]:
+    """Epoch microseconds of a number, and whether a timestamp holds them."""
+    us = F.floor(F.try_multiply(num, F.lit(MICROS_PER_UNIT["millis" if key == "auto" else key])))
+    return us, us.between(F.lit(MIN_REPRESENTABLE_US), F.lit(MAX_REPRESENTABLE_US))
+
+
+def _time(raw: Column, num: Column, fmt: str) -> Column:
+    key = _numeric(fmt)
+    if key is None:
+        return _dated(raw) if fmt.lower() == "iso" else F.try_to_timestamp(raw, F.lit(fmt))
+    us, in_range = _micros(num, key)
+    ts = F.when(in_range, F.timestamp_micros(us.try_cast("bigint")))
+    return F.when(num.isNull(), _dated(raw)).otherwise(ts) if key == "auto" else ts
+
+
+def _time_error(raw: Column, num: Column, ts: Column, fmt: str) -> Column:
+    err, key = F.when(raw.isNull(), F.lit("no_event_time")), _numeric(fmt)
+    if key is not None:
+        in_range = _micros(num, key)[1]
+        err = err.when(num.isNotNull() & ~F.coalesce(in_range, F.lit(False)), F.lit("unrepresentable_time"))
+    return err.when(ts.isNull(), F.lit("bad_event_time"))
 
 
 def _dated(raw: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions import decode as D
-from tideline.functions.timefns import MAX_REPRESENTABLE_US, bucket_end, ntz, parse_event_time, truncate
+from tideline.functions.timefns import MAX_REPRESENTABLE_US, bucket_end, ntz, truncate, with_event_time
 from tideline.spec import IngestSpec, SpecError
 
 PROCESSED = "processed"
@@ -50,7 +50,9 @@ def decode_payload(env: DataFrame, spec: IngestSpec) -> DataFrame:
 def parse_payload(df: DataFrame) -> DataFrame:
     """Add ``payload_map`` (object as map) and ``parse_error``."""
     return (
-        df.withColumn("payload_map", D.parse_object(F.col("payload")))
+        df.withColumn("_json", D.json_map(F.col("payload")))  # a column of its own: parsed once
+        .withColumn("payload_map", D.last_wins(F.col("_json")))
+        .drop("_json")
         .withColumn(
             "parse_error",
             F.when(F.col("payload").isNotNull(), D.parse_error(F.col("payload"), F.col("payload_map"))),
@@ -75,20 +77,19 @@ def _field_value(row: Column, path: str, type_: str) -> tuple[Column, Column]:
 def _row_struct(row: Column, spec: IngestSpec, elem_error: Column | None = None, null_row: Column | None = None) -> Column:
     """One row before the generator: its map, event time and row error.
 
-    Event time and the row error are computed here, below the generator, so
-    every later filter on the disposition reads plain generated columns
-    instead of re-parsing the time inside its condition.
+    Event time (``with_event_time``) and the row error are computed below the
+    generator, so every later filter on the disposition reads plain generated
+    columns instead of re-parsing the time inside its condition.
     """
     ds = spec.data_schema
-    event_time, time_error = parse_event_time(row[ds.timestamp_column], ds.timestamp_format)
-    err = time_error
+    err = F.col("time_error")
     for f in ds.fields:
         if f.role == "metric":
             value, raw = _field_value(row, f.source, f.type)
             err = F.coalesce(err, F.when(raw.isNotNull() & value.isNull(), F.lit("bad_metric")))
     return F.struct(
         row.alias(ROW_MAP),
-        event_time.alias("event_time"),
+        F.col("event_time"),
         F.when(row.isNotNull(), err).alias("row_error"),
         (elem_error if elem_error is not None else F.lit(None).cast("string")).alias("elem_error"),
         (null_row if null_row is not None else F.lit(False)).alias("null_row"),
@@ -107,11 +108,11 @@ def explode_rows(df: DataFrame, spec: IngestSpec) -> DataFrame:
     disposition stops at the Generate node, so the JSON decode and the time
     parse below it run once per row, never again inside the filter.
     """
-    rows_field = spec.data_schema.rows_field
+    rows_field, time_column, time_format = spec.data_schema.rows_field, spec.data_schema.timestamp_column, spec.data_schema.timestamp_format
     if not rows_field:
         elems = F.array(_row_struct(F.col("merged"), spec))
         msg_error = F.lit(None).cast("string")
-        out = df.select("*", F.posexplode(elems).alias("pos", "_e"))
+        out = with_event_time(df, F.col("merged")[time_column], time_format).select("*", F.posexplode(elems).alias("pos", "_e"))
     else:
         arr = F.from_json(F.col("merged")[rows_field], "array<string>")
         attrs = F.col("attributes")
@@ -128,13 +129,14 @@ def explode_rows(df: DataFrame, spec: IngestSpec) -> DataFrame:
             .select("*", F.explode(F.array(D.parse_object(F.col("_text")))).alias("_parsed"))
         )
         text, parsed = F.col("_text"), F.col("_parsed")
+        elements = with_event_time(elements.withColumn("_element", D.merge_attributes(parsed, attrs)), F.col("_element")[time_column], time_format)
         row = _row_struct(
-            D.merge_attributes(parsed, attrs),
+            F.col("_element"),
             spec,
             elem_error=F.when(text.isNotNull() & parsed.isNull(), F.lit("not_object")),
             null_row=text.isNull(),
         )
-        out = elements.select("*", F.explode(F.array(F.when(F.col("pos").isNotNull(), row))).alias("_e")).drop("_text", "_parsed")
+        out = elements.select("*", F.explode(F.array(F.when(F.col("pos").isNotNull(), row))).alias("_e")).drop("_text", "_parsed", "_element")
         msg_error = F.col("_msg_error")
     return (
         out.withColumn("pos", F.coalesce(F.col("pos"), F.lit(0)))
@@ -143,7 +145,7 @@ def explode_rows(df: DataFrame, spec: IngestSpec) -> DataFrame:
         .withColumn("row_error", F.col("_e.row_error"))
         .withColumn("rows_error", F.coalesce(msg_error, F.col("_e.elem_error")))
         .withColumn("null_row", F.coalesce(F.col("_e.null_row"), F.lit(False)))
-        .drop("_e", "_msg_error")
+        .drop("_e", "_msg_error", "time_error")
     )
 
 
@@ -207,7 +209,8 @@ def classify(df: DataFrame, spec: IngestSpec) -> DataFrame:
     )
     # A processed row must land in a segment whose both ends a timestamp can hold;
     # without one it is an error naming its time (strict) or an unparseable row.
-    beyond = F.unix_micros(bucket_end(F.col("segment_start"), spec.data_schema.segment_granularity)) > MAX_REPRESENTABLE_US
+    out = out.withColumn("_segment_end", bucket_end(F.col("segment_start"), spec.data_schema.segment_granularity))
+    beyond = F.unix_micros(F.col("_segment_end")) > MAX_REPRESENTABLE_US
     no_segment = (F.col("disposition") == PROCESSED) & (F.col("segment_start").isNull() | beyond)
     if spec.tuning.strict_segments:
         out = out.withColumn(
@@ -260,7 +263,7 @@ def rows_from_envelopes(env: DataFrame, spec: IngestSpec, batch_id: int | Column
         "disposition",
         "reason",
         ntz(seg).alias("segment_start"),
-        ntz(bucket_end(seg, ds.segment_granularity)).alias("segment_end"),
+        ntz(F.when(seg.isNotNull(), F.col("_segment_end"))).alias("segment_end"),
         (batch_id if isinstance(batch_id, Column) else F.lit(int(batch_id))).cast("bigint").alias("batch_id"),
         F.when(F.col("disposition") == UNPARSEABLE, F.col("data")).alias("data"),
     )

@@ -14,6 +14,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.functions import decode as D
 from tideline.operators import meters as M
@@ -28,6 +29,7 @@ from tideline.session import ensure_utc, scratch_path
 from tideline.sinks import segments as S
 from tideline.sources import fixtures as fx
 from tideline.sources import landing as L
+from tideline.sources.schema import ENVELOPE, ENVELOPE_COLUMNS
 from tideline.spec import IngestSpec
 from tideline.sinks.merge import files_by_segment, merge_ledger, merge_segments
 from tideline.sources.manifest import POLLS
@@ -530,6 +532,15 @@ def _publish_before(t: str):
     return F.col("publishTime") < F.lit(t)
 
 
+def _arrivals(spark, paths: StreamPaths, env: DataFrame, parts: list) -> list[DataFrame]:
+    """The messages of each part (conditions that exclude each other), landed once in
+    a folder of their own, so a batch reads its own messages and no others."""
+    number = F.coalesce(*[F.when(part, n) for n, part in enumerate(parts)])
+    env.withColumn("_part", number).filter(F.col("_part").isNotNull()).write.partitionBy("_part").parquet(paths.landing)
+    landed = spark.read.schema(T.StructType([*ENVELOPE.fields, T.StructField("_part", T.IntegerType())])).parquet(paths.landing)
+    return [landed.filter(F.col("_part") == n).select(*ENVELOPE_COLUMNS) for n in range(len(parts))]
+
+
 @register("metadata_match", SEGMENT_ROWS_SQL)
 def q_metadata_match(spark, sf_dir):
     """Two appends whose specs list the same roles in another order: accepted."""
@@ -626,10 +637,9 @@ def q_sequence_tag(spark, sf_dir):
     spec = events_spec()
     paths = _table(spark, "sequence")
     env = fx.envelopes(spark, sf_dir)
-    cuts = ["2024-01-11T00:00:00.000000Z", "2024-01-21T00:00:00.000000Z"]
-    process_batch(env.filter(_publish_before(cuts[0])), 0, spec, paths)
-    process_batch(env.filter(~_publish_before(cuts[0]) & _publish_before(cuts[1])), 1, spec, paths)
-    process_batch(env.filter(~_publish_before(cuts[1])), 2, spec, paths)
+    first, second = (_publish_before(t) for t in ("2024-01-11T00:00:00.000000Z", "2024-01-21T00:00:00.000000Z"))
+    for n, part in enumerate(_arrivals(spark, paths, env, [first, ~first & second, ~second])):
+        process_batch(part, n, spec, paths)
     return S.read_rows(spark, paths.table, spec).select("messageId", "batch_id")
 
 
@@ -981,11 +991,11 @@ def q_batch_clock(spark, sf_dir):
     paths, env = _table(spark, "clock"), fx.envelopes(spark, sf_dir)
     cuts = [("0", "2024-01-11T"), ("2024-01-11T", "2024-01-21T"), ("2024-01-21T", "9")]
     clocks = [datetime(2024, 1, 11), datetime(2024, 1, 21), datetime(2024, 2, 1)]
-    part = lambda n: env.filter((F.col("publishTime") >= cuts[n][0]) & (F.col("publishTime") < cuts[n][1]))
+    parts = _arrivals(spark, paths, env, [(F.col("publishTime") >= lo) & (F.col("publishTime") < hi) for lo, hi in cuts])
     for n, at in enumerate(clocks):
-        process_batch(part(n), n, spec, paths, clock=lambda at=at: at)
+        process_batch(parts[n], n, spec, paths, clock=lambda at=at: at)
     S.delete_path(spark, S._marker(paths.table, 1))  # cut off before its commit
-    process_batch(part(1), 1, spec, paths, clock=lambda: datetime(2024, 3, 1))
+    process_batch(parts[1], 1, spec, paths, clock=lambda: datetime(2024, 3, 1))
     return S.read_rows(spark, paths.table, spec).select("messageId", "disposition", "reason")
 
 
@@ -1047,8 +1057,8 @@ def q_merge_segment_files(spark, sf_dir):
     before and after a merge: each segment has as few files as its rows fill."""
     spec, paths, env = events_spec().with_tuning(max_rows_per_segment=100), _table(spark, "merge"), fx.envelopes(spark, sf_dir)
     hour = F.pmod(F.crc32(F.col("messageId").cast("binary")), F.lit(6))
-    for batch in range(6):
-        process_batch(env.filter(hour == batch), batch, spec, paths)
+    for batch, part in enumerate(_arrivals(spark, paths, env, [hour == batch for batch in range(6)])):
+        process_batch(part, batch, spec, paths)
     process_batch(env.filter(F.lit(False)), 6, spec, paths)
     out, checkpoint = f"{paths.table}_rollup", f"{paths.checkpoint}_rollup"
     drain_rollup(spark, spec, paths.table, out, checkpoint, None, ["event_type"], "31 days")
