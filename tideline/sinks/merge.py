@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -93,12 +94,17 @@ def _merge(spark: SparkSession, root: str, schema, group: list[str], layout: lis
     raw = spark.read.schema(schema).parquet(root).filter(F.col("batch_id") <= upto)
     path = F.col("_metadata.file_path")
     sizes = raw.groupBy(path.alias("path"), *group).agg(F.count(F.lit(1)).alias("n"))
+    folder = F.expr("left(path, length(path) - length(substring_index(path, '/', -1)) - 1)")
+    sizes = sizes.withColumn("full", F.count_if(F.col("n") >= limit).over(Window.partitionBy(folder)))
     own = Window.partitionBy(*group).orderBy("path")
     small = sizes.filter(F.col("n") < limit).withColumn("first", F.sum("n").over(own) - F.col("n")).withColumn("files", F.count(F.lit(1)).over(Window.partitionBy(*group)))
-    todo = small.filter(F.col("files") > 1).select("path", "first").toPandas()  # file statistics, a row a file
+    todo = small.filter(F.col("files") > 1).select("path", "first", "full").toPandas()  # file statistics, a row a file
     if not len(todo):
         return 0
-    files = [plain_path(spark, uri) for uri in todo["path"]]
+    whole = sorted({uri.rpartition("/")[0] for uri in todo["path"][todo["full"] == 0]})  # folders that go with all their files
+    gone = [plain_path(spark, uri) for uri in [*whole, *todo["path"][todo["full"] > 0]]]
+    files = _plain_paths(spark, todo["path"])
+    todo = todo[["path", "first"]]
     number = merges(spark, root) + 1
     staging = f"{root}/{STAGING}/purge"
     delete_path(spark, staging)
@@ -109,12 +115,24 @@ def _merge(spark: SparkSession, root: str, schema, group: list[str], layout: lis
     dealt = merged.repartition(*group, "_file").drop("_file")
     dealt.write.mode("overwrite").option("maxRecordsPerFile", limit).partitionBy(*layout).parquet(staging)
     base = _base(spark, root)
-    journal = {"delete": [f[len(base) + 1 :] for f in files], "generation": read_generation(spark, root), "merges": number}
+    journal = {"delete": [f[len(base) + 1 :] for f in gone], "generation": read_generation(spark, root), "merges": number}
     write_record(spark, f"{root}/{PURGE_JOURNAL}", journal)
     finish_purge(spark, root)
     return len(todo)
 
 
+def _plain_paths(spark: SparkSession, uris) -> list[str]:
+    """``plain_path`` of many files; each folder is asked for once."""
+    folders: dict[str, str] = {}
+    out = []
+    for uri in uris:
+        folder, _, name = uri.rpartition("/")
+        if folder not in folders:
+            folders[folder] = plain_path(spark, folder)
+        out.append(f"{folders[folder]}/{unquote(name)}")
+    return out
+
+
 def _base(spark: SparkSession, root: str) -> str:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(root)
