@@ -145,3 +145,14 @@ def test_a_merge_deletes_folders_that_go_whole(spark, monkeypatch):
     merged = G.merge_segments(spark, paths.table, spec.with_tuning(max_rows_per_segment=20))
     assert 0 < len(journals[0]["delete"]) < merged and not any(d.endswith(".parquet") and d.rpartition("/")[0] in journals[0]["delete"] for d in journals[0]["delete"])
     assert _rows(spark, paths, spec) == before
+
+
+def test_a_large_landed_file_is_read_by_many_tasks(spark):
+    path = scratch_path(spark, "row-groups")
+    text = F.concat(*[F.sha2((F.col("id") * 8 + k).cast("string"), 512) for k in range(8)])  # 1 KB that does not compress well
+    rows = spark.range(40000, numPartitions=1).select(F.lit("a").alias("ackId"), F.col("id").cast("string").alias("messageId"), F.lit("2024-01-10T00:00:00Z").alias("publishTime"), text.alias("data"), F.lit(None).cast("map<string,string>").alias("attributes"))
+    land_envelopes(rows, path)
+    env = spark.read.schema(ENVELOPE).parquet(path)
+    assert len(env.inputFiles()) == 1
+    busy = env.groupBy(F.spark_partition_id()).count().count()
+    assert busy > 2

@@ -698,7 +698,7 @@ def q_idempotent_commit(spark, sf_dir):
 def _land(spark, sf_dir, paths: StreamPaths, files: int = 8) -> None:
     env = fx.envelopes(spark, sf_dir)
     # round-robin files: copies of a message may land in different micro-batches
-    env.repartition(files).write.parquet(paths.landing)
+    L.land_envelopes(env.repartition(files), paths.landing)
 
 
 def _stream(spark, sf_dir, name, spec=None, files=8, **kw) -> StreamPaths:

@@ -97,11 +97,16 @@ def stream_pull_responses(
     return unnest_pull(reader.load(path))
 
 
+#: Bytes of a row group of a landed Parquet file: a poll may be one file, and a
+#: file is read by as many tasks as it has row groups.
+ROW_GROUP_BYTES = 8 << 20
+
+
 def land_envelopes(env: DataFrame, path: str, max_messages_per_file: int = 0, fmt: str = "parquet") -> None:
     """Append envelopes to a landing folder; files hold at most
     ``max_messages_per_file`` messages (``maxMessagesPerPoll``), so one file
     per trigger bounds a micro-batch by messages."""
-    w = env.select(*ENVELOPE_COLUMNS).write.mode("append").format(fmt)
+    w = env.select(*ENVELOPE_COLUMNS).write.mode("append").option("parquet.block.size", ROW_GROUP_BYTES).format(fmt)
     if max_messages_per_file:
         w = w.option("maxRecordsPerFile", int(max_messages_per_file))
     w.save(path)
