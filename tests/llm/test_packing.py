@@ -30,6 +30,21 @@ def test_encoder_gives_the_ids_of_the_tokenizer():
         assert [x.tolist() for x in model.ids(TEXTS, limit)] == ids_of(TEXTS)
 
 
+def test_runs_are_encoded_once_whatever_their_case_and_marks():
+    model = packing.Encoder(packing.default_tokenizer())
+    bases, marks = [f"b{c}zz" for c in "aeiouéèžø"], [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'"]
+    words = [f(b) + m for b in bases for f in (str, str.title, str.upper) for m in ["", "...", *marks]]
+    assert [x.tolist() for x in model.ids([" ".join(words)])] == ids_of([" ".join(words)])
+    assert len(model.place) <= len(bases) + len(marks) + 2
+
+
+def test_every_letter_and_mark_as_a_word():
+    letters = [chr(c) for c in [*range(0x21, 0x7F), *range(0xA1, 0x250), 0x1E9E, 0x212A, 0x212B, 0x307, 0x338]]
+    words = [w for c in letters for w in (c, f"x{c}", f"{c}x", f"X{c}Y.", f"{c}.", f"x{c}=", f"{c}\u0307", f"x{c}\u0338,")]
+    model = packing.Encoder(packing.default_tokenizer())
+    assert [x.tolist() for x in model.ids(words)] == ids_of(words)
+
+
 def check(rows, want, length):
     """``rows`` of pack() hold the documents of ``want`` (id -> list of id lists)."""
     docs, sequences = {}, {}

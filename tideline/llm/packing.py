@@ -28,6 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,24 +41,27 @@ SHARD_CHARS = 1 << 23
 SHARD_KEYS = 64  # documents sampled for each shard to find where it begins
 MAX_SHARDS = 1 << 16  # of one call; shards grow beyond that
 TIE_BITS = 22
-WORDS = 1 << 19  # words whose ids a Python worker remembers
+WORDS = 1 << 19  # runs of words whose ids a Python worker remembers
 
 # Only these part words here: the tokenizer reads each of them as white space,
 # and nothing that it does to a text reaches across white space.
-_WORD, _GAP = re.compile(r"[^ \n\r\t]+"), re.compile(r"[ \n\r\t]")
-# A word of these alone is one run of the pre-tokenizer, left as it is by NFC and
-# lower case, so the model can have its bytes at once.
-_LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u017e]+")
-_TAIL = ".,;:!?"
+_GAPS, _GAP = " \n\r\t", re.compile(r"[ \n\r\t]")
+# Letters that are left as they are by NFC, and by lower case or one for one.  A word
+# of them is one run of the pre-tokenizer, and marks behind it are another.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e"
+_RUNS = f"^(?P<head>[{_LETTERS}]+)(?P<tail>[!-&(-/:-@\\[-`{{-~]*)$"
 _SPREAD = U64(0x9E3779B97F4A7C15)
 
 
-def _byte_letters() -> dict[int, str]:
-    """How byte-level tokenizers write a byte: itself where it is printable, the
-    others in order from U+0100."""
+def _byte_letters() -> np.ndarray:
+    """How byte-level tokenizers write a byte, as a code point: itself where it is
+    printable, the others in order from U+0100.  Line ends stay what they are."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in plain]
-    return {b: chr(0x100 + i) for i, b in enumerate(others)}
+    out = np.arange(256, dtype="<u4")
+    others = np.setdiff1d(out, plain)
+    out[others] = 0x100 + np.arange(len(others))
+    out[ord("\n")] = ord("\n")
+    return out
 
 
 def default_tokenizer() -> str:
@@ -66,18 +70,10 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class _Words(dict):
-    """Numbers of words, given as they come; ``new`` has the unseen ones."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        self.new.append(word)
-        return number
-
-
 class Encoder:
     """Ids of texts by a byte-level tokenizer that lower-cases and parts words at
-    white space; each different word is encoded once while it is remembered."""
+    white space; each different run of letters or marks, or word of anything else,
+    is encoded once while it is remembered."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
@@ -88,36 +84,44 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.place = _Words()
-        self.place.new = []
+        self.place: dict[str, int] = {}
         self.flat, self.starts, self.sizes = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        self.marks = {c: self.tokenizer.encode(c, add_special_tokens=False).ids for c in _TAIL}
-
-    def _learn(self, words: list[str]) -> None:
-        """Ids of new words.  A mark behind a letter is a run of its own, and letter
-        case is dropped; other words than letters and a mark go through the whole
-        tokenizer."""
-        tokenize, letters = self.tokenizer.model.tokenize, self.letters
-        found: list[list[int] | None] = []
-        rest = []
-        for i, w in enumerate(words):
-            plain = w.lower()
-            mark = plain[-1] if len(plain) > 1 and plain[-1] in _TAIL else ""
-            base = plain[:-1] if mark else plain
-            if _LETTERS.fullmatch(base):
-                raw = base if base.isascii() else base.encode().decode("latin-1").translate(letters)
-                ids = [t.id for t in tokenize(raw)]
-                found.append(ids + self.marks[mark] if mark else ids)
-            else:
-                found.append(None)
-                rest.append(i)
-        for i, e in zip(rest, self.tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)):
+
+    def _learn(self, runs: list[str]) -> None:
+        """Ids of new runs.  The model has the bytes of lower-case letters at once;
+        other runs go through the whole tokenizer."""
+        plain = pc.match_substring_regex(pa.array(runs, pa.string()), f"^[{_LETTERS}]+$").to_numpy(zero_copy_only=False)
+        found: list[list[int]] = [[]] * len(runs)
+        own, rest = np.flatnonzero(plain).tolist(), np.flatnonzero(~plain).tolist()
+        text = np.frombuffer("\n".join([runs[i] for i in own]).encode(), dtype=np.uint8)
+        tokenize = self.tokenizer.model.tokenize
+        for i, raw in zip(own, self.letters[text].tobytes().decode("utf-32-le").split("\n")):
+            found[i] = [t.id for t in tokenize(raw)]
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([runs[i] for i in rest], add_special_tokens=False)):
             found[i] = e.ids
-        sizes = np.array([len(x) for x in found], dtype=np.int64)
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         starts = len(self.flat) + np.cumsum(sizes) - sizes
         self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(found), dtype=np.uint32, count=int(sizes.sum()))])
         self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
 
+    def _numbers(self, runs: pa.StringArray) -> np.ndarray:
+        """Number of each run; the unseen ones are learned."""
+        coded, place = runs.dictionary_encode(), self.place
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if new := [x for x in different if x not in place]:
+            place.update(zip(new, range(len(place), len(place) + len(new))))
+            self._learn(new)
+        return np.fromiter(map(place.__getitem__, different), dtype=np.int64, count=len(different))[coded.indices.to_numpy()]
+
+    def _words(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and where each word's end."""
+        runs = pc.extract_regex(words, _RUNS)
+        heads = pc.coalesce(pc.utf8_lower(pc.struct_field(runs, 0)), words)
+        tails = pc.coalesce(pc.struct_field(runs, 1), "")
+        own = np.stack([self._numbers(heads), self._numbers(tails)], axis=1).ravel()
+        at, ends = _spread_out(self.starts[own], self.sizes[own])
+        return self.flat[at], ends[1::2]
+
     def ids(self, texts: list[str | None], limit: int = 1 << 22) -> list[np.ndarray]:
         """Ids of each text; one of more than ``limit`` characters is encoded piece
         by piece, cut where words part."""
@@ -125,22 +129,25 @@ class Encoder:
             return [np.concatenate([x for p in _pieces(t, limit) for x in self.ids([p], len(p))]) if t and len(t) > limit else self.ids([t])[0] for t in texts]
         if len(self.place) > WORDS:
             self.forget()
-        number, per_text = self.place.__getitem__, []
-        at: list[int] = []
-        for t in texts:
-            at += map(number, _WORD.findall(t or ""))
-            per_text.append(len(at))
-        if self.place.new:
-            self._learn(self.place.new)
-            self.place.new = []
-        words = np.array(at, dtype=np.int64)
-        sizes = self.sizes[words]
-        ends = np.cumsum(sizes)
-        flat = self.flat[np.repeat(self.starts[words] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        cuts = np.concatenate([[0], ends])[[0, *per_text]]
+        parted = pa.array([t or "" for t in texts], pa.string())
+        for gap in _GAPS[1:]:
+            parted = pc.replace_substring(parted, gap, _GAPS[0])
+        parted = pc.split_pattern(parted, _GAPS[0])  # two gaps part an empty word, which has no ids
+        coded = parted.values.dictionary_encode()
+        flat, ends = self._words(coded.dictionary)
+        sizes, words = np.diff(ends, prepend=0), coded.indices.to_numpy()
+        at, ends = _spread_out((ends - sizes)[words], sizes[words])
+        cuts = np.concatenate([[0], ends])[parted.offsets.to_numpy()]
+        flat = flat[at]
         return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
+def _spread_out(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``sizes`` places from each of ``starts`` on, in a row, and where each ends."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0), ends
+
+
 def _pieces(text: str, limit: int) -> Iterator[str]:
     at = 0
     while len(text) - at > limit:
