@@ -18,23 +18,28 @@ ONE = U64(1)
 
 
 ARROW_ROWS, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+READ_ROWS = "spark.sql.parquet.columnarReaderBatchSize"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
+def staged(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS, read_rows: int | None = None) -> DataFrame:
     """Write ``df`` to the cluster's shared folder and read it back: cuts the
     lineage with a table that survives lost executors.  Python stages below get
-    Arrow batches of ``batch_rows`` rows meanwhile, as rows hold whole texts."""
+    Arrow batches of ``batch_rows`` rows meanwhile, as rows hold whole texts;
+    ``read_rows`` is how many rows of a Parquet file are decoded at a time."""
     path, conf = scratch_path(df.sparkSession, f"llm-{name}"), df.sparkSession.conf
-    rows = conf.get(ARROW_ROWS)
-    conf.set(ARROW_ROWS, str(batch_rows))
+    sizes = {ARROW_ROWS: batch_rows} | ({READ_ROWS: read_rows} if read_rows else {})
+    before = {k: conf.get(k) for k in sizes}
     try:
+        for k, v in sizes.items():
+            conf.set(k, str(v))
         df.write.parquet(path)
     finally:
-        conf.set(ARROW_ROWS, rows)
+        for k, v in before.items():
+            conf.set(k, v)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -38,6 +38,7 @@ from tideline.llm.perfect_hash import Probe, build, pack
 STRIP = " \t\n\u000b\f\r"
 SHARD_KEYS = 50_000  # repeated keys a shard holds, on average
 BLOCK_LINES = 65_536  # line hashes a block holds, on average
+TEXT_ROWS = 512  # texts that a task decodes at a time to hash their lines
 NO_ID = -(1 << 63)
 
 
@@ -177,6 +178,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Da
     held = staged(
         docs.select(own.alias("id"), row.alias("row"), "text").mapInArrow(_hasher(min_chars), "id long, row long, deal long, h1 long, h2 long"),
         "line-hashes",
+        read_rows=TEXT_ROWS,
     )
     # rows of one doc_id are one document; each row without an id is one
     by_doc = held.groupBy("h1", "h2", "id").agg(F.count("*").alias("n"))
