@@ -1,4 +1,4 @@
-"""Embedding near-dedup: spherical k-means cells, blocked cosine products.
+"""Embedding near-dedup: spherical k-means cells, border visits, blocked cosine products.
 
 Vectors are compared when their labels are equal and not null and the cosine,
 in double precision, is at least the threshold.  Vectors that are null, zero or
@@ -6,53 +6,66 @@ hold null or non-finite components link with nothing; so do vectors of
 different lengths.
 
 1. Equal vectors of a label are one node with a count (pre-aggregated).
-2. Spherical k-means on a bounded sample of directions gives the cells.  A
-   vector's home is its nearest centroid.
-3. A vector also visits every other cell whose border is near enough: if x has
+2. A node's code holds its coordinates on up to ``AXES`` orthogonal axes and the
+   length of the rest.  It is a unit vector, too, and two codes are no farther
+   apart than their vectors.  Spherical k-means on a bounded sample of codes
+   gives the cells.  A node's home is its nearest centroid.
+3. A node also visits every other cell whose border is near enough: if x has
    home c and cos(x, y) >= t, then |x - y| <= sqrt(2 - 2 t), so y is at most
    that far beyond the plane between its own home and c.  The visit test is
    this bound, so no pair is lost at a border.
-4. A cell of one label is cut into blocks of a bounded number of vectors, and
-   every block meets every block in a matrix product of its home vectors with
-   all vectors there.  A pair of blocks gives the number of partners of each
-   home vector and a spanning set of links, not the pairs.
-5. Components of the links; of each, the smallest vec_id is kept.
+4. Visits are made by codes alone.  The cells of a label are cut into parts of a
+   bounded number of nodes; a code goes once to each part that it visits (of two
+   parts, to one), and there meets the cells that it visits.  What comes out are
+   the nodes whose code is near enough to another's, and the cells of those
+   others.
+5. Only these nodes' vectors are moved: to their home and to those cells.  A cell
+   of one label is cut into blocks of a bounded number of vectors, and every
+   block meets every block in a matrix product of its home vectors with all
+   vectors there.  A pair of blocks gives the number of partners of each home
+   vector and a spanning set of links, not the pairs.
+6. Components of the links; of each, the smallest vec_id is kept.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import staged
+from tideline.llm.common import bloom, maybe_in, staged
 from tideline.llm.components import components
 
-SAMPLE = 8192  # directions that the centroids are fitted on
+SAMPLE = 8192  # directions that the axes and centroids are fitted on
 CELL_VECTORS = 4096  # vectors in a cell, on average
 MAX_CELLS = 4096
 TURNS = 12
-BLOCK = 1024  # vectors of a block, on average
+AXES = 24  # coordinates of a code
+ROUGH = 15  # of these, compared first
+STEP = 1 << 14  # steps of a code between 0 and 1
+SLACK = 1e-3  # more than rounding to steps takes from the cosine of two codes
+PART = 1 << 18  # codes of a part, on average
+BLOCK = 1 << 17  # vectors of a block, on average
+FEW = 1 << 15  # cells and labels of fewer rows share a task
+ROWS, COLUMNS = 128, 4096  # of a product
+BATCH = 8192  # rows of an Arrow batch
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _directions(part: pa.RecordBatch) -> list[np.ndarray]:
-    return [np.asarray(v, dtype=np.float64) for v in part.column("embedding").to_pylist()]
-
-
 def spherical_kmeans(sample: np.ndarray, cells: int, seed: int = 5) -> np.ndarray:
     """Unit centroids: nearest by cosine, then the direction of the sum."""
     rng = np.random.default_rng(seed)
     centroids = sample[rng.choice(len(sample), min(cells, len(sample)), replace=False)]
     for _ in range(TURNS):
-        home = (sample @ centroids.T).argmax(axis=1)
+        home = np.concatenate([(sample[i : i + ROWS] @ centroids.T).argmax(axis=1) for i in range(0, len(sample), ROWS)])
         sums = np.zeros_like(centroids)
         np.add.at(sums, home, sample)
         size = np.linalg.norm(sums, axis=1)
@@ -60,34 +73,283 @@ def spherical_kmeans(sample: np.ndarray, cells: int, seed: int = 5) -> np.ndarra
     return centroids
 
 
-def _cells(centroids: dict[int, np.ndarray], threshold: float):
-    """(node, dim, label, cell, home, vector) of homes and visits."""
-    far = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-9
+@dataclass
+class Frame:
+    """Of the vectors of one length: the axes and the cells' centroids."""
+
+    axes: np.ndarray
+    centroids: np.ndarray
+
+    def codes(self, x: np.ndarray) -> np.ndarray:
+        """Codes of unit vectors, in steps."""
+        y = x @ self.axes
+        rest = np.sqrt(np.maximum(0, 1 - (y**2).sum(axis=1)))
+        return np.rint(STEP * np.column_stack([y, rest])).astype(np.int16)
+
+    def home(self, codes: np.ndarray) -> np.ndarray:
+        return np.concatenate([(floats(codes[i : i + ROWS]) @ self.centroids.T).argmax(axis=1) for i in range(0, len(codes), ROWS)])
+
+    def margins(self, cells: np.ndarray, far: float) -> np.ndarray:
+        """How much nearer to its home (rows) than to one of the cells (columns)
+        a code is at most that is ``far`` or less from the plane between."""
+        c, out = self.centroids[cells], np.empty((len(self.centroids), len(cells)), dtype=np.float32)
+        for i in range(0, len(out), ROWS):
+            own = self.centroids[i : i + ROWS]
+            apart = (own**2).sum(axis=1)[:, None] + (c**2).sum(axis=1)[None, :] - 2 * (own @ c.T)
+            out[i : i + ROWS] = far * np.sqrt(np.maximum(0, apart)) + 1e-5
+        return out
+
+    def visits(self, codes: np.ndarray, home: np.ndarray, cells: np.ndarray, margins: np.ndarray) -> np.ndarray:
+        """Which of the cells (columns) may hold a code near to these."""
+        near = codes @ self.centroids[cells].T
+        near += margins[home]
+        return near >= (codes * self.centroids[home]).sum(axis=1)[:, None] - np.float32(1e-6)
+
+
+def floats(codes: np.ndarray) -> np.ndarray:
+    return codes.astype(np.float32) / np.float32(STEP)
+
+
+def rough(codes: np.ndarray) -> np.ndarray:
+    """The first coordinates and the length of the rest: a code of fewer axes."""
+    if codes.shape[1] <= ROUGH + 1:
+        return codes
+    y = codes[:, :ROUGH]
+    return np.column_stack([y, np.sqrt((codes[:, ROUGH:] ** 2).sum(axis=1))])
+
+
+def reach(threshold: float) -> float:
+    """How far apart the codes of two linked vectors are at most."""
+    return float(np.sqrt(max(0.0, 2 - 2 * (threshold - SLACK))))
+
+
+def _in_order(centroids: np.ndarray) -> np.ndarray:
+    """The centroids so that near ones are close in order: halved again and again
+    along their longest axis."""
+    if len(centroids) < 3:
+        return centroids
+    y = centroids - centroids.mean(axis=0)
+    order = np.argsort(y @ np.linalg.eigh(y.T @ y)[1][:, -1], kind="stable")
+    half = len(order) // 2
+    return np.concatenate([_in_order(centroids[order[:half]]), _in_order(centroids[order[half:]])])
+
+
+def plain_frame(dim: int) -> Frame:
+    k = min(dim, AXES)
+    return Frame(np.eye(dim, k), np.zeros((1, k + 1), dtype=np.float32))
+
+
+def fit(sample: np.ndarray, cells: int) -> Frame:
+    """Axes along which the unit vectors of the sample differ most, cells of their codes."""
+    frame = plain_frame(sample.shape[1])
+    if cells <= 1:
+        return frame
+    y = sample - sample.mean(axis=0)
+    frame.axes = np.ascontiguousarray(np.linalg.eigh(y.T @ y)[1][:, ::-1][:, : frame.axes.shape[1]])
+    frame.centroids = _in_order(spherical_kmeans(unit(frame.codes(sample) / STEP), cells)).astype(np.float32)
+    return frame
+
+
+def _scaled(part: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each length: the numbers of the sound rows, their vectors as they are
+    and in doubles, scaled by the largest component, so that neither squares nor
+    copies at another scale matter."""
+    column = part.column("embedding")
+    values, starts = column.values, column.offsets.to_numpy()
+    raw = (pc.fill_null(values, np.nan) if values.null_count else values).to_numpy(zero_copy_only=False)
+    sizes = np.where(column.is_valid().to_numpy(zero_copy_only=False), np.diff(starts), 0)
+    labelled = part.column("label").is_valid().to_numpy(zero_copy_only=False)
+    for dim in np.unique(sizes[labelled & (sizes > 0)]).tolist():
+        rows = np.flatnonzero(labelled & (sizes == dim))
+        own = raw[starts[rows][:, None] + np.arange(dim)]
+        x = own.astype(np.float64)
+        most = np.abs(x).max(axis=1)
+        sound = np.isfinite(x).all(axis=1) & (most > 0)
+        if sound.any():
+            yield rows[sound], own[sound], x[sound] / most[sound, None] + 0.0
+
+
+def _coded(frames: dict[int, Frame], with_code: bool):
+    """(vec_id, label, dim, key, cell, data) of each row: ``key`` are the bytes of
+    the scaled vector, ``data`` those of its code or of the vector as it is."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            vectors = _directions(part)
-            nodes, labels = part.column("node").to_pylist(), part.column("label").to_pylist()
-            out: list[tuple] = []
-            for dim in {len(v) for v in vectors}:
-                own = [i for i, v in enumerate(vectors) if len(v) == dim]
-                x = unit(np.stack([vectors[i] for i in own]))
-                c = centroids.get(dim)
-                if c is None:
-                    c = np.zeros((1, dim))
-                apart = np.sqrt(np.maximum(0, ((c[:, None, :] - c[None, :, :]) ** 2).sum(-1))) if len(c) <= 256 else np.sqrt(np.maximum(0, (c**2).sum(1)[:, None] + (c**2).sum(1)[None, :] - 2 * c @ c.T))
-                near = x @ c.T
-                home = near.argmax(axis=1)
-                behind = near[np.arange(len(x)), home][:, None] - near  # times |c - c'|: distance to the plane between
-                visits = behind <= far * apart[home] + 1e-12
-                visits[np.arange(len(x)), home] = True
-                at, cell = np.nonzero(visits)
-                raw = [r.tobytes() for r in x]
-                out += [(nodes[own[i]], dim, labels[own[i]], int(k), bool(home[i] == k), raw[i]) for i, k in zip(at.tolist(), cell.tolist())]
-            if out:
-                cols = list(zip(*out))
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(cols, kinds)], names=["node", "dim", "label", "cell", "home", "vector"])
+            n = part.num_rows
+            dims, cells, keys, data = np.zeros(n, dtype=np.int32), np.zeros(n, dtype=np.int32), [None] * n, [None] * n
+            for rows, own, x in _scaled(part):
+                dim = x.shape[1]
+                dims[rows] = dim
+                if with_code:
+                    frame = frames.get(dim) or plain_frame(dim)
+                    own = frame.codes(unit(x))
+                    cells[rows] = frame.home(own)
+                for i, k, d in zip(rows.tolist(), x, own):
+                    keys[i], data[i] = k.tobytes(), d.tobytes()
+            kinds = {"dim": pa.array(dims), "key": pa.array(keys, pa.binary()), "cell": pa.array(cells), "data": pa.array(data, pa.binary())}
+            yield pa.RecordBatch.from_arrays([part.column("vec_id"), part.column("label"), *kinds.values()], names=["vec_id", "label", *kinds])
+
+    return run
+
+
+def _part(cell: np.ndarray, parts: int, cells: int) -> np.ndarray:
+    """The part of a label that holds a cell: parts are runs of cells."""
+    return cell.astype(np.int64) * parts // cells
+
+
+def _places(frames: dict[int, Frame], cells: int, threshold: float):
+    """(node, dim, label, cell, part, home, code) of the parts that a code is at
+    home in or visits.  Of two parts one has the other's visits: that from which
+    fewer steps lead round to the other."""
+    far = reach(threshold)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        margins: dict[int, np.ndarray] = {}
+        for part in parts:
+            dims, count = part.column("dim").to_numpy(), part.column("parts").to_numpy()
+            home = part.column("cell").to_numpy().astype(np.int64)
+            own = _part(home, count, cells)
+            at, to = [np.arange(part.num_rows)], [own]
+            for dim, n in {*zip(dims.tolist(), count.tolist())}:
+                frame = frames.get(dim)
+                if n == 1 or frame is None:
+                    continue
+                rows = np.flatnonzero((dims == dim) & (count == n))
+                codes = _matrix(part.column("code"), rows, np.int16)
+                every = np.arange(len(frame.centroids))
+                of = _part(every, n, cells)
+                first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+                if dim not in margins:
+                    margins[dim] = frame.margins(every, far)
+                for i in range(0, len(rows), ROWS):
+                    some = rows[i : i + ROWS]
+                    seen = np.logical_or.reduceat(frame.visits(floats(codes[i : i + ROWS]), home[some], every, margins[dim]), first, axis=1)
+                    r, k = np.nonzero(seen)
+                    r, k = some[r], of[first][k]
+                    steps = (k - own[r]) % n
+                    go = (steps > 0) & ((2 * steps < n) | ((2 * steps == n) & (k < own[r])))
+                    at.append(r[go])
+                    to.append(k[go])
+            at, to = np.concatenate(at), np.concatenate(to)
+            taken = part.select(["node", "dim", "label", "cell", "code"]).take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(to), pa.array(np.arange(len(at)) < part.num_rows)], names=["node", "dim", "label", "cell", "code", "part", "home"])
+
+    return run
+
+
+def _matrix(column: pa.Array, rows: np.ndarray, kind) -> np.ndarray:
+    """Rows of a binary column, all of one length."""
+    taken = pa.concat_arrays([column.take(pa.array(rows))])
+    start, end = taken.offset, taken.offset + len(taken)
+    offsets = np.frombuffer(taken.buffers()[1], dtype=np.int32)[start : end + 1]
+    return np.frombuffer(taken.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]].view(kind).reshape(len(rows), -1)
+
+
+def _gathered(parts: Iterator[pa.RecordBatch], binary: str) -> tuple[dict[str, np.ndarray], Callable]:
+    """The columns of all batches, and what gives rows of the ``binary`` one (all
+    of one length) as a matrix.  A batch goes as the next one comes."""
+    found: dict[str, list] = {}
+    for part in parts:
+        for name, column in zip(part.schema.names, part.columns):
+            if name == binary:
+                offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+                found.setdefault("__tl_bytes", []).append(np.frombuffer(column.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]].copy())
+                found.setdefault("__tl_sizes", []).append(np.diff(offsets))
+            elif name != "task":
+                found.setdefault(name, []).append(column.to_numpy().copy())
+    columns = {name: np.concatenate(found.pop(name)) for name in [*found]}
+    data, sizes = columns.pop("__tl_bytes"), columns.pop("__tl_sizes")
+    even = bool((sizes == sizes[0]).all())
+    starts = None if even else np.cumsum(sizes) - sizes
+
+    def matrix(rows: np.ndarray, kind: type) -> np.ndarray:
+        if even:
+            return data.view(kind).reshape(len(sizes), -1)[rows]
+        wide = sizes[rows[0]] if len(rows) else 0
+        return data[starts[rows][:, None] + np.arange(wide)].view(kind)
+
+    return columns, matrix
+
+
+def _runs(columns: dict[str, np.ndarray], keys: list[str]) -> Iterator[tuple[tuple, np.ndarray]]:
+    """The rows of each value of the keys."""
+    cols = [columns[k] for k in keys if (columns[k] != columns[k][0]).any()]
+    order = np.lexsort(cols[::-1]) if cols else np.arange(len(columns[keys[0]]))
+    new = np.zeros(len(order), dtype=bool)
+    for c in cols:
+        new[1:] |= c[order][1:] != c[order][:-1]
+    for rows in np.split(order, np.flatnonzero(new)):
+        yield tuple(int(columns[k][rows[0]]) for k in keys), rows
+
+
+def near_codes(frame: Frame, threshold: float, codes: np.ndarray, home: np.ndarray, others: np.ndarray, other_home: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row of ``codes``, cell) and (row of ``others``, cell): the cells that hold
+    a code near enough to that row.  Both are in order of their homes; if they
+    are the ``same``, ``others`` begins with ``codes`` and each pair counts once."""
+    least, cells_all = np.float32(threshold - SLACK), len(frame.centroids)
+    cells, starts = np.unique(home, return_index=True)
+    ends, margins = np.concatenate([starts[1:], [len(home)]]), frame.margins(cells, reach(threshold))
+    a = floats(codes)
+    a_rough = rough(a)
+    mine, theirs = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    for lo in range(0, len(others), COLUMNS):
+        b = floats(others[lo : lo + COLUMNS])
+        b_rough, b_home = rough(b), other_home[lo : lo + COLUMNS]
+        seen = np.empty((len(cells), len(b)), dtype=bool)
+        for i in range(0, len(b), ROWS):
+            seen[:, i : i + ROWS] = frame.visits(b[i : i + ROWS], b_home[i : i + ROWS], cells, margins).T
+        for cell, start, end, meets in zip(cells.tolist(), starts.tolist(), ends.tolist(), seen):
+            if same and start >= lo + len(b):
+                break
+            cols = np.flatnonzero(meets)
+            if same:
+                cols = cols[np.searchsorted(cols, start - lo) :]
+            if not len(cols):
+                continue
+            b_cols = b_rough.take(cols, axis=0)
+            for p in range(start, end, ROWS):
+                product = b_cols @ a_rough[p : min(end, p + ROWS)].T
+                if product.max() < least:
+                    continue
+                rows, at = np.arange(p, min(end, p + ROWS)), cols[product.max(axis=1) >= least]
+                hit = a[rows[0] : rows[-1] + 1] @ b[at].T >= least
+                if same:
+                    hit &= rows[:, None] != (at + lo)[None, :]
+                at, hit = at[found := hit.any(axis=0)], hit[:, found]
+                if not len(at):
+                    continue
+                of = b_home[at]
+                first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+                r, k = np.nonzero(np.logical_or.reduceat(hit, first, axis=1))
+                mine.append(rows[r] * cells_all + of[first][k])
+                theirs.append((at + lo) * cells_all + cell)
+    x, y = np.unique(np.concatenate(mine)), np.unique(np.concatenate(theirs))
+    return x // cells_all, x % cells_all, y // cells_all, y % cells_all
+
+
+def _search(frames: dict[int, Frame], threshold: float):
+    """(node, dim, label, cell, at): the cells ``at`` that hold a code near that of ``node``."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns, codes = _gathered(parts, "code")
+        role, homes, nodes = columns["role"], columns["cell"], columns["node"]
+        for (dim, label, _, _, _), rows in _runs(columns, ["dim", "label", "part", "s", "t"]):
+            if len(rows) < 2:
+                continue
+            rows = rows[np.argsort(homes[rows], kind="stable")]
+            kind = role[rows]
+            home, visitors = rows[kind & 1 > 0], rows[kind == 2]
+            same = bool((kind == 3).any())
+            others = np.concatenate([home, visitors]) if same else visitors
+            if not len(home) or not len(others):
+                continue
+            y = codes(others, np.int16)
+            x = y[: len(home)] if same else codes(home, np.int16)
+            r, at, r2, at2 = near_codes(frames.get(dim) or plain_frame(dim), threshold, x, homes[home], y, homes[others], same)
+            found, cell = np.concatenate([home[r], others[r2]]), np.concatenate([at, at2])
+            cols = {"node": nodes[found], "dim": np.full(len(found), dim, dtype=np.int32), "label": np.full(len(found), label), "cell": homes[found], "at": cell.astype(np.int32)}
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in cols.values()], names=[*cols])
 
     return run
 
@@ -113,89 +375,129 @@ def _spanning(hit: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> tuple[np.n
     return ids[apart], owner[apart]
 
 
-def _compare(threshold: float):
+def _compare(threshold: float, kind: type):
     """Of each ordered pair of blocks of a cell: (a, b, null) links that span,
     and (node, null, n): the vectors linked to a node that is at home here."""
 
+    def units(rows: np.ndarray) -> np.ndarray:
+        x = rows.astype(np.float64)
+        return unit(x / np.abs(x).max(axis=1, keepdims=True))
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for i in range(part.num_rows):
-                row = part.slice(i, 1).to_pylist()[0]
-                dim, homes = row["dim"], np.array(row["homes"], dtype=bool)
-                if not homes.any():
-                    continue
-                ids, other = np.array(row["nodes"], dtype=np.int64)[homes], np.array(row["other_nodes"], dtype=np.int64)
-                x = np.frombuffer(b"".join(row["vectors"]), dtype=np.float64).reshape(-1, dim)[homes]
-                y = np.frombuffer(b"".join(row["other_vectors"]), dtype=np.float64).reshape(-1, dim)
-                hit = (x @ y.T >= threshold) & (ids[:, None] != other[None, :])
-                if not hit.any():
-                    continue
-                partners = hit @ np.array(row["other_counts"], dtype=np.float64)
-                a, b = _spanning(hit, ids, other)
-                n = partners.astype(np.int64)
-                some = n > 0
-                cols = [
-                    pa.array(np.concatenate([a, ids[some]])),
-                    pa.concat_arrays([pa.array(b), pa.nulls(int(some.sum()), pa.int64())]),
-                    pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(n[some])]),
-                ]
-                yield pa.RecordBatch.from_arrays(cols, names=["a", "b", "n"])
+        columns, vectors = _gathered(parts, "vector")
+        role, nodes, copies = columns["role"], columns["node"], columns["copies"]
+        for _, rows in _runs(columns, ["dim", "label", "cell", "s", "t"]):
+            home, other = rows[role[rows] & 1 > 0], rows[role[rows] & 2 > 0]
+            if not len(home) or not len(other):
+                continue
+            a, b, partners = [], [], np.zeros(len(home), dtype=np.int64)
+            x = units(vectors(home, kind))
+            for lo in range(0, len(other), COLUMNS):
+                cols = other[lo : lo + COLUMNS]
+                y, ids, weights = units(vectors(cols, kind)), nodes[cols], copies[cols].astype(np.float64)
+                for p in range(0, len(home), 4 * ROWS):
+                    own = nodes[home[p : p + 4 * ROWS]]
+                    hit = (x[p : p + 4 * ROWS] @ y.T >= threshold) & (own[:, None] != ids[None, :])
+                    if hit.any():
+                        partners[p : p + 4 * ROWS] += (hit @ weights).astype(np.int64)
+                        pairs = _spanning(hit, own, ids)
+                        a.append(pairs[0])
+                        b.append(pairs[1])
+            some = partners > 0
+            if some.any():
+                a, b, n = np.concatenate(a), np.concatenate(b), partners[some]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([a, nodes[home][some]])),
+                        pa.concat_arrays([pa.array(b), pa.nulls(len(n), pa.int64())]),
+                        pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(n)]),
+                    ],
+                    names=["a", "b", "n"],
+                )
 
     return run
 
 
+def _dealt(rows: DataFrame, blocks: DataFrame, keys: list[str], both_ways: bool, few: int) -> DataFrame:
+    """The rows (node, home, ...) of the cells ``keys``, dealt over pairs (s, t) of
+    blocks: in ``role`` 1 a row is one of block s that is at home here, in role 2
+    one of block t, in role 3 both.  ``blocks`` has, for every cell, its ``rows``
+    and how many s and t there are.  Two blocks of home rows meet ``both_ways`` or
+    once.  ``task`` says which task takes a pair; small cells share one."""
+    ss, ts = F.sequence(F.lit(0).cast("long"), F.col("s_blocks") - 1), F.sequence(F.lit(0).cast("long"), F.col("t_blocks") - 1)
+    own = F.pmod(F.xxhash64("node", F.lit(9)), F.when(F.col("home"), F.col("s_blocks")).otherwise(F.col("t_blocks")))
+
+    def pair(s, t, role):
+        return F.struct(s.alias("s"), t.alias("t"), role.cast("int").alias("role"))
+
+    as_home = F.transform(ts, lambda t: pair(F.col("own"), t, F.when(t == F.col("own"), 3).otherwise(1)))
+    as_other = F.transform(F.filter(ss, lambda s: (s != F.col("own")) if both_ways else (s < F.col("own"))), lambda s: pair(s, F.col("own"), F.lit(2)))
+    visiting = F.transform(ss, lambda s: pair(s, F.col("own"), F.lit(2)))
+    pairs = F.explode(F.when(F.col("home"), F.concat(as_home, as_other)).otherwise(visiting)).alias("pair")
+    named = rows.join(blocks, keys).withColumn("own", own).select(*rows.columns, "rows", pairs).select(*rows.columns, "rows", "pair.*")
+    small = F.pmod(F.xxhash64(*keys), F.lit(few))
+    return named.withColumn("task", F.when(F.col("rows") < FEW, small).otherwise(F.xxhash64(*keys, "s", "t"))).drop("rows", "home")
+
+
+def _sample(rows: DataFrame, total: int) -> dict[int, np.ndarray]:
+    """Unit vectors by their length, from a bounded sample of all rows."""
+    share = min(1.0, 1.5 * SAMPLE / max(1, total))
+    cut = int(share * (1 << 30))
+    some = rows.filter(F.col("label").isNotNull() & F.col("embedding").isNotNull() & (F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(1 << 30)) <= cut))
+    by_dim: dict[int, list[np.ndarray]] = {}
+    for batch in some.select("label", "embedding").limit(SAMPLE).toArrow().to_batches():
+        for _, _, x in _scaled(batch):
+            by_dim.setdefault(x.shape[1], []).append(x)
+    return {d: unit(np.unique(np.concatenate(v), axis=0)) for d, v in by_dim.items()}
+
+
 def link_vectors(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     """One row for every row of ``vectors`` (vec_id, embedding, label): vec_id,
     n_links, component_id, kept.  Rows that share a vec_id and a vector are
     copies of one another like any others; a null vec_id names no component and
     is never kept."""
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("long").alias("label"))
-    sound = (
-        F.col("label").isNotNull()
-        & F.col("embedding").isNotNull()
-        & (F.size("embedding") > 0)
-        & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-        & F.exists("embedding", lambda x: x != 0)
-    )
-    # scaled by the largest component, so that neither squares nor copies at another scale matter
-    most = F.array_max(F.transform("embedding", lambda x: F.abs(x)))
-    scaled = F.transform("embedding", lambda x: x / F.col("__tl_most") + F.lit(0.0))
-    keyed = rows.withColumn("__tl_most", F.when(sound, most)).withColumn("embedding", F.when(F.col("__tl_most").isNotNull(), scaled)).drop("__tl_most")
-    keyed = staged(keyed.withColumn("h1", F.when(F.col("embedding").isNotNull(), F.xxhash64("embedding"))).withColumn("h2", F.xxhash64(F.lit(1), "embedding")), "vectors")
-    good = keyed.filter(F.col("embedding").isNotNull())
+    single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>" if single else "array<double>").alias("embedding"), F.col("label").cast("long").alias("label"))
+    total = rows.count()
+    cells = max(1, min(MAX_CELLS, -(-total // CELL_VECTORS)))
+    frames = {d: fit(x, cells) for d, x in _sample(rows, total).items()} if cells > 1 else {}
+    few = max(4 * vectors.sparkSession.sparkContext.defaultParallelism, total // (4 * FEW))
+
+    def hashed(with_code: bool, name: str) -> DataFrame:
+        read = rows.mapInArrow(_coded(frames, with_code), "vec_id long, label long, dim int, key binary, cell int, data binary")
+        return read.select("vec_id", "label", "dim", "cell", F.col("data").alias(name), F.when(F.col("key").isNotNull(), F.xxhash64("key")).alias("h1"), F.when(F.col("key").isNotNull(), F.xxhash64(F.lit(1), "key")).alias("h2"))
+
+    node = F.xxhash64("label", "h1", "h2").alias("node")
+    keyed = staged(hashed(True, "code"), "vectors", BATCH)
     nodes = staged(
-        good.groupBy("label", "h1", "h2").agg(F.count("*").alias("copies"), F.min("vec_id").alias("least"), F.first("embedding").alias("embedding")).withColumn("node", F.xxhash64("label", "h1", "h2")),
+        keyed.filter(F.col("h1").isNotNull())
+        .groupBy("label", "h1", "h2")
+        .agg(F.count("*").alias("copies"), F.min("vec_id").alias("least"), F.first(F.struct("dim", "cell", "code")).alias("first"))
+        .select(node, "label", "h1", "h2", "copies", "least", "first.*"),
         "vector-nodes",
     )
-    total = nodes.count()
-    cells = max(1, min(MAX_CELLS, -(-total // CELL_VECTORS)))
-    centroids = {}
-    if cells > 1:
-        fitted = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("embedding").toPandas()  # a bounded sample
-        by_dim: dict[int, list[np.ndarray]] = {}
-        for v in fitted["embedding"]:
-            by_dim.setdefault(len(v), []).append(np.asarray(v, dtype=np.float64))
-        centroids = {d: spherical_kmeans(unit(np.stack(v)), cells) for d, v in by_dim.items()}
-    placed = staged(
-        nodes.select("node", "label", "embedding").mapInArrow(_cells(centroids, threshold), "node long, dim int, label long, cell int, home boolean, vector binary"),
-        "vector-cells",
-    )
-    held = placed.groupBy("dim", "label", "cell").agg(F.count("*").alias("held")).withColumn("blocks", F.ceil(F.col("held") / BLOCK))
-    blocks = staged(
-        placed.join(held, ["dim", "label", "cell"])
-        .join(nodes.select("node", "copies"), "node")
-        .withColumn("block", F.pmod(F.xxhash64("node", F.lit(9)), F.col("blocks")))
-        .groupBy("dim", "label", "cell", "block", "blocks")
-        .agg(F.collect_list(F.struct("node", "home", "vector", "copies")).alias("own"))
-        .select("dim", "label", "cell", "block", "blocks", F.col("own.node").alias("nodes"), F.col("own.home").alias("homes"), F.col("own.vector").alias("vectors"), F.col("own.copies").alias("counts")),
-        "vector-blocks",
+    sizes = nodes.groupBy("dim", "label").agg(F.ceil(F.count("*") / PART).alias("parts"))
+    parted = nodes.select("node", "dim", "label", "cell", "code").join(sizes, ["dim", "label"])
+    part = F.floor(F.col("cell").cast("long") * F.col("parts") / cells).alias("part")
+    # visitors of a part are dealt over more blocks than those at home, as they may be many more
+    halls = parted.select("dim", "label", part, "parts").groupBy("dim", "label", "part").agg(F.count("*").alias("rows"), F.max("parts").alias("parts")).withColumn("s_blocks", F.ceil(F.col("rows") / (2 * PART)))
+    halls = halls.withColumn("t_blocks", F.greatest("s_blocks", F.ceil(F.col("parts") / 8))).drop("parts")
+    placed = parted.mapInArrow(_places(frames, cells, threshold), "node long, dim int, label long, cell int, code binary, part long, home boolean")
+    near = staged(
+        _dealt(placed, halls, ["dim", "label", "part"], False, few).groupBy("task").applyInArrow(_search(frames, threshold), "node long, dim int, label long, cell int, at int").distinct(),
+        "vector-near",
+        BATCH,
     )
-    left = blocks.withColumn("other_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    right = blocks.select("dim", "label", "cell", F.col("block").alias("other_block"), *(F.col(c).alias(f"other_{c}") for c in ("nodes", "vectors", "counts")))
-    found = staged(left.join(right, ["dim", "label", "cell", "other_block"]).mapInArrow(_compare(threshold), "a long, b long, n long"), "vector-links")
+    at_home = near.select("node", "dim", "label", "cell", F.lit(True).alias("home")).distinct()
+    calls = at_home.unionByName(near.filter("at <> cell").select("node", "dim", "label", F.col("at").alias("cell"), F.lit(False).alias("home")))
+    halls = calls.groupBy("dim", "label", "cell").agg(F.count("*").alias("rows")).withColumn("s_blocks", F.ceil(F.col("rows") / BLOCK)).withColumn("t_blocks", F.col("s_blocks"))
+    own = hashed(False, "vector").filter(F.col("h1").isNotNull()).select(node, "vector")
+    own = maybe_in(own, "node", bloom(at_home, "node")).groupBy("node").agg(F.first("vector").alias("vector"), F.count("*").alias("copies"))
+    compared = _dealt(calls, halls, ["dim", "label", "cell"], True, few).join(own, "node")
+    found = staged(compared.groupBy("task").applyInArrow(_compare(threshold, np.float32 if single else np.float64), "a long, b long, n long"), "vector-links", BATCH)
     partners = found.filter(F.col("b").isNull()).groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("partners"))
     linked = components(found.filter(F.col("b").isNotNull()).select("a", "b"))
-    joined = nodes.join(linked, "node", "left").withColumn("c", F.coalesce("component", "node")).join(partners, "node", "left")
+    joined = nodes.drop("dim", "cell", "code").join(linked, "node", "left").withColumn("c", F.coalesce("component", "node")).join(partners, "node", "left")
     least = joined.groupBy("c").agg(F.min("least").alias("component_id"))
     named = joined.join(least, "c").select("label", "h1", "h2", (F.coalesce("partners", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     out = keyed.select("vec_id", "label", "h1", "h2").join(named, ["label", "h1", "h2"], "left")
