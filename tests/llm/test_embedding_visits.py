@@ -69,15 +69,13 @@ def test_codes_of_near_vectors_meet():
     codes = frame.codes(x)
     home = frame.home(codes)
     assert np.abs(np.linalg.norm(embeddings.floats(codes), axis=1) - 1).max() < 1e-3
-    order = np.argsort(home, kind="stable")
-    x, codes, home = x[order], codes[order], home[order]
-    row, at, other, other_at = embeddings.near_codes(frame, 0.98, codes, home, codes, home, True)
+    row, at, other, other_at = embeddings.near_codes(frame, 0.98, codes, home)
     found = {*zip(row.tolist(), at.tolist()), *zip(other.tolist(), other_at.tolist())}
     a, b = np.nonzero((x @ x.T >= 0.98) & ~np.eye(len(x), dtype=bool))
     assert len(a) > 100 and {*zip(a.tolist(), home[b].tolist())} <= found
     assert len({r for r, _ in found}) < len(x) / 2
     half = len(x) // 2  # two blocks
-    row, at, other, other_at = embeddings.near_codes(frame, 0.98, codes[:half], home[:half], codes[half:], home[half:], False)
+    row, at, other, other_at = embeddings.near_codes(frame, 0.98, codes[:half], home[:half], codes[half:], home[half:])
     across = (a < half) & (b >= half)
     assert {*zip(a[across].tolist(), home[b[across]].tolist())} <= {*zip(row.tolist(), at.tolist())}
     assert {*zip((b[across] - half).tolist(), home[a[across]].tolist())} <= {*zip(other.tolist(), other_at.tolist())}

@@ -16,9 +16,9 @@ different lengths.
    this bound, so no pair is lost at a border.
 4. Visits are made by codes alone.  The cells of a label are cut into parts of a
    bounded number of nodes; a code goes once to each part that it visits (of two
-   parts, to one), and there meets the cells that it visits.  What comes out are
-   the nodes whose code is near enough to another's, and the cells of those
-   others.
+   parts, to one), and there meets the codes whose cell it visits and that visit
+   its own.  What comes out are the nodes whose code is near enough to another's,
+   and the cells of those others.
 5. Only these nodes' vectors are moved: to their home and to those cells.  A cell
    of one label is cut into blocks of a bounded number of vectors, and every
    block meets every block in a matrix product of its home vectors with all
@@ -52,7 +52,8 @@ SLACK = 1e-3  # more than rounding to steps takes from the cosine of two codes
 PART = 1 << 18  # codes of a part, on average
 BLOCK = 1 << 17  # vectors of a block, on average
 FEW = 1 << 15  # cells and labels of fewer rows share a task
-ROWS, COLUMNS = 128, 4096  # of a product
+HALL, HALLS = 1024, 4  # codes of a cell in a product, on average; cells that make one of the next size
+ROWS, COLUMNS = 512, 4096  # of a product
 BATCH = 8192  # rows of an Arrow batch
 
 
@@ -79,6 +80,8 @@ class Frame:
 
     axes: np.ndarray
     centroids: np.ndarray
+    halls: tuple = ()  # centroids of fewer and fewer, larger cells
+
 
     def codes(self, x: np.ndarray) -> np.ndarray:
         """Codes of unit vectors, in steps."""
@@ -87,23 +90,34 @@ class Frame:
         return np.rint(STEP * np.column_stack([y, rest])).astype(np.int16)
 
     def home(self, codes: np.ndarray) -> np.ndarray:
-        return np.concatenate([(floats(codes[i : i + ROWS]) @ self.centroids.T).argmax(axis=1) for i in range(0, len(codes), ROWS)])
+        return nearest(self.centroids, codes)
+
+    def rooms(self, home: np.ndarray) -> np.ndarray:
+        """Centroids of cells that hold enough of these codes for a product."""
+        few = HALL * len(np.unique(home)) / max(1, len(home))  # cells of this many would do
+        return next((c for c in self.halls if len(self.centroids) <= HALLS * few * len(c)), self.centroids) if few >= HALLS else self.centroids
+
+
+def nearest(centroids: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(0, dtype=np.int64), *((floats(codes[i : i + ROWS]) @ centroids.T).argmax(axis=1) for i in range(0, len(codes), ROWS))])
+
+
+def margins(centroids: np.ndarray, far: float) -> np.ndarray:
+    """How much nearer to its home (rows) than to another cell (columns) a code is
+    at most that is ``far`` or less from the plane between."""
+    out = np.empty((len(centroids), len(centroids)), dtype=np.float32)
+    for i in range(0, len(out), ROWS):
+        own = centroids[i : i + ROWS]
+        apart = (own**2).sum(axis=1)[:, None] + (centroids**2).sum(axis=1)[None, :] - 2 * (own @ centroids.T)
+        out[i : i + ROWS] = far * np.sqrt(np.maximum(0, apart)) + 1e-5
+    return out
 
-    def margins(self, cells: np.ndarray, far: float) -> np.ndarray:
-        """How much nearer to its home (rows) than to one of the cells (columns)
-        a code is at most that is ``far`` or less from the plane between."""
-        c, out = self.centroids[cells], np.empty((len(self.centroids), len(cells)), dtype=np.float32)
-        for i in range(0, len(out), ROWS):
-            own = self.centroids[i : i + ROWS]
-            apart = (own**2).sum(axis=1)[:, None] + (c**2).sum(axis=1)[None, :] - 2 * (own @ c.T)
-            out[i : i + ROWS] = far * np.sqrt(np.maximum(0, apart)) + 1e-5
-        return out
 
-    def visits(self, codes: np.ndarray, home: np.ndarray, cells: np.ndarray, margins: np.ndarray) -> np.ndarray:
-        """Which of the cells (columns) may hold a code near to these."""
-        near = codes @ self.centroids[cells].T
-        near += margins[home]
-        return near >= (codes * self.centroids[home]).sum(axis=1)[:, None] - np.float32(1e-6)
+def visits(centroids: np.ndarray, codes: np.ndarray, home: np.ndarray, margin: np.ndarray) -> np.ndarray:
+    """Which of the cells (columns) may hold a code near to these."""
+    near = codes @ centroids.T
+    near += margin[home]
+    return near >= (codes * centroids[home]).sum(axis=1)[:, None] - np.float32(1e-6)
 
 
 def floats(codes: np.ndarray) -> np.ndarray:
@@ -146,7 +160,10 @@ def fit(sample: np.ndarray, cells: int) -> Frame:
         return frame
     y = sample - sample.mean(axis=0)
     frame.axes = np.ascontiguousarray(np.linalg.eigh(y.T @ y)[1][:, ::-1][:, : frame.axes.shape[1]])
-    frame.centroids = _in_order(spherical_kmeans(unit(frame.codes(sample) / STEP), cells)).astype(np.float32)
+    codes = unit(frame.codes(sample) / STEP)
+    frame.centroids = _in_order(spherical_kmeans(codes, cells)).astype(np.float32)
+    while (fewer := cells // HALLS ** (len(frame.halls) + 1)) > 1:
+        frame.halls += (spherical_kmeans(codes, fewer).astype(np.float32),)
     return frame
 
 
@@ -204,7 +221,7 @@ def _places(frames: dict[int, Frame], cells: int, threshold: float):
     far = reach(threshold)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        margins: dict[int, np.ndarray] = {}
+        margin: dict[int, np.ndarray] = {}
         for part in parts:
             dims, count = part.column("dim").to_numpy(), part.column("parts").to_numpy()
             home = part.column("cell").to_numpy().astype(np.int64)
@@ -219,11 +236,11 @@ def _places(frames: dict[int, Frame], cells: int, threshold: float):
                 every = np.arange(len(frame.centroids))
                 of = _part(every, n, cells)
                 first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
-                if dim not in margins:
-                    margins[dim] = frame.margins(every, far)
+                if dim not in margin:
+                    margin[dim] = margins(frame.centroids, far)
                 for i in range(0, len(rows), ROWS):
                     some = rows[i : i + ROWS]
-                    seen = np.logical_or.reduceat(frame.visits(floats(codes[i : i + ROWS]), home[some], every, margins[dim]), first, axis=1)
+                    seen = np.logical_or.reduceat(visits(frame.centroids, floats(codes[i : i + ROWS]), home[some], margin[dim]), first, axis=1)
                     r, k = np.nonzero(seen)
                     r, k = some[r], of[first][k]
                     steps = (k - own[r]) % n
@@ -282,49 +299,64 @@ def _runs(columns: dict[str, np.ndarray], keys: list[str]) -> Iterator[tuple[tup
         yield tuple(int(columns[k][rows[0]]) for k in keys), rows
 
 
-def near_codes(frame: Frame, threshold: float, codes: np.ndarray, home: np.ndarray, others: np.ndarray, other_home: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _any(hit: np.ndarray, cells: np.ndarray, axis: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of hits whose rows or columns (``axis``) lie in these cells, in order: which
+    of the others hit which cell."""
+    first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+    some = np.nonzero(np.logical_or.reduceat(hit, first, axis=axis))
+    return some[1 - axis], cells[first][some[axis]]
+
+
+def near_codes(frame: Frame, threshold: float, codes: np.ndarray, home: np.ndarray, others: np.ndarray | None = None, other_home: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row of ``codes``, cell) and (row of ``others``, cell): the cells that hold
-    a code near enough to that row.  Both are in order of their homes; if they
-    are the ``same``, ``others`` begins with ``codes`` and each pair counts once."""
-    least, cells_all = np.float32(threshold - SLACK), len(frame.centroids)
-    cells, starts = np.unique(home, return_index=True)
-    ends, margins = np.concatenate([starts[1:], [len(home)]]), frame.margins(cells, reach(threshold))
-    a = floats(codes)
-    a_rough = rough(a)
+    a code near enough to that row.  Without ``others``, ``codes`` meet each other.
+    Of two cells, those codes meet that visit the other's cell both ways."""
+    far, least, cells, rooms = reach(threshold), np.float32(threshold - SLACK), len(frame.centroids), frame.rooms(home)
+    margin, same = margins(rooms, far), others is None
+
+    def placed(codes: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, ...]:
+        room = nearest(rooms, codes)
+        order = np.lexsort((home, room))
+        x = floats(codes[order])
+        return x, rough(x), home[order], room[order], order, np.searchsorted(room[order], np.arange(len(rooms) + 1))
+
+    a, a_rough, a_home, a_room, a_order, starts = placed(codes, home)
+    b, b_rough, b_home, b_room, b_order, ends = (a, a_rough, a_home, a_room, a_order, starts) if same else placed(others, other_home)
+    calls = np.empty((len(rooms), -(-len(a) // 8)), dtype=np.uint8)  # which of codes visit a room, in bits
+    for i in range(0, len(a), ROWS):
+        calls[:, i // 8 : (i + ROWS) // 8] = np.packbits(visits(rooms, a[i : i + ROWS], a_room[i : i + ROWS], margin), axis=0).T
     mine, theirs = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-    for lo in range(0, len(others), COLUMNS):
-        b = floats(others[lo : lo + COLUMNS])
-        b_rough, b_home = rough(b), other_home[lo : lo + COLUMNS]
-        seen = np.empty((len(cells), len(b)), dtype=bool)
-        for i in range(0, len(b), ROWS):
-            seen[:, i : i + ROWS] = frame.visits(b[i : i + ROWS], b_home[i : i + ROWS], cells, margins).T
-        for cell, start, end, meets in zip(cells.tolist(), starts.tolist(), ends.tolist(), seen):
-            if same and start >= lo + len(b):
-                break
-            cols = np.flatnonzero(meets)
-            if same:
-                cols = cols[np.searchsorted(cols, start - lo) :]
-            if not len(cols):
-                continue
-            b_cols = b_rough.take(cols, axis=0)
-            for p in range(start, end, ROWS):
-                product = b_cols @ a_rough[p : min(end, p + ROWS)].T
-                if product.max() < least:
+    for room in np.flatnonzero(np.diff(ends)).tolist():
+        callers = np.flatnonzero(np.unpackbits(calls[room], count=len(a)))
+        bounds = np.searchsorted(callers, starts)
+        for lo in range(ends[room], ends[room + 1], COLUMNS):
+            hi = min(lo + COLUMNS, ends[room + 1])
+            seen = np.empty((len(rooms), hi - lo), dtype=bool)
+            for i in range(lo, hi, ROWS):
+                to = min(i + ROWS, hi)
+                seen[:, i - lo : to - lo] = visits(rooms, b[i:to], b_room[i:to], margin).T
+            for other in range(room + 1 if same else len(rooms)):
+                rows = callers[bounds[other] : bounds[other + 1]]
+                cols = np.flatnonzero(seen[other]) if len(rows) else rows
+                if not len(cols):
                     continue
-                rows, at = np.arange(p, min(end, p + ROWS)), cols[product.max(axis=1) >= least]
-                hit = a[rows[0] : rows[-1] + 1] @ b[at].T >= least
-                if same:
-                    hit &= rows[:, None] != (at + lo)[None, :]
-                at, hit = at[found := hit.any(axis=0)], hit[:, found]
-                if not len(at):
-                    continue
-                of = b_home[at]
-                first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
-                r, k = np.nonzero(np.logical_or.reduceat(hit, first, axis=1))
-                mine.append(rows[r] * cells_all + of[first][k])
-                theirs.append((at + lo) * cells_all + cell)
+                b_cols = b_rough.take(cols + lo, axis=0)
+                for p in range(0, len(rows), ROWS):
+                    some = rows[p : p + ROWS]
+                    product = b_cols @ a_rough.take(some, axis=0).T
+                    if product.max() < least:
+                        continue
+                    at = cols[product.max(axis=1) >= least] + lo
+                    hit = b[at] @ a[some].T >= least
+                    if same and other == room:
+                        hit &= at[:, None] != some[None, :]
+                    if hit.any():
+                        r, cell = _any(hit, b_home[at], 0)
+                        mine.append(a_order[some[r]] * cells + cell)
+                        c, cell = _any(hit, a_home[some], 1)
+                        theirs.append(b_order[at[c]] * cells + cell)
     x, y = np.unique(np.concatenate(mine)), np.unique(np.concatenate(theirs))
-    return x // cells_all, x % cells_all, y // cells_all, y % cells_all
+    return x // cells, x % cells, y // cells, y % cells
 
 
 def _search(frames: dict[int, Frame], threshold: float):
@@ -336,17 +368,16 @@ def _search(frames: dict[int, Frame], threshold: float):
         for (dim, label, _, _, _), rows in _runs(columns, ["dim", "label", "part", "s", "t"]):
             if len(rows) < 2:
                 continue
-            rows = rows[np.argsort(homes[rows], kind="stable")]
-            kind = role[rows]
-            home, visitors = rows[kind & 1 > 0], rows[kind == 2]
-            same = bool((kind == 3).any())
-            others = np.concatenate([home, visitors]) if same else visitors
-            if not len(home) or not len(others):
+            kind, frame = role[rows], frames.get(dim) or plain_frame(dim)
+            home, others = rows[kind & 1 > 0], rows[kind == 2]
+            x, found, cell = codes(home, np.int16), [], []
+            for meet in ([None] if (kind == 3).any() else []) + ([others] if len(others) else []):
+                pairs = near_codes(frame, threshold, x, homes[home], *(() if meet is None else (codes(meet, np.int16), homes[meet])))
+                found += [home[pairs[0]], (home if meet is None else meet)[pairs[2]]]
+                cell += [pairs[1], pairs[3]]
+            if not found:
                 continue
-            y = codes(others, np.int16)
-            x = y[: len(home)] if same else codes(home, np.int16)
-            r, at, r2, at2 = near_codes(frames.get(dim) or plain_frame(dim), threshold, x, homes[home], y, homes[others], same)
-            found, cell = np.concatenate([home[r], others[r2]]), np.concatenate([at, at2])
+            found, cell = np.concatenate(found), np.concatenate(cell)
             cols = {"node": nodes[found], "dim": np.full(len(found), dim, dtype=np.int32), "label": np.full(len(found), label), "cell": homes[found], "at": cell.astype(np.int32)}
             if len(found):
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in cols.values()], names=[*cols])
@@ -395,11 +426,11 @@ def _compare(threshold: float, kind: type):
             for lo in range(0, len(other), COLUMNS):
                 cols = other[lo : lo + COLUMNS]
                 y, ids, weights = units(vectors(cols, kind)), nodes[cols], copies[cols].astype(np.float64)
-                for p in range(0, len(home), 4 * ROWS):
-                    own = nodes[home[p : p + 4 * ROWS]]
-                    hit = (x[p : p + 4 * ROWS] @ y.T >= threshold) & (own[:, None] != ids[None, :])
+                for p in range(0, len(home), ROWS):
+                    own = nodes[home[p : p + ROWS]]
+                    hit = (x[p : p + ROWS] @ y.T >= threshold) & (own[:, None] != ids[None, :])
                     if hit.any():
-                        partners[p : p + 4 * ROWS] += (hit @ weights).astype(np.int64)
+                        partners[p : p + ROWS] += (hit @ weights).astype(np.int64)
                         pairs = _spanning(hit, own, ids)
                         a.append(pairs[0])
                         b.append(pairs[1])
